@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Run = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("event_queries", "chunk_queries")
+MODULES = ("event_queries", "chunk_queries", "sync_queries", "search_queries", "further_queries")
 
 
 @dataclass(frozen=True)
