@@ -126,9 +126,8 @@ def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: i
         blocks = max(1, math.ceil(questions.count() / CELL_QUESTIONS))
 
         def spread(df: DataFrame, own: str, own_n: int, other: str, other_n: int, key: str) -> DataFrame:
-            return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_n))).withColumn(
-                other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))).cast("bigint")
-            )
+            all_others = F.sequence(F.lit(0).cast("bigint"), F.lit(other_n - 1).cast("bigint"))
+            return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_n))).withColumn(other, F.explode(all_others))
 
         left = spread(corpus.select("id", "v"), "cell", cells, "block", blocks, "id")
         right = spread(questions.select("query_id", "v"), "block", blocks, "cell", cells, "query_id")

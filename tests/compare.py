@@ -33,14 +33,21 @@ def digest(columns: list[str], rows) -> tuple[list[str], int, str]:
     return sorted(columns), len(lines), hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
 
 
+SAME_TYPE = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(spark, con, run, sql: str, sf_dir: str):
     start = time.time()
     frame = run(spark, sf_dir)
-    ours = digest(frame.columns, frame.collect())
+    ours = (*digest(frame.columns, frame.collect()), sorted((n, SAME_TYPE.get(t, t)) for n, t in frame.dtypes))
     took = time.time() - start
     start = time.time()
     cursor = con.execute(sql)
-    theirs = digest([d[0] for d in cursor.description], cursor.fetchall())
+    types = sorted((d[0], str(d[1])) for d in cursor.description)
+    theirs = (*digest([d[0] for d in cursor.description], cursor.fetchall()), types)
     return ours, theirs, took, time.time() - start
 
 
