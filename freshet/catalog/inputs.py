@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.config import JobConfig
+from freshet.functions.sizes import spread
 from freshet.functions.text import WHITESPACE
 
 # A small vector size for the stand-in embedder keeps the SQL side of the comparisons affordable.
@@ -18,7 +19,7 @@ CONFIG = JobConfig(dim=DIM)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 class Derived:

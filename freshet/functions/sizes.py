@@ -1,4 +1,4 @@
-"""Broadcast decisions by a measured size."""
+"""Decisions by a measured size: what to broadcast, what to spread."""
 
 from __future__ import annotations
 
@@ -21,3 +21,29 @@ def small_side(df: DataFrame, rows: int = SLIM_ROWS) -> DataFrame:
     or written table, since it is counted here. Shuffled joins rely on adaptive skew splitting for hot keys.
     """
     return F.broadcast(df) if at_most(df, rows) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table scan in at least as many partitions as there are cores.
+
+    A few large row groups would leave most cores idle in the CPU-heavy steps that follow. With enough input splits,
+    as any large table has, this does nothing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+class Kept:
+    """Slim tables kept for the length of a `with` block. A lost executor's part is computed again."""
+
+    def __enter__(self) -> Kept:
+        self._tables: list[DataFrame] = []
+        return self
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self._tables.append(df.persist())
+        return df
+
+    def __exit__(self, *_) -> None:
+        for df in self._tables:
+            df.unpersist()

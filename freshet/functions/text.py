@@ -10,6 +10,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The code points that count as white space when a text is stripped.
 WHITESPACE = (
@@ -123,7 +124,7 @@ def looks_like_json(text: Column) -> Column:
     return F.substring(F.ltrim(text, F.lit(WHITESPACE)), 1, 1).isin("{", "[")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _pretty(texts: pd.Series) -> pd.Series:
     def one(text):
         if text is None:

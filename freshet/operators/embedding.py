@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +22,8 @@ class Embedder(Protocol):
     def embed(self, text: Column, kind: str = "document") -> Column: ...
 
 
-_WORD = re.compile("[A-Za-z]+")
-_CACHED_WORDS = 500_000
+# Words whose place is remembered per Python worker, and values handled at a time.
+CACHED_WORDS, VALUES_AT_ONCE = 500_000, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -38,29 +38,36 @@ class HashedBagOfWords:
 
     def embed(self, text: Column, kind: str = "document") -> Column:
         model, dim = self.model, self.dim
-        places: dict[str, tuple[int, int]] = {}
+        places: dict[str, tuple[int, int]] = {"": (0, 0)}
 
         def place(word: str) -> tuple[int, int]:
             digest = hashlib.md5(f"{model}:{word}".encode()).hexdigest()
             return int(digest[:8], 16) % dim, 1 if digest[8] < "8" else -1
 
-        def vector(text: str | None) -> np.ndarray:
-            out = np.zeros(dim)
-            for word in map(str.lower, _WORD.findall(text or "")):
+        def vectors(texts: pa.Array) -> np.ndarray:
+            lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "")), "[^a-z]+")
+            row = np.repeat(np.arange(len(texts)), np.asarray(pc.list_value_length(lists)))
+            words = lists.flatten().dictionary_encode()
+            if len(places) > CACHED_WORDS:
+                places.clear()
+                places[""] = (0, 0)
+            seen = words.dictionary.to_pylist()
+            for word in seen:
                 if word not in places:
-                    if len(places) >= _CACHED_WORDS:
-                        places.clear()
                     places[word] = place(word)
-                bucket, sign = places[word]
-                out[bucket] += sign
-            norm = np.sqrt(out @ out)
-            return (out / norm if norm else out).astype(np.float32)
+            bucket, sign = np.array([places[w] for w in seen], dtype=np.int64).reshape(-1, 2).T
+            which = np.asarray(words.indices)
+            sums = np.bincount(row * dim + bucket[which], weights=sign[which], minlength=len(texts) * dim)
+            sums = sums.reshape(len(texts), dim)
+            norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+            return np.divide(sums, norms, out=sums, where=norms > 0).astype(np.float32)
 
         @F.arrow_udf("array<float>")
         def embed(texts: pa.Array) -> pa.Array:
-            rows = [vector(t) for t in texts.to_pylist()]
-            flat = np.concatenate(rows) if rows else np.zeros(0, np.float32)
-            offsets = np.arange(len(rows) + 1, dtype=np.int32) * dim
+            rows = max(1, VALUES_AT_ONCE // dim)
+            parts = [vectors(texts.slice(i, rows)).reshape(-1) for i in range(0, len(texts), rows)]
+            flat = np.concatenate(parts) if parts else np.zeros(0, np.float32)
+            offsets = np.arange(len(texts) + 1, dtype=np.int32) * dim
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
         return embed(text)

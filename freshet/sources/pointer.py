@@ -21,7 +21,7 @@ def default_pointer(spark: SparkSession, config: JobConfig = JobConfig()) -> Dat
 
 def with_default(pointer: DataFrame, config: JobConfig = JobConfig()) -> DataFrame:
     """The pointer row, or the default one when there is none."""
-    names = ACTIVE_POINTER.fieldNames()
+    names = ["active_collection", "active_index", "model", "dim"]
     stored = pointer.select(*names, F.lit(0).alias("_choice"))
     both = stored.unionByName(default_pointer(pointer.sparkSession, config).withColumn("_choice", F.lit(1)))
     return both.agg(F.min_by(F.struct(*names), "_choice").alias("p")).select("p.*")

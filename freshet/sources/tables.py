@@ -114,12 +114,12 @@ class TableStore:
 
     # -- writing --------------------------------------------------------------------------------------------------
 
-    def ensure(self, name: str, schema: T.StructType, key: str = "", sorted_by: tuple[str, ...] = ()) -> bool:
+    def ensure(self, name: str, schema: str, key: str = "", sorted_by: tuple[str, ...] = ()) -> bool:
         """Create an empty table unless there is one. True when it was created."""
         if self.exists(name):
             return False
         buckets = self.buckets if key else 1
-        self._publish(name, Manifest(1, schema, key, buckets, tuple(sorted_by), {}))
+        self._publish(name, Manifest(1, T.StructType.fromDDL(schema), key, buckets, tuple(sorted_by), {}))
         return True
 
     def _write(self, name: str, m: Manifest, df: DataFrame) -> dict[int, list[str]]:

@@ -34,7 +34,7 @@ def latest_state(stream: DataFrame) -> DataFrame:
 def land(events: DataFrame, store: TableStore) -> None:
     """Merge a batch into the landing table, the last event per key winning. Repeating a batch changes nothing."""
     store.ensure(SOURCES, schemas.LANDED, "landing_key")
-    columns = schemas.LANDED.fieldNames()
+    columns = ["landing_key", "offset", "value"]
     new = ev.latest_per_key(ev.landing_key(ev.landable(events)), "landing_key", ["offset"]).select(*columns).persist()
     store.rewrite(
         SOURCES,
