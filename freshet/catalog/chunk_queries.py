@@ -12,6 +12,7 @@ from freshet.catalog.inputs import (
 )
 from freshet.catalog.registry import Query
 from freshet.functions import text as tx
+from freshet.functions.arrays import elements
 from freshet.operators import extras
 from freshet.operators.chunking import (
     Chunkers, chunk_by_type, chunk_documents, chunk_lines, chunk_pages, csv_pieces, finish, markdown_pieces,
@@ -52,7 +53,7 @@ PLAIN_CHUNKS_SQL = plain_chunks_sql(f"({PLAIN.sql})")
 def chunk_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = MARKDOWN.spark(spark, sf_dir)
     pieces = markdown_pieces(F.col("text"), F.lit(None), CONFIG)
-    return docs.select("doc_id", F.posexplode(pieces).alias("ordinal", "p")).select(
+    return docs.select("doc_id", elements(pieces).alias("ordinal", "p")).select(
         "doc_id", "ordinal", F.col("p.heading").alias("heading"), F.col("p.text").alias("text")
     )
 
@@ -87,7 +88,7 @@ def _page_texts(text) -> F.Column:
 
 
 def chunk_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(_page_texts(F.col("text"))).alias("i", "text"))
+    pages = table(spark, sf_dir, "documents").select("doc_id", elements(_page_texts(F.col("text"))).alias("i", "text"))
     return chunk_pages(pages.select("doc_id", (F.col("i") + 1).alias("page_no"), "text"), CONFIG)
 
 
@@ -140,7 +141,7 @@ def chunk_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(header, F.array_join(F.transform(lines, lambda s: s["l"]), "\r\n")).alias("body")
     )
     pieces = csv_pieces(F.col("body"), F.lit(None), CONFIG)
-    return files.select("file_no", F.posexplode(pieces).alias("ordinal", "p")).select(
+    return files.select("file_no", elements(pieces).alias("ordinal", "p")).select(
         "file_no", "ordinal", F.col("p.rows").alias("rows"), F.array_join("p.columns", "|").alias("columns"),
         F.col("p.text").alias("text"),
     )
@@ -157,7 +158,7 @@ select file_no, cast((rn-1)//50 as int) as ordinal, cast(min(rn) as varchar)||'-
 
 def chunk_json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = text_pieces(F.col("props"), F.lit(None), CONFIG)
-    return table(spark, sf_dir, "events").select("event_id", F.posexplode(pieces).alias("ordinal", "p")).select(
+    return table(spark, sf_dir, "events").select("event_id", elements(pieces).alias("ordinal", "p")).select(
         "event_id", "ordinal", F.col("p.text").alias("text")
     )
 
@@ -201,7 +202,7 @@ def json_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = extras.json_object_pieces(depth=2)(F.col("doc"), F.lit(None), CONFIG)
     doc = F.expr(_JSON_DOC)
     return table(spark, sf_dir, "events").select("event_id", doc.alias("doc")).select(
-        "event_id", F.posexplode(pieces).alias("ordinal", "p")
+        "event_id", elements(pieces).alias("ordinal", "p")
     ).select("event_id", "ordinal", F.col("p.heading").alias("member"), F.col("p.text").alias("text"))
 
 
@@ -218,7 +219,7 @@ union all select event_id, 2, 'list', 'list: [1,2]' from events
 
 def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = extras.html_pieces(F.col("html"), F.lit(None), CONFIG)
-    return table(spark, sf_dir, "pages").select("page_id", F.posexplode(pieces).alias("ordinal", "p")).select(
+    return table(spark, sf_dir, "pages").select("page_id", elements(pieces).alias("ordinal", "p")).select(
         "page_id", "ordinal", F.col("p.text").alias("text")
     )
 

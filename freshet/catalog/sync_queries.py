@@ -12,6 +12,7 @@ from freshet.catalog.inputs import (
 )
 from freshet.catalog.registry import Query
 from freshet.config import BLUE, GREEN
+from freshet.functions.sizes import small_side
 from freshet.functions.windows import windows
 from freshet.operators import checks, sync
 from freshet.operators.chunking import chunk_documents
@@ -51,7 +52,7 @@ from docs left join n using (doc_id)
 
 def _changed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     later = documents(spark, sf_dir, DOCS_LATER)
-    changed = sync.changed_versions(later, chunks(spark, sf_dir, DOCS)).persist()
+    changed = small_side(sync.changed_versions(later, chunks(spark, sf_dir, DOCS)).persist())
     return changed, chunk_documents(sync.changed_documents(later, changed), plain_chunkers())
 
 
@@ -93,7 +94,7 @@ def mark_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def knowledge_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed, new_rows = _changed(spark, sf_dir)
-    applied = new_rows.select("doc_id").distinct()
+    applied = small_side(new_rows.select("doc_id").distinct().persist())
     after = sync.apply_documents(
         sync.knowledge_rows(chunks(spark, sf_dir, DOCS)), applied, sync.knowledge_rows(new_rows)
     )
@@ -103,7 +104,7 @@ def knowledge_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stale_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the tail that a shorter version leaves behind is removed; empty versions remove nothing."""
     changed, new_rows = _changed(spark, sf_dir)
-    counts = new_rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = small_side(new_rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).persist())
     return sync.prune_stale(chunks(spark, sf_dir, DOCS), counts).select("doc_id", "chunk_id", "ordinal", "content_hash")
 
 

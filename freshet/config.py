@@ -9,6 +9,7 @@ BLUE, GREEN = "knowledge", "knowledge_v2"
 
 # Names of the other tables.
 SOURCES, STAGING, POINTER, MEMORY = "sources", "chunks_staging", "active_pointer", "agent_memory"
+REPORT = "ingest_report"
 
 
 @dataclass(frozen=True)

@@ -18,3 +18,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def tail(array: Column) -> Column:
     return F.slice(array, F.lit(2), F.size(array))
+
+
+def elements(array: Column) -> Column:
+    """Generator of (position, element) that computes its array once.
+
+    Exploding a plain column makes the optimizer infer a filter on its size and push that filter, with a copy of the
+    expression behind the column, below everything else. An input that is not a plain column is left alone.
+    """
+    return F.posexplode(F.transform(array, lambda x: x))

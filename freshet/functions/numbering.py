@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SLAB = 1 << 16
+
+
+def slab_of(position: Column, width: int = SLAB) -> Column:
+    """Number of the slab of `width` consecutive integers, exact for all of BIGINT."""
+    return ((position - F.pmod(position, F.lit(width))) / width).cast("bigint")
+
 
 def running_offset(
-    df: DataFrame, position: str, by: list[str], size: Column, name: str, width: int = 1 << 16
+    df: DataFrame, position: str, by: list[str], size: Column, name: str, width: int = SLAB, slim: bool = False
 ) -> DataFrame:
     """Adds `name`: the sum of `size` over the rows before this one in its `by` group, in the order of the integer
     column `position` (unique within a group).
@@ -15,22 +22,28 @@ def running_offset(
     A plain window would pull a whole group, possibly a third of the table, into one task. Here rows are put into slabs
     of `width` consecutive positions, summed inside the slab, and shifted by the total of earlier slabs. That second
     sum sees one row per slab, so it is smaller than the data by up to `width`.
+
+    The slab totals are a second read of the few columns involved, combined map-side. With `slim`, for a `df` that has
+    no other columns but is costly to compute, they come from the rows already shuffled, whose exchange is reused.
     """
-    slabbed = df.withColumn("_slab", F.floor(F.col(position) / width)).withColumn("_size", size.cast("bigint"))
     keys = [*by, "_slab"]
+    slabbed = df.withColumn("_slab", slab_of(F.col(position), width)).withColumn("_size", size.cast("bigint"))
+    inside = Window.partitionBy(*keys).orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
+    summed = slabbed.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
+    if slim:
+        totals = summed.groupBy(*keys).agg(F.max(F.col("_inside") + F.col("_size")).alias("_total"))
+    else:
+        totals = slabbed.groupBy(*keys).agg(F.sum("_size").alias("_total"))
     before = Window.partitionBy(*by).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
-    totals = slabbed.groupBy(*keys).agg(F.sum("_size").alias("_total"))
     shifts = totals.select(*keys, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy(*keys).orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        slabbed.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-        .join(shifts, keys)
+        summed.join(shifts, keys)
         .withColumn(name, F.col("_inside") + F.col("_shift"))
         .drop("_slab", "_size", "_inside", "_shift")
     )
 
 
-def number_rows(df: DataFrame, position: str, by: list[str], width: int = 1 << 16) -> DataFrame:
+def number_rows(df: DataFrame, position: str, by: list[str], width: int = SLAB) -> DataFrame:
     """Adds `row_no`, counted from 1 within each `by` group."""
     return running_offset(df, position, by, F.lit(1), "_before", width).withColumn(
         "row_no", F.col("_before") + 1

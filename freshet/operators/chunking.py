@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from freshet.config import JobConfig
 from freshet.functions import text as tx
-from freshet.functions.arrays import let, tail
+from freshet.functions.arrays import elements, let, tail
 from freshet.functions.numbering import running_offset
 from freshet.functions.windows import windows, windows_by_column
 from freshet.operators.routing import extractor_name
@@ -188,12 +188,13 @@ def finish(docs: DataFrame, pieces: str = "pieces", extractor: Column | None = N
     """
     extractor = F.col("extractor") if extractor is None else extractor
     kept = F.filter(F.col(pieces), lambda p: p["text"].isNotNull() & ~tx.is_blank(p["text"]))
+    of_document = ["doc_id", "source_uri", "doc_content_hash", "extractor"]
+    # The size becomes a column before the explode; computed after it, the whole array would travel with every piece.
     exploded = (
-        docs.select("doc_id", "source_uri", "doc_content_hash", extractor.alias("extractor"), kept.alias("_kept"))
-        .select(
-            "doc_id", "source_uri", "doc_content_hash", "extractor",
-            F.size("_kept").alias("n_chunks"), F.posexplode("_kept").alias("ordinal", "_p"),
-        )
+        docs.withColumn("extractor", extractor)
+        .select(*of_document, kept.alias("_kept"))
+        .select(*of_document, F.size("_kept").alias("n_chunks"), "_kept")
+        .select(*of_document, "n_chunks", elements(F.col("_kept")).alias("ordinal", "_p"))
     )
     p = F.col("_p")
     return exploded.select(
@@ -233,10 +234,10 @@ def chunk_pages(pages: DataFrame, config: JobConfig = JobConfig()) -> DataFrame:
     """
     cut = pages.withColumn("_w", windows(F.col("text"), config.chunk_size, config.chunk_overlap))
     counts = cut.select("doc_id", "page_no", F.size("_w").alias("_n"))
-    before = running_offset(counts, "page_no", ["doc_id"], F.col("_n"), "_before").drop("_n")
+    before = running_offset(counts, "page_no", ["doc_id"], F.col("_n"), "_before", slim=True).drop("_n")
     return (
         cut.join(before, ["doc_id", "page_no"])
-        .select("doc_id", "page_no", "_before", F.posexplode("_w").alias("_i", "text"))
+        .select("doc_id", "page_no", "_before", elements(F.col("_w")).alias("_i", "text"))
         .select(
             "doc_id",
             (F.col("_before") + F.col("_i")).cast("int").alias("ordinal"),
@@ -259,7 +260,7 @@ def chunk_lines(
         raise ValueError("a text stored as many rows needs a positive window size")
     clean = lines.select(*by, position, tx.strip(F.col(text)).alias("_t")).where(F.col("_t") != "")
     lengths = clean.select(*by, position, F.length("_t").alias("_len"))
-    starts = running_offset(lengths, position, by, F.col("_len") + 1, "_start").drop("_len")
+    starts = running_offset(lengths, position, by, F.col("_len") + 1, "_start", slim=True).drop("_len")
     # Each line brings the newline in front of it; the one before the first line has place -1 and is never taken.
     a = F.col("_start") - 1
     b = a + 1 + F.length("_t")
@@ -292,5 +293,5 @@ def chunk_by_type(docs: DataFrame, sizes: DataFrame) -> DataFrame:
     return (
         docs.join(sizes, "doc_type")
         .withColumn("_w", windows_by_column(F.col("text"), F.col("chunk_size"), F.col("chunk_overlap")))
-        .select(*[c for c in docs.columns if c != "text"], F.posexplode("_w").alias("ordinal", "text"))
+        .select(*[c for c in docs.columns if c != "text"], elements(F.col("_w")).alias("ordinal", "text"))
     )

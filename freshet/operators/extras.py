@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from freshet.config import JobConfig
 from freshet.functions import text as tx
+from freshet.functions.numbering import slab_of
 from freshet.functions.windows import windows
 from freshet.operators.chunking import Chunker, piece
 
@@ -54,7 +55,7 @@ def batch_readings(
     gives many bounded records and never one unbounded one. Works on a stream with a watermark as on a table.
     """
     grouped = readings.groupBy(
-        *by, F.window("ts", duration).alias("_w"), F.floor(F.col(reading_no) / span).alias("part")
+        *by, F.window("ts", duration).alias("_w"), slab_of(F.col(reading_no), span).alias("part")
     )
     ordered = F.array_sort(F.collect_list(F.struct(F.col(reading_no).alias("no"), line.alias("line"))))
     return grouped.agg(

@@ -1,7 +1,8 @@
 """Change detection, staging and upserts, as joins between tables.
 
 Texts and vectors are wide; ids and hashes are slim. Decisions are made on slim tables, and wide rows are touched only
-once it is known which of them matter.
+once it is known which of them matter. Nothing here runs a job: a caller that has a slim table at hand marks it with
+`small_side`, so that the wide side of the join is not shuffled.
 """
 
 from __future__ import annotations
@@ -9,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshet.functions.sizes import small_side
-
 KNOWLEDGE_COLUMNS = [
     "doc_id", "chunk_id", "ordinal", "text", "content_hash", "doc_content_hash", "embedding", "model", "dim",
     "source_uri", "metadata",
@@ -41,7 +40,7 @@ def changed_versions(docs: DataFrame, knowledge: DataFrame) -> DataFrame:
 
 def changed_documents(docs: DataFrame, changed: DataFrame) -> DataFrame:
     """The documents of `changed`, whole. Bodies stay where they are unless very many documents changed."""
-    return docs.join(small_side(changed), ["doc_id", "doc_content_hash"], "left_semi")
+    return docs.join(changed, ["doc_id", "doc_content_hash"], "left_semi")
 
 
 def ingest_plan(docs: DataFrame, knowledge: DataFrame, chunk_count: Column) -> DataFrame:
@@ -62,7 +61,7 @@ def ingest_plan(docs: DataFrame, knowledge: DataFrame, chunk_count: Column) -> D
 
 def replace_staging(staging: DataFrame, staged_docs: DataFrame, new_rows: DataFrame) -> DataFrame:
     """Staging with all rows of `staged_docs` (doc_id) replaced; documents that yield no chunk leave nothing."""
-    return staging.join(small_side(staged_docs.select("doc_id")), "doc_id", "left_anti").unionByName(new_rows)
+    return staging.join(staged_docs.select("doc_id"), "doc_id", "left_anti").unionByName(new_rows)
 
 
 def needs_embedding(staged: DataFrame, model: str) -> DataFrame:
@@ -109,7 +108,7 @@ def knowledge_rows(embedded: DataFrame) -> DataFrame:
 def prune_stale(table: DataFrame, counts: DataFrame) -> DataFrame:
     """Drops rows whose ordinal is at or beyond the document's new chunk count (doc_id, n)."""
     return (
-        table.join(small_side(counts.select("doc_id", F.col("n").alias("_n"))), "doc_id", "left")
+        table.join(counts.select("doc_id", F.col("n").alias("_n")), "doc_id", "left")
         .where(F.col("_n").isNull() | (F.col("ordinal") < F.col("_n")))
         .drop("_n")
     )
@@ -127,12 +126,12 @@ def apply_documents(knowledge: DataFrame, applied: DataFrame, rows: DataFrame) -
     old chunk below n and the prune removes the rest: together that is a replacement of the document. Old wide rows
     then need only a membership test on doc_id; they are not shuffled while `applied` is small.
     """
-    kept = knowledge.join(small_side(applied.select("doc_id")), "doc_id", "left_anti")
+    kept = knowledge.join(applied.select("doc_id"), "doc_id", "left_anti")
     return kept.unionByName(rows)
 
 
 def clear_staging(staging: DataFrame, indexed: DataFrame) -> DataFrame:
-    return staging.join(small_side(indexed.select("doc_id")), "doc_id", "left_anti")
+    return staging.join(indexed.select("doc_id"), "doc_id", "left_anti")
 
 
 def page_after(table: DataFrame, cursor: str | None, n: int, key: str = "chunk_id") -> DataFrame:

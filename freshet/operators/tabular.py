@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.config import JobConfig
-from freshet.functions.numbering import number_rows
+from freshet.functions.numbering import number_rows, slab_of
 
 
 def chunk_rows(
@@ -26,7 +26,7 @@ def chunk_rows(
     line = F.concat_ws("; ", *[F.concat(F.lit(f"{c}: "), value[c]) for c in columns])
     lines = number_rows(rows.select(*by, position, line.alias("_line")), position, by)
     per = config.rows_per_chunk
-    ordinal = F.floor((F.col("row_no") - 1) / per).cast("int")
+    ordinal = slab_of(F.col("row_no") - 1, per).cast("int")
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("row_no", "_line"))), lambda s: s["_line"])
     return (
         lines.withColumn("ordinal", ordinal)

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet import schemas
-from freshet.config import BLUE, GREEN, STAGING, JobConfig
-from freshet.functions.sizes import small_side
+from freshet.config import BLUE, GREEN, REPORT, STAGING
+from freshet.functions.sizes import Kept, small_side
 from freshet.operators import sync
 from freshet.operators.chunking import Chunkers, chunk_documents
 from freshet.operators.embedding import Embedder, HashedBagOfWords, embed_chunks
@@ -25,7 +25,8 @@ from freshet.sources.tables import TableStore
 def ensure_tables(store: TableStore) -> list[str]:
     """Create the tables that do not exist yet; chunk tables are bucketed by document and sorted for lookups."""
     wanted = {STAGING: schemas.STAGING, BLUE: schemas.KNOWLEDGE, GREEN: schemas.KNOWLEDGE}
-    return [n for n, schema in wanted.items() if store.ensure(n, schema, "doc_id", ("doc_id", "ordinal"))]
+    made = [n for n, schema in wanted.items() if store.ensure(n, schema, "doc_id", ("doc_id", "ordinal"))]
+    return made + ([REPORT] if store.ensure(REPORT, schemas.INGEST_REPORT) else [])
 
 
 def ensure_target(store: TableStore, name: str) -> bool:
@@ -46,8 +47,8 @@ class Ingest:
     def run(self, objects: DataFrame, target: str | None = None) -> DataFrame:
         """Ingest objects (bucket, key, content_type, body; pages for paged types), one row per object.
 
-        Returns the report: doc_id, status (unchanged, empty, indexed), indexed, collection, extractor. `target` is
-        the table to write, "active" the one searched at the moment.
+        Returns the report of this run, also kept as a table: doc_id, status (unchanged, empty, indexed), indexed,
+        collection, extractor. `target` is the table to write, "active" the one searched at the moment.
         """
         store = self.store
         ensure_tables(store)
@@ -57,21 +58,25 @@ class Ingest:
         ensure_target(store, target)
 
         docs = self.chunkers.route(identify(objects))
-        versions = docs.select("doc_id", "doc_content_hash", "extractor").persist()
-        changed = sync.changed_versions(versions, store.read(BLUE)).persist()
-        self.stage(docs, changed)
-        self.embed()
-        applied = self.apply(changed, target)
-        return self.report(versions, changed, applied, target)
+        with Kept() as keep:
+            versions = keep(docs.select("doc_id", "doc_content_hash", "extractor"))
+            changed = small_side(keep(sync.changed_versions(versions, store.read(BLUE))))
+            self.stage(docs, changed)
+            self.embed()
+            applied = small_side(keep(self.complete(changed)))
+            self.apply(changed, applied, target)
+            store.overwrite(REPORT, self.report(versions, changed, applied, target))
+        return store.read(REPORT)
 
     def stage(self, docs: DataFrame, changed: DataFrame) -> None:
         """Chunk the changed documents that are not staged in this version already."""
         staged = self.store.read(STAGING).select("doc_id", "doc_content_hash").distinct()
-        fresh = changed.join(staged, ["doc_id", "doc_content_hash"], "left_anti").persist()
-        new_rows = chunk_documents(sync.changed_documents(docs, fresh), self.chunkers)
-        self.store.rewrite(
-            STAGING, self.store.touched(STAGING, fresh), lambda old: sync.replace_staging(old, fresh, new_rows)
-        )
+        with Kept() as keep:
+            fresh = small_side(keep(changed.join(staged, ["doc_id", "doc_content_hash"], "left_anti")))
+            new_rows = chunk_documents(sync.changed_documents(docs, fresh), self.chunkers)
+            self.store.rewrite(
+                STAGING, self.store.touched(STAGING, fresh), lambda old: sync.replace_staging(old, fresh, new_rows)
+            )
 
     def embed(self) -> None:
         """Embed what is staged and not embedded with this model, committing every few buckets."""
@@ -87,23 +92,27 @@ class Ingest:
         for start in range(0, len(waiting), size):
             self.store.rewrite(STAGING, waiting[start : start + size], fill)
 
-    def apply(self, changed: DataFrame, target: str) -> DataFrame:
-        """Index the changed documents whose chunks are all embedded; returns (doc_id, n, dim)."""
-        staged = self.store.read(STAGING)
-        mine = staged.join(small_side(changed), ["doc_id", "doc_content_hash"], "left_semi")
-        applied = sync.fully_embedded(mine, self.embedder.model).persist()
-        rows = sync.knowledge_rows(mine.join(small_side(applied.select("doc_id")), "doc_id", "left_semi"))
+    def complete(self, changed: DataFrame) -> DataFrame:
+        """The changed documents whose chunks are all embedded: (doc_id, n, dim)."""
+        return sync.fully_embedded(self._staged(changed), self.embedder.model)
+
+    def _staged(self, changed: DataFrame) -> DataFrame:
+        return self.store.read(STAGING).join(changed, ["doc_id", "doc_content_hash"], "left_semi")
+
+    def apply(self, changed: DataFrame, applied: DataFrame, target: str) -> None:
+        """Index the complete documents into the target and clear their staging."""
+        rows = self._staged(changed).join(applied.select("doc_id"), "doc_id", "left_semi")
+        rows = sync.knowledge_rows(rows)
         replaced = applied.select("doc_id")
         if self.prune_empty:
-            empty = changed.select("doc_id").join(staged.select("doc_id").distinct(), "doc_id", "left_anti")
-            replaced = replaced.unionByName(empty)
+            staged = self.store.read(STAGING).select("doc_id").distinct()
+            replaced = replaced.unionByName(changed.select("doc_id").join(staged, "doc_id", "left_anti"))
         self.store.rewrite(
             target, self.store.touched(target, replaced), lambda old: sync.apply_documents(old, replaced, rows)
         )
         self.store.rewrite(
             STAGING, self.store.touched(STAGING, applied), lambda old: sync.clear_staging(old, applied)
         )
-        return applied
 
     def report(self, versions: DataFrame, changed: DataFrame, applied: DataFrame, target: str) -> DataFrame:
         is_changed = changed.select("doc_id", F.lit(True).alias("_changed"))

@@ -33,3 +33,4 @@ ANSWERS = (
     "query_id STRING, query STRING, answer STRING, answer_available BOOLEAN, active_collection STRING, "
     f"model STRING, sources ARRAY<{SOURCE_DDL}>"
 )
+INGEST_REPORT = "doc_id STRING, status STRING, indexed INT, collection STRING, extractor STRING"

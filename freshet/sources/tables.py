@@ -128,7 +128,8 @@ class TableStore:
         rows = df.select(*columns, self._bucket(m.key, m.buckets).alias(BUCKET))
         # Rebalancing puts a bucket's rows together; adaptive execution splits the files of a hot bucket and merges
         # small ones.
-        rows = rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *m.sorted_by)
+        rows = rows.hint("rebalance", BUCKET) if m.key else rows
+        rows = rows.sortWithinPartitions(BUCKET, *m.sorted_by) if m.key else rows
         folder = f"v{m.version + 1}-{uuid.uuid4().hex[:8]}"
         rows.write.partitionBy(BUCKET).parquet(f"{self.root}/{name}/{folder}")
         path = self._path(name, folder)
