@@ -11,12 +11,11 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for this run below the folder named by spark.checkpoint.dir.
 
-    Only a local session without that setting gets one of its own; a cluster must name a shared one.
+    Only a local session without that setting gets a folder of its own; a cluster must name a shared one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="freshet-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
