@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
 
-from freshet.functions.sizes import at_most, small_side
+from freshet.functions.sizes import SLIM_ROWS, at_most
 from freshet.functions.vectors import similarity
 
 # Question values (questions x dimensions) that may be broadcast: 64 MB as doubles.
@@ -120,6 +120,9 @@ def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: i
             yield from best.table(question_ids, arrow).to_batches()
 
         partial = corpus.select("id", "v").mapInArrow(search, schema)
+        best = ranked(partial, k)
+        # At most k hits per question: the bound is known without running the search.
+        return F.broadcast(best) if table.num_rows * k <= SLIM_ROWS else best
     else:
         # Too many questions to send everywhere: cut both sides into cells and meet them cell by cell.
         cells = max(1, math.ceil(corpus.count() / CELL_ROWS))
@@ -140,7 +143,7 @@ def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: i
 
         partial = left.groupBy("cell", "block").cogroup(right.groupBy("cell", "block")).applyInArrow(meet, schema)
 
-    return ranked(partial, k)
+        return ranked(partial, k)
 
 
 def ranked(hits: DataFrame, k: int) -> DataFrame:
@@ -211,14 +214,15 @@ def knn_approximate(
         asked.select("query_id", sketch(F.col("embedding"), dim, bits).alias("v")),
         candidates or candidates_for(k), "bits", bits // 64, None,
     )
-    found = found.select("query_id", "id").persist()
     vectors = corpus.select(F.col(id_column).alias("id"), F.col("embedding").alias("_v"))
-    pairs = vectors.join(small_side(found), "id").join(asked.select("query_id", F.col("embedding").alias("_q")), "query_id")
+    pairs = vectors.join(found.select("query_id", "id"), "id").join(asked.select("query_id", F.col("embedding").alias("_q")), "query_id")
     scored = pairs.select("query_id", "id", similarity(F.col("_q"), F.col("_v")).alias("score"))
     return ranked(scored, k).withColumnRenamed("id", id_column)
 
 
 def with_payload(hits: DataFrame, corpus: DataFrame, columns: list[str], id_column: str = "chunk_id") -> DataFrame:
-    """Hits with columns of their chunks. Texts are read here, for the hits only, not during the search."""
-    hits = hits.persist()
-    return corpus.select(id_column, *columns).join(small_side(hits), id_column)
+    """Hits with columns of their chunks. Texts are read here, for the hits only, not during the search.
+
+    Hits of a bounded number of questions come marked for broadcast, so the corpus is not shuffled for them.
+    """
+    return corpus.select(id_column, *columns).join(hits, id_column)

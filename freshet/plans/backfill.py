@@ -41,19 +41,25 @@ def backfill(
     source = source or pointer.get_active(store)["active_collection"]
     target = target or (GREEN if source == BLUE else BLUE)
     ensure_target(store, target)
+    new_target = not store.manifest(target).parts
     rows = store.read(source)
     done = store.read(target).where(F.col("model") == embedder.model).select("chunk_id", "content_hash")
-    todo = rows.join(done, ["chunk_id", "content_hash"], "left_anti").select(*rows.columns)
-    waiting = store.touched(target, todo)
+
+    def without_done(part: DataFrame, done: DataFrame) -> DataFrame:
+        return part if new_target else part.join(done, ["chunk_id", "content_hash"], "left_anti").select(*rows.columns)
+
+    # Which buckets have work is decided on ids and hashes alone.
+    waiting = store.touched(target, without_done(rows, done))
+    same_buckets = store.manifest(source).buckets == store.manifest(target).buckets
     bucket = store.bucket_expression(target)
     size = max(1, -(-len(waiting) // commits))
     for start in range(0, len(waiting), size):
         numbers = waiting[start : start + size]
-        new = reembedded(todo.where(bucket.isin(numbers)), embedder)
-        keys = todo.where(bucket.isin(numbers)).select("chunk_id")
+        part = store.read(source, buckets=numbers) if same_buckets else rows.where(bucket.isin(numbers))
 
-        def merge(old: DataFrame, new=new, keys=keys) -> DataFrame:
-            return old.join(keys, "chunk_id", "left_anti").unionByName(new)
+        def merge(old: DataFrame, part=part) -> DataFrame:
+            todo = without_done(part, old.where(F.col("model") == embedder.model).select("chunk_id", "content_hash"))
+            return old.join(todo.select("chunk_id"), "chunk_id", "left_anti").unionByName(reembedded(todo, embedder))
 
         store.rewrite(target, numbers, merge)
     return {"status": "complete", "processed": rows.count(), "model": embedder.model, "target": target}

@@ -90,7 +90,7 @@ class Ingest:
 
         size = max(1, -(-len(waiting) // self.commits))
         for start in range(0, len(waiting), size):
-            self.store.rewrite(STAGING, waiting[start : start + size], fill)
+            self.store.rewrite(STAGING, waiting[start : start + size], fill, clustered=True)
 
     def complete(self, changed: DataFrame) -> DataFrame:
         """The changed documents whose chunks are all embedded: (doc_id, n, dim)."""

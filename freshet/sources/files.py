@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +54,49 @@ def markdown_tree(spark: SparkSession, root: str, prefix: str) -> DataFrame:
 
 
 def fetch_bodies(refs: DataFrame, objects: DataFrame) -> DataFrame:
-    """References with the bodies of their objects. Objects that are gone give no row."""
+    """References with the bodies of a table of objects. Objects that are gone give no row.
+
+    For bodies that lie in a table. A folder of files would be read whole; use `fetch_objects` there.
+    """
     wanted = refs.select("bucket", "key", "s3_uri", "etag")
     return objects.drop("etag", "s3_uri").join(small_side(wanted), ["bucket", "key"])
+
+
+# Bytes of bodies that a task holds before it passes them on.
+FETCH_BYTES = 64 << 20
+
+
+def fetch_objects(refs: DataFrame, root: str = "s3://") -> DataFrame:
+    """References with the bodies of their objects, each read by its own path `<root>/<bucket>/<key>`.
+
+    Only the objects named are read, in parallel over the references. Objects that are gone give no row.
+    """
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = root if root.endswith("/") else root + "/"
+        filesystem, folder = fs.FileSystem.from_uri(base)
+
+        def batch(rows: list[dict]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist(rows, schema=schema)
+
+        rows, held = [], 0
+        for refs_batch in batches:
+            for bucket, key, etag in zip(*(refs_batch.column(i).to_pylist() for i in range(3))):
+                try:
+                    with filesystem.open_input_stream("/".join(p for p in (folder.rstrip("/"), bucket, key) if p)) as f:
+                        body = f.read()
+                except FileNotFoundError:
+                    continue
+                rows.append({"bucket": bucket, "key": key, "etag": etag, "body": body})
+                held += len(body)
+                if held >= FETCH_BYTES:
+                    yield batch(rows)
+                    rows, held = [], 0
+        if rows:
+            yield batch(rows)
+
+    schema = pa.schema([("bucket", pa.string()), ("key", pa.string()), ("etag", pa.string()), ("body", pa.binary())])
+    bodies = refs.select("bucket", "key", "etag").mapInArrow(
+        fetch, "bucket STRING, key STRING, etag STRING, body BINARY"
+    )
+    return bodies.withColumn("content_type", tx.guess_mime(F.col("key"), "application/octet-stream"))

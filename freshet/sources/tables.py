@@ -122,14 +122,16 @@ class TableStore:
         self._publish(name, Manifest(1, T.StructType.fromDDL(schema), key, buckets, tuple(sorted_by), {}))
         return True
 
-    def _write(self, name: str, m: Manifest, df: DataFrame) -> dict[int, list[str]]:
+    def _write(self, name: str, m: Manifest, df: DataFrame, clustered: bool = False) -> dict[int, list[str]]:
         """Write rows into a folder of their own; returns the folders by bucket."""
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in m.schema.fields]
         rows = df.select(*columns, self._bucket(m.key, m.buckets).alias(BUCKET))
         # Rebalancing puts a bucket's rows together; adaptive execution splits the files of a hot bucket and merges
         # small ones.
-        rows = rows.hint("rebalance", BUCKET) if m.key else rows
-        rows = rows.sortWithinPartitions(BUCKET, *m.sorted_by) if m.key else rows
+        if m.key and not clustered:
+            rows = rows.hint("rebalance", BUCKET)
+        if m.key:
+            rows = rows.sortWithinPartitions(BUCKET, *m.sorted_by)
         folder = f"v{m.version + 1}-{uuid.uuid4().hex[:8]}"
         rows.write.partitionBy(BUCKET).parquet(f"{self.root}/{name}/{folder}")
         path = self._path(name, folder)
@@ -162,15 +164,18 @@ class TableStore:
         m = self.manifest(name)
         return sorted(r[0] for r in keys.select(self._bucket(m.key, m.buckets).alias("b")).distinct().collect())
 
-    def rewrite(self, name: str, numbers: list[int], change: Callable[[DataFrame], DataFrame]) -> int:
+    def rewrite(
+        self, name: str, numbers: list[int], change: Callable[[DataFrame], DataFrame], clustered: bool = False
+    ) -> int:
         """Replace the given buckets by `change(their rows)`; all others stay in place.
 
-        The change must not give rows of other buckets.
+        The change must not give rows of other buckets. `clustered` says that it works row by row, so that rows come
+        out as they lie in the bucket files and need no shuffle before they are written.
         """
         m = self.manifest(name)
         if not numbers:
             return m.version
-        written = self._write(name, m, change(self.read(name, m.version, numbers)))
+        written = self._write(name, m, change(self.read(name, m.version, numbers)), clustered)
         outside = set(written) - set(numbers)
         if outside:
             raise ValueError(f"the change wrote rows of buckets it did not touch: {sorted(outside)}")

@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from freshet.functions import text as tx
+from freshet.functions.sizes import Kept
 from freshet.operators import events as ev
 from freshet.operators.sync import latest_per_document
 from freshet.plans.ingest import Ingest
 from freshet.sources.files import fetch_bodies
 from freshet.streaming.landing import for_each_batch
 
+# A table of objects with their bodies, or a function that fetches the bodies of references.
+Objects = DataFrame | Callable[[DataFrame], DataFrame]
+
 
 def triggered_refs(feed: DataFrame) -> DataFrame:
     """References of a batch of changes, the newest trigger of each document only."""
@@ -24,19 +28,20 @@ def triggered_refs(feed: DataFrame) -> DataFrame:
 
 
 def ingest_batch(
-    feed: DataFrame, objects: DataFrame, ingest: Ingest, target: str | None = None,
+    feed: DataFrame, objects: Objects, ingest: Ingest, target: str | None = None,
     on_report: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Ingest the documents that a batch of the feed names. `feed` has offset and value, perhaps op."""
-    refs = triggered_refs(feed).persist()
-    report = ingest.run(fetch_bodies(refs, objects), target)
-    if on_report:
-        on_report(report)
-    refs.unpersist()
+    with Kept() as keep:
+        refs = keep(triggered_refs(feed))
+        docs = objects(refs) if callable(objects) else fetch_bodies(refs, objects)
+        report = ingest.run(docs, target)
+        if on_report:
+            on_report(report)
 
 
 def ingest_stream(
-    stream: DataFrame, objects: DataFrame, ingest: Ingest, checkpoint: str, target: str | None = None,
+    stream: DataFrame, objects: Objects, ingest: Ingest, checkpoint: str, target: str | None = None,
     on_report: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Changes since the checkpoint, also those that came while nothing was running."""

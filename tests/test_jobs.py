@@ -11,7 +11,7 @@ from freshet.operators.embedding import HashedBagOfWords
 from freshet.plans.ask import Asking
 from freshet.plans.backfill import backfill, cutover
 from freshet.plans.ingest import Ingest, ensure_tables, ingest_by_target, resync, summary
-from freshet.sources.files import markdown_tree, read_objects
+from freshet.sources.files import fetch_objects, markdown_tree, read_objects
 from freshet.sources.pointer import get_active
 from freshet.sources.shared import shared_dir
 from freshet.streaming.ingest import ingest_stream
@@ -83,6 +83,17 @@ def test_files(spark, tmp_path):
     assert got["d.csv"] == ("text/special", b"h\n1") and got["sub/b.MDX"] == ("application/octet-stream", b"b")
 
 
+def test_only_named_objects_are_fetched(spark, tmp_path):
+    (tmp_path / "b" / "x").mkdir(parents=True)
+    (tmp_path / "b" / "x" / "é +.md").write_bytes(b"\xff one")
+    (tmp_path / "b" / "two.txt").write_bytes(b"")
+    refs = spark.createDataFrame(
+        [("b", "x/é +.md", "e1"), ("b", "gone.md", ""), ("b", "two.txt", "")], "bucket STRING, key STRING, etag STRING"
+    )
+    got = {r["key"]: (bytes(r["body"]), r["etag"], r["content_type"]) for r in fetch_objects(refs, f"file://{tmp_path}").collect()}
+    assert got == {"x/é +.md": (b"\xff one", "e1", "text/markdown"), "two.txt": (b"", "", "text/plain")}
+
+
 # ---- ingest ---------------------------------------------------------------------------------------------------------
 
 def test_ingest_versions(spark, store):
@@ -115,11 +126,11 @@ def test_resume_does_not_embed_twice(spark, store):
     died = ingest_of(store, commits=3)
     calls = []
 
-    def fail_on_second(name, numbers, change, real=store.rewrite):
+    def fail_on_second(name, numbers, change, real=store.rewrite, **how):
         calls.append(numbers)
         if len(calls) == 3:  # staging, first part of the embeddings, second part
             raise RuntimeError("lost driver")
-        return real(name, numbers, change)
+        return real(name, numbers, change, **how)
 
     store.rewrite = fail_on_second
     with pytest.raises(RuntimeError):
@@ -215,8 +226,12 @@ def test_landing_stream_equals_batch(spark, store, tmp_path):
 def test_ingest_stream_resumes(spark, store, tmp_path):
     folder, checkpoint = tmp_path / "in", str(tmp_path / "ck")
     bodies = objects(spark, a_txt="first words", b_txt="second", c_txt="third")
+    (tmp_path / "bucket" / "b").mkdir(parents=True)
+    for row in bodies.collect():
+        (tmp_path / "bucket" / "b" / row["key"]).write_text(row["body"])
+    fetch = lambda refs: fetch_objects(refs, f"file://{tmp_path}/bucket")
     ingest, reports = ingest_of(store), []
-    run = lambda: ingest_stream(file_events(spark, str(folder), 1), bodies, ingest, checkpoint, on_report=lambda r: reports.append(outcome(r))).awaitTermination()
+    run = lambda: ingest_stream(file_events(spark, str(folder), 1), fetch, ingest, checkpoint, on_report=lambda r: reports.append(outcome(r))).awaitTermination()
     write_events(folder, "1.json", [notification("a.txt", 1), notification("b.txt", 2), notification("a.txt", 3), notification("gone.txt", 4)])
     run()
     write_events(folder, "2.json", [notification("c.txt", 5), notification("a.txt", 6)])
