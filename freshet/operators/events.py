@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions import text as tx
+from freshet.functions.arrays import elements
 from freshet.schemas import EVENT_DDL
 
 
@@ -39,8 +40,7 @@ def refs_of_records(parsed: DataFrame, kept: list[str]) -> DataFrame:
     record, thing = F.col("_record"), F.col("_record.s3.object")
     bucket = record["s3"]["bucket"]["name"]
     return (
-        parsed.where(real)
-        .select(*kept, F.posexplode("event.Records").alias("record_no", "_record"))
+        parsed.select(*kept, elements(F.when(real, F.col("event.Records"))).alias("record_no", "_record"))
         .where(record["eventName"].contains("ObjectCreated"))
         .select(
             *kept,
@@ -71,11 +71,12 @@ def landing_key(events: DataFrame, value: str = "value") -> DataFrame:
     """Adds `landing_key`: the event's own Key, else bucket/key of its first record; rows without either are left out."""
     first = F.get(F.col("event.Records"), F.lit(0))["s3"]
     fallback = F.concat(first["bucket"]["name"], F.lit("/"), first["object"]["key"])
+    # As a list of one key or none: a filter on the key would be pushed down with a second parse of the event.
+    keys = F.filter(F.array(F.coalesce(F.col("event.Key"), fallback)), lambda k: k.isNotNull())
     return (
         parse(events, value)
-        .withColumn("landing_key", F.coalesce(F.col("event.Key"), fallback))
-        .drop("event")
-        .where(F.col("landing_key").isNotNull())
+        .select(*events.columns, elements(keys).alias("_no", "landing_key"))
+        .drop("_no")
     )
 
 
