@@ -287,8 +287,8 @@ def chunk_lines(
 def chunk_by_type(docs: DataFrame, sizes: DataFrame) -> DataFrame:
     """Windows whose size and overlap depend on the document's type.
 
-    `sizes` is (doc_type, chunk_size, chunk_overlap), one row per type. It is joined as a map of at most a few
-    thousand entries when broadcast by Spark's own size check; nothing forces it.
+    `sizes` is (doc_type, chunk_size, chunk_overlap), one row per type. Nothing forces a broadcast of it; Spark's own
+    size check decides.
     """
     return (
         docs.join(sizes, "doc_type")

@@ -10,6 +10,7 @@ from freshet.functions import text as tx
 from freshet.functions.numbering import slab_of
 from freshet.functions.windows import windows
 from freshet.operators.chunking import Chunker, piece
+from freshet.schemas import REF_DDL
 
 
 # ---- inline records -------------------------------------------------------------------------------------------------
@@ -22,11 +23,36 @@ def inline_records(rows: DataFrame, source: str, key: Column, payload: Column, *
         F.lit(source).alias("source"),
         tx.document_id(uri).alias("doc_id"),
         uri.alias("source_uri"),
+        F.lit(None).cast(REF_DDL).alias("ref"),
         payload.alias("payload"),
         (F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")).alias("metadata"),
     )
 
 
+def reference_records(refs: DataFrame) -> DataFrame:
+    """Object references as raw records of the same shape."""
+    ref = F.struct("bucket", "key", "s3_uri", "etag", "size", "content_type").cast(REF_DDL)
+    return refs.select(
+        F.lit("s3").alias("source"),
+        tx.document_id(F.col("s3_uri")).alias("doc_id"),
+        F.col("s3_uri").alias("source_uri"),
+        ref.alias("ref"),
+        F.lit(None).cast("string").alias("payload"),
+        F.create_map().cast("map<string,string>").alias("metadata"),
+    )
+
+
+def raw_documents(raw: DataFrame, objects: DataFrame) -> DataFrame:
+    """Raw records of both kinds as (source, doc_id, source_uri, body): the payload, or the text of the object."""
+    bodies = objects.select(F.col("bucket").alias("_b"), F.col("key").alias("_k"), F.col("body").alias("_body"))
+    by_ref = raw.where(F.col("payload").isNull()).join(
+        bodies, (F.col("ref.bucket") == F.col("_b")) & (F.col("ref.key") == F.col("_k"))
+    )
+    inline = raw.where(F.col("payload").isNotNull()).withColumn("_body", F.col("payload"))
+    kept = ["source", "doc_id", "source_uri", F.col("_body").alias("body")]
+    return by_ref.select(*kept).unionByName(inline.select(*kept))
+
+
 def inline_documents(raw: DataFrame) -> DataFrame:
     """Inline records as documents: the payload is the body, read as JSON text, and its hash is the version."""
     return raw.select(

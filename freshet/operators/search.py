@@ -20,8 +20,10 @@ from pyspark.sql import types as T
 from freshet.functions.sizes import SLIM_ROWS, at_most
 from freshet.functions.vectors import similarity
 
-# Question values (questions x dimensions) that may be broadcast: 64 MB as doubles.
-BROADCAST_VALUES = 8_000_000
+# Questions, and question values (questions x dimensions), that may be broadcast: at most 64 MB as doubles.
+BROADCAST_QUESTIONS, BROADCAST_VALUES = 16_384, 8_000_000
+# Scores (chunks x questions) computed at a time: 32 MB.
+SCORES_AT_ONCE = 4_000_000
 # Chunks and questions per cell when both sides are cut into a grid.
 CELL_ROWS, CELL_QUESTIONS = 20_000, 4_096
 # Scores equal to this many places are ties, decided by id: results do not depend on the summation order.
@@ -53,6 +55,13 @@ class _Best:
         self.kept: list[list[tuple]] = [[] for _ in range(questions)]  # (-tie score, id, score)
         self.floor = np.full(questions, -np.inf)
 
+    def search(self, score: Scores, ids: pa.Array, vectors: pa.Array, questions: np.ndarray) -> None:
+        """Score all chunks against all questions, a bounded number of scores at a time."""
+        rows = max(1, SCORES_AT_ONCE // max(1, len(questions)))
+        for start in range(0, len(ids), rows):
+            some = slice(start, start + rows)
+            self.add(score(vectors[some], questions), ids[some].to_pylist())
+
     def add(self, scores: np.ndarray, ids: list) -> None:
         """`scores` has one row per id and one column per question."""
         tied = np.round(scores, TIE_PLACES)
@@ -101,7 +110,7 @@ def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: i
         [questions.schema["query_id"], T.StructField("id", corpus.schema["id"].dataType), T.StructField("score", T.DoubleType())]
     )
     arrow = to_arrow_schema(schema)
-    limit = max(1, BROADCAST_VALUES // max(1, width))
+    limit = max(1, min(BROADCAST_QUESTIONS, BROADCAST_VALUES // max(1, width)))
     if by_grid is None:
         by_grid = not at_most(questions, limit)
 
@@ -116,7 +125,7 @@ def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: i
             best = _Best(len(question_ids), k)
             for batch in batches:
                 if batch.num_rows and question_ids:
-                    best.add(score(batch.column("v"), matrix), batch.column("id").to_pylist())
+                    best.search(score, batch.column("id"), batch.column("v"), matrix)
             yield from best.table(question_ids, arrow).to_batches()
 
         partial = corpus.select("id", "v").mapInArrow(search, schema)
@@ -138,7 +147,7 @@ def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: i
         def meet(chunks: pa.Table, asked: pa.Table) -> pa.Table:
             best = _Best(asked.num_rows, k)
             if chunks.num_rows and asked.num_rows:
-                best.add(score(chunks["v"], prepare(asked["v"])), chunks["id"].to_pylist())
+                best.search(score, chunks["id"], chunks["v"], prepare(asked["v"]))
             return best.table(asked["query_id"].to_pylist(), arrow)
 
         partial = left.groupBy("cell", "block").cogroup(right.groupBy("cell", "block")).applyInArrow(meet, schema)
@@ -164,8 +173,8 @@ def knn_exact(
 ) -> DataFrame:
     """Exact cosine top-k: (query_id, <id_column>, score, rank).
 
-    `questions` is (query_id, embedding). Up to BROADCAST_VALUES question values are broadcast and the corpus is
-    scanned in place, unshuffled; more questions meet the corpus in a grid of bounded cells. `where` filters the
+    `questions` is (query_id, embedding). Up to BROADCAST_QUESTIONS of them are broadcast and the corpus is scanned in
+    place, unshuffled; more questions meet the corpus in a grid of bounded cells. `where` filters the
     corpus before the search. Rows whose vector has another dimension are not searched.
     """
     if where is not None:

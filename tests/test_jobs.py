@@ -155,6 +155,19 @@ def test_resume_does_not_embed_twice(spark, store):
     assert checks.duplicate_chunk_ids(store.read(BLUE)).count() == 0
 
 
+def test_raw_records_and_missing_chunks(spark):
+    from freshet.operators.extras import inline_records, raw_documents, reference_records
+
+    refs = spark.createDataFrame([("b", "k", "s3://b/k", "", 1, "")], "bucket STRING, key STRING, s3_uri STRING, etag STRING, size BIGINT, content_type STRING")
+    rows = spark.createDataFrame([("7", '{"x":1}')], "id STRING, json STRING")
+    raw = reference_records(refs).unionByName(inline_records(rows, "rdbms", F.col("id"), F.col("json"), table="t"))
+    objects_ = spark.createDataFrame([("b", "k", "text"), ("b", "other", "no")], "bucket STRING, key STRING, body STRING")
+    got = {(r["source"], r["source_uri"], r["body"]) for r in raw_documents(raw, objects_).collect()}
+    assert got == {("s3", "s3://b/k", "text"), ("rdbms", "rdbms://7", '{"x":1}')}
+    wanted = spark.createDataFrame([("a:0",), ("a:1",)], "chunk_id STRING")
+    assert [r["chunk_id"] for r in sync.missing_chunks(wanted, wanted.limit(1)).collect()] == ["a:1"]
+
+
 def test_targets_and_resync(spark, store):
     ingest = ingest_of(store)
     docs = objects(spark, a_txt="alpha", b_txt="beta").withColumn("target", F.concat(F.substring("key", 1, 1), F.lit("_knowledge")))
