@@ -14,6 +14,9 @@ REPORT = "ingest_report"
 
 @dataclass(frozen=True)
 class JobConfig:
+    """Fixed values, as defaults: chunk size and overlap in characters, CSV rows per chunk, vector size, result counts,
+    and the file types known by extension or MIME type."""
+
     chunk_size: int = 1200
     chunk_overlap: int = 150
     rows_per_chunk: int = 50
@@ -23,7 +26,7 @@ class JobConfig:
     answer_model: str = "none"
     search_k: int = 10
     top_k: int = 5
-    # file extension / MIME type -> extractor name; anything else is "text"
+    # anything unknown is "text"
     by_extension: dict[str, str] = field(
         default_factory=lambda: {"md": "markdown", "markdown": "markdown", "pdf": "pdf", "csv": "csv"}
     )

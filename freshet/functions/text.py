@@ -96,17 +96,23 @@ def basename(uri: Column) -> Column:
     return F.when(last == "", uri).otherwise(last)
 
 
+# How a citation, a link and the punctuation after a link look in an answer or a source.
+CITATION = r"\[([0-9]+)\]"
+HTTP_URL = r"(?i)https?://[^\s\])>]+"
+AFTER_URL = r"[.,;:)]+$"
+
+
 def citation_numbers(answer: Column) -> Column:
     """Numbers cited as [n], first-seen order, each once, zero left out."""
-    numbers = F.regexp_extract_all(answer, F.lit(r"\[([0-9]+)\]"), F.lit(1))
+    numbers = F.regexp_extract_all(answer, F.lit(CITATION), F.lit(1))
     ints = F.filter(F.transform(numbers, lambda s: s.try_cast("int")), lambda n: n > 0)
     return F.coalesce(F.array_distinct(ints), F.array().cast("array<int>"))
 
 
 def first_http_url(text: Column) -> Column:
     """First http(s) URL without trailing punctuation, NULL when there is none."""
-    url = F.regexp_extract(text, r"(?i)https?://[^\s\])>]+", 0)
-    return F.nullif(F.regexp_replace(url, r"[.,;:)]+$", ""), F.lit(""))
+    url = F.regexp_extract(text, HTTP_URL, 0)
+    return F.nullif(F.regexp_replace(url, AFTER_URL, ""), F.lit(""))
 
 
 def round4(x: Column) -> Column:

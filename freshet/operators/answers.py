@@ -17,20 +17,25 @@ Answerer = Callable[[Column], Column]
 # Characters of a source shown in an answer row and in a console line.
 SOURCE_CHARS, SNIPPET_CHARS = 600, 160
 
+# The frame of a prompt and of a source block in it.
+QUESTION_HEAD, SOURCES_HEAD = "Question: ", "\n\nSources:\n"
+BLOCK_NUMBER, BLOCK_SOURCE, BLOCK_TEXT, BLOCK_GAP = "[", "] (source: ", ")\n", "\n\n"
+
 
 def context_blocks(ranked: DataFrame) -> DataFrame:
     """One context text per question: numbered source blocks in rank order. A question has at most top_k hits."""
     block = F.concat(
-        F.lit("["), F.col("rank").cast("string"), F.lit("] (source: "), F.col("source_uri"), F.lit(")\n"), F.col("text")
+        F.lit(BLOCK_NUMBER), F.col("rank").cast("string"), F.lit(BLOCK_SOURCE), F.col("source_uri"), F.lit(BLOCK_TEXT),
+        F.col("text"),
     )
     ordered = F.array_sort(F.collect_list(F.struct("rank", block.alias("block"))))
     return ranked.groupBy("query_id", "query").agg(
-        F.array_join(F.transform(ordered, lambda s: s["block"]), "\n\n").alias("context")
+        F.array_join(F.transform(ordered, lambda s: s["block"]), BLOCK_GAP).alias("context")
     )
 
 
 def prompt(query: Column, context: Column) -> Column:
-    return F.concat(F.lit("Question: "), query, F.lit("\n\nSources:\n"), context)
+    return F.concat(F.lit(QUESTION_HEAD), query, F.lit(SOURCES_HEAD), context)
 
 
 def sources_column(ranked: DataFrame) -> DataFrame:

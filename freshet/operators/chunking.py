@@ -53,7 +53,7 @@ def plain_pieces(text: Column, pages: Column, config: JobConfig) -> Column:
     return F.transform(windows(text, config.chunk_size, config.chunk_overlap), lambda w: piece(w))
 
 
-# A heading line: 1 to 6 #, white space (which may run over line ends), the title. Only \n ends a line.
+# Fixed value: a heading line. 1 to 6 #, white space (which may run over line ends), the title. Only \n ends a line.
 _HEADING = r"(?dmU)^(#{1,6})[\s\x{1c}-\x{1f}]+(.*)$"
 
 

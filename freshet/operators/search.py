@@ -30,9 +30,13 @@ CELL_ROWS, CELL_QUESTIONS = 20_000, 4_096
 TIE_PLACES = 9
 
 
+# Approximate candidates re-scored per result wanted, and at least.
+CANDIDATES_PER_HIT, CANDIDATES_AT_LEAST = 20, 100
+
+
 def candidates_for(k: int) -> int:
     """How many approximate candidates to re-score for k results."""
-    return max(100, 20 * k)
+    return max(CANDIDATES_AT_LEAST, CANDIDATES_PER_HIT * k)
 
 
 def _matrix(vectors: pa.Array, dtype) -> np.ndarray:
