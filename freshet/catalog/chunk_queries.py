@@ -21,9 +21,6 @@ from freshet.operators.chunking import (
 from freshet.operators.routing import identify
 from freshet.operators.tabular import chunk_rows
 
-_NO_PAGES = F.lit
-
-
 def _identified(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.catalog.inputs import CONFIG, DOCS, DOCS_LATER, EVENTS, TREE, object_uri_sql, strip_sql, windows_sql, exploded_sql
+from freshet.catalog.inputs import (
+    CONFIG, DOCS, DOCS_LATER, EVENTS, TREE, exploded_sql, object_uri_sql, strip_sql, windows_sql,
+)
 from freshet.catalog.registry import Query
 from freshet.functions import text as tx
 from freshet.operators import events as ev
@@ -164,7 +166,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(BLUE).select("doc_id", "chunk_id", "ordinal", "content_hash", "doc_content_hash", "model", "dim")
 
 
-def _versions_sql(docs: str) -> str:
+def versions_sql(docs: str) -> str:
     chunks = exploded_sql(
         f"(select *, {windows_sql('_t')} as _w from (select *, {strip_sql('body')} as _t from {object_uri_sql(docs)}))",
         "substr(sha1(source_uri),1,16) as doc_id, sha256(body) as doc_content_hash, source_uri", "_w",
@@ -174,7 +176,7 @@ def _versions_sql(docs: str) -> str:
 
 # Old rows survive when their document was not sent again, came unchanged, or came empty.
 APPLIED_CTE = f"""
-old as ({_versions_sql(DOCS.sql)}), new as ({_versions_sql(DOCS_LATER.sql)}),
+old as ({versions_sql(DOCS.sql)}), new as ({versions_sql(DOCS_LATER.sql)}),
 fresh as (select * from new where (doc_id, doc_content_hash) not in (select (doc_id, doc_content_hash) from old)),
 cnt as (select doc_id, count(*) as n from fresh group by 1),
 kept as (select old.* from old left join cnt using (doc_id)

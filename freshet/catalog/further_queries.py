@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.catalog.event_queries import plain_chunkers
+from freshet.catalog.event_queries import plain_chunkers, versions_sql
 from freshet.catalog.inputs import DOCS, object_uri_sql, table
 from freshet.catalog.registry import Query
 from freshet.catalog.sync_queries import chunks, documents
@@ -104,14 +104,12 @@ def sensor_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-from freshet.catalog.event_queries import _versions_sql  # noqa: E402
-
 QUERIES = {
     "payload_records": Query(payload_records, _PAYLOAD_SQL),
     "row_hash_sync": Query(row_hash_sync, _ROW_SYNC_SQL),
     "resync_plan": Query(
         resync_plan,
-        f"with old as ({_versions_sql(DOCS.sql)}), docs as (select *, substr(sha1(source_uri),1,16) as doc_id, "
+        f"with old as ({versions_sql(DOCS.sql)}), docs as (select *, substr(sha1(source_uri),1,16) as doc_id, "
         f"sha256(body) as doc_content_hash from {object_uri_sql(DOCS.sql)} where starts_with(key, 'en/')) "
         "select doc_id, doc_content_hash from docs where (doc_id, doc_content_hash) not in "
         "(select (doc_id, doc_content_hash) from old where source_uri not like '%.txt')",
@@ -119,7 +117,7 @@ QUERIES = {
     "tenant_route": Query(
         tenant_route,
         f"select regexp_extract(source_uri, '^s3://([^/]+)/', 1)||'_knowledge' as target, "
-        f"count(distinct doc_id) as documents, count(*) as chunks from ({_versions_sql(DOCS.sql)}) group by 1",
+        f"count(distinct doc_id) as documents, count(*) as chunks from ({versions_sql(DOCS.sql)}) group by 1",
     ),
     "readings_tumbling": Query(
         readings_tumbling,

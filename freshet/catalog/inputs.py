@@ -7,7 +7,6 @@ them keep every row of their table; the variants (file types, broken events, lat
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from freshet.config import JobConfig
 from freshet.functions.sizes import spread

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from freshet.catalog.chunk_queries import PLAIN_CHUNKS_SQL, plain_chunks
 from freshet.catalog.event_queries import APPLIED_CTE, _store, plain_chunkers
-from freshet.catalog.inputs import (
-    CONFIG, DIM, DOCS, DOCS_LATER, Derived, exploded_sql, object_uri_sql, strip_sql, table, windows_sql,
-)
+from freshet.catalog.inputs import CONFIG, DIM, DOCS, DOCS_LATER, Derived, object_uri_sql, table
 from freshet.catalog.registry import Query
 from freshet.config import BLUE, GREEN
 from freshet.functions.sizes import small_side
