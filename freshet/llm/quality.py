@@ -33,7 +33,7 @@ from freshet.llm.textbytes import LOWER, slices, span_hashes, word_spans
 
 BUCKETS = 1 << 14
 FACTORS = 8
-MAX_TRAIN = 8192
+MAX_TRAIN = 4096
 EPOCHS = 6
 BATCH = 64
 RATE = 0.1
