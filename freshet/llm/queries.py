@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from freshet.catalog.registry import Query
-from freshet.llm import mixing, near_dedup, quality, sharding
+from freshet.llm import decontamination, mixing, near_dedup, quality, sharding
 
 QUERIES = {
     "op1_factorisation_machine": Query(quality.op1_factorisation_machine),
     "op2_low_discrepancy_mix": Query(mixing.op2_low_discrepancy_mix, mixing.SQL),
     "op8_odd_sketches": Query(near_dedup.op8_odd_sketches),
     "op7_hash_tree_shards": Query(sharding.op7_hash_tree_shards),
+    "op9_pigeonhole_edit_matching": Query(decontamination.op9_pigeonhole_edit_matching),
+    "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
