@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from freshet.catalog.registry import Query
-from freshet.llm import decontamination, mixing, near_dedup, quality, sharding
+from freshet.llm import decontamination, mixing, near_dedup, quality, repeats, sharding
 
 QUERIES = {
     "op1_factorisation_machine": Query(quality.op1_factorisation_machine),
@@ -12,5 +12,6 @@ QUERIES = {
     "op8_odd_sketches": Query(near_dedup.op8_odd_sketches),
     "op7_hash_tree_shards": Query(sharding.op7_hash_tree_shards),
     "op9_pigeonhole_edit_matching": Query(decontamination.op9_pigeonhole_edit_matching),
+    "op10_depth_limited_radix_sort": Query(repeats.op10_depth_limited_radix_sort),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

@@ -63,13 +63,13 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.flatnonzero(stop) + 1, np.searchsorted(offsets, starts, "right") - 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of bytes."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int = LONG_WORD) -> np.ndarray:
+    """64-bit hash of each span of bytes. Spans over `longest` are hashed one by one and differently."""
     length = ends - starts
     out = np.full(len(starts), FNV_START, np.uint64)
-    for j in range(min(LONG_WORD, int(length.max(initial=0)))):
+    for j in range(min(longest, int(length.max(initial=0)))):
         at = np.flatnonzero(length > j)
         out[at] = (out[at] ^ data[starts[at] + j]) * FNV_PRIME
-    for i in np.flatnonzero(length > LONG_WORD):
+    for i in np.flatnonzero(length > longest):
         out[i] = np.uint64(int.from_bytes(blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "big"))
     return mixed_bits(out)
