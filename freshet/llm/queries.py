@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import corpus_pipeline
 from freshet.catalog.registry import Query
-from freshet.llm import decontamination, exact_topk, mixing, near_dedup, quality, repeats, sharding
+from freshet.llm import decontamination, exact_topk, mixing, near_dedup, pii, quality, repeats, sharding
 
 QUERIES = {
     "op1_factorisation_machine": Query(quality.op1_factorisation_machine),
     "op2_low_discrepancy_mix": Query(mixing.op2_low_discrepancy_mix, mixing.SQL),
     "op8_odd_sketches": Query(near_dedup.op8_odd_sketches),
     "op3_vector_approximation_file": Query(exact_topk.op3_vector_approximation_file, exact_topk.SQL),
+    "op4_candidate_boosting": Query(pii.op4_candidate_boosting),
     "op7_hash_tree_shards": Query(sharding.op7_hash_tree_shards),
     "op9_pigeonhole_edit_matching": Query(decontamination.op9_pigeonhole_edit_matching),
     "op10_depth_limited_radix_sort": Query(repeats.op10_depth_limited_radix_sort),
