@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from freshet.catalog.registry import Query
-from freshet.llm import decontamination, exact_topk, mixing, near_dedup, pii, quality, repeats, revisits, sharding
+from freshet.llm import decontamination, exact_topk, mixing, near_dedup, pii, quality, repeats, revisits, sharding, token_rollups
 
 QUERIES = {
     "op1_factorisation_machine": Query(quality.op1_factorisation_machine),
@@ -13,6 +13,7 @@ QUERIES = {
     "op3_vector_approximation_file": Query(exact_topk.op3_vector_approximation_file, exact_topk.SQL),
     "op4_candidate_boosting": Query(pii.op4_candidate_boosting),
     "op5_not_modified_revisits": Query(revisits.op5_not_modified_revisits, revisits.SQL),
+    "op6_delta_rollups": Query(token_rollups.op6_delta_rollups, token_rollups.SQL),
     "op7_hash_tree_shards": Query(sharding.op7_hash_tree_shards),
     "op9_pigeonhole_edit_matching": Query(decontamination.op9_pigeonhole_edit_matching),
     "op10_depth_limited_radix_sort": Query(repeats.op10_depth_limited_radix_sort),
