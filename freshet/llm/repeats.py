@@ -14,9 +14,10 @@ only moves work between groups and never changes a result.
 Further digits. Runs of windows with a shared anchor meet by its hash, each distinct text of a run once per task, with
   the smallest document that has it. There the windows are grouped by their bytes, eight at a time, and groups of one
   document leave after each digit. What comes back to a run is a bit for each window that a smaller document has too.
-  Longer copies within the same task need no answer: a smaller document with the very same run settles it.
+  Copies within the same task need no answer: a smaller document with the very same run settles it. Runs of one anchor are
+  told apart by 64 bits of a hash of their bytes.
 
-A string shared by a third of all documents is one record per task in both steps. Texts travel compressed.
+A string shared by a third of all documents is one record per batch in both steps. Texts and records travel compressed.
 
 Defined results: a null text is empty. Texts shorter than a window keep everything. Rows without an id neither lose
 bytes nor cause others to. Rows with equal ids never remove from each other. Repeated rows get equal results. An empty
@@ -133,9 +134,68 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), packed], ["doc_id", "packed"])
 
 
-def _anchors(frequent: np.ndarray, window: int):
-    """Rows (spread, key, doc_id, known): an anchor with the smallest document of the batch that has it, and, known to
-    be repeated, the documents of the batch that share it."""
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane, so that what is small or alike compresses well."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind: type, count: int) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, count)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+class Packed:
+    """Records in the order of their keys, as one compressed value: keys, documents and small numbers, and bytes."""
+
+    @staticmethod
+    def of(key: np.ndarray, doc: np.ndarray, small: np.ndarray, data: bytes) -> bytes:
+        docs, index = np.unique(doc, return_inverse=True)
+        head = np.array([len(key), len(docs), small.shape[1]], np.int64)
+        raw = b"".join(
+            [
+                head.tobytes(), _planes(np.diff(key, prepend=np.uint64(0))), docs.astype(np.int64).tobytes(),
+                _planes(index.astype(np.uint32)), _planes(np.ascontiguousarray(small.astype(np.uint8))), data,
+            ]
+        )
+        return zstandard.ZstdCompressor(level=3).compress(raw)
+
+    @staticmethod
+    def read(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        raw = memoryview(zstandard.ZstdDecompressor().decompress(packed))
+        count, docs, width = np.frombuffer(raw[:24], np.int64)
+        at = 24
+        parts_ = []
+        for size in (8 * count, 8 * docs, 4 * count, width * count):
+            parts_.append(raw[at : at + size])
+            at += size
+        key = np.cumsum(_from_planes(parts_[0], np.uint64, count), dtype=np.uint64)
+        doc = np.frombuffer(parts_[1], np.int64)[_from_planes(parts_[2], np.uint32, count)]
+        small = np.frombuffer(parts_[3], np.uint8).reshape(count, width) if width else np.zeros((count, 0), np.uint8)
+        return key, doc, small, np.frombuffer(raw[at:], np.uint8)
+
+
+def _buckets(key: np.ndarray, count: int) -> np.ndarray:
+    """Where each bucket's keys begin and end among sorted keys; buckets are equal ranges of the hash."""
+    bucket = ((key >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
+    return np.searchsorted(bucket, np.arange(count + 1, dtype=np.uint64))
+
+
+def _lists_by_doc(doc: np.ndarray, *values: np.ndarray) -> list[pa.Array]:
+    """One row per document: its id, and the values of each array in a list."""
+    order = np.argsort(doc, kind="stable")
+    start, _ = _bounds(doc[order])
+    ends = pa.array(np.append(start, len(doc)).astype(np.int32))
+    return [pa.array(doc[order][start]), *[pa.ListArray.from_arrays(ends, pa.array(v[order])) for v in values]]
+
+
+def _filter_key(key: np.ndarray) -> np.ndarray:
+    """32 bits of a key, enough to pick runs out of one document."""
+    return (key & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+
+
+def _anchors(frequent: np.ndarray, window: int, buckets: int):
+    """The anchors of a batch, each once with the smallest document that has it, packed by bucket; and, where several
+    documents of the batch share one, rows (doc_id, keys) that say so."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,182 +218,167 @@ def _anchors(frequent: np.ndarray, window: int):
             lead[1:] = key[1:] != key[:-1]
             many = ~lead
             many[:-1] |= ~lead[1:]
-            out_key, out_doc = np.concatenate([key[lead], key[many]]), np.concatenate([doc[lead], doc[many]])
-            known = np.arange(len(out_key)) >= lead.sum()
-            spread = np.where(known, mixed_bits(out_key + out_doc.astype(np.uint64)), out_key)
-            for at in range(0, len(known), 1 << 16):
-                cut = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(spread[cut].view(np.int64)), pa.array(out_key[cut].view(np.int64)), pa.array(out_doc[cut]), pa.array(known[cut])],
-                    ["spread", "key", "doc_id", "known"],
-                )
+            lead_key, lead_doc = key[lead], doc[lead]
+            cut = _buckets(lead_key, buckets)
+            full = np.flatnonzero(cut[1:] > cut[:-1])
+            none = np.zeros((len(lead_key), 0), np.uint8)
+            packed = [
+                Packed.of(lead_key[cut[b] : cut[b + 1]], lead_doc[cut[b] : cut[b + 1]], none[cut[b] : cut[b + 1]], b"") for b in full
+            ]
+            yield from _two_kinds(full, packed, _lists_by_doc(doc[many], _filter_key(key[many])), ["keys"], pa.int32(), buckets)
 
     return find
 
 
-def _groups(batches: Iterator[pa.RecordBatch], rows: int = 1 << 18) -> Iterator[pa.Table]:
-    """Tables of about `rows` rows and whole groups of equal `key`, from batches in the order of `key`."""
-    held: list[pa.RecordBatch] = []
-    count = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        count += batch.num_rows
-        if count < rows:
-            continue
-        table = pa.Table.from_batches(held)
-        key = table.column("key").to_numpy()
-        cut = int(np.searchsorted(key, key[-1]))
-        if cut:
-            yield table.slice(0, cut)
-            held, count = table.slice(cut).to_batches(), len(key) - cut
-    if held:
-        yield pa.Table.from_batches(held)
+def _two_kinds(
+    full: np.ndarray, packed: list[bytes], lists: list[pa.Array], names: list[str], kind: pa.DataType, buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, packed, doc_id, lists): packed records for their buckets, and lists of documents, spread evenly."""
+    columns = ["bucket", "packed", "doc_id", *names]
+    nothing = [pa.nulls(len(full), pa.list_(kind)) for _ in names]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(full.astype(np.int32)), pa.array(packed, pa.binary()), pa.nulls(len(full), pa.int64()), *nothing], columns
+    )
+    n = len(lists[0])
+    spread = (mixed_bits(lists[0].to_numpy().astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    yield pa.RecordBatch.from_arrays([pa.array(spread), pa.nulls(n, pa.binary()), *lists], columns)
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, keys): for each document in the group of rows, the anchors that other documents have too."""
-    for table in _groups(batches):
-        key, doc = table.column("key").to_numpy(), table.column("doc_id").to_numpy()
-        known = table.column("known").to_numpy(zero_copy_only=False).astype(bool)
-        open_key, open_doc = key[~known], doc[~known]
-        first = np.flatnonzero(np.concatenate([[True], open_key[1:] != open_key[:-1]])) if len(open_key) else np.zeros(0, np.int64)
-        size = np.diff(np.append(first, len(open_key)))
-        if len(first):
-            low, high = np.minimum.reduceat(open_doc, first), np.maximum.reduceat(open_doc, first)
-            several = np.repeat(low != high, size)
-        else:
-            several = np.zeros(0, bool)
-        key, doc = np.concatenate([open_key[several], key[known]]), np.concatenate([open_doc[several], doc[known]])
-        order = np.argsort(doc, kind="stable")
+    """(doc_id, keys): for each document the anchors of these buckets that other documents have too."""
+    keys, docs = [], []
+    for batch in batches:
+        ready = batch.filter(pc.is_null(batch.column("packed")))
+        if ready.num_rows:
+            yield ready.select(["doc_id", "keys"])
+        for value in batch.column("packed").drop_null():
+            key, doc, _, _ = Packed.read(value.as_py())
+            keys.append(key)
+            docs.append(doc)
+    if keys:
+        key, doc = np.concatenate(keys), np.concatenate(docs)
+        del keys, docs
+        order = np.argsort(key, kind="stable")
         key, doc = key[order], doc[order]
-        begins = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(doc)).astype(np.int32)), pa.array(key))
-        yield pa.RecordBatch.from_arrays([pa.array(doc[begins]), lists], ["doc_id", "keys"])
+        start, stop = _bounds(key)
+        several = np.repeat(np.minimum.reduceat(doc, start) != np.maximum.reduceat(doc, start), stop - start)
+        yield pa.RecordBatch.from_arrays(_lists_by_doc(doc[several], _filter_key(key[several])), ["doc_id", "keys"])
 
 
 def _list_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, values) of a list array whose nulls count as empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
     sizes = np.array(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), np.int64)
     return np.concatenate([[0], np.cumsum(sizes)]), column.flatten().to_numpy(zero_copy_only=False)
 
 
-def _chosen(runs: Runs, rows: np.ndarray, list_offsets: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Numbers of the runs whose key is in the list of their row. `values` are sorted within each list."""
-    found = np.zeros(len(runs.key), bool)
-    keys = runs.key.view(np.int64)
+def _places(rows: np.ndarray, wanted: np.ndarray, list_offsets: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each wanted value its place in `values` within the list of its row, or -1. Lists are sorted, rows in order."""
+    found = np.full(len(rows), -1, np.int64)
     for at, stop in zip(*_bounds(rows), strict=True):
-        row = rows[at]
-        own = values[list_offsets[row] : list_offsets[row + 1]]
-        if len(own):
-            place = np.searchsorted(own, keys[at:stop])
-            found[at:stop] = own[np.minimum(place, len(own) - 1)] == keys[at:stop]
-    return np.flatnonzero(found)
+        low, high = list_offsets[rows[at]], list_offsets[rows[at] + 1]
+        if low < high:
+            place = np.minimum(np.searchsorted(values[low:high], wanted[at:stop]), high - low - 1) + low
+            found[at:stop] = np.where(values[place] == wanted[at:stop], place, -1)
+    return found
 
 
 def _bounds(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each group of equal values begins and ends."""
     if not len(sorted_values):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))
     return first, np.append(first[1:], len(sorted_values))
 
 
-_RUN = "key bigint, spread bigint, doc_id bigint, content bigint, bytes binary, before int"
+def _sorted_lists(offsets: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists with their values sorted, and the order that does it."""
+    order = np.lexsort((values, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))))
+    return values[order], order
 
 
-def _contents(frequent: np.ndarray, window: int):
-    """The runs with a repeated anchor, once per batch for the smallest document with the same bytes; for the others of
-    the batch the row without bytes says that all their windows are repeated."""
+def _contents(frequent: np.ndarray, window: int, buckets: int):
+    """The runs with a repeated anchor, each once per batch for the smallest document with the same bytes, packed by
+    bucket; and rows (doc_id, full) of the runs that a smaller document of the batch has too."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             lists, values = _list_rows(batch.column("keys"))
-            values = values.copy()
-            for i in range(batch.num_rows):
-                values[lists[i] : lists[i + 1]].sort()
-            key, doc, content, before, data_of = [], [], [], [], []
+            values, _ = _sorted_lists(lists, values)
+            key, doc, content, small, data_of = [], [], [], [], []
             for first, data, offsets in _bytes_of(batch):
                 for piece, cuts, row, _ in parts(data, offsets, window):
                     runs = Runs(piece, cuts, frequent, window)
                     rows = first + row + runs.text
-                    take = _chosen(runs, rows, lists, values)
+                    take = np.flatnonzero(_places(rows, _filter_key(runs.key), lists, values) >= 0)
                     start, stop = runs.start[take], runs.stop[take] + window
                     key.append(runs.key[take])
-                    doc.append(ids[rows[take]])
+                    doc.append(ids[rows[take]].astype(np.int64))
                     content.append(span_hashes(piece, start, stop, longest=2 * window))
-                    before.append((runs.anchor[take] - start).astype(np.int32))
+                    small.append(np.column_stack([runs.anchor[take] - start, stop - start]).astype(np.uint8))
                     data_of.extend(piece[a:b].tobytes() for a, b in zip(start, stop, strict=True))
             if not data_of:
                 continue
-            key, doc, content, before = (np.concatenate(x) for x in (key, doc, content, before))
-            doc = doc.astype(np.int64)
+            key, doc, content, small = (np.concatenate(x) for x in (key, doc, content, small))
             order = np.lexsort((doc, content, key))
-            key, doc, content, before = key[order], doc[order], content[order], before[order]
+            key, doc, content, small = key[order], doc[order], content[order], small[order]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
-            single = new.copy()
-            single[1:] |= doc[1:] != doc[:-1]
-            kept = np.flatnonzero(single)
-            lead = new[kept]
-            spread = np.where(lead, key[kept], mixed_bits(key[kept] + doc[kept].astype(np.uint64)))
-            for at in range(0, len(kept), 1 << 14):
-                cut = kept[at : at + (1 << 14)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(key[cut].view(np.int64)),
-                        pa.array(spread[at : at + len(cut)].view(np.int64)),
-                        pa.array(doc[cut]),
-                        pa.array(content[cut].view(np.int64)),
-                        pa.array([data_of[order[i]] if new[i] else None for i in cut], pa.binary()),
-                        pa.array(before[cut]),
-                    ],
-                    ["key", "spread", "doc_id", "content", "bytes", "before"],
-                )
+            lead = np.flatnonzero(new)
+            later = doc != np.repeat(doc[lead], np.diff(np.append(lead, len(key))))
+            cut = _buckets(key[lead], buckets)
+            full = np.flatnonzero(cut[1:] > cut[:-1])
+            packed = []
+            for b in full:
+                at = lead[cut[b] : cut[b + 1]]
+                packed.append(Packed.of(key[at], doc[at], small[at], b"".join([data_of[i] for i in order[at]])))
+            yield from _two_kinds(
+                full, packed, _lists_by_doc(doc[later], content[later].view(np.int64)), ["full"], pa.int64(), buckets
+            )
 
     return find
 
 
-def _digits(texts: np.ndarray, at: np.ndarray, first: int, window: int) -> np.ndarray:
+def _digits(flat: np.ndarray, at: np.ndarray, first: int, window: int) -> np.ndarray:
     """Bytes first .. first + 7 of the windows at the places `at` of a flat array, as numbers."""
     digit = np.zeros(len(at), np.uint64)
     for j in range(first, min(first + 8, window)):
-        digit = (digit << np.uint64(8)) | texts[at + j]
+        digit = (digit << np.uint64(8)) | flat[at + j]
     return digit
 
 
-def repeated_bits(key: np.ndarray, doc: np.ndarray, texts: list[bytes], before: np.ndarray, window: int) -> np.ndarray:
+def repeated_bits(
+    key: np.ndarray, doc: np.ndarray, before: np.ndarray, begins: np.ndarray, lengths: np.ndarray, flat: np.ndarray, window: int
+) -> np.ndarray:
     """For each run, a bit per window (lowest first) that some run of a smaller document has too.
 
-    `key` is the anchor's hash, `before` the bytes of a run before its anchor; equal windows have both the same key and
-    the same distance from their first byte to the anchor.
+    `key` is the anchor's hash, in order; `before` the bytes of a run before its anchor; its bytes are those of `flat`
+    from `begins`. Equal windows have the same key and the same distance from their first byte to the anchor.
     """
-    flat = np.frombuffer(b"".join(texts), np.uint8)
-    lengths = np.array([len(t) for t in texts], np.int64)
-    begins = np.cumsum(lengths) - lengths
-    windows = lengths - window + 1
-    run = np.repeat(np.arange(len(texts)), windows)
+    bits = np.zeros(len(key), np.int64)
+    start, stop = _bounds(key)
+    group = np.repeat(np.arange(len(start)), stop - start)
+    # A run whose anchor no other run has is left out before its windows are spelled out.
+    meets = np.flatnonzero(np.repeat(stop - start > 1, stop - start))
+    windows = lengths[meets] - window + 1
+    run = np.repeat(meets, windows)
     number = np.arange(len(run)) - np.repeat(np.cumsum(windows) - windows, windows)
-    _, group = np.unique(np.column_stack([key[run].view(np.int64), before[run] - number]), axis=0, return_inverse=True)
-    group = group.ravel()
-    bits = np.zeros(len(texts), np.int64)
+    group = group[run] * (2 * window) + before[run] - number
+    order = np.argsort(group, kind="stable")
+    run, number, group = run[order], number[order], group[order]
     for first in range(0, window + 8, 8):
         # Groups of one document leave; after the last digit, those left are repeated windows.
-        order = np.argsort(group, kind="stable")
-        run, number, group = run[order], number[order], group[order]
         start, stop = _bounds(group)
         if not len(start):
             return bits
-        low = np.repeat(np.minimum.reduceat(doc[run], start), stop - start)
-        stays = np.repeat(np.maximum.reduceat(doc[run], start), stop - start) != low
-        run, number, group, low = run[stays], number[stays], group[stays], low[stays]
+        owner = doc[run]
+        low = np.minimum.reduceat(owner, start)
+        stays = np.repeat(np.maximum.reduceat(owner, start) != low, stop - start)
+        later = stays & (owner != np.repeat(low, stop - start))
         if first >= window:
-            later = doc[run] > low
             np.bitwise_or.at(bits, run[later], np.int64(1) << number[later])
             return bits
+        run, number, group = run[stays], number[stays], group[stays]
         digit = _digits(flat, begins[run] + number, first, window)
         order = np.lexsort((digit, group))
         run, number, group, digit = run[order], number[order], group[order], digit[order]
@@ -343,76 +388,98 @@ def repeated_bits(key: np.ndarray, doc: np.ndarray, texts: list[bytes], before:
     return bits
 
 
+RUNS_AT_ONCE = 1 << 16
+
+
 def _answers(window: int):
-    """(doc_id, runs): for each document, key, content hash and window bits of its runs with repeated windows."""
+    """(doc_id, full, part, bits): content hashes of each document's runs of which all windows are repeated, and of
+    those of which some are, with their bits."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 1 << 16):
-            key, doc = table.column("key").to_numpy(), table.column("doc_id").to_numpy()
-            content, before = table.column("content").to_numpy(), table.column("before").to_numpy()
-            texts = table.column("bytes")
-            settled = np.array(texts.is_null())
-            bits = np.full(len(key), -1, np.int64)
-            sent = np.flatnonzero(~settled)
-            data = texts.take(pa.array(sent)).to_pylist()
-            # Runs of the same bytes: the smallest document stands for all, the others lose every window.
-            order = sorted(range(len(sent)), key=lambda i: (key[sent[i]], data[i], doc[sent[i]]))
-            lead = [
-                i for n, i in enumerate(order)
-                if not n or data[i] != data[order[n - 1]] or key[sent[i]] != key[sent[order[n - 1]]]
-            ]
-            low: dict[int, int] = {}
-            leader = -1
-            leads = set(lead)
-            for i in order:
-                leader = i if i in leads else leader
-                low[i] = leader
-            at = np.array([sent[i] for i in lead], np.int64)
-            own = np.zeros(len(key), np.int64)
-            if len(at):
-                own[at] = repeated_bits(key[at], doc[at], [data[i] for i in lead], before[at], window)
-            for i in order:
-                here, there = sent[i], sent[low[i]]
-                bits[here] = own[there] if doc[here] == doc[there] else -1
-            found = np.flatnonzero(bits)
-            by_doc = found[np.argsort(doc[found], kind="stable")]
-            start, stop = _bounds(doc[by_doc])
-            ends = pa.array(np.append(start, len(by_doc)).astype(np.int32))
-            values = [pa.ListArray.from_arrays(ends, pa.array(x[by_doc])) for x in (key, content, bits)]
-            del stop
-            yield pa.RecordBatch.from_arrays([pa.array(doc[by_doc][start]), *values], ["doc_id", "keys", "contents", "bits"])
+        found = []
+        for batch in batches:
+            ready = batch.filter(pc.is_null(batch.column("packed")))
+            if ready.num_rows:
+                none = pa.nulls(ready.num_rows, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([ready.column("doc_id"), ready.column("full"), none, none], ["doc_id", "full", "part", "bits"])
+            found.extend(Packed.read(value.as_py()) for value in batch.column("packed").drop_null())
+        if not found:
+            return
+        key, doc, small, flat = (np.concatenate([f[i] for f in found]) for i in range(4))
+        del found
+        before, lengths = small[:, 0].astype(np.int64), small[:, 1].astype(np.int64)
+        begins = np.cumsum(lengths) - lengths
+        order = np.argsort(key, kind="stable")
+        in_order, at = key[order], 0
+        while at < len(order):
+            # Whole groups of a key, about RUNS_AT_ONCE runs.
+            stop = min(len(order), at + RUNS_AT_ONCE)
+            stop = int(np.searchsorted(in_order, in_order[stop - 1], "right"))
+            yield _answered(*(x[order[at:stop]] for x in (key, doc, before, begins, lengths)), flat, window)
+            at = stop
 
     return find
 
 
+def _answered(
+    key: np.ndarray, doc: np.ndarray, before: np.ndarray, begins: np.ndarray, lengths: np.ndarray, flat: np.ndarray, window: int
+) -> pa.RecordBatch:
+    content = span_hashes(flat, begins, begins + lengths, longest=2 * window)
+    order = np.lexsort((doc, content, key))
+    key, doc, content, before, begins, lengths = (x[order] for x in (key, doc, content, before, begins, lengths))
+    # Of the runs with the same bytes the smallest document stands for all; the others lose every window.
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
+    lead = np.flatnonzero(new)
+    leader = np.repeat(np.arange(len(lead)), np.diff(np.append(lead, len(key))))
+    own = repeated_bits(key[lead], doc[lead], before[lead], begins[lead], lengths[lead], flat, window)
+    later = doc != doc[lead][leader]
+    every = (np.int64(1) << (lengths - window + 1)) - 1
+    bits = np.where(later, every, own[leader])
+    full, part = bits == every, (bits != every) & (bits != 0)
+    hashes = content.view(np.int64)
+    some = np.flatnonzero(full | part)
+    ids = np.unique(doc[some])
+
+    def lists(of: np.ndarray, values: np.ndarray) -> pa.Array:
+        order = np.flatnonzero(of)
+        order = order[np.argsort(doc[order], kind="stable")]
+        ends = np.searchsorted(doc[order], np.append(ids, np.iinfo(np.int64).max))
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values[order]))
+
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids), lists(full, hashes), lists(part, hashes), lists(part, bits)], ["doc_id", "full", "part", "bits"]
+    )
+
+
 def _removed(frequent: np.ndarray, window: int):
     """doc_id, text, spans: the bytes of each text and the stretches (start, end, in turn) to be removed from it."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists, keys = _list_rows(batch.column("keys"))
-            contents, bits = _list_rows(batch.column("contents"))[1], _list_rows(batch.column("bits"))[1]
+            full_of, full = _list_rows(batch.column("full"))
+            part_of, part = _list_rows(batch.column("part"))
+            full, _ = _sorted_lists(full_of, full)
+            part, order = _sorted_lists(part_of, part)
+            bits = _list_rows(batch.column("bits"))[1][order]
             for first, data, offsets in _bytes_of(batch):
                 covered = np.zeros(len(data) + 1, np.int32)
                 n = len(offsets) - 1
-                if lists[first] < lists[first + n]:
+                if full_of[first] < full_of[first + n] or part_of[first] < part_of[first + n]:
                     for piece, cuts, row, low in parts(data, offsets, window):
                         runs = Runs(piece, cuts, frequent, window)
                         text = first + row + runs.text
                         content = span_hashes(piece, runs.start, runs.stop + window, longest=2 * window).view(np.int64)
-                        for at, stop in zip(*_bounds(text), strict=True):
-                            a, b = lists[text[at]], lists[text[at] + 1]
-                            if a == b:
-                                continue
-                            own = np.argsort(contents[a:b], kind="stable") + a
-                            place = np.minimum(np.searchsorted(contents[own], content[at:stop]), len(own) - 1)
-                            hit = own[place]
-                            same = (contents[hit] == content[at:stop]) & (keys[hit] == runs.key[at:stop].view(np.int64))
-                            for r, i in zip(np.flatnonzero(same) + at, hit[same], strict=True):
-                                count = int(runs.stop[r] - runs.start[r] + 1)
-                                on = np.flatnonzero((int(bits[i]) >> np.arange(count)) & 1) + runs.start[r] + low
-                                np.add.at(covered, on, 1)
-                                np.add.at(covered, on + window, -1)
+                        whole = _places(text, content, full_of, full) >= 0
+                        # Starts are all different, and so are ends.
+                        covered[runs.start[whole] + low] += 1
+                        covered[runs.stop[whole] + low + window] -= 1
+                        place = _places(text, content, part_of, part)
+                        for r in np.flatnonzero((place >= 0) & ~whole):
+                            count = int(runs.stop[r] - runs.start[r] + 1)
+                            on = np.flatnonzero((int(bits[place[r]]) >> np.arange(count)) & 1) + runs.start[r] + low
+                            covered[on] += 1
+                            covered[on + window] -= 1
                 inside = np.cumsum(covered[:-1]) > 0
                 edge = np.zeros(len(data) + 1, bool)
                 edge[offsets] = True
@@ -469,20 +536,23 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = texts.where("doc_id is not null")
     frequent = frequent_grams(named, window)
-    found = named.mapInArrow(_anchors(frequent, window), "spread bigint, key bigint, doc_id bigint, known boolean")
-    shared = (
-        found.repartition("spread").sortWithinPartitions("key").mapInArrow(_shared, "doc_id bigint, keys array<bigint>")
+    # More buckets than partitions, so that partitions get about as many each.
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = named.mapInArrow(
+        _anchors(frequent, window, buckets), "bucket int, packed binary, doc_id bigint, keys array<int>"
     )
+    shared = found.repartition("bucket").mapInArrow(_shared, "doc_id bigint, keys array<int>")
     lists = shared.groupBy("doc_id").agg(F.flatten(F.collect_list("keys")).alias("keys"))
     # Both joins below read these rows in the same form, so that texts are shuffled once.
     packed = named.mapInArrow(_pack, "doc_id bigint, packed binary").where("doc_id is not null")
-    runs = packed.join(lists, "doc_id").mapInArrow(_contents(frequent, window), _RUN)
+    runs = packed.join(lists, "doc_id").mapInArrow(
+        _contents(frequent, window, buckets), "bucket int, packed binary, doc_id bigint, full array<bigint>"
+    )
     answers = (
-        runs.repartition("spread")
-        .sortWithinPartitions("key")
-        .mapInArrow(_answers(window), "doc_id bigint, keys array<bigint>, contents array<bigint>, bits array<bigint>")
+        runs.repartition("bucket")
+        .mapInArrow(_answers(window), "doc_id bigint, full array<bigint>, part array<bigint>, bits array<bigint>")
         .groupBy("doc_id")
-        .agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("keys", "contents", "bits")])
+        .agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("full", "part", "bits")])
     )
     found = packed.join(answers, "doc_id", "left").mapInArrow(
         _removed(frequent, window), "doc_id bigint, text binary, spans array<bigint>"
