@@ -10,7 +10,10 @@ SLAB = 1 << 16
 
 def slab_of(position: Column, width: int = SLAB) -> Column:
     """Number of the slab of `width` consecutive integers, exact for all of BIGINT."""
-    return ((position - F.pmod(position, F.lit(width))) / width).cast("bigint")
+    position = position.cast("bigint")
+    whole = F.call_function("div", position, F.lit(width).cast("bigint"))
+    # `div` cuts towards zero; slabs go on evenly below it.
+    return whole - F.when((position < 0) & (position % F.lit(width) != 0), 1).otherwise(0)
 
 
 def running_offset(
@@ -20,27 +23,38 @@ def running_offset(
     column `position` (unique within a group).
 
     A plain window would pull a whole group, possibly a third of the table, into one task. Here rows are put into slabs
-    of `width` consecutive positions, summed inside the slab, and shifted by the total of earlier slabs. That second
-    sum sees one row per slab, so it is smaller than the data by up to `width`.
+    of `width` consecutive positions, slabs into blocks of `width` slabs, and so on up to the whole range of a BIGINT.
+    Each level is summed inside its parent and shifted by what comes before. No window sees more than `width` rows, be
+    the positions dense or scattered over the whole range.
 
     The slab totals are a second read of the few columns involved, combined map-side. With `slim`, for a `df` that has
     no other columns but is costly to compute, they come from the rows already shuffled, whose exchange is reused.
     """
-    keys = [*by, "_slab"]
-    slabbed = df.withColumn("_slab", slab_of(F.col(position), width)).withColumn("_size", size.cast("bigint"))
-    inside = Window.partitionBy(*keys).orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
-    summed = slabbed.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-    if slim:
-        totals = summed.groupBy(*keys).agg(F.max(F.col("_inside") + F.col("_size")).alias("_total"))
-    else:
-        totals = slabbed.groupBy(*keys).agg(F.sum("_size").alias("_total"))
-    before = Window.partitionBy(*by).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select(*keys, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_shift"))
-    return (
-        summed.join(shifts, keys)
-        .withColumn(name, F.col("_inside") + F.col("_shift"))
-        .drop("_slab", "_size", "_inside", "_shift")
-    )
+    levels = [f"_slab{i}" for i in range(-(-64 // (width.bit_length() - 1)) - 1)]
+    slabbed = df.withColumn("_size", size.cast("bigint"))
+    parent = F.col(position)
+    for level in levels:
+        slabbed = slabbed.withColumn(level, slab_of(parent, width))
+        parent = F.col(level)
+
+    def before(over: list[str], order: str, value: str) -> Column:
+        window = Window.partitionBy(*over).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(value).over(window), F.lit(0))
+
+    summed = slabbed.withColumn("_inside", before([*by, *levels], position, "_size"))
+    last = (F.max(F.col("_inside") + F.col("_size")) if slim else F.sum("_size")).alias("_total")
+    totals = (summed if slim else slabbed).groupBy(*by, *levels).agg(last)
+    shifts = None
+    for i, level in enumerate(levels):
+        above = levels[i + 1 :]
+        here = totals.withColumn(f"_shift{i}", before([*by, *above], level, "_total")).drop("_total")
+        shifts = here if shifts is None else shifts.join(here, [*by, *levels[i:]])
+        totals = totals.groupBy(*by, *above).agg(F.sum("_total").alias("_total"))
+    moved = [f"_shift{i}" for i in range(len(levels))]
+    total = F.col("_inside")
+    for shift in moved:
+        total = total + F.col(shift)
+    return summed.join(shifts, [*by, *levels]).withColumn(name, total).drop(*levels, "_size", "_inside", *moved)
 
 
 def number_rows(df: DataFrame, position: str, by: list[str], width: int = SLAB) -> DataFrame:

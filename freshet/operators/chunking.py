@@ -15,6 +15,7 @@ from dataclasses import dataclass, field, replace
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from freshet.config import JobConfig
 from freshet.functions import text as tx
@@ -109,38 +110,53 @@ def python_pieces(split: Callable[[str], Iterable[dict]]) -> Callable[[Column],
     return run
 
 
-def csv_row_groups(rows_per_chunk: int) -> Callable[[str], Iterator[dict]]:
-    """A CSV text as records `column: value; ...`, a fixed number of records per piece."""
+@F.pandas_udf(ArrayType(ArrayType(StringType())))
+def csv_records(texts: pd.Series) -> pd.Series:
+    """The records of CSV texts, as arrays of their fields. A field may hold quotes, commas and line ends."""
+    csv.field_size_limit(sys.maxsize)
+    return pd.Series([None if t is None else list(csv.reader(io.StringIO(t, newline=""))) for t in texts], dtype=object)
 
-    def label(header: list[str], i: int) -> str:
-        return header[i] if i < len(header) else f"col{i}"
 
-    def split(text: str) -> Iterator[dict]:
-        csv.field_size_limit(sys.maxsize)
-        rows = csv.reader(io.StringIO(text, newline=""))
-        header = next(rows, None)
-        if header is None:
-            return
-        done, lines = 0, []
+def csv_pieces(text: Column, pages: Column, config: JobConfig) -> Column:
+    """Records below a header as `name: value; ...` lines, a fixed number of records per piece.
 
-        def flush() -> dict:
-            return {"text": "\n".join(lines), "rows": f"{done + 1}-{done + len(lines)}", "columns": header}
+    Fields beyond the header are named by their place. A header without records is one piece that lists its names.
+    """
+    per = config.rows_per_chunk
 
-        for row in rows:
-            lines.append("; ".join(f"{label(header, i)}: {value}" for i, value in enumerate(row)))
-            if len(lines) == rows_per_chunk:
-                yield flush()
-                done, lines = done + len(lines), []
-        if lines:
-            yield flush()
-        elif done == 0:
-            yield {"text": ", ".join(header), "rows": "header"}
+    def piece_of(text: Column, rows: Column, columns: Column) -> Column:
+        null = F.lit(None)
+        return F.struct(
+            text.alias("text"), null.cast("string").alias("heading"), null.cast("int").alias("page"),
+            rows.alias("rows"), columns.alias("columns"),
+        )
 
-    return split
+    def assemble(records: Column) -> Column:
+        header = records[0]
+
+        def line(record: Column) -> Column:
+            names = F.transform(record, lambda _, i: F.coalesce(F.get(header, i), F.concat(F.lit("col"), i.cast("string"))))
+            return F.array_join(F.zip_with(names, record, lambda n, v: F.concat(n, F.lit(": "), v)), "; ")
+
+        def groups(lines: Column) -> Column:
+            count = F.size(lines)
+            starts = F.sequence(F.lit(1), count, F.lit(per))
+            return F.transform(
+                starts,
+                lambda first: piece_of(
+                    F.array_join(F.slice(lines, first, F.lit(per)), "\n"),
+                    F.concat_ws("-", first.cast("string"), F.least(first + (per - 1), count).cast("string")),
+                    header,
+                ),
+            )
 
+        alone = F.array(piece_of(F.array_join(header, ", "), F.lit("header"), F.lit(None).cast("array<string>")))
+        none = F.array().cast(PIECES_DDL)
+        return F.when(F.size(records) == 0, none).when(F.size(records) == 1, alone).otherwise(
+            let(F.transform(tail(records), line), groups)
+        )
 
-def csv_pieces(text: Column, pages: Column, config: JobConfig) -> Column:
-    return python_pieces(csv_row_groups(config.rows_per_chunk))(text)
+    return let(csv_records(text), assemble)
 
 
 @dataclass(frozen=True)
@@ -284,14 +300,16 @@ def chunk_lines(
     )
 
 
-def chunk_by_type(docs: DataFrame, sizes: DataFrame) -> DataFrame:
+def chunk_by_type(docs: DataFrame, sizes: DataFrame, config: JobConfig = JobConfig()) -> DataFrame:
     """Windows whose size and overlap depend on the document's type.
 
-    `sizes` is (doc_type, chunk_size, chunk_overlap), one row per type. Nothing forces a broadcast of it; Spark's own
-    size check decides.
+    `sizes` is (doc_type, chunk_size, chunk_overlap), one row per type; types without a row get the sizes of `config`.
+    Nothing forces a broadcast of it; Spark's own size check decides.
     """
+    size = F.coalesce("chunk_size", F.lit(config.chunk_size))
+    overlap = F.coalesce("chunk_overlap", F.lit(config.chunk_overlap))
     return (
-        docs.join(sizes, "doc_type")
-        .withColumn("_w", windows_by_column(F.col("text"), F.col("chunk_size"), F.col("chunk_overlap")))
+        docs.join(sizes, "doc_type", "left")
+        .withColumn("_w", windows_by_column(F.col("text"), size, overlap))
         .select(*[c for c in docs.columns if c != "text"], elements(F.col("_w")).alias("ordinal", "text"))
     )

@@ -43,6 +43,14 @@ def changed_documents(docs: DataFrame, changed: DataFrame) -> DataFrame:
     return docs.join(changed, ["doc_id", "doc_content_hash"], "left_semi")
 
 
+def one_row_each(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """`docs` with one row for each document of `repeated` (doc_id, doc_content_hash), one of that version. Only rows
+    of repeated documents are shuffled."""
+    single = docs.join(repeated.select("doc_id"), "doc_id", "left_anti")
+    chosen = docs.join(repeated, ["doc_id", "doc_content_hash"], "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(chosen)
+
+
 def ingest_plan(docs: DataFrame, knowledge: DataFrame, chunk_count: Column) -> DataFrame:
     """What an ingest will do per document: unchanged, empty or staged, and the number of chunks to stage.
 

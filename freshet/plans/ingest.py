@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from freshet import schemas
 from freshet.config import BLUE, GREEN, REPORT, STAGING
-from freshet.functions.sizes import Kept, small_side
+from freshet.functions.sizes import Kept, at_most, small_side
 from freshet.operators import sync
 from freshet.operators.chunking import Chunkers, chunk_documents
 from freshet.operators.embedding import Embedder, HashedBagOfWords, embed_chunks
@@ -47,8 +47,10 @@ class Ingest:
     def run(self, objects: DataFrame, target: str | None = None) -> DataFrame:
         """Ingest objects (bucket, key, content_type, body; pages for paged types), one row per object.
 
-        Returns the report of this run, also kept as a table: doc_id, status (unchanged, empty, indexed), indexed,
-        collection, extractor. `target` is the table to write, "active" the one searched at the moment.
+        Returns the report of this run, also kept as a table: doc_id, status (unchanged, empty, missing, indexed),
+        indexed, collection, extractor. `target` is the table to write, "active" the one searched at the moment. A
+        version counts as known if that table holds it. Of several rows for one object the one with the largest
+        version hash is taken. Objects without a body are missing: nothing of theirs changes.
         """
         store = self.store
         ensure_tables(store)
@@ -59,8 +61,16 @@ class Ingest:
 
         docs = self.chunkers.route(identify(objects))
         with Kept() as keep:
-            versions = keep(docs.select("doc_id", "doc_content_hash", "extractor"))
-            changed = small_side(keep(sync.changed_versions(versions, store.read(BLUE))))
+            found = docs.groupBy("doc_id").agg(
+                F.max(F.struct("doc_content_hash", "extractor")).alias("_v"), F.count(F.lit(1)).alias("_rows")
+            )
+            found = keep(found.select("doc_id", "_v.*", "_rows"))
+            versions = found.select("doc_id", "doc_content_hash", "extractor")
+            repeated = keep(found.where("_rows > 1").select("doc_id", "doc_content_hash"))
+            if not at_most(repeated, 0):
+                docs = sync.one_row_each(docs, repeated)
+            known = versions.where("doc_content_hash is not null")
+            changed = small_side(keep(sync.changed_versions(known, store.read(target))))
             self.stage(docs, changed)
             self.embed()
             applied = small_side(keep(self.complete(changed)))
@@ -117,7 +127,12 @@ class Ingest:
     def report(self, versions: DataFrame, changed: DataFrame, applied: DataFrame, target: str) -> DataFrame:
         is_changed = changed.select("doc_id", F.lit(True).alias("_changed"))
         n = F.coalesce("n", F.lit(0))
-        status = F.when(F.col("_changed").isNull(), "unchanged").when(n == 0, "empty").otherwise("indexed")
+        status = (
+            F.when(F.col("doc_content_hash").isNull(), "missing")
+            .when(F.col("_changed").isNull(), "unchanged")
+            .when(n == 0, "empty")
+            .otherwise("indexed")
+        )
         return (
             versions.join(is_changed, "doc_id", "left")
             .join(applied.select("doc_id", "n"), "doc_id", "left")
@@ -142,9 +157,11 @@ def resync(ingest: Ingest, objects: DataFrame, prefix: str) -> DataFrame:
     return ingest.run(objects.where(F.col("key").startswith(prefix)))
 
 
-def ingest_by_target(ingest: Ingest, objects: DataFrame, max_targets: int = 1000) -> dict[str, DataFrame]:
-    """Ingest into several tables named by the `target` column, one write per target."""
-    names = [r[0] for r in objects.select("target").distinct().limit(max_targets + 1).collect()]
-    if len(names) > max_targets:
-        raise ValueError(f"more than {max_targets} targets in one run")
-    return {n: ingest.run(objects.where(F.col("target") == n).drop("target"), n) for n in sorted(names)}
+def ingest_by_target(ingest: Ingest, objects: DataFrame) -> dict[str, DataFrame]:
+    """Ingest into several tables named by the `target` column, one write per target. A target is a table, so there are
+    as many names here as there are tables to write; objects without a target go to the default one."""
+    names = [r[0] for r in objects.select("target").distinct().collect()]
+    return {
+        n or BLUE: ingest.run(objects.where(F.col("target").eqNullSafe(F.lit(n))).drop("target"), n)
+        for n in sorted(names, key=lambda n: n or "")
+    }

@@ -69,7 +69,8 @@ FETCH_BYTES = 64 << 20
 def fetch_objects(refs: DataFrame, root: str = "s3://") -> DataFrame:
     """References with the bodies of their objects, each read by its own path `<root>/<bucket>/<key>`.
 
-    Only the objects named are read, in parallel over the references. Objects that are gone give no row.
+    Only the objects named are read, in parallel over the references. Objects that are gone come without a body, so
+    that an ingest can report them as missing.
     """
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,9 +87,9 @@ def fetch_objects(refs: DataFrame, root: str = "s3://") -> DataFrame:
                     with filesystem.open_input_stream("/".join(p for p in (folder.rstrip("/"), bucket, key) if p)) as f:
                         body = f.read()
                 except FileNotFoundError:
-                    continue
+                    body = None
                 rows.append({"bucket": bucket, "key": key, "etag": etag, "body": body})
-                held += len(body)
+                held += len(body or b"")
                 if held >= FETCH_BYTES:
                     yield batch(rows)
                     rows, held = [], 0

@@ -18,29 +18,46 @@ def by_row(df):
     return [r[1] for r in sorted(df.collect())]
 
 
-def python_windows(text, size, overlap):
-    """The rule, restated: strip, cut every size - overlap characters, drop blank windows."""
-    text = text.strip()
-    if size <= 0:
-        return [text] if text else []
-    step = max(1, size - overlap)
-    found = [text[i : i + size] for i in range(0, len(text), step)]
-    return [w for w in found if w.strip()]
-
-
-WINDOW_TEXTS = [
-    "x" * 1049, "x" * 1050, "x" * 1051, "x" * 1100, "\U0001f600" * 1300, "a" + " " * 2500 + "b", " x\x1c", "", " 　 ",
-    "é\U0001f600" * 900 + "\n\n" + "z" * 700, " line\x85",
+# Text, size, overlap and the windows, written out.
+WINDOW_CASES = [
+    ("x" * 1049, 1200, 150, ["x" * 1049]),
+    ("x" * 1050, 1200, 150, ["x" * 1050]),
+    ("x" * 1051, 1200, 150, ["x" * 1051, "x"]),
+    ("x" * 1100, 1200, 150, ["x" * 1100, "x" * 50]),
+    ("\U0001f600" * 1300, 1200, 150, ["\U0001f600" * 1200, "\U0001f600" * 250]),
+    ("a" + " " * 2500 + "b", 1200, 150, ["a" + " " * 1199, " " * 401 + "b"]),
+    (" x\x1c", 1200, 150, ["x"]),
+    ("", 1200, 150, []),
+    (" \u3000 ", 5, 1, []),
+    (" line\x85", 3, 1, ["lin", "ne"]),
+    ("abcdef", 0, 10, ["abcdef"]),
+    ("abcd", 3, 3, ["abc", "bcd", "cd", "d"]),
+    ("abcd", 3, 7, ["abc", "bcd", "cd", "d"]),
+    ("abcdefg", 3, 0, ["abc", "def", "g"]),
+    ("ab      cd", 2, 0, ["ab", "cd"]),
 ]
 
 
-@pytest.mark.parametrize("size,overlap", [(1200, 150), (0, 10), (5, 7), (400, 0), (512, 64)])
-def test_windows(spark, size, overlap):
-    df = texts(spark, WINDOW_TEXTS)
-    expected = [python_windows(t, size, overlap) for t in WINDOW_TEXTS]
-    assert by_row(df.select("i", windows(F.col("text"), size, overlap))) == expected
-    varying = windows_by_column(F.col("text"), F.lit(size), F.lit(overlap))
-    assert by_row(df.select("i", varying)) == expected
+def test_windows(spark):
+    rows = [(i, *c[:3]) for i, c in enumerate(WINDOW_CASES)]
+    df = spark.createDataFrame(rows, "i INT, text STRING, size INT, overlap INT")
+    expected = [c[3] for c in WINDOW_CASES]
+    assert by_row(df.select("i", windows_by_column(F.col("text"), F.col("size"), F.col("overlap")))) == expected
+    for size, overlap in {c[1:3] for c in WINDOW_CASES}:
+        same = df.where((F.col("size") == size) & (F.col("overlap") == overlap))
+        got = by_row(same.select("i", windows(F.col("text"), size, overlap)))
+        assert got == [c[3] for c in WINDOW_CASES if c[1:3] == (size, overlap)]
+
+
+@pytest.mark.parametrize("size,overlap", [(400, 0), (512, 64), (1200, 150)])
+def test_windows_overlap_and_cover_the_text(spark, size, overlap):
+    text = "\xe9\U0001f600" * 900 + "\n\n" + "z" * 700
+    (found,) = by_row(texts(spark, [text]).select("i", windows(F.col("text"), size, overlap)))
+    full = [w for w in found if len(w) == size]
+    assert full and found[: len(full)] == full
+    if overlap:
+        assert all(b.startswith(a[-overlap:][: len(b)]) for a, b in zip(full, found[1:]))
+    assert "".join(w[: size - overlap] for w in found)[: len(text)] == text
 
 
 def test_long_text_is_cut_in_linear_time(spark):
@@ -63,15 +80,17 @@ def test_markdown_sections(spark):
     assert [[(s["heading"], s["text"]) for s in row] for row in got] == list(cases.values())
 
 
-def test_csv_row_groups():
-    split = ch.csv_row_groups(50)
-    assert list(split("a,b\n")) == [{"text": "a, b", "rows": "header"}]
-    assert list(split("")) == []
-    (only,) = split("a,b\n1,2\n\n3\n4,5,6\n")
-    assert only == {"text": "a: 1; b: 2\n\na: 3\na: 4; b: 5; col2: 6", "rows": "1-4", "columns": ["a", "b"]}
+def test_csv_row_groups(spark):
     many = "h\n" + "\n".join(str(i) for i in range(101)) + "\n"
-    assert [p["rows"] for p in split(many)] == ["1-50", "51-100", "101-101"]
-    assert [p["text"] for p in split('h\n"x, ""y""\nz"\n')] == ['h: x, "y"\nz']
+    values = ["a,b\n", "", "a,b\n1,2\n\n3\n4,5,6\n", many, 'h\n"x, ""y""\nz"\n', None]
+    got = by_row(texts(spark, values).select("i", ch.csv_pieces(F.col("text"), F.lit(None), JobConfig())))
+    assert [(p["text"], p["rows"], p["columns"]) for p in got[0]] == [("a, b", "header", None)]
+    assert got[1] == [] and got[5] is None
+    assert [(p["text"], p["rows"], p["columns"]) for p in got[2]] == [
+        ("a: 1; b: 2\n\na: 3\na: 4; b: 5; col2: 6", "1-4", ["a", "b"])
+    ]
+    assert [p["rows"] for p in got[3]] == ["1-50", "51-100", "101-101"]
+    assert [p["text"] for p in got[4]] == ['h: x, "y"\nz']
 
 
 def test_json_text(spark):
@@ -161,4 +180,5 @@ def test_lines_as_one_text(spark):
     for conv in ("a", "b"):
         whole = "\n".join(t.strip() for c, _, t in lines if c == conv and t.strip())
         mine = [r["text"] for r in sorted((r for r in got if r["conv"] == conv), key=lambda r: r["window"])]
-        assert mine == python_windows(whole, 40, 13)
+        (expected,) = by_row(texts(spark, [whole]).select("i", windows(F.col("text"), 40, 13)))
+        assert mine == expected

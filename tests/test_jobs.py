@@ -90,8 +90,11 @@ def test_only_named_objects_are_fetched(spark, tmp_path):
     refs = spark.createDataFrame(
         [("b", "x/é +.md", "e1"), ("b", "gone.md", ""), ("b", "two.txt", "")], "bucket STRING, key STRING, etag STRING"
     )
-    got = {r["key"]: (bytes(r["body"]), r["etag"], r["content_type"]) for r in fetch_objects(refs, f"file://{tmp_path}").collect()}
-    assert got == {"x/é +.md": (b"\xff one", "e1", "text/markdown"), "two.txt": (b"", "", "text/plain")}
+    rows = fetch_objects(refs, f"file://{tmp_path}").collect()
+    got = {r["key"]: (r["body"] and bytes(r["body"]), r["etag"], r["content_type"]) for r in rows}
+    assert got == {
+        "x/é +.md": (b"\xff one", "e1", "text/markdown"), "two.txt": (b"", "", "text/plain"), "gone.md": (None, "", "text/markdown")
+    }
 
 
 # ---- ingest ---------------------------------------------------------------------------------------------------------
@@ -250,7 +253,7 @@ def test_ingest_stream_resumes(spark, store, tmp_path):
     write_events(folder, "2.json", [notification("c.txt", 5), notification("a.txt", 6)])
     run()
     run()  # nothing new: no batch at all
-    assert reports == [{"indexed": (2, 3)}, {"indexed": (1, 1), "unchanged": (1, 0)}]
+    assert reports == [{"indexed": (2, 3), "missing": (1, 0)}, {"indexed": (1, 1), "unchanged": (1, 0)}]
     assert [k for k, *_ in content(store)] == ["a.txt", "a.txt", "b.txt", "c.txt"]
     other = ingest_of(type(store)(spark, str(tmp_path / "batch"), buckets=4))
     other.run(bodies)
@@ -310,3 +313,30 @@ def test_hot_document_is_split_when_both_sides_are_large(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_versions_are_looked_up_where_they_are_written(spark, store):
+    ingest = Ingest(store, HashedBagOfWords(dim=16))
+    row = lambda body, key="k": ("b", key, "", body)
+    frame = lambda *rows: spark.createDataFrame(rows, "bucket STRING, key STRING, content_type STRING, body STRING")
+
+    def status(target, *rows):
+        return [r["status"] for r in ingest.run(frame(*rows), target).orderBy("doc_id").collect()]
+
+    def indexed(target):
+        return sorted(r["text"] for r in store.read(target).collect())
+
+    assert status("knowledge", row("one")) == ["indexed"]
+    assert status("t_knowledge", row("one")) == ["indexed"] and indexed("t_knowledge") == ["one"]
+    assert status("t_knowledge", row("two")) == ["indexed"]
+    assert status("t_knowledge", row("one")) == ["indexed"] and indexed("t_knowledge") == ["one"]
+    assert status("knowledge", row("one")) == ["unchanged"]
+
+
+def test_repeated_and_missing_objects(spark, store):
+    ingest = Ingest(store, HashedBagOfWords(dim=16))
+    rows = [("b", "k", "", "one"), ("b", "k", "", "one"), ("b", "m", "", None)]
+    docs = spark.createDataFrame(rows, "bucket STRING, key STRING, content_type STRING, body STRING")
+    report = ingest.run(docs).collect()
+    assert sorted(r["status"] for r in report) == ["indexed", "missing"]
+    assert [r["text"] for r in store.read("knowledge").collect()] == ["one"]
