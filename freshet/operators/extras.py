@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from freshet.config import JobConfig
 from freshet.functions import text as tx
+from freshet.functions.arrays import let
 from freshet.functions.numbering import slab_of
 from freshet.functions.windows import windows
 from freshet.operators.chunking import Chunker, piece
@@ -112,24 +113,49 @@ def _flat_lines(path: Column, value: Column, depth: int) -> Column:
     return F.when(value.startswith("{"), F.coalesce(nested, leaf)).otherwise(leaf)
 
 
+def _is_json(text: Column) -> Column:
+    """Whether the text is one JSON value. Parsers stop after the first value; as the only element of an array it must
+    be followed by nothing."""
+    alone = F.concat(F.lit("["), text, F.lit("]"))
+    return F.try_parse_json(alone).isNotNull() & (F.size(F.from_json(alone, "array<string>")) == 1)
+
+
 def json_object_pieces(depth: int = 2) -> Chunker:
     """One piece per member of the top-level object, or per element of the top-level array, flattened to `path: value`
-    lines down to `depth` levels. Each piece is windowed."""
+    lines down to `depth` levels. Each piece is windowed. Of JSON lines each line is such an object, its number standing
+    before the member's name. What is none of these, or holds nothing, is windowed as plain text."""
 
     def pieces(text: Column, pages: Column, config: JobConfig) -> Column:
-        members = F.map_entries(F.from_json(F.when(tx.strip(text).startswith("{"), text), "map<string,string>"))
+        whole = F.when(_is_json(text), text)
+        members = F.map_entries(F.from_json(F.when(tx.strip(whole).startswith("{"), whole), "map<string,string>"))
         elements = F.transform(
-            F.from_json(F.when(tx.strip(text).startswith("["), text), "array<string>"),
+            F.from_json(F.when(tx.strip(whole).startswith("["), whole), "array<string>"),
             lambda v, i: F.struct(i.cast("string").alias("key"), v.alias("value")),
         )
 
+        def numbered(line: Column, i: Column) -> Column:
+            found = F.map_entries(F.from_json(line, "map<string,string>"))
+            return F.transform(
+                found, lambda e: F.struct(F.concat_ws(".", (i + 1).cast("string"), e["key"]).alias("key"), e["value"].alias("value"))
+            )
+
+        def of_lines(lines: Column) -> Column:
+            good = F.forall(lines, lambda v: tx.strip(v).startswith("{") & _is_json(v))
+            return F.flatten(F.transform(F.when(good, lines), numbered))
+
+        lines = let(F.filter(F.split(F.when(whole.isNull(), text), "\n"), lambda v: ~tx.is_blank(v)), of_lines)
+
         def cut(e: Column) -> Column:
             lines = F.array_join(_flat_lines(e["key"], e["value"], depth), "\n")
             return F.transform(
                 windows(lines, config.chunk_size, config.chunk_overlap), lambda w: piece(w, heading=e["key"])
             )
 
-        return F.flatten(F.transform(F.coalesce(members, elements), cut))
+        plain = F.transform(windows(text, config.chunk_size, config.chunk_overlap), lambda w: piece(w))
+        return let(
+            F.flatten(F.transform(F.coalesce(members, elements, lines), cut)),
+            lambda found: F.when(F.size(found) > 0, found).otherwise(plain),
+        )
 
     return pieces
 

@@ -152,7 +152,7 @@ def test_registered_chunker(spark):
 def test_json_members_and_html(spark):
     df = texts(spark, ['{"a":{"b":1,"c":{"d":[2]}},"e":null}', '[{"x":1},"y"]', "no json"])
     got = by_row(df.select("i", F.transform(json_object_pieces(2)(F.col("text"), F.lit(None), JobConfig()), lambda p: p["text"])))
-    assert got == [["a.b: 1\na.c.d: [2]", "e: null"], ["0.x: 1", "1: y"], None]
+    assert got == [["a.b: 1\na.c.d: [2]", "e: null"], ["0.x: 1", "1: y"], ["no json"]]
     page = "<!-- <p>no</p> --><p>one <b>two</b>\n three</p><script>var t='</p>'</script><div>a&amp;lt; <br>b</div>"
     assert by_row(texts(spark, [page]).select("i", html_blocks(F.col("text")))) == [["one two three", "a&lt;", "b"]]
 
@@ -182,3 +182,17 @@ def test_lines_as_one_text(spark):
         mine = [r["text"] for r in sorted((r for r in got if r["conv"] == conv), key=lambda r: r["window"])]
         (expected,) = by_row(texts(spark, [whole]).select("i", windows(F.col("text"), 40, 13)))
         assert mine == expected
+
+
+def test_json_objects_lose_nothing(spark):
+    cases = {
+        '{"a":1}\n\n{"b":2}': ["1.a: 1", "2.b: 2"],
+        '{"a":{}}': ['{"a":{}}'],
+        "7": ["7"],
+        '{"a":1} and more': ['{"a":1} and more'],
+        "[]": ["[]"],
+        " ": [],
+    }
+    df = texts(spark, list(cases))
+    got = by_row(df.select("i", F.transform(json_object_pieces(2)(F.col("text"), F.lit(None), JobConfig()), lambda p: p["text"])))
+    assert got == list(cases.values())
