@@ -4,7 +4,9 @@ A text is the set of its shingles of `words` words (lower-cased A-Z). From MinHa
 band keys, which say what to compare, and the odd sketch: every sample flips one bit of a bitmap, so the population
 count of the XOR of two bitmaps tells the number of samples that differ. In a bitmap of n bits and k samples, d set bits
 of the XOR stand for a similarity of 1 + n ln(1 - 2 d / n) / (2 k). It is sharpest for similar sets, which is what a
-candidate check needs. A sketch is a handful of words of the row, compared without Python.
+candidate check needs. A sketch is a handful of words of the row, compared without Python. A second odd sketch takes in the whole
+set: of two such bitmaps, the set bits of the XOR are at most as many as the shingles that differ, and close to it, so
+pairs short of the threshold are told apart with hardly any of them left for the full check.
 
 Steps, all joins on spread keys:
 1. Texts with the same set become one class, its smallest id.
@@ -39,6 +41,7 @@ from freshet.llm.textbytes import LOWER, mixed_bits, slices, span_hashes, word_s
 ROWS = 4
 MISS = 1e-7
 SKETCH_LONGS = 4
+WHOLE_LONGS = 32
 SEED = 0x0DD5E7C4
 
 
@@ -107,6 +110,10 @@ def _sketcher(words: int, bands: int):
                 for i in range(bands * ROWS):
                     odd[np.arange(len(has)), (low[:, i] % np.uint64(bits)).astype(np.int64)] ^= 1
                 odd = np.packbits(odd, axis=1, bitorder="little").view(np.int64)
+                wide = 64 * WHOLE_LONGS
+                bit = (mixed_bits(value * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(wide)).astype(np.int64)
+                whole = (np.bincount(text * wide + bit, minlength=n * wide).reshape(n, wide)[has] & 1).astype(np.uint8)
+                whole = np.packbits(whole, axis=1, bitorder="little").view(np.int64)
                 keys = np.zeros((len(has), bands), np.uint64)
                 for r in range(ROWS):
                     keys = mixed_bits(keys * np.uint64(0x9E3779B97F4A7C15) + low[:, r::ROWS])
@@ -126,8 +133,9 @@ def _sketcher(words: int, bands: int):
                         lists(set_key),
                         lists(keys),
                         lists(odd),
+                        lists(whole),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "bands", "odd"],
+                    ["doc_id", "n_shingles", "set_key", "bands", "odd", "whole"],
                 )
 
     return sketch
@@ -137,7 +145,7 @@ def sketches(docs: DataFrame, words: int, bands: int) -> DataFrame:
     """doc_id, n_shingles, set_key (128 bits that stand for the set), band keys and odd sketch; one map over the texts."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         _sketcher(words, bands),
-        "doc_id bigint, n_shingles bigint, set_key array<bigint>, bands array<bigint>, odd array<bigint>",
+        "doc_id bigint, n_shingles bigint, set_key array<bigint>, bands array<bigint>, odd array<bigint>, whole array<bigint>",
     )
 
 
@@ -181,18 +189,31 @@ def decided(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_decider(words, percent), "a bigint, b bigint")
 
 
-def _likely(n_a: str, n_b: str, odd_a: str, odd_b: str, percent: int, most: int) -> Column:
-    """Whether set sizes and odd sketches allow the similarity."""
-    sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
-    return sizes & (odd_bits(odd_a, odd_b) <= most)
+def _likely(percent: int, most: int) -> Column:
+    """Whether set sizes and odd sketches of the sides a and b (columns n_, odd_, whole_) allow the similarity.
+
+    Sets of s elements in all reach it when at most s (100 - p) / (100 + p) differ. As many set bits, or the expected
+    number and six standard deviations if that is less, is what the whole sets' sketches may show.
+    """
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    differ = (F.col("n_a") + F.col("n_b")) * ((100 - percent) / (100 + percent))
+    bits = 64 * WHOLE_LONGS
+    expected = (1 - F.exp(differ * (-2 / bits))) * (bits / 2)
+    spread = F.sqrt((1 - F.exp(differ * (-4 / bits))) * (bits / 4))
+    whole = odd_bits("whole_a", "whole_b", WHOLE_LONGS) <= F.least(differ, expected + spread * 6)
+    return sizes & (odd_bits("odd_a", "odd_b", SKETCH_LONGS) <= most) & whole
 
 
-def odd_bits(odd_a: str, odd_b: str) -> Column:
+def odd_bits(odd_a: str, odd_b: str, longs: int) -> Column:
     """Population count of the XOR of two odd sketches."""
-    counts = [F.bit_count(F.element_at(odd_a, i + 1).bitwiseXOR(F.element_at(odd_b, i + 1))) for i in range(SKETCH_LONGS)]
+    counts = [F.bit_count(F.element_at(odd_a, i + 1).bitwiseXOR(F.element_at(odd_b, i + 1))) for i in range(longs)]
     return sum(counts[1:], counts[0])
 
 
+def _side(sketch: DataFrame, side: str) -> DataFrame:
+    return sketch.select(F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "odd", "whole")])
+
+
 def classes_of(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `docs`; component_id is null for rows without an id."""
     bands = band_count(percent)
@@ -204,11 +225,12 @@ def classes_of(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
             F.min("doc_id").alias("rep"),
             F.any_value("n_shingles").alias("n"),
             F.any_value("odd").alias("odd"),
+            F.any_value("whole").alias("whole"),
             F.any_value("bands").alias("bands"),
         ),
         "sets",
     )
-    sketch = sets.select("rep", "n", "odd")
+    sketch = sets.select("rep", "n", "odd", "whole")
     member = sets.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = written(
         member.groupBy("band", "key")
@@ -221,10 +243,10 @@ def classes_of(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     )
     pairs = meeting.where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
     likely = written(
-        pairs.join(sketch.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("odd").alias("odd_b")), "b")
-        .join(sketch.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("odd").alias("odd_a")), "a")
-        .where(_likely("n_a", "n_b", "odd_a", "odd_b", percent, most))
-        .select("a", "b", odd_bits("odd_a", "odd_b").alias("odd")),
+        pairs.join(_side(sketch, "b"), "b")
+        .join(_side(sketch, "a"), "a")
+        .where(_likely(percent, most))
+        .select("a", "b", odd_bits("odd_a", "odd_b", SKETCH_LONGS).alias("odd")),
         "likely",
     )
     # The likeliest partner of each class first.
@@ -296,20 +318,22 @@ def _across(
     mixed = (
         full.join(largest, ["band", "key"])
         .join(sketch, "rep")
-        .select("band", "key", "rep", "label", "n", "odd", (F.col("label") == F.col("largest")).alias("main"))
+        .select("band", "key", "rep", "label", "n", "odd", "whole", (F.col("label") == F.col("largest")).alias("main"))
     )
     mixed = written(mixed, "mixed")
     few = mixed.where("not main").select(
-        F.col("band").alias("_band"), F.col("key").alias("_key"), F.col("rep").alias("a"), F.col("label").alias("la"), F.col("n").alias("n_a"), F.col("odd").alias("odd_a")
+        F.col("band").alias("_band"), F.col("key").alias("_key"), F.col("rep").alias("a"), F.col("label").alias("la"),
+        F.col("n").alias("n_a"), F.col("odd").alias("odd_a"), F.col("whole").alias("whole_a"),
     )
     rest = mixed.select(
-        "band", "key", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("n_b"), F.col("odd").alias("odd_b"), "main"
+        "band", "key", F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("n_b"),
+        F.col("odd").alias("odd_b"), F.col("whole").alias("whole_b"), "main",
     )
     met = few.join(
         rest,
         (F.col("_band") == F.col("band")) & (F.col("_key") == F.col("key")) & (F.col("la") != F.col("lb"))
         & (F.col("main") | (F.col("a") < F.col("b")))
-        & _likely("n_a", "n_b", "odd_a", "odd_b", percent, most),
+        & _likely(percent, most),
     )
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "la", "lb").groupBy("a", "b").agg(
         F.min("la").alias("la"), F.min("lb").alias("lb")
