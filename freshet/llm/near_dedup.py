@@ -200,13 +200,15 @@ def _likely(percent: int, most: int) -> Column:
     bits = 64 * WHOLE_LONGS
     expected = (1 - F.exp(differ * (-2 / bits))) * (bits / 2)
     spread = F.sqrt((1 - F.exp(differ * (-4 / bits))) * (bits / 4))
-    whole = odd_bits("whole_a", "whole_b", WHOLE_LONGS) <= F.least(differ, expected + spread * 6)
-    return sizes & (odd_bits("odd_a", "odd_b", SKETCH_LONGS) <= most) & whole
+    # A loop over the array: spelled out, so many terms would make one huge method of the join's code.
+    ones = F.zip_with("whole_a", "whole_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    whole = F.aggregate(ones, F.lit(0), lambda a, b: a + b) <= F.least(differ, expected + spread * 6)
+    return sizes & (odd_bits("odd_a", "odd_b") <= most) & whole
 
 
-def odd_bits(odd_a: str, odd_b: str, longs: int) -> Column:
+def odd_bits(odd_a: str, odd_b: str) -> Column:
     """Population count of the XOR of two odd sketches."""
-    counts = [F.bit_count(F.element_at(odd_a, i + 1).bitwiseXOR(F.element_at(odd_b, i + 1))) for i in range(longs)]
+    counts = [F.bit_count(F.element_at(odd_a, i + 1).bitwiseXOR(F.element_at(odd_b, i + 1))) for i in range(SKETCH_LONGS)]
     return sum(counts[1:], counts[0])
 
 
@@ -246,7 +248,7 @@ def classes_of(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         pairs.join(_side(sketch, "b"), "b")
         .join(_side(sketch, "a"), "a")
         .where(_likely(percent, most))
-        .select("a", "b", odd_bits("odd_a", "odd_b", SKETCH_LONGS).alias("odd")),
+        .select("a", "b", odd_bits("odd_a", "odd_b").alias("odd")),
         "likely",
     )
     # The likeliest partner of each class first.
