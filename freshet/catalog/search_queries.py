@@ -51,9 +51,16 @@ def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knn_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same search the way it runs for question tables that are too large to broadcast."""
+    """The same search the way it runs for question tables that are too large to broadcast: block by block."""
     vectors = table(spark, sf_dir, "embeddings")
-    return _rounded(knn_exact(vectors, _questions(vectors), 5, dim=64, id_column="vec_id", by_grid=True))
+    return _rounded(knn_exact(vectors, _questions(vectors), 5, dim=64, id_column="vec_id", block=4))
+
+
+def knn_many_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as questions, in several blocks."""
+    vectors = table(spark, sf_dir, "embeddings")
+    asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    return _rounded(knn_exact(vectors, asked, 5, dim=64, id_column="vec_id", block=200))
 
 
 def knn_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,13 +68,16 @@ def knn_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(knn_approximate(vectors, _questions(vectors), 5, dim=64, id_column="vec_id"))
 
 
-def _knn_sql(where: str = "true", vector: str = "embedding", k: int = 5) -> str:
+_PER_LABEL = "select label as query_id, arg_min({vector}, vec_id) as v from embeddings group by 1"
+
+
+def _knn_sql(where: str = "true", vector: str = "embedding", k: int = 5, asked: str = _PER_LABEL) -> str:
     return f"""
     select query_id, vec_id, round(s, 6) as score, rank from (
       select query_id, vec_id, s, cast(row_number() over (partition by query_id order by round(s, 9) desc, vec_id) as int) as rank
       from (select q.query_id, e.vec_id,
             (1 + list_cosine_similarity(cast(e.{vector} as double[]), cast(q.v as double[]))) / 2 as s
-            from embeddings e, (select label as query_id, arg_min({vector}, vec_id) as v from embeddings group by 1) q
+            from embeddings e, ({asked.format(vector=vector)}) q
             where {where}))
     where rank <= {k}
     """
@@ -250,6 +260,9 @@ QUERIES = {
     "knn_exact": Query(knn_exact_labels, _knn_sql()),
     "knn_filtered": Query(knn_filtered, _knn_sql("e.label in (1, 4, 7)")),
     "knn_grid": Query(knn_grid, _knn_sql()),
+    "knn_many_questions": Query(
+        knn_many_questions, _knn_sql(asked="select vec_id as query_id, embedding as v from embeddings")
+    ),
     "knn_sketch": Query(knn_sketch),
     "ab_overlap": Query(ab_overlap, _AB_SQL),
     "vector_hits": Query(

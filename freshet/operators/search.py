@@ -1,7 +1,7 @@
 """Vector search for a table of questions.
 
 Pairs of question and chunk are never rows. A task scores its chunks against all questions in one matrix product and
-passes on only its best k per question, so what is shuffled is `tasks x questions x k` short rows.
+passes on only its best k per question; those short rows are thinned out in parts before the last window sees them.
 """
 
 from __future__ import annotations
@@ -17,15 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
 
-from freshet.functions.sizes import SLIM_ROWS, at_most
+from freshet.functions.sizes import SLIM_ROWS
 from freshet.functions.vectors import similarity
 
 # Questions, and question values (questions x dimensions), that may be broadcast: at most 64 MB as doubles.
 BROADCAST_QUESTIONS, BROADCAST_VALUES = 16_384, 8_000_000
 # Scores (chunks x questions) computed at a time: 32 MB.
 SCORES_AT_ONCE = 4_000_000
-# Chunks and questions per cell when both sides are cut into a grid.
-CELL_ROWS, CELL_QUESTIONS = 20_000, 4_096
+# Parts in which the hits of a question are thinned out first.
+PARTS = 32
 # Scores equal to this many places are ties, decided by id: results do not depend on the summation order.
 TIE_PLACES = 9
 
@@ -107,56 +107,53 @@ _KINDS: dict[str, tuple[Scores, Callable[[pa.Array], np.ndarray]]] = {
 }
 
 
-def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: int, by_grid: bool | None) -> DataFrame:
-    """Best k (query_id, id, score) over (id, v) for every row of (query_id, v)."""
-    score, prepare = _KINDS[kind]
+def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: int, block: int | None) -> DataFrame:
+    """Best k (query_id, id, score) over (id, v) for every row of (query_id, v).
+
+    Questions are taken in blocks of about `block` rows, each sent to all tasks of one scan of the corpus.
+    """
     schema = T.StructType(
         [questions.schema["query_id"], T.StructField("id", corpus.schema["id"].dataType), T.StructField("score", T.DoubleType())]
     )
+    block = block or max(1, min(BROADCAST_QUESTIONS, BROADCAST_VALUES // max(1, width)))
+    count = questions.count()
+    blocks = max(1, math.ceil(count / block))
+    number = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    hits = None
+    for n in range(blocks):
+        # One block of questions at a time comes to the driver.
+        asked = questions.where(number == n).select("query_id", "v").toArrow()
+        partial = _scan(corpus, asked, k, kind, schema)
+        hits = partial if hits is None else hits.unionByName(partial)
+    best = ranked(_thinned(hits, k), k)
+    # At most k hits per question: the bound is known without running the search.
+    return F.broadcast(best) if count * k <= SLIM_ROWS else best
+
+
+def _scan(corpus: DataFrame, asked: pa.Table, k: int, kind: str, schema: T.StructType) -> DataFrame:
+    """Each task's best k for every question of one block."""
+    score, prepare = _KINDS[kind]
     arrow = to_arrow_schema(schema)
-    limit = max(1, min(BROADCAST_QUESTIONS, BROADCAST_VALUES // max(1, width)))
-    if by_grid is None:
-        by_grid = not at_most(questions, limit)
-
-    if not by_grid:
-        table = questions.select("query_id", "v").toArrow()
-        shared = corpus.sparkSession.sparkContext.broadcast(
-            (table["query_id"].to_pylist(), prepare(table["v"]) if table.num_rows else None)
-        )
-
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            question_ids, matrix = shared.value
-            best = _Best(len(question_ids), k)
-            for batch in batches:
-                if batch.num_rows and question_ids:
-                    best.search(score, batch.column("id"), batch.column("v"), matrix)
-            yield from best.table(question_ids, arrow).to_batches()
-
-        partial = corpus.select("id", "v").mapInArrow(search, schema)
-        best = ranked(partial, k)
-        # At most k hits per question: the bound is known without running the search.
-        return F.broadcast(best) if table.num_rows * k <= SLIM_ROWS else best
-    else:
-        # Too many questions to send everywhere: cut both sides into cells and meet them cell by cell.
-        cells = max(1, math.ceil(corpus.count() / CELL_ROWS))
-        blocks = max(1, math.ceil(questions.count() / CELL_QUESTIONS))
-
-        def spread(df: DataFrame, own: str, own_n: int, other: str, other_n: int, key: str) -> DataFrame:
-            all_others = F.sequence(F.lit(0).cast("bigint"), F.lit(other_n - 1).cast("bigint"))
-            return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_n))).withColumn(other, F.explode(all_others))
-
-        left = spread(corpus.select("id", "v"), "cell", cells, "block", blocks, "id")
-        right = spread(questions.select("query_id", "v"), "block", blocks, "cell", cells, "query_id")
-
-        def meet(chunks: pa.Table, asked: pa.Table) -> pa.Table:
-            best = _Best(asked.num_rows, k)
-            if chunks.num_rows and asked.num_rows:
-                best.search(score, chunks["id"], chunks["v"], prepare(asked["v"]))
-            return best.table(asked["query_id"].to_pylist(), arrow)
-
-        partial = left.groupBy("cell", "block").cogroup(right.groupBy("cell", "block")).applyInArrow(meet, schema)
-
-        return ranked(partial, k)
+    shared = corpus.sparkSession.sparkContext.broadcast(
+        (asked["query_id"].to_pylist(), prepare(asked["v"]) if asked.num_rows else None)
+    )
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        question_ids, matrix = shared.value
+        best = _Best(len(question_ids), k)
+        for batch in batches:
+            if batch.num_rows and question_ids:
+                best.search(score, batch.column("id"), batch.column("v"), matrix)
+        yield from best.table(question_ids, arrow).to_batches()
+
+    return corpus.select("id", "v").mapInArrow(search, schema)
+
+
+def _thinned(hits: DataFrame, k: int) -> DataFrame:
+    """The best k of each of PARTS parts of a question's hits, so that no task sorts the hits of all scan tasks."""
+    part = hits.withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(PARTS)))
+    order = Window.partitionBy("query_id", "_part").orderBy(F.desc(F.round("score", TIE_PLACES)), "id")
+    return part.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k).drop("_n", "_part")
 
 
 def ranked(hits: DataFrame, k: int) -> DataFrame:
@@ -173,20 +170,19 @@ def knn_exact(
     dim: int,
     id_column: str = "chunk_id",
     where: Column | None = None,
-    by_grid: bool | None = None,
+    block: int | None = None,
 ) -> DataFrame:
     """Exact cosine top-k: (query_id, <id_column>, score, rank).
 
-    `questions` is (query_id, embedding). Up to BROADCAST_QUESTIONS of them are broadcast and the corpus is scanned in
-    place, unshuffled; more questions meet the corpus in a grid of bounded cells. `where` filters the
-    corpus before the search. Rows whose vector has another dimension are not searched.
+    `questions` is (query_id, embedding). The corpus is scanned in place, unshuffled, once per `block` of questions (by
+    default BROADCAST_QUESTIONS or as many as fit BROADCAST_VALUES). `where` filters the corpus before the search. Rows whose vector has another dimension are not searched.
     """
     if where is not None:
         corpus = corpus.where(where)
     usable = F.size("embedding") == dim
     chunks = corpus.where(usable).select(F.col(id_column).alias("id"), F.col("embedding").alias("v"))
     asked = questions.where(usable).select("query_id", F.col("embedding").alias("v"))
-    return _best_k(chunks, asked, k, "cosine", dim, by_grid).withColumnRenamed("id", id_column)
+    return _best_k(chunks, asked, k, "cosine", dim, block).withColumnRenamed("id", id_column)
 
 
 def sketch(embedding: Column, dim: int, bits: int = 256, seed: int = 7) -> Column:

@@ -36,13 +36,10 @@ def vectors(spark):
     return table(spark, SF, "embeddings").persist()
 
 
-@pytest.mark.parametrize("by_grid", [False, True, None])
-def test_exact_search_of_a_table_with_itself(spark, vectors, by_grid, monkeypatch):
-    monkeypatch.setattr("freshet.operators.search.CELL_ROWS", 150)
-    monkeypatch.setattr("freshet.operators.search.CELL_QUESTIONS", 90)
-    monkeypatch.setattr("freshet.operators.search.BROADCAST_QUESTIONS", 50 if by_grid is None else 16_384)
+@pytest.mark.parametrize("block", [None, 60])
+def test_exact_search_of_a_table_with_itself(spark, vectors, block):
     asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
-    hits = knn_exact(vectors, asked, 7, dim=64, id_column="vec_id", by_grid=by_grid)
+    hits = knn_exact(vectors, asked, 7, dim=64, id_column="vec_id", block=block)
     assert grouped(hits) == brute_force(vectors.collect(), asked.collect(), 7)
 
 
