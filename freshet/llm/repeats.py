@@ -245,12 +245,13 @@ def _two_kinds(
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, keys): for each document the anchors of these buckets that other documents have too."""
+    """(doc_id, key): the anchors of these buckets that several documents have, once for each of them."""
     keys, docs = [], []
     for batch in batches:
         ready = batch.filter(pc.is_null(batch.column("packed")))
         if ready.num_rows:
-            yield ready.select(["doc_id", "keys"])
+            doc, values = _spelled_out(ready, "keys")
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(values)], ["doc_id", "key"])
         for value in batch.column("packed").drop_null():
             key, doc, _, _ = Packed.read(value.as_py())
             keys.append(key)
@@ -262,7 +263,18 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, doc = key[order], doc[order]
         start, stop = _bounds(key)
         several = np.repeat(np.minimum.reduceat(doc, start) != np.maximum.reduceat(doc, start), stop - start)
-        yield pa.RecordBatch.from_arrays(_lists_by_doc(doc[several], _filter_key(key[several])), ["doc_id", "keys"])
+        yield from _rows(["doc_id", "key"], doc[several], _filter_key(key[several]))
+
+
+def _spelled_out(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """The document of each list's values, and the values."""
+    offsets, values = _list_rows(batch.column(column))
+    return np.repeat(batch.column("doc_id").to_numpy(), np.diff(offsets)), values
+
+
+def _rows(names: list[str], *columns: np.ndarray, size: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), size):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + size]) for c in columns], names)
 
 
 def _list_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -392,16 +404,17 @@ RUNS_AT_ONCE = 1 << 16
 
 
 def _answers(window: int):
-    """(doc_id, full, part, bits): content hashes of each document's runs of which all windows are repeated, and of
-    those of which some are, with their bits."""
+    """(doc_id, content, bits): the content hash of each document's runs of which windows are repeated; bits are null if
+    all are."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for batch in batches:
             ready = batch.filter(pc.is_null(batch.column("packed")))
             if ready.num_rows:
-                none = pa.nulls(ready.num_rows, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([ready.column("doc_id"), ready.column("full"), none, none], ["doc_id", "full", "part", "bits"])
+                doc, values = _spelled_out(ready, "full")
+                none = pa.nulls(len(doc), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(values), none], ["doc_id", "content", "bits"])
             found.extend(Packed.read(value.as_py()) for value in batch.column("packed").drop_null())
         if not found:
             return
@@ -436,19 +449,10 @@ def _answered(
     later = doc != doc[lead][leader]
     every = (np.int64(1) << (lengths - window + 1)) - 1
     bits = np.where(later, every, own[leader])
-    full, part = bits == every, (bits != every) & (bits != 0)
-    hashes = content.view(np.int64)
-    some = np.flatnonzero(full | part)
-    ids = np.unique(doc[some])
-
-    def lists(of: np.ndarray, values: np.ndarray) -> pa.Array:
-        order = np.flatnonzero(of)
-        order = order[np.argsort(doc[order], kind="stable")]
-        ends = np.searchsorted(doc[order], np.append(ids, np.iinfo(np.int64).max))
-        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values[order]))
-
+    some = np.flatnonzero(bits)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids), lists(full, hashes), lists(part, hashes), lists(part, bits)], ["doc_id", "full", "part", "bits"]
+        [pa.array(doc[some]), pa.array(content[some].view(np.int64)), pa.array(bits[some], mask=bits[some] == every[some])],
+        ["doc_id", "content", "bits"],
     )
 
 
@@ -541,8 +545,8 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = named.mapInArrow(
         _anchors(frequent, window, buckets), "bucket int, packed binary, doc_id bigint, keys array<int>"
     )
-    shared = found.repartition("bucket").mapInArrow(_shared, "doc_id bigint, keys array<int>")
-    lists = shared.groupBy("doc_id").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    shared = found.repartition("bucket").mapInArrow(_shared, "doc_id bigint, key int")
+    lists = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     # Both joins below read these rows in the same form, so that texts are shuffled once.
     packed = named.mapInArrow(_pack, "doc_id bigint, packed binary").where("doc_id is not null")
     runs = packed.join(lists, "doc_id").mapInArrow(
@@ -550,9 +554,13 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     answers = (
         runs.repartition("bucket")
-        .mapInArrow(_answers(window), "doc_id bigint, full array<bigint>, part array<bigint>, bits array<bigint>")
+        .mapInArrow(_answers(window), "doc_id bigint, content bigint, bits bigint")
         .groupBy("doc_id")
-        .agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("full", "part", "bits")])
+        .agg(
+            F.collect_list(F.when(F.col("bits").isNull(), F.col("content"))).alias("full"),
+            F.collect_list(F.when(F.col("bits").isNotNull(), F.col("content"))).alias("part"),
+            F.collect_list("bits").alias("bits"),
+        )
     )
     found = packed.join(answers, "doc_id", "left").mapInArrow(
         _removed(frequent, window), "doc_id bigint, text binary, spans array<bigint>"
