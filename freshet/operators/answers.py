@@ -17,29 +17,30 @@ Answerer = Callable[[Column], Column]
 # Characters of a source shown in an answer row and in a console line.
 SOURCE_CHARS, SNIPPET_CHARS = 600, 160
 
-# The frame of a prompt and of a source block in it.
-QUESTION_HEAD, SOURCES_HEAD = "Question: ", "\n\nSources:\n"
-BLOCK_NUMBER, BLOCK_SOURCE, BLOCK_TEXT, BLOCK_GAP = "[", "] (source: ", ")\n", "\n\n"
+# The prompt, a source block in it, and what stands between blocks.
+PROMPT = "Question: %s\n\nSources:\n%s"
+SOURCE_BLOCK = "[%d] (source: %s)\n%s"
+BLOCK_GAP = "\n\n"
 
 
-def context_blocks(ranked: DataFrame) -> DataFrame:
-    """One context text per question: numbered source blocks in rank order. A question has at most top_k hits."""
-    block = F.concat(
-        F.lit(BLOCK_NUMBER), F.col("rank").cast("string"), F.lit(BLOCK_SOURCE), F.col("source_uri"), F.lit(BLOCK_TEXT),
-        F.col("text"),
-    )
+def _context() -> Column:
+    """The numbered source blocks of a group of hits, in rank order. A question has at most top_k hits."""
+    block = F.format_string(SOURCE_BLOCK, F.col("rank"), F.col("source_uri"), F.col("text"))
     ordered = F.array_sort(F.collect_list(F.struct("rank", block.alias("block"))))
-    return ranked.groupBy("query_id", "query").agg(
-        F.array_join(F.transform(ordered, lambda s: s["block"]), BLOCK_GAP).alias("context")
-    )
+    return F.array_join(F.transform(ordered, lambda s: s["block"]), BLOCK_GAP)
+
+
+def context_blocks(ranked: DataFrame) -> DataFrame:
+    """One context text per question."""
+    return ranked.groupBy("query_id", "query").agg(_context().alias("context"))
 
 
 def prompt(query: Column, context: Column) -> Column:
-    return F.concat(F.lit(QUESTION_HEAD), query, F.lit(SOURCES_HEAD), context)
+    return F.format_string(PROMPT, query, context)
 
 
-def sources_column(ranked: DataFrame) -> DataFrame:
-    """The source list of each question, as answer rows carry it."""
+def sources_column(ranked: DataFrame, *more: Column) -> DataFrame:
+    """The source list of each question, as answer rows carry it, and `more` aggregates of the same hits."""
     vector = F.coalesce(F.col("score"), F.lit(0.0))
     source = F.struct(
         F.col("rank").cast("int").alias("n"),
@@ -49,23 +50,26 @@ def sources_column(ranked: DataFrame) -> DataFrame:
         tx.round4(vector).alias("vector_score"),
         F.substring("text", 1, SOURCE_CHARS).alias("text"),
     )
-    return ranked.groupBy("query_id").agg(F.array_sort(F.collect_list(source)).alias("sources"))
+    return ranked.groupBy("query_id").agg(F.array_sort(F.collect_list(source)).alias("sources"), *more)
 
 
 def answer_rows(
     questions: DataFrame, ranked: DataFrame, active_collection: str, model: str, answerer: Answerer | None = None
 ) -> DataFrame:
-    """One answer row per question (query_id, query), also for questions without a hit."""
+    """One answer row per question (query_id, query), also for questions without a hit.
+
+    Sources and prompt come from one aggregation, so the search below runs once and both show the same hits.
+    """
     asked = questions.select("query_id", "query")
-    with_sources = asked.join(sources_column(ranked), "query_id", "left").withColumn(
+    more = [] if answerer is None else [_context().alias("context")]
+    with_sources = asked.join(sources_column(ranked, *more), "query_id", "left").withColumn(
         "sources", F.coalesce("sources", F.array().cast(f"array<{SOURCE_DDL}>"))
     )
     if answerer is None:
         answered = with_sources.withColumn("answer", F.lit(None).cast("string"))
     else:
-        contexts = context_blocks(ranked).select("query_id", "context")
         full = prompt(F.col("query"), F.coalesce(F.col("context"), F.lit("")))
-        answered = with_sources.join(contexts, "query_id", "left").withColumn("answer", answerer(full))
+        answered = with_sources.withColumn("answer", answerer(full))
     return answered.select(
         "query_id",
         "query",

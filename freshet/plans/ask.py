@@ -14,6 +14,7 @@ from freshet.operators.embedding import Embedder, embed_questions
 from freshet.operators.rerank import Scorer, rerank, word_overlap
 from freshet.operators.search import knn_exact, with_payload
 from freshet.sources.pointer import get_active
+from freshet.sources.shared import shared_dir
 from freshet.sources.tables import TableStore
 
 
@@ -34,13 +35,22 @@ class Asking:
     answerer: an.Answerer | None = None
     config: JobConfig = JobConfig()
 
-    def ask(self, questions: DataFrame, k: int | None = None, top_k: int | None = None) -> DataFrame:
+    def ask(
+        self, questions: DataFrame, k: int | None = None, top_k: int | None = None, log: bool = True
+    ) -> DataFrame:
+        """Answers to (query_id, query), written once, logged (unless `log` is off) and returned from what was written."""
         active = get_active(self.store, self.config)
         embedder = self.embedders(active["model"], active["dim"])
         corpus = self.store.read(active["active_collection"])
         hits = retrieve(corpus, questions, embedder, k or self.config.search_k)
         ranked = rerank(hits.join(questions, "query_id"), self.scorer, top_k or self.config.top_k)
-        return an.answer_rows(questions, ranked, active["active_collection"], active["model"], self.answerer)
+        rows = an.answer_rows(questions, ranked, active["active_collection"], active["model"], self.answerer)
+        path = shared_dir(questions.sparkSession, "answers")
+        rows.write.parquet(path)
+        answers = questions.sparkSession.read.schema(rows.schema).parquet(path)
+        if log:
+            self.remember(answers)
+        return answers
 
     def remember(self, answers: DataFrame) -> bool:
         """Append to the memory table; a failure is reported, never raised."""
