@@ -26,7 +26,6 @@ table gives an empty table. Other columns play no part.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -400,7 +399,8 @@ def repeated_bits(
     return bits
 
 
-RUNS_AT_ONCE = 1 << 16
+# Runs whose windows are sorted together in a task.
+RUNS_AT_ONCE = 1 << 14
 
 
 def _answers(window: int):
@@ -457,7 +457,7 @@ def _answered(
 
 
 def _removed(frequent: np.ndarray, window: int):
-    """doc_id, text, spans: the bytes of each text and the stretches (start, end, in turn) to be removed from it."""
+    """doc_id, n_bytes, spans, kept: the stretches (start, end, in turn) to be removed from a text, and what remains."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -497,10 +497,13 @@ def _removed(frequent: np.ndarray, window: int):
                 spans = [
                     np.column_stack([begin[of[i] : of[i + 1]], end[of[i] : of[i + 1]]]).ravel() - offsets[i] for i in range(n)
                 ]
-                texts = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(n)]
+                kept = [kept_bytes(data[offsets[i] : offsets[i + 1]].tobytes(), spans[i].tolist()) for i in range(n)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[first : first + n], pa.array(texts, pa.binary()), pa.array(spans, pa.list_(pa.int64()))],
-                    ["doc_id", "text", "spans"],
+                    [
+                        batch.column("doc_id")[first : first + n], pa.array(np.diff(offsets)),
+                        pa.array(spans, pa.list_(pa.int64())), pa.array(kept, pa.binary()),
+                    ],
+                    ["doc_id", "n_bytes", "spans", "kept"],
                 )
 
     return find
@@ -533,19 +536,21 @@ def frequent_grams(docs: DataFrame, window: int) -> np.ndarray:
 
 
 def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, text (bytes) and spans of every row: the stretches, as start, end, start, end, that smaller documents
-    have too."""
+    """doc_id, n_bytes, spans and kept of every row: the stretches, as start, end, start, end, that smaller documents
+    have too, and the bytes without them."""
     if not GRAM < window <= GRAM + 48:
         raise ValueError(f"a window has {GRAM + 1} to {GRAM + 48} bytes")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = texts.where("doc_id is not null")
     frequent = frequent_grams(named, window)
-    # More buckets than partitions, so that partitions get about as many each.
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # More buckets than partitions, so that partitions get about as many each. Their number is stated: partitions put
+    # together by their compressed size would be large in memory.
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * partitions
     found = named.mapInArrow(
         _anchors(frequent, window, buckets), "bucket int, packed binary, doc_id bigint, keys array<int>"
     )
-    shared = found.repartition("bucket").mapInArrow(_shared, "doc_id bigint, key int")
+    shared = found.repartition(partitions, "bucket").mapInArrow(_shared, "doc_id bigint, key int")
     lists = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     # Both joins below read these rows in the same form, so that texts are shuffled once.
     packed = named.mapInArrow(_pack, "doc_id bigint, packed binary").where("doc_id is not null")
@@ -553,7 +558,7 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         _contents(frequent, window, buckets), "bucket int, packed binary, doc_id bigint, full array<bigint>"
     )
     answers = (
-        runs.repartition("bucket")
+        runs.repartition(partitions, "bucket")
         .mapInArrow(_answers(window), "doc_id bigint, content bigint, bits bigint")
         .groupBy("doc_id")
         .agg(
@@ -563,10 +568,13 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         )
     )
     found = packed.join(answers, "doc_id", "left").mapInArrow(
-        _removed(frequent, window), "doc_id bigint, text binary, spans array<bigint>"
+        _removed(frequent, window), "doc_id bigint, n_bytes bigint, spans array<bigint>, kept binary"
     )
     nameless = texts.where("doc_id is null").select(
-        "doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.array().cast("array<bigint>").alias("spans")
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"),
+        F.array().cast("array<bigint>").alias("spans"),
+        F.coalesce("text", F.lit("")).cast("binary").alias("kept"),
     )
     return found.unionByName(nameless)
 
@@ -580,20 +588,16 @@ def kept_bytes(text: bytes, spans: list[int]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
-            text, spans = text.as_py(), spans.as_py()
-            kept = kept_bytes(text, spans)
-            rows.append((len(text), len(text) - len(kept), len(spans) // 2, hashlib.sha256(kept).hexdigest()))
-        columns = [pa.array([r[i] for r in rows], pa.string() if i == 3 else pa.int64()) for i in range(4)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        )
+def digests(found: DataFrame) -> DataFrame:
+    """What is left of each text, as counts and a hash."""
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        (F.size("spans") / 2).cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
 
 
 def op10_depth_limited_radix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_spans(read(spark, sf_dir, "documents")).mapInArrow(
-        _digest, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    )
+    return digests(with_spans(read(spark, sf_dir, "documents")))

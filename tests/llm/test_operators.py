@@ -544,9 +544,7 @@ def test_repeats_against_all_windows(spark, window):
     docs.append((90, "z" * 300, "en", "a", 1))
     docs.append((95, "z" * 180 + "y", "en", "a", 1))
     frame = spark.createDataFrame(docs, DOCS).withColumn("spans", F.lit("clash")).repartition(5)
-    out = repeats.with_spans(frame, window).mapInArrow(
-        repeats._digest, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    )
+    out = repeats.digests(repeats.with_spans(frame, window))
     assert sorted((tuple(r) for r in out.collect()), key=str) == brute_repeats(docs, window)
 
 
