@@ -256,6 +256,36 @@ def test_trees_add_spans_and_keep_base(spark, odd, empty):
     assert pii.train(empty).thresholds == (2.0,) * 4
 
 
+def test_few_examples_take_the_threshold_of_all_kinds(spark):
+    judge = pii.train(private_docs(spark, 40))
+    assert max(judge.thresholds) <= 1
+    texts = ["mail joe.12 at mail3.example.com now", "order 12345678901 x", prose(50, 1)]
+    found = judge.spans(texts)
+    assert [f[:2] for f in found[0][1]] == [(5, 0)] and not found[1][1] and not found[2][1]
+    assert judge.thresholds == pii.train(private_docs(spark, 40).repartition(7)).thresholds
+
+
+def test_rare_kinds_are_drawn_from_the_whole_table(spark):
+    rare = private_docs(spark, 60)
+    many = spark.range(1000, 4000).selectExpr("id as doc_id", "concat('order ', 10000000000 + 7919 * id, ' x') as text")
+    table = pii.drawn(rare.select("doc_id", "text").union(many), 20).toPandas()
+    counts = table.groupby(["kind", "label", "held"]).size()
+    held = {i for i in range(60) if int(hashlib.md5(str(i).encode()).hexdigest()[-1], 16) % 4 == 0}
+    for kind in ("email", "ip", "phone"):
+        of = [r.doc_id for r in rare.collect() for _, k, _ in pii.base_spans(r.text) if pii.KINDS[k] == kind]
+        for side in (True, False):
+            assert counts.get((pii.KINDS.index(kind), 1, side), 0) == min(20, 2 * sum((i in held) == side for i in of))
+    assert counts.max() == 20
+
+
+def test_weights_stand_for_what_was_not_drawn():
+    p, label = np.array([0.9] * 99 + [0.8]), np.array([1] * 99 + [0])
+    assert pii.lowest_cut(p, label, np.ones(100)) == (0.8, 99)
+    assert pii.lowest_cut(p, label, np.where(label == 1, 1.0, 50.0)) == (0.9, 99)
+    # Equal probabilities are decided alike.
+    assert pii.lowest_cut(np.array([0.7, 0.7]), np.array([1, 0]), np.ones(2)) == (np.nextafter(0.7, 2), 0)
+
+
 def test_trees_lower_the_loss():
     rng = np.random.default_rng(8)
     x = rng.normal(size=(600, 4))
