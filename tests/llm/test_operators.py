@@ -278,6 +278,16 @@ def test_rare_kinds_are_drawn_from_the_whole_table(spark):
     assert counts.max() == 20
 
 
+def test_one_document_of_numbers_does_not_fill_the_sample(spark):
+    rare = private_docs(spark, 80).select("doc_id", "text")
+    first = min(range(1000, 3000), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    numbers = spark.createDataFrame([(first, " ".join(str(100 + 7 * i % 900) for i in range(2000)))], "doc_id bigint, text string")
+    assert max(pii.train(rare.union(numbers), max_train=1600).thresholds) <= 1
+    plain, more = (pii.drawn(d, 1000).toPandas().groupby(["kind", "label", "held"]).size() for d in (rare, rare.union(numbers)))
+    assert more.sub(plain, fill_value=0).max() == pii.PER_DOC
+    assert all(more[i] == plain[i] for i in plain.index if i[1] == 1)
+
+
 def test_weights_stand_for_what_was_not_drawn():
     p, label = np.array([0.9] * 99 + [0.8]), np.array([1] * 99 + [0])
     assert pii.lowest_cut(p, label, np.ones(100)) == (0.8, 99)
