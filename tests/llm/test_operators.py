@@ -232,6 +232,14 @@ def test_luhn():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
 
 
+@pytest.mark.parametrize(
+    "span, kind",
+    [("41.11.11.11.11.11.11.11", 2), ("4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", 2), ("0033 (0)1 23 45 67 89", 3), ("a.b" * 50 + " at mail.example.com", 0)],
+)
+def test_candidates_are_proposed_whole(span, kind):
+    assert (6, kind, 6 + len(span)) in pii.candidates(f"write {span} now")
+
+
 def private_docs(spark, n: int = 400):
     rng = random.Random(7)
     docs = []
