@@ -17,8 +17,11 @@ queries are more passes.
 A vector that very many rows share would fill every result's ties: of equal vectors only the k + 1 smallest ids can be
 in a result (one of them may be the query's own), so the others leave first, salted so that a hot vector is spread.
 
-Defined results: vectors that are null, hold null or non-finite components, or components of 2**31 and more after
-scaling, take no part, and neither do rows without an id. Vectors are scored against queries of the same length only;
+Sums that could leave 64 bits are formed in integers of any size. They are compared cut to 64 bits, which keeps their
+order as far as it matters: a result whose score does not fit is an error, as it is in SQL.
+
+Defined results: vectors that are null or hold null or non-finite components take no part, and neither do rows without
+an id. A component that is no 64-bit number after scaling is an error, as it is in SQL. Vectors are scored against queries of the same length only;
 those without components score 0. Repeated ids: rows with the query's id are not its candidates, others stand for
 themselves. Fewer than k candidates give fewer rows; an empty table gives none. Other columns play no part.
 """
@@ -40,16 +43,15 @@ K = 10
 QUERY_BLOCK = 4096
 ROWS = 1024
 SALTS = 16
-LOWEST = np.int64(-(1 << 62))
+LOWEST, HIGHEST = np.int64(-(1 << 63)), np.int64((1 << 63) - 1)
 
 
 def whole_vectors(table: DataFrame, id_column: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
     """vec_id and v (array of whole numbers) of the rows that take part."""
-    x = F.transform(F.col(vector).cast("array<double>"), lambda c: F.floor(c * F.lit(float(scale))))
-    ok = F.forall(
-        F.col(vector).cast("array<double>"),
-        lambda c: F.coalesce(~F.isnan(c) & (F.abs(c * F.lit(float(scale))) < float(1 << 31)), F.lit(False)),
-    )
+    given = F.col(vector).cast("array<double>")
+    far = F.raise_error(F.lit("a component is no 64-bit number after scaling")).cast("bigint")
+    x = F.transform(given, lambda c: F.when(F.abs(c * F.lit(float(scale))) < float(1 << 63), F.floor(c * F.lit(float(scale)))).otherwise(far))
+    ok = F.forall(given, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False)))
     return table.where(F.col(id_column).isNotNull() & F.col(vector).isNotNull() & ok).select(
         F.col(id_column).cast("bigint").alias("vec_id"), x.alias("v")
     )
@@ -66,7 +68,8 @@ def _few_of_equals(vectors: DataFrame, k: int) -> DataFrame:
 
 def approximation_file(vectors: DataFrame, cell: int = CELL) -> DataFrame:
     """vec_id, cells (the numbers of the cells) and v, written so that a scan of the cells alone reads nothing else."""
-    cells = F.transform("v", lambda c: F.floor(c / F.lit(cell)))
+    # Division of whole numbers, rounded down: as doubles, large ones would fall into other cells.
+    cells = F.expr(f"transform(v, c -> (c div {cell}) - if(c % {cell} < 0, 1L, 0L))")
     small = F.forall(cells, lambda c: c.between(-128, 127))
     return written(
         vectors.select(
@@ -85,17 +88,45 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, cell: int):
         self.ids, self.q, self.cell = ids, vectors, cell
+        whole = vectors if _most(vectors) < 1 << 31 else vectors.astype(object)
+        # Products are exact as doubles while every partial sum stays below 2**53, as 64-bit numbers below 2**62.
+        self.largest = int(np.abs(whole).sum(1).max(initial=0))
+        if self.largest * cell >= 1 << 62:
+            whole = whole.astype(object)
         # What the place within a cell can add to a score, at most and at least.
-        self.above = (cell - 1) * np.maximum(vectors, 0).sum(1)
-        self.below = (cell - 1) * np.minimum(vectors, 0).sum(1)
-        # Products are exact as doubles while every partial sum stays below 2**53.
-        self.largest = int(np.abs(vectors).sum(1).max(initial=0))
+        self.above = (cell - 1) * np.maximum(whole, 0).sum(1)
+        self.below = (cell - 1) * np.minimum(whole, 0).sum(1)
+
+    def product(self, rows: np.ndarray, times: int = 1) -> np.ndarray:
+        """Inner products of `times` the rows and the queries, exact."""
+        most = _most(rows) * times
+        if self.largest * most < 1 << 53:
+            return ((rows * times).astype(float) @ self.q.T.astype(float)).astype(np.int64)
+        if self.largest * (most + self.cell) < 1 << 62:
+            return rows * times @ self.q.T
+        return rows.astype(object) * times @ self.q.T.astype(object)
+
+    def lower(self, cells: np.ndarray) -> np.ndarray:
+        return _fitted(self.product(cells, self.cell) + self.below)
+
+    def upper(self, cells: np.ndarray) -> np.ndarray:
+        return _fitted(self.product(cells, self.cell) + self.above)
+
+    def scores(self, rows: np.ndarray, n: int) -> np.ndarray:
+        """Inner products of the rows and query `n`."""
+        if self.largest * _most(rows) < 1 << 62:
+            return rows @ self.q[n]
+        return _fitted(rows.astype(object) @ self.q[n].astype(object))
+
+
+def _most(values: np.ndarray) -> int:
+    """The largest magnitude."""
+    return max(int(values.max(initial=0)), -int(values.min(initial=0)))
+
 
-    def product(self, rows: np.ndarray) -> np.ndarray:
-        """Inner products of rows and queries, exact."""
-        if self.largest * int(np.abs(rows).max(initial=0)) < 1 << 53:
-            return (rows.astype(float) @ self.q.T.astype(float)).astype(np.int64)
-        return rows @ self.q.T
+def _fitted(sums: np.ndarray) -> np.ndarray:
+    """Integers of any size cut to 64 bits."""
+    return sums if sums.dtype == np.int64 else np.minimum(np.maximum(sums, int(LOWEST)), int(HIGHEST)).astype(np.int64)
 
 
 def _matrix(lists: pa.Array, rows: int, dim: int) -> np.ndarray:
@@ -126,7 +157,7 @@ def _floors(blocks: dict[int, Block], k: int):
                 if dim not in blocks:
                     continue
                 block = blocks[dim]
-                lower = (block.product(cells * block.cell) + block.below).T
+                lower = block.lower(cells).T
                 lower[block.ids[:, None] == ids[rows][None, :]] = LOWEST
                 both = np.concatenate([best[dim], lower], axis=1)
                 best[dim] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
@@ -162,20 +193,20 @@ def _reads(blocks: dict[int, Block], floors: dict[int, np.ndarray], k: int):
                 if dim not in blocks:
                     continue
                 block, least = blocks[dim], floor[dim]
-                upper = (block.product(cells * block.cell) + block.above).T
+                upper = block.upper(cells).T
                 maybe = (upper >= least[:, None]) & (block.ids[:, None] != ids[rows][None, :])
                 exact = None
                 for n in np.flatnonzero(maybe.any(1)):
                     if exact is None:
                         exact = _matrix(batch.column("v").take(pa.array(rows)), len(rows), dim)
                     order = np.flatnonzero(maybe[n])
-                    order = order[np.argsort(-upper[n, order], kind="stable")]
+                    order = order[np.argsort(~upper[n, order], kind="stable")]
                     scores = np.zeros(0, np.int64)
                     # Exact vectors, a few at a time, while the next bound still reaches the k-th score.
                     for at in range(0, len(order), 4 * k):
                         if upper[n, order[at]] < least[n]:
                             break
-                        scores = np.append(scores, exact[order[at : at + 4 * k]] @ block.q[n])
+                        scores = np.append(scores, block.scores(exact[order[at : at + 4 * k]], n))
                         if len(scores) >= k:
                             least[n] = max(least[n], np.partition(scores, len(scores) - k)[-k])
                     good = np.flatnonzero(scores >= least[n])
@@ -234,7 +265,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, cell: int = CELL)
     for by in (["query_id", "_salt"], ["query_id"]):
         place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         found = found.withColumn("rank", place).where(F.col("rank") <= k)
-    return found.select("query_id", "rank", "vec_id", "score")
+    far = F.raise_error(F.lit("a score is no 64-bit number")).cast("bigint")
+    fits = (F.col("score") > int(LOWEST)) & (F.col("score") < int(HIGHEST))
+    return found.select("query_id", "rank", "vec_id", F.when(fits, F.col("score")).otherwise(far).alias("score"))
 
 
 def op3_vector_approximation_file(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -196,6 +196,25 @@ def test_topk_leaves_odd_vectors_out(spark):
     assert exact_topk.top_k(none, none).count() == 0
 
 
+def test_topk_keeps_large_components(spark):
+    rng = np.random.default_rng(11)
+    vectors = {i: [float(x) for x in rng.integers(-900, 900, 3)] for i in range(60)}
+    vectors[100] = [3.0e6, -2.0**21, 1.0]
+    vectors[101], vectors[102], vectors[103] = [2.0**21, 1.0, 5.0e6], [2.0**28, 1.0, 0.0], [-(2.0**28), 1.0, 0.5]
+    table = spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<double>").repartition(3)
+    whole = exact_topk.whole_vectors(table)
+    expected = {i: [int(np.floor(1024 * c)) for c in v] for i, v in vectors.items()}
+    assert {r.vec_id: r.v for r in whole.collect()} == expected
+    out = exact_topk.top_k(whole, whole.where("vec_id in (0, 7)"), 5)
+    assert {tuple(r) for r in out.collect()} == brute_topk(expected, [0, 7], 5)
+    # Of this query the best scores fit into 64 bits, while products with other vectors do not.
+    far = {1: [1 << 40, 0], 2: [-(1 << 40), 3], 3: [5, 1], 4: [7, 2], 5: [-(1 << 62), 1 << 62]}
+    frame = spark.createDataFrame(list(far.items()), "vec_id bigint, v array<bigint>")
+    assert {tuple(r) for r in exact_topk.top_k(frame, frame.where("vec_id = 1"), 2).collect()} == brute_topk(far, [1], 2)
+    with pytest.raises(Exception, match="no 64-bit number"):
+        exact_topk.top_k(frame, frame.where("vec_id = 1"), 4).collect()
+
+
 # ---- personal data ---------------------------------------------------------------------------------------------------
 
 PATTERNS = {
