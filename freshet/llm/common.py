@@ -94,5 +94,32 @@ def shuffled_offsets(df: DataFrame, group: str, digest: str, ties: list[str], si
     )
 
 
+def in_order(df: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """`df` written in the order of `by`, with `_id`: ascending in that order, without gaps inside a written part.
+
+    Rows are dealt out by ranges of `by` and, among equals, of their place in the input, so that a flood of equal rows
+    is split as well. The input is read twice, once to find the ranges; write it first if it is dear.
+    """
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    sorted_rows = placed.repartitionByRange(*by, "_place").sortWithinPartitions(*by, "_place")
+    return written(sorted_rows.drop("_place").withColumn("_id", F.monotonically_increasing_id()), name)
+
+
+def ranked(ordered: DataFrame, group: str, name: str) -> DataFrame:
+    """Adds `name` to what `in_order` returned: a row's place in its group from 0. Rows of a group follow each other.
+
+    There is one number per part and group, summed over the parts of a group; no window sees rows of the table itself.
+    `group` is never null.
+    """
+    part = F.shiftright("_id", 33).alias("_part")
+    firsts = ordered.groupBy(group, part).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = firsts.select(
+        group, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0).cast("bigint")) - F.col("_first")).alias("_shift")
+    )
+    joined = ordered.withColumn("_part", part).join(shifts, [group, "_part"])
+    return joined.withColumn(name, F.col("_id") + F.col("_shift")).drop("_part", "_shift")
+
+
 def total_of(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
