@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import corpus_pipeline
 from freshet.catalog.registry import Query
-from freshet.llm import decontamination, exact_topk, mixing, near_dedup, pii, quality, repeats, revisits, sharding, token_rollups
+from freshet.llm import (
+    decontamination, exact_topk, merkle, mixing, near_dedup, packing, pii, quality, repair, repeats, revisits, sharding,
+    token_rollups,
+)
 
 QUERIES = {
     "op1_factorisation_machine": Query(quality.op1_factorisation_machine),
@@ -17,5 +20,8 @@ QUERIES = {
     "op7_hash_tree_shards": Query(sharding.op7_hash_tree_shards),
     "op9_pigeonhole_edit_matching": Query(decontamination.op9_pigeonhole_edit_matching),
     "op10_depth_limited_radix_sort": Query(repeats.op10_depth_limited_radix_sort),
+    "op11_auction_repair": Query(repair.op11_auction_repair),
+    "op12_linear_grouping_packing": Query(packing.op12_linear_grouping_packing),
+    "op13_butterfly_manifest": Query(merkle.op13_butterfly_manifest),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

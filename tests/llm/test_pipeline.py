@@ -26,7 +26,7 @@ def test_query_against_sql(spark, con, name):
 
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
 
 
 def stage(name: str):
