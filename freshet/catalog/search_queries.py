@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,12 @@ from freshet.catalog.registry import Query
 from freshet.config import BLUE
 from freshet.operators import answers as an
 from freshet.operators import extras
+from freshet.operators.cells import CENTROID_PLACES, ROUNDS, build, fit, knn_cells
 from freshet.operators.embedding import HashedBagOfWords
 from freshet.operators.rerank import rerank, word_overlap
-from freshet.operators.search import knn_approximate, knn_exact
+from freshet.operators.search import candidates_for, knn_approximate, knn_exact
 from freshet.plans.ask import retrieve
+from freshet.sources.shared import shared_dir
 
 EMBEDDER = HashedBagOfWords(CONFIG.model, DIM)
 
@@ -68,6 +72,17 @@ def knn_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(knn_approximate(vectors, _questions(vectors), 5, dim=64, id_column="vec_id"))
 
 
+def knn_cells_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as questions to an inverted file, each looking at three quarters of the cells."""
+    vectors = table(spark, sf_dir, "embeddings")
+    cells = fit(vectors, 64, id_column="vec_id")
+    cells = replace(cells, probes=-(-3 * len(cells.centroids) // 4))
+    path = shared_dir(spark, "cells")
+    build(vectors, cells, path, "vec_id")
+    asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    return _rounded(knn_cells(spark, path, asked, 5, id_type="bigint", id_column="vec_id"))
+
+
 _PER_LABEL = "select label as query_id, arg_min({vector}, vec_id) as v from embeddings group by 1"
 
 
@@ -83,6 +98,58 @@ def _knn_sql(where: str = "true", vector: str = "embedding", k: int = 5, asked:
     """
 
 
+def _sketch_sql(k: int = 5, bits: int = 256, dim: int = 64) -> str:
+    """The candidates with most signs in common, scored exactly."""
+    return f"""
+    with e as (select vec_id, label, cast(embedding as double[]) as v from embeddings where len(embedding) = {dim}),
+    q as (select label as query_id, arg_min(v, vec_id) as v from e group by 1),
+    p as (select b, list(case when md5(b::varchar||':'||d::varchar) < '8' then 1.0::double else -1.0::double end order by d) as s
+      from range({bits}) t(b), range({dim}) u(d) group by b),
+    se as (select vec_id, b, list_dot_product(v, s) > 0 as bit from e, p),
+    sq as (select query_id, b, list_dot_product(v, s) > 0 as bit from q, p),
+    f as (select query_id, vec_id, count(*) filter (se.bit = sq.bit) as same from se join sq using (b) group by query_id, vec_id),
+    c as (select query_id, vec_id from (select *, row_number() over (partition by query_id order by same desc, vec_id) as n
+      from f) where n <= {candidates_for(k)})
+    select query_id, vec_id, round(s, 6) as score, rank from (
+      select query_id, vec_id, s, cast(row_number() over (partition by query_id order by round(s, 9) desc, vec_id) as int) as rank
+      from (select query_id, vec_id, (1 + list_cosine_similarity(e.v, q.v)) / 2 as s
+            from c join e using (vec_id) join q using (query_id)))
+    where rank <= {k}
+    """
+
+
+def _cells_sql(k: int = 5, dim: int = 64) -> str:
+    """Centroids by two rounds of means, each vector in its nearest cell, each question in three quarters of the cells."""
+    near = "row_number() over (partition by u.vec_id order by round(list_dot_product(u.v, c.v), 9) desc, cell)"
+    unit = "list_transform({v}, lambda x: x / sqrt(list_dot_product({v}, {v})))"
+    ctes = [
+        f"e as (select vec_id, cast(embedding as double[]) as v from embeddings where len(embedding) = {dim})",
+        f"u as (select vec_id, {unit.format(v='v')} as v from e)",
+        "o as (select *, row_number() over (order by md5(vec_id::varchar), vec_id::varchar) - 1 as cell from u)",
+        f"c0 as (select cell, list_transform(v, lambda x: round(x, {CENTROID_PLACES})) as v from o "
+        "where cell < (select ceil(sqrt(count(*))) from e))",
+    ]
+    for n in range(ROUNDS):
+        ctes += [
+            f"a{n} as (select vec_id, cell from (select u.vec_id, cell, {near} as n from u, c{n} c) where n = 1)",
+            f"m{n} as (select cell, list(s order by j) as v from (select cell, j, sum(x) as s from (select cell, unnest(v) as x, "
+            f"generate_subscripts(v, 1) as j from a{n} join u using (vec_id)) group by all) group by cell)",
+            f"c{n + 1} as (select cell, list_transform(coalesce({unit.format(v='m.v')}, c.v), lambda x: round(x, "
+            f"{CENTROID_PLACES})) as v from c{n} c left join m{n} m using (cell))",
+        ]
+    return f"""
+    with {', '.join(ctes)},
+    places as materialized (select u.vec_id, cell, {near} as n from u, c{ROUNDS} c),
+    looked as (select vec_id as query_id, cell from places where n <= (select ceil(3 * count(*) / 4) from c0)),
+    homes as (select vec_id, cell from places where n = 1)
+    select query_id, vec_id, round(s, 6) as score, rank from (
+      select query_id, vec_id, s, cast(row_number() over (partition by query_id order by round(s, 9) desc, vec_id) as int) as rank
+      from (select query_id, homes.vec_id, (1 + list_cosine_similarity(e.v, q.v)) / 2 as s
+            from looked join homes using (cell) join e on e.vec_id = homes.vec_id join e q on q.vec_id = query_id))
+    where rank <= {k}
+    """
+
+
 def ab_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two models compared: the full vectors against their first half."""
     full = table(spark, sf_dir, "embeddings")
@@ -263,7 +330,8 @@ QUERIES = {
     "knn_many_questions": Query(
         knn_many_questions, _knn_sql(asked="select vec_id as query_id, embedding as v from embeddings")
     ),
-    "knn_sketch": Query(knn_sketch),
+    "knn_sketch": Query(knn_sketch, _sketch_sql()),
+    "knn_cells": Query(knn_cells_all, _cells_sql()),
     "ab_overlap": Query(ab_overlap, _AB_SQL),
     "vector_hits": Query(
         vector_hits,

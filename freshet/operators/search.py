@@ -1,18 +1,22 @@
 """Vector search for a table of questions.
 
 Pairs of question and chunk are never rows. A task scores its chunks against all questions in one matrix product and
-passes on only its best k per question; those short rows are thinned out in parts before the last window sees them.
+passes on only its best k per question. There are a few such tasks per core, however many splits the table has, each
+merging the best of its splits before anything is shuffled; those short rows are thinned out in parts before the last
+window sees them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
@@ -39,14 +43,14 @@ def candidates_for(k: int) -> int:
     return max(CANDIDATES_AT_LEAST, CANDIDATES_PER_HIT * k)
 
 
-def _matrix(vectors: pa.Array, dtype) -> np.ndarray:
+def matrix_of(vectors: pa.Array, dtype) -> np.ndarray:
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     flat = np.asarray(vectors.flatten(), dtype=dtype)
     return flat.reshape(len(vectors), -1)
 
 
-def _unit_rows(m: np.ndarray) -> np.ndarray:
+def unit_rows(m: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
 
@@ -66,17 +70,24 @@ class _Best:
             some = slice(start, start + rows)
             self.add(score(vectors[some], questions), ids[some].to_pylist())
 
-    def add(self, scores: np.ndarray, ids: list) -> None:
-        """`scores` has one row per id and one column per question."""
+    def search_some(self, ids: pa.Array, vectors: pa.Array, questions: np.ndarray, which: np.ndarray) -> None:
+        """The same by cosine for the questions numbered `which` only."""
+        rows = max(1, SCORES_AT_ONCE // max(1, len(which)))
+        for start in range(0, len(ids), rows):
+            some = slice(start, start + rows)
+            self.add(_cosine_scores(vectors[some], questions[which]), ids[some].to_pylist(), which)
+
+    def add(self, scores: np.ndarray, ids: list, which: np.ndarray | None = None) -> None:
+        """`scores` has one row per id and one column per question, or per question numbered in `which`."""
         tied = np.round(scores, TIE_PLACES)
+        floor = self.floor if which is None else self.floor[which]
         if len(ids) > self.k:
             kth = -np.partition(-tied, self.k - 1, axis=0)[self.k - 1]
-            floor = np.maximum(self.floor, kth)
-        else:
-            floor = self.floor
-        for q in np.flatnonzero((tied >= floor).any(axis=0)):
-            rows = np.flatnonzero(tied[:, q] >= floor[q])
-            found = [(-tied[r, q], ids[r], scores[r, q]) for r in rows]
+            floor = np.maximum(floor, kth)
+        for column in np.flatnonzero((tied >= floor).any(axis=0)):
+            rows = np.flatnonzero(tied[:, column] >= floor[column])
+            found = [(-tied[r, column], ids[r], scores[r, column]) for r in rows]
+            q = column if which is None else which[column]
             self.kept[q] = heapq.nsmallest(self.k, self.kept[q] + found)
             if len(self.kept[q]) == self.k:
                 self.floor[q] = -self.kept[q][-1][0]
@@ -88,12 +99,12 @@ class _Best:
 
 
 def _cosine_scores(chunks: pa.Array, questions: np.ndarray) -> np.ndarray:
-    return (_unit_rows(_matrix(chunks, np.float64)) @ questions.T + 1) / 2
+    return (unit_rows(matrix_of(chunks, np.float64)) @ questions.T + 1) / 2
 
 
 def _bit_scores(sketches: pa.Array, questions: np.ndarray) -> np.ndarray:
     """Share of equal bits, from sketches kept as arrays of 64-bit words."""
-    words = _matrix(sketches, np.int64)
+    words = matrix_of(sketches, np.int64)
     differing = np.zeros((len(words), len(questions)), dtype=np.int64)
     for w in range(questions.shape[1]):
         differing += np.bitwise_count((words[:, w, None] ^ questions[None, :, w]).view(np.uint64))
@@ -102,18 +113,39 @@ def _bit_scores(sketches: pa.Array, questions: np.ndarray) -> np.ndarray:
 
 Scores = Callable[[pa.Array, np.ndarray], np.ndarray]
 _KINDS: dict[str, tuple[Scores, Callable[[pa.Array], np.ndarray]]] = {
-    "cosine": (_cosine_scores, lambda a: _unit_rows(_matrix(a, np.float64))),
-    "bits": (_bit_scores, lambda a: _matrix(a, np.int64)),
+    "cosine": (_cosine_scores, lambda a: unit_rows(matrix_of(a, np.float64))),
+    "bits": (_bit_scores, lambda a: matrix_of(a, np.int64)),
 }
 
 
+# What a task does with its batches: fill the best k, given the matrix of questions.
+Scan = Callable[["_Best", Iterator[pa.RecordBatch], np.ndarray], None]
+
+
+def _whole(best: _Best, batches: Iterator[pa.RecordBatch], matrix: np.ndarray, score: Scores) -> None:
+    for batch in batches:
+        if batch.num_rows:
+            best.search(score, batch.column("id"), batch.column("v"), matrix)
+
+
 def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: int, block: int | None) -> DataFrame:
-    """Best k (query_id, id, score) over (id, v) for every row of (query_id, v).
+    """Best k (query_id, id, score) over all of (id, v) for every row of (query_id, v)."""
+    score, prepare = _KINDS[kind]
+    rows = corpus.select("id", "v")
+    return best_k(questions, k, corpus.schema["id"], width, block, lambda _: (rows, partial(_whole, score=score)), prepare)
 
-    Questions are taken in blocks of about `block` rows, each sent to all tasks of one scan of the corpus.
+
+def best_k(
+    questions: DataFrame, k: int, id_field: T.StructField, width: int, block: int | None,
+    scan_for: Callable[[pa.Table], tuple[DataFrame, Scan]], prepare: Callable[[pa.Array], np.ndarray] | None = None,
+) -> DataFrame:
+    """Best k (query_id, id, score) for every row of (query_id, v).
+
+    Questions are taken in blocks of about `block` rows, each sent to all tasks of one scan of the rows that `scan_for`
+    names for the block.
     """
     schema = T.StructType(
-        [questions.schema["query_id"], T.StructField("id", corpus.schema["id"].dataType), T.StructField("score", T.DoubleType())]
+        [questions.schema["query_id"], T.StructField("id", id_field.dataType), T.StructField("score", T.DoubleType())]
     )
     block = block or max(1, min(BROADCAST_QUESTIONS, BROADCAST_VALUES // max(1, width)))
     count = questions.count()
@@ -123,30 +155,36 @@ def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: i
     for n in range(blocks):
         # One block of questions at a time comes to the driver.
         asked = questions.where(number == n).select("query_id", "v").toArrow()
-        partial = _scan(corpus, asked, k, kind, schema)
-        hits = partial if hits is None else hits.unionByName(partial)
+        rows, scan = scan_for(asked)
+        found = _scanned(rows, asked, k, schema, scan, prepare or _KINDS["cosine"][1])
+        hits = found if hits is None else hits.unionByName(found)
     best = ranked(_thinned(hits, k), k)
     # At most k hits per question: the bound is known without running the search.
     return F.broadcast(best) if count * k <= SLIM_ROWS else best
 
 
-def _scan(corpus: DataFrame, asked: pa.Table, k: int, kind: str, schema: T.StructType) -> DataFrame:
-    """Each task's best k for every question of one block."""
-    score, prepare = _KINDS[kind]
+def scan_tasks(spark: SparkSession) -> int:
+    """Tasks that a scan is merged into: two per core, and no fewer than a shuffle has, should cores still be starting."""
+    return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _scanned(
+    rows: DataFrame, asked: pa.Table, k: int, schema: T.StructType, scan: Scan, prepare: Callable[[pa.Array], np.ndarray]
+) -> DataFrame:
+    """Each task's best k for every question of one block. A task takes several splits one after the other and passes on
+    one best k for all of them, so that what is shuffled grows with the cores and not with the splits."""
     arrow = to_arrow_schema(schema)
-    shared = corpus.sparkSession.sparkContext.broadcast(
-        (asked["query_id"].to_pylist(), prepare(asked["v"]) if asked.num_rows else None)
-    )
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast((asked["query_id"].to_pylist(), prepare(asked["v"]) if asked.num_rows else None))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         question_ids, matrix = shared.value
         best = _Best(len(question_ids), k)
-        for batch in batches:
-            if batch.num_rows and question_ids:
-                best.search(score, batch.column("id"), batch.column("v"), matrix)
+        if question_ids:
+            scan(best, batches, matrix)
         yield from best.table(question_ids, arrow).to_batches()
 
-    return corpus.select("id", "v").mapInArrow(search, schema)
+    return rows.coalesce(scan_tasks(spark)).mapInArrow(search, schema)
 
 
 def _thinned(hits: DataFrame, k: int) -> DataFrame:
@@ -185,14 +223,21 @@ def knn_exact(
     return _best_k(chunks, asked, k, "cosine", dim, block).withColumnRenamed("id", id_column)
 
 
-def sketch(embedding: Column, dim: int, bits: int = 256, seed: int = 7) -> Column:
-    """Signs of `bits` random projections as an array of 64-bit words: 32 bytes instead of 4 per dimension."""
+@lru_cache(maxsize=4)
+def planes(dim: int, bits: int) -> np.ndarray:
+    """A sign per dimension and bit, from a digest, so that any engine draws the same ones."""
+    return np.array(
+        [[1.0 if hashlib.md5(f"{b}:{d}".encode()).hexdigest() < "8" else -1.0 for b in range(bits)] for d in range(dim)]
+    )
+
+
+def sketch(embedding: Column, dim: int, bits: int = 256) -> Column:
+    """Signs of `bits` projections as an array of 64-bit words: 32 bytes instead of 4 per dimension."""
 
     @F.arrow_udf("array<bigint>")
     def signs(vectors: pa.Array) -> pa.Array:
-        planes = np.random.default_rng(seed).standard_normal((dim, bits))
-        m = _matrix(vectors, np.float64)
-        words = np.packbits(m @ planes > 0, axis=1).view(np.int64) if len(m) else np.zeros((0, bits // 64), np.int64)
+        m = matrix_of(vectors, np.float64)
+        words = np.packbits(m @ planes(dim, bits) > 0, axis=1).view(np.int64) if len(m) else np.zeros((0, bits // 64), np.int64)
         offsets = np.arange(len(words) + 1, dtype=np.int32) * words.shape[1]
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(words.reshape(-1)))
 

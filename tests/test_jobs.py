@@ -8,7 +8,8 @@ from freshet.config import BLUE, GREEN, MEMORY, SOURCES, STAGING, JobConfig
 from freshet.operators import checks, sync
 from freshet.operators.chunking import Chunkers, plain_pieces
 from freshet.operators.embedding import HashedBagOfWords
-from freshet.plans.ask import Asking
+from freshet.operators.cells import is_built
+from freshet.plans.ask import Asking, build_index, index_folder, retrieve
 from freshet.plans.backfill import backfill, cutover
 from freshet.plans.ingest import Ingest, ensure_tables, ingest_by_target, resync, summary
 from freshet.sources.files import fetch_objects, markdown_tree, read_objects
@@ -214,6 +215,26 @@ def test_backfill_cutover_rollback_and_questions(spark, store):
     assert cutover(store, "empty_table") == {"active_collection": "empty_table", "active_index": "chunk_vectors", "model": "hashed-bow-1", "dim": 1024}
 
 
+def test_questions_through_an_inverted_file(spark, store):
+    """The index of the present version is searched; an ingest makes it stale, and searches are exact again."""
+    ingest = ingest_of(store)
+    ingest.run(objects(spark, **{f"d{i}_txt": f"word{'abcdefghij'[i]} apples" for i in range(10)}))
+    asking = Asking(store, lambda model, dim: HashedBagOfWords(model, dim), config=JobConfig(model="m1", dim=16))
+    asked = spark.createDataFrame([("1", "wordc apples?"), ("2", " ")], "query_id STRING, query STRING")
+    exact = asking.ask(asked, 3, 2).collect()
+    path = build_index(store, BLUE, 16, cells=3, probes=3)
+    assert is_built(spark, path) and path == index_folder(store, BLUE)
+    assert asking.ask(asked, 3, 2).collect() == exact
+    # A plan that reads the index names its folder; with one cell of three it may miss hits, but not the nearest.
+    hits = retrieve(store.read(BLUE), asked, HashedBagOfWords("m1", 16), 3, path)
+    assert "/_cells/" in str(hits.inputFiles()) and hits.count() == 3
+    build_index(store, BLUE, 16, cells=3, probes=1)
+    assert asking.ask(asked.where("query_id = '1'"), 1, 1).first()["sources"][0]["s3_uri"] == "s3://b/d2.txt"
+    ingest.run(objects(spark, n_txt="wordc,  apples"))
+    assert not is_built(spark, index_folder(store, BLUE))
+    assert "s3://b/n.txt" in [s["s3_uri"] for s in asking.ask(asked.where("query_id = '1'"), 3, 2).first()["sources"]]
+
+
 def test_answers_with_a_model_search_once(spark, store):
     ingest_of(store).run(objects(spark, a_txt="red apples", b_txt="green pears"))
     asking = Asking(

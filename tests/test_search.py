@@ -1,9 +1,13 @@
+from functools import partial
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freshet.catalog.inputs import table
 from freshet.operators import answers as an
+from freshet.operators.cells import build, fit, is_built, knn_cells, load
 from freshet.operators.embedding import HashedBagOfWords
 from freshet.operators.rerank import attach_results, rerank, word_overlap
 from freshet.operators.search import knn_approximate, knn_exact
@@ -68,6 +72,67 @@ def test_sketches_find_most_of_the_nearest(spark, vectors):
     assert grouped(everything) == exact
 
 
+def recall_of(near, exact):
+    return np.mean([len(set(exact[q]) & set(near.get(q, []))) / len(exact[q]) for q in exact])
+
+
+def test_cells_find_nearly_all_of_the_nearest(spark, vectors, tmp_path):
+    """All vectors as questions; the number of cells is the one measured when they were fitted."""
+    asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    exact = grouped(knn_exact(vectors, asked, 5, dim=64, id_column="vec_id"))
+    fitted = fit(vectors, 64, id_column="vec_id")
+    assert len(fitted.centroids) == 23 and fitted.probes < 23
+    path = str(tmp_path / "cells")
+    build(vectors, fitted, path, "vec_id")
+    assert is_built(spark, path) and not is_built(spark, path + "-other")
+    stored = load(spark, path)
+    assert np.array_equal(stored.centroids, fitted.centroids) and stored.probes == fitted.probes
+    ask = partial(knn_cells, spark, path, asked, 5, id_type="bigint", id_column="vec_id")
+    assert recall_of(grouped(ask()), exact) >= 0.95
+    assert grouped(ask(probes=23)) == exact == grouped(ask(probes=23, block=90))
+
+
+def test_cells_of_grouped_vectors_are_few_and_pruned(spark, tmp_path):
+    """Well separated groups, one of them a third of all rows: few cells are looked at and only their folders read."""
+    rng = np.random.default_rng(3)
+    middles = rng.standard_normal((30, 16))
+    rows = [(i, (middles[0 if i % 3 == 0 else i % 30] + 0.05 * rng.standard_normal(16)).tolist()) for i in range(1200)]
+    rows += [(2000, None), (2001, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>").repartition(5)
+    asked = df.where("vec_id % 50 = 1").select(F.col("vec_id").alias("query_id"), "embedding")
+    exact = grouped(knn_exact(df, asked, 5, dim=16, id_column="vec_id"))
+    fitted = fit(df, 16, id_column="vec_id")
+    assert fitted.probes <= 6
+    path = str(tmp_path / "cells")
+    build(df, fitted, path, "vec_id")
+    one = asked.where("query_id = 1")
+    near = knn_cells(spark, path, one, 5, id_type="bigint", id_column="vec_id")
+    assert grouped(near) == {1: exact[1]}
+    assert recall_of(grouped(knn_cells(spark, path, asked, 5, id_type="bigint", id_column="vec_id")), exact) >= 0.95
+    plan = near._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "cell" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert spark.read.parquet(f"{path}/vectors").count() == 1200
+
+
+def test_cells_of_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "chunk_id STRING, embedding ARRAY<FLOAT>")
+    build(none, fit(none, 4), str(tmp_path / "c"))
+    asked = spark.createDataFrame([("q", [1.0, 0.0, 0.0, 0.0])], "query_id STRING, embedding ARRAY<FLOAT>")
+    assert knn_cells(spark, str(tmp_path / "c"), asked).count() == 0
+
+
+def test_scan_passes_on_one_best_k_per_task(spark, vectors):
+    """However many splits there are, what is shuffled is bounded by tasks x questions x k."""
+    from freshet.operators import search
+
+    many = vectors.repartition(200).select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    asked = vectors.where("vec_id < 3").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("v"))
+    schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("id", T.LongType()), T.StructField("score", T.DoubleType())])
+    score, prepare = search._KINDS["cosine"]
+    hits = search._scanned(many, asked.toArrow(), 2, schema, partial(search._whole, score=score), prepare)
+    assert hits.count() <= search.scan_tasks(spark) * 3 * 2 < 200 * 3 * 2
+
+
 def test_stand_in_embedder(spark):
     df = spark.createDataFrame([(1, "Some words, some WORDS"), (2, ""), (3, None), (4, "words words some some"), (5, "éà")], "i INT, t STRING")
     got = {r["i"]: r for r in df.select("i", HashedBagOfWords("m", 32).embed(F.col("t")).alias("v"), HashedBagOfWords("n", 32).embed(F.col("t")).alias("w")).collect()}
