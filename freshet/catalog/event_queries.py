@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.catalog.inputs import (
-    CONFIG, DOCS, DOCS_LATER, EVENTS, TREE, exploded_sql, object_uri_sql, strip_sql, windows_sql,
+    CONFIG, DOCS, DOCS_LATER, EVENTS, TREE, Derived, exploded_sql, object_uri_sql, strip_sql, windows_sql,
 )
 from freshet.catalog.registry import Query
 from freshet.functions import text as tx
@@ -62,8 +62,7 @@ select landing_key, max(off) as "offset", arg_max(value, off) as value from k wh
 
 
 def latest_event_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = ev.landing_key(ev.landable(events(spark, sf_dir)))
-    return ev.latest_per_key(keyed, "landing_key", ["offset"])
+    return ev.latest_per_key(ev.landing_key(events(spark, sf_dir)), "landing_key", ["offset"])
 
 
 def latest_trigger_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,14 +110,81 @@ def _store(spark: SparkSession, name: str):
     return TableStore(spark, shared_dir(spark, name), buckets=8)
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    from freshet.sources.shared import shared_dir
+
+    return shared_dir(spark, name)
+
+
 def stream_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from freshet.config import SOURCES
-    from freshet.streaming.landing import land_stream
+    from freshet.streaming.landing import land_stream, latest
+
+    root = _folder(spark, "landing")
+    land_stream(_event_stream(spark, sf_dir), root, f"{root}/_checkpoint").awaitTermination()
+    return latest(spark, root)
+
+
+# Events over three partitions, each with offsets of its own, landed in two batches: every third one comes too early or
+# too late. Some have no key at all, some repeat a member name.
+_PARTITIONED = Derived(
+    EVENTS,
+    "cast(off%3 as int) as part",
+    "cast(floor(off/3) as bigint) as off_in",
+    "off*1000000+(off%7)*5000000 as micros",
+    "case when off%50=4 then '{\"x\":1}' when off%50=6 then '[1]' when off%50=7 then '{\"Key\":\"twice\",\"Key\":\"twice\"}' "
+    "else value end as value",
+    "cast(case when off%3=0 then 1 else 0 end as bigint) as batch",
+)
+
+
+def _partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _PARTITIONED.spark(spark, sf_dir).withColumnsRenamed({"off_in": "offset", "part": "partition"})
+    return rows.withColumn("timestamp", F.timestamp_micros("micros")).drop("micros")
+
+
+def _land_both(spark: SparkSession, sf_dir: str, root: str, between=lambda: None) -> None:
+    from freshet.streaming.landing import land
+
+    for number in range(2):
+        land(_partitioned(spark, sf_dir).where(F.col("batch") == number).drop("batch"), root, number)
+        between()
+
 
-    store = _store(spark, "landing")
-    query = land_stream(_event_stream(spark, sf_dir), store, f"{store.root}/_checkpoint")
-    query.awaitTermination()
-    return store.read(SOURCES)
+def landing_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the events of two batches went, and why some were rejected."""
+    from freshet.streaming.landing import account
+
+    root = _folder(spark, "landing")
+    _land_both(spark, sf_dir, root)
+    reason = [F.coalesce(F.col("reasons")[r], F.lit(0).cast("bigint")).alias(r.replace(" ", "_").lower()) for r in (
+        ev.NO_JSON, ev.NO_OBJECT, ev.TEST_EVENT, ev.NO_KEY)]
+    return account(spark, root).select("batch", "input", "landed", "superseded", "rejected", *reason)
+
+
+def landed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed, followed after each of two landed batches."""
+    from freshet.streaming.landing import follow
+
+    root = _folder(spark, "landing")
+    seen: list[str] = []
+
+    def keep(feed: DataFrame) -> None:
+        path = _folder(spark, "changes")
+        feed.write.parquet(path)
+        seen.append(path)
+
+    _land_both(spark, sf_dir, root, lambda: follow(spark, root, keep, f"{root}/_feed").awaitTermination())
+    return spark.read.parquet(*seen).select("landing_key", "batch", "partition", "offset", "op", "value")
+
+
+_LANDED_SQL = f"""
+ev as ({_PARTITIONED.sql}),
+v as (select *, try_cast(value as json) as v from ev),
+c as (select *, json_valid(value) as ok, starts_with(value, '{{') as obj, v->>'$.Event' as event,
+      case when starts_with(value, '{{') then coalesce(v->>'$.Key', case when (v->'$.Records') is null then
+      (try_cast(v->>'$.Message' as json))->>'$.Key' end) end as landing_key from v),
+l as (select *, row(micros, part, off_in) as place from c where landing_key is not null)
+"""
 
 
 def _upload_events(stream: DataFrame, docs) -> DataFrame:
@@ -155,14 +221,17 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from freshet.config import BLUE
     from freshet.operators.embedding import HashedBagOfWords
     from freshet.plans.ingest import Ingest
-    from freshet.streaming.ingest import ingest_stream
+    from freshet.streaming.ingest import ingest_landed
+    from freshet.streaming.landing import land_stream
 
     store = _store(spark, "stream")
     ingest = Ingest(store, HashedBagOfWords(CONFIG.model, CONFIG.dim), plain_chunkers())
     for no, docs in enumerate((DOCS, DOCS_LATER)):
         objects = docs.spark(spark, sf_dir).select("bucket", "key", "content_type", "body")
+        root = f"{store.root}/landing-{no}"
         feed = _upload_events(_document_stream(spark, sf_dir), docs)
-        ingest_stream(feed, objects, ingest, f"{store.root}/_checkpoint-{no}").awaitTermination()
+        land_stream(feed, root, f"{root}/_checkpoint").awaitTermination()
+        ingest_landed(spark, root, objects, ingest, f"{root}/_feed").awaitTermination()
     return store.read(BLUE).select("doc_id", "chunk_id", "ordinal", "content_hash", "doc_content_hash", "model", "dim")
 
 
@@ -189,8 +258,29 @@ QUERIES = {
     "object_refs_from_events": Query(object_refs_from_events, f"with {_PARSED_SQL} select * from refs"),
     "event_rejects": Query(
         event_rejects,
-        f"with ev as ({EVENTS.sql}) select off as \"offset\", value from ev "
-        "where not json_valid(value) or not starts_with(value, '{')",
+        f"with {_PARSED_SQL}, k as (select ev.off, ev.value, v, coalesce(v->>'$.Key', case when (v->'$.Records') is null then "
+        "(try_cast(v->>'$.Message' as json))->>'$.Key' end) as key from ev join v using (off)) "
+        "select off as \"offset\", value, case when not json_valid(value) then 'not JSON' when not starts_with(value, '{') "
+        "then 'no object' when v->>'$.Event' = 's3:TestEvent' then 'test event' else 'no key' end as reason "
+        "from k where key is null",
+    ),
+    "landing_account": Query(
+        landing_account,
+        f"with {_LANDED_SQL} select batch, count(*) as input, count(distinct landing_key) as landed, "
+        "count(landing_key) - count(distinct landing_key) as superseded, count(*) - count(landing_key) as rejected, "
+        "count(*) filter (landing_key is null and not ok) as not_json, "
+        "count(*) filter (landing_key is null and ok and not obj) as no_object, "
+        "count(*) filter (landing_key is null and ok and obj and event = 's3:TestEvent') as test_event, "
+        "count(*) filter (landing_key is null and ok and obj and event is distinct from 's3:TestEvent') as no_key "
+        "from c group by batch",
+    ),
+    "landed_changes": Query(
+        landed_changes,
+        f"with {_LANDED_SQL}, h as (select landing_key, batch, max(place) as place from l group by all), "
+        "f as (select *, max(place) over (partition by landing_key order by batch rows between unbounded preceding and 1 preceding) "
+        "as known from h) select l.landing_key, l.batch, l.part as \"partition\", l.off_in as \"offset\", "
+        "case when known is null then 'insert' else 'replace' end as op, value "
+        "from f join l using (landing_key, batch, place) where known is null or f.place > known",
     ),
     "first_record_trigger": Query(
         first_record_trigger,

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 BLUE, GREEN = "knowledge", "knowledge_v2"
 
 # Names of the other tables.
-SOURCES, STAGING, POINTER, MEMORY = "sources", "chunks_staging", "active_pointer", "agent_memory"
+STAGING, POINTER, MEMORY = "chunks_staging", "active_pointer", "agent_memory"
 REPORT = "ingest_report"
 
 

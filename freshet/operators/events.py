@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freshet.functions import text as tx
 from freshet.functions.arrays import elements
@@ -58,25 +59,74 @@ def refs_of_records(parsed: DataFrame, kept: list[str]) -> DataFrame:
     )
 
 
-def rejects(events: DataFrame, value: str = "value") -> DataFrame:
-    """Values that cannot be landed: not JSON, or not an object."""
-    return events.where(F.try_parse_json(value).isNull() | ~_is_object(F.col(value)))
+# Why an event cannot be landed.
+NO_JSON, NO_OBJECT, TEST_EVENT, NO_KEY = "not JSON", "no object", "test event", "no key"
+# Repeated member names are allowed and the last one counts; quotes must be double.
+_STRICT = {"allowSingleQuotes": "false"}
+
+
+def classified(events: DataFrame, value: str = "value") -> DataFrame:
+    """Adds `landing_key` and `reason`: every event has one of the two. A map-only stage that parses once.
+
+    The key is the event's own Key, else bucket/key of its first record; a notification wrapped in a `Message` text is
+    unwrapped first. Without a key the reason says why: no JSON, no object, a test event, an object that names nothing.
+    """
+    # As the only element of an array: what follows an object is an error then, and a field of another type is not.
+    whole = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), f"array<struct<{_struct_of(EVENT_DDL)}>>", _STRICT)
+    wrapped = F.col("_event.Message")
+    inner = F.when(_is_object(wrapped), F.from_json(wrapped, EVENT_DDL, _STRICT))
+    unwrap = F.col("_event.Records").isNull() & wrapped.isNotNull()
+    first = F.get(F.col("_event.Records"), F.lit(0))["s3"]
+    key = F.coalesce(F.col("_event.Key"), F.concat(first["bucket"]["name"], F.lit("/"), first["object"]["key"]))
+    other = F.when(F.try_parse_json(value).isNull(), NO_JSON).otherwise(NO_OBJECT)
+    reason = (
+        F.when(F.col("_read") != 1, other).when(F.col("_event.Event") == "s3:TestEvent", TEST_EVENT).otherwise(NO_KEY)
+    )
+    # Lists of one element keep the optimizer from parsing once per use.
+    return (
+        events.select(*events.columns, elements(F.array(whole)).alias("_no", "_whole"))
+        .withColumn("_event", F.get("_whole", F.lit(0)))
+        .withColumn("_read", F.when(F.col("_event").isNull(), 0).otherwise(F.size("_whole")))
+        .withColumn("_event", F.when(unwrap, inner).otherwise(F.col("_event")))
+        .withColumn("landing_key", F.when(F.col("_read") == 1, key))
+        .withColumn("reason", F.when(F.col("landing_key").isNull(), reason))
+        .select(*events.columns, "landing_key", "reason")
+    )
+
 
+def _struct_of(ddl: str) -> str:
+    """Fields of a table schema as those of a struct type."""
+    return T.StructType.fromDDL(ddl).simpleString().removeprefix("struct<").removesuffix(">")
 
-def landable(events: DataFrame, value: str = "value") -> DataFrame:
-    return events.where(F.try_parse_json(value).isNotNull() & _is_object(F.col(value)))
+
+def rejects(events: DataFrame, value: str = "value") -> DataFrame:
+    """Events that cannot be landed, with the reason."""
+    return classified(events, value).where(F.col("reason").isNotNull()).drop("landing_key")
 
 
 def landing_key(events: DataFrame, value: str = "value") -> DataFrame:
-    """Adds `landing_key`: the event's own Key, else bucket/key of its first record; rows without either are left out."""
-    first = F.get(F.col("event.Records"), F.lit(0))["s3"]
-    fallback = F.concat(first["bucket"]["name"], F.lit("/"), first["object"]["key"])
-    # As a list of one key or none: a filter on the key would be pushed down with a second parse of the event.
-    keys = F.filter(F.array(F.coalesce(F.col("event.Key"), fallback)), lambda k: k.isNotNull())
-    return (
-        parse(events, value)
-        .select(*events.columns, elements(keys).alias("_no", "landing_key"))
-        .drop("_no")
+    """Events that can be landed, with their `landing_key`."""
+    return classified(events, value).where(F.col("reason").isNull()).drop("reason")
+
+
+# Events in the order in which they came into being: by time, and for one time by partition and place in it.
+ORDER = ["at", "partition", "offset"]
+
+
+def placed(events: DataFrame) -> DataFrame:
+    """`events` with `at` (microseconds, from `timestamp` where there is one) and `partition`, to be put in order by."""
+    has = events.columns
+    at = F.unix_micros("timestamp") if "timestamp" in has else F.lit(None).cast("bigint")
+    partition = F.col("partition") if "partition" in has else F.lit(0)
+    return events.withColumns({"at": F.coalesce(at, F.lit(0).cast("bigint")), "partition": partition.cast("int")})
+
+
+def heads(landable: DataFrame) -> DataFrame:
+    """Which event is the last of each key: (landing_key, at, partition, offset, events). Texts take no part; a key with
+    a third of all events sends one row per task."""
+    order = F.struct(*ORDER)
+    return landable.groupBy("landing_key").agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("events")).select(
+        "landing_key", "_last.*", "events"
     )
 
 

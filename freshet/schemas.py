@@ -15,8 +15,6 @@ RECORDS_DDL = (
 )
 EVENT_DDL = f"Key STRING, Event STRING, Message STRING, Records {RECORDS_DDL}"
 
-LANDED = "landing_key STRING, offset BIGINT, value STRING"
-
 KNOWLEDGE = (
     "doc_id STRING, chunk_id STRING, ordinal INT, text STRING, content_hash STRING, doc_content_hash STRING, "
     f"embedding ARRAY<FLOAT>, model STRING, dim INT, source_uri STRING, metadata {METADATA_DDL}"

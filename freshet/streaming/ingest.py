@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +14,7 @@ from freshet.operators import events as ev
 from freshet.operators.sync import latest_per_document
 from freshet.plans.ingest import Ingest
 from freshet.sources.files import fetch_bodies
-from freshet.streaming.landing import for_each_batch
+from freshet.streaming.landing import follow, for_each_batch
 
 # A table of objects with their bodies, or a function that fetches the bodies of references.
 Objects = DataFrame | Callable[[DataFrame], DataFrame]
@@ -24,7 +24,7 @@ def triggered_refs(feed: DataFrame) -> DataFrame:
     """References of a batch of changes, the newest trigger of each document only."""
     changes = ev.changes(feed) if "op" in feed.columns else feed
     refs = ev.object_refs(changes).withColumn("doc_id", tx.document_id(F.col("s3_uri")))
-    return latest_per_document(refs, ["offset", "record_no"])
+    return latest_per_document(refs, [*(c for c in ev.ORDER if c in refs.columns), "record_no"])
 
 
 def ingest_batch(
@@ -42,7 +42,19 @@ def ingest_batch(
 
 def ingest_stream(
     stream: DataFrame, objects: Objects, ingest: Ingest, checkpoint: str, target: str | None = None,
-    on_report: Callable[[DataFrame], None] | None = None,
+    on_report: Callable[[DataFrame], None] | None = None, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Changes since the checkpoint, also those that came while nothing was running."""
-    return for_each_batch(stream, lambda batch: ingest_batch(batch, objects, ingest, target, on_report), checkpoint)
+    return for_each_batch(
+        stream, lambda batch, _: ingest_batch(batch, objects, ingest, target, on_report), checkpoint, trigger
+    )
+
+
+def ingest_landed(
+    spark: SparkSession, root: str, objects: Objects, ingest: Ingest, checkpoint: str, target: str | None = None,
+    on_report: Callable[[DataFrame], None] | None = None, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Ingest what the landed events below `root` name: the change feed, not the raw events, starts an ingest."""
+    return follow(
+        spark, root, lambda feed: ingest_batch(feed, objects, ingest, target, on_report), checkpoint, trigger
+    )

@@ -38,11 +38,47 @@ def test_rejects_and_landing(spark):
     events = ["not json", "[1]", {"Key": "b/k", "Records": [record()]}, {"Records": [record(key="plain")]}, "{bad", {"x": 1},
               {"Key": "b/k", "Records": [record(key="newer")]}]
     df = frame(spark, events)
-    assert sorted(r["offset"] for r in ev.rejects(df).collect()) == [0, 1, 4]
-    last = ev.latest_per_key(ev.landing_key(ev.landable(df)), "landing_key", ["offset"]).orderBy("landing_key").collect()
+    assert sorted(r["offset"] for r in ev.rejects(df).collect()) == [0, 1, 4, 5]
+    last = ev.latest_per_key(ev.landing_key(df), "landing_key", ["offset"]).orderBy("landing_key").collect()
     assert [(r["landing_key"], r["offset"]) for r in last] == [("b/k", 6), ("b/plain", 3)]
 
 
+def test_every_event_lands_or_has_a_reason(spark):
+    wrapped = json.dumps({"Message": json.dumps({"Key": "in"})})
+    want = {
+        "not json": ev.NO_JSON, "{bad": ev.NO_JSON, "": ev.NO_JSON, '{"Key":"a",}': ev.NO_JSON, "{'Key':'a'}": ev.NO_JSON,
+        "[1]": ev.NO_OBJECT, "null": ev.NO_OBJECT, "5": ev.NO_OBJECT, '[{"Key":"a"}]': ev.NO_OBJECT,
+        '{"x":1}': ev.NO_KEY, '{"Records":[]}': ev.NO_KEY, '{"Key":null}': ev.NO_KEY, '{"Event":"s3:TestEvent"}': ev.TEST_EVENT,
+        '{"Key":"b/k","Key":"b/k"}': None, '{"Key":"k","Records":5}': None, '  {"Key":"k"} ': None, wrapped: None,
+        '{"Key":"k","Event":"s3:TestEvent"}': None, json.dumps({"Records": [record()]}): None,
+    }
+    got = {r["value"]: (r["landing_key"], r["reason"]) for r in ev.classified(frame(spark, list(want))).collect()}
+    assert {v: reason for v, (_, reason) in got.items()} == want
+    assert all((key is None) == (reason is not None) for key, reason in got.values())
+    assert got[wrapped][0] == "in" and got['{"Key":"b/k","Key":"b/k"}'][0] == "b/k"
+    (null,) = ev.classified(spark.createDataFrame([(1, None)], "offset BIGINT, value STRING")).collect()
+    assert (null["landing_key"], null["reason"]) == (None, ev.NO_JSON)
+
+
+def test_one_parse_and_no_text_in_a_shuffle(spark):
+    df = frame(spark, [{"Key": "b/k"}, {"Key": "b/k"}, "x"])
+    plan = ev.classified(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") <= 2 + plan.count("Filter") and "Exchange" not in plan
+    slim = ev.heads(ev.landing_key(ev.placed(df)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(struct(at" in slim and slim.split("Project")[0].count("value") == 0
+
+
+def test_order_over_partitions(spark):
+    """The last event of a key is that of the latest time, wherever it lies and whatever its offset."""
+    rows = [("2024-01-01 00:00:05", 0, 9, "a"), ("2024-01-01 00:00:07", 1, 2, "a"), ("2024-01-01 00:00:06", 2, 50, "a"),
+            ("2024-01-01 00:00:01", 0, 3, "b"), ("2024-01-01 00:00:01", 1, 1, "b"), (None, 2, 99, "b")]
+    df = spark.createDataFrame(rows, "timestamp STRING, partition INT, offset BIGINT, landing_key STRING").withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp")
+    )
+    got = {r["landing_key"]: (r["partition"], r["offset"], r["events"]) for r in ev.heads(ev.placed(df)).collect()}
+    assert got == {"a": (1, 2, 3), "b": (1, 1, 3)}
+
+
 def test_changes_and_short_triggers(spark):
     feed = frame(spark, [{"Records": [record(key="a%2Fb"), record(key="second")]}, {"Records": [record()]}]).withColumn(
         "op", F.when(F.col("offset") == 1, "delete").otherwise("insert")

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from freshet.config import BLUE, GREEN, MEMORY, SOURCES, STAGING, JobConfig
+from freshet.config import BLUE, GREEN, MEMORY, STAGING, JobConfig
 from freshet.operators import checks, sync
 from freshet.operators.chunking import Chunkers, plain_pieces
 from freshet.operators.embedding import HashedBagOfWords
@@ -15,8 +15,8 @@ from freshet.plans.ingest import Ingest, ensure_tables, ingest_by_target, resync
 from freshet.sources.files import fetch_objects, markdown_tree, read_objects
 from freshet.sources.pointer import get_active
 from freshet.sources.shared import shared_dir
-from freshet.streaming.ingest import ingest_stream
-from freshet.streaming.landing import file_events, land, land_stream, latest_state
+from freshet.streaming.ingest import ingest_landed, ingest_stream
+from freshet.streaming.landing import account, file_events, follow, land, land_stream, latest, rejected
 
 SMALL = JobConfig(chunk_size=10, chunk_overlap=2, dim=16)
 
@@ -259,21 +259,66 @@ def write_events(folder, name, events):
     (folder / name).write_text("\n".join(json.dumps(e) for e in events))
 
 
-def test_landing_stream_equals_batch(spark, store, tmp_path):
-    folder, checkpoint = tmp_path / "in", str(tmp_path / "ck")
+def test_landing_stream_keeps_the_latest_and_accounts_for_all(spark, tmp_path):
+    folder, root, checkpoint = tmp_path / "in", str(tmp_path / "landing"), str(tmp_path / "ck")
     write_events(folder, "1.json", [notification("a", 1), notification("b", 2), {"offset": 3, "value": "broken"}])
-    write_events(folder, "2.json", [notification("a", 4), notification("a", 0)])
-    land_stream(file_events(spark, str(folder), 1), store, checkpoint).awaitTermination()
+    write_events(folder, "2.json", [notification("a", 4), notification("a", 0), {"offset": 7, "value": '{"x":1}'}])
+    assert latest(spark, root).count() == account(spark, root).count() == rejected(spark, root).count() == 0
+    land_stream(file_events(spark, str(folder), 1), root, checkpoint).awaitTermination()
     write_events(folder, "3.json", [notification("b", 6), notification("c", 5)])  # while nothing is running
-    land_stream(file_events(spark, str(folder), 1), store, checkpoint).awaitTermination()
-    landed = {r["landing_key"]: r["offset"] for r in store.read(SOURCES).collect()}
-    assert landed == {"b/a": 4, "b/b": 6, "b/c": 5}
-    land(spark.read.schema("offset BIGINT, value STRING").json(str(folder)), store)  # repeated
-    assert {r["landing_key"]: r["offset"] for r in store.read(SOURCES).collect()} == landed
-
-    query = latest_state(file_events(spark, str(folder), 1)).writeStream.format("memory").queryName("latest").outputMode("complete").trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert {r["landing_key"]: r["offset"] for r in spark.table("latest").collect()} == landed
+    land_stream(file_events(spark, str(folder), 1), root, checkpoint).awaitTermination()
+    want = {"b/a": 4, "b/b": 6, "b/c": 5}
+    assert {r["landing_key"]: r["offset"] for r in latest(spark, root).collect()} == want
+    told = sorted((r["batch"], r["input"], r["landed"], r["superseded"], r["rejected"]) for r in account(spark, root).collect())
+    assert told == [(0, 3, 2, 0, 1), (1, 3, 1, 1, 1), (2, 2, 2, 0, 0)]
+    assert sorted((r["offset"], r["reason"]) for r in rejected(spark, root).collect()) == [(3, "not JSON"), (7, "no key")]
+    # A batch that is repeated after a failure replaces itself.
+    again = spark.createDataFrame([(6, notification("b", 6)["value"]), (5, notification("c", 5)["value"])], "offset BIGINT, value STRING")
+    assert land(again, root, 2) == {"batch": 2, "input": 2, "landed": 2, "superseded": 0, "rejected": 0, "reasons": {}}
+    assert {r["landing_key"]: r["offset"] for r in latest(spark, root).collect()} == want and account(spark, root).count() == 3
+
+
+def test_change_feed_tells_inserts_from_replacements(spark, tmp_path):
+    """Over two runs from one checkpoint; what comes too late is no change, and a batch that is landed again neither."""
+    root, seen = str(tmp_path / "landing"), []
+    batch = lambda *keys: spark.createDataFrame([(o, notification(k, o)["value"]) for k, o in keys], "offset BIGINT, value STRING")
+    run = lambda: follow(spark, root, lambda feed: seen.append(sorted((r["landing_key"], r["offset"], r["op"], json.loads(r["value"])["Key"]) for r in feed.collect())), str(tmp_path / "ck")).awaitTermination()
+    land(batch(("a", 1), ("b", 5), ("a", 3)), root, 0)
+    run()
+    land(batch(("a", 4), ("b", 2), ("c", 6)), root, 1)
+    run()
+    land(batch(("a", 4), ("b", 2), ("c", 6)), root, 1)
+    run()
+    assert [s for s in seen if s] == [
+        [("b/a", 3, "insert", "b/a"), ("b/b", 5, "insert", "b/b")],
+        [("b/a", 4, "replace", "b/a"), ("b/c", 6, "insert", "b/c")],
+    ]
+
+
+def test_ingest_follows_what_landed(spark, store, tmp_path):
+    root, reports = str(tmp_path / "landing"), []
+    bodies = objects(spark, a_txt="first words", b_txt="second")
+    ingest = ingest_of(store)
+    run = lambda: ingest_landed(spark, root, bodies, ingest, str(tmp_path / "ck"), on_report=lambda r: reports.append(outcome(r))).awaitTermination()
+    events = [(1, notification("a.txt", 1)["value"]), (2, notification("a.txt", 2)["value"]), (3, "broken")]
+    land(spark.createDataFrame(events, "offset BIGINT, value STRING"), root, 0)
+    run()
+    land(spark.createDataFrame([(4, notification("b.txt", 4)["value"]), (0, notification("a.txt", 0)["value"])], "offset BIGINT, value STRING"), root, 1)
+    run()
+    assert reports == [{"indexed": (1, 2)}, {"indexed": (1, 1)}]  # the late event of a.txt starts nothing
+
+
+def test_a_stream_that_goes_on(spark, tmp_path):
+    """With an interval as trigger the stream stays up and takes what comes later."""
+    folder, root = tmp_path / "in", str(tmp_path / "landing")
+    write_events(folder, "1.json", [notification("a", 1)])
+    query = land_stream(file_events(spark, str(folder), 1), root, str(tmp_path / "ck"), {"processingTime": "0 seconds"})
+    query.processAllAvailable()
+    write_events(folder, "2.json", [notification("b", 2)])
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert {r["landing_key"] for r in latest(spark, root).collect()} == {"b/a", "b/b"}
 
 
 def test_ingest_stream_resumes(spark, store, tmp_path):

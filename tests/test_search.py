@@ -102,7 +102,7 @@ def test_cells_of_grouped_vectors_are_few_and_pruned(spark, tmp_path):
     asked = df.where("vec_id % 50 = 1").select(F.col("vec_id").alias("query_id"), "embedding")
     exact = grouped(knn_exact(df, asked, 5, dim=16, id_column="vec_id"))
     fitted = fit(df, 16, id_column="vec_id")
-    assert fitted.probes <= 6
+    assert fitted.probes < len(fitted.centroids) / 2
     path = str(tmp_path / "cells")
     build(df, fitted, path, "vec_id")
     one = asked.where("query_id = 1")
