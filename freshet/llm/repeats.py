@@ -43,6 +43,8 @@ GRAM = 16
 # Bytes of a text that are looked at together; a longer text is taken in overlapping parts.
 PART = 1 << 20
 SAMPLE_DOCS = 2048
+# Text per bucket and per partition. Records of a bucket unpacked are a few times its text at most.
+BUCKET_BYTES, PARTITION_BYTES = 1 << 22, 1 << 26
 FREQUENT = 8
 FREQUENT_BITS = 22
 
@@ -243,21 +245,45 @@ def _two_kinds(
     yield pa.RecordBatch.from_arrays([pa.array(spread), pa.nulls(n, pa.binary()), *lists], columns)
 
 
+def _by_bucket(batches: Iterator[pa.RecordBatch], ready) -> Iterator[pa.RecordBatch | list[bytes]]:
+    """What `ready` makes of the rows that are done, and the packed records of each bucket. Rows come in the order of
+    buckets, so that one bucket at a time is held, packed, and no other."""
+    bucket, held = None, []
+    for batch in batches:
+        done = batch.filter(pc.is_null(batch.column("packed")))
+        if done.num_rows:
+            yield ready(done)
+        rest = batch.filter(pc.is_valid(batch.column("packed")))
+        for number, value in zip(rest.column("bucket"), rest.column("packed"), strict=True):
+            if number.as_py() != bucket and held:
+                yield held
+                held = []
+            bucket = number.as_py()
+            held.append(value.as_py())
+    if held:
+        yield held
+
+
+def _unpacked(held: list[bytes]) -> list[np.ndarray]:
+    """Records of a bucket: keys, documents, small numbers, bytes. The packed form is given up on the way."""
+    found = []
+    while held:
+        found.append(Packed.read(held.pop()))
+    return [np.concatenate([f[i] for f in found]) for i in range(4)]
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, key): the anchors of these buckets that several documents have, once for each of them."""
-    keys, docs = [], []
-    for batch in batches:
-        ready = batch.filter(pc.is_null(batch.column("packed")))
-        if ready.num_rows:
-            doc, values = _spelled_out(ready, "keys")
-            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(values)], ["doc_id", "key"])
-        for value in batch.column("packed").drop_null():
-            key, doc, _, _ = Packed.read(value.as_py())
-            keys.append(key)
-            docs.append(doc)
-    if keys:
-        key, doc = np.concatenate(keys), np.concatenate(docs)
-        del keys, docs
+
+    def ready(done: pa.RecordBatch) -> pa.RecordBatch:
+        doc, values = _spelled_out(done, "keys")
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(values)], ["doc_id", "key"])
+
+    for found in _by_bucket(batches, ready):
+        if isinstance(found, pa.RecordBatch):
+            yield found
+            continue
+        key, doc, _, _ = _unpacked(found)
         order = np.argsort(key, kind="stable")
         key, doc = key[order], doc[order]
         start, stop = _bounds(key)
@@ -307,6 +333,13 @@ def _sorted_lists(offsets: np.ndarray, values: np.ndarray) -> tuple[np.ndarray,
     return values[order], order
 
 
+def _stretches(flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> bytes:
+    """The stretches of `flat` one after the other."""
+    length = length.astype(np.int64)
+    inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    return flat[np.repeat(begin, length) + inside].tobytes()
+
+
 def _contents(frequent: np.ndarray, window: int, buckets: int):
     """The runs with a repeated anchor, each once per batch for the smallest document with the same bytes, packed by
     bucket; and rows (doc_id, full) of the runs that a smaller document of the batch has too."""
@@ -316,9 +349,9 @@ def _contents(frequent: np.ndarray, window: int, buckets: int):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             lists, values = _list_rows(batch.column("keys"))
             values, _ = _sorted_lists(lists, values)
-            key, doc, content, small, data_of = [], [], [], [], []
+            key, doc, content, small, begin, flat, size = [], [], [], [], [], [], 0
             for first, data, offsets in _bytes_of(batch):
-                for piece, cuts, row, _ in parts(data, offsets, window):
+                for piece, cuts, row, low in parts(data, offsets, window):
                     runs = Runs(piece, cuts, frequent, window)
                     rows = first + row + runs.text
                     take = np.flatnonzero(_places(rows, _filter_key(runs.key), lists, values) >= 0)
@@ -327,12 +360,15 @@ def _contents(frequent: np.ndarray, window: int, buckets: int):
                     doc.append(ids[rows[take]].astype(np.int64))
                     content.append(span_hashes(piece, start, stop, longest=2 * window))
                     small.append(np.column_stack([runs.anchor[take] - start, stop - start]).astype(np.uint8))
-                    data_of.extend(piece[a:b].tobytes() for a, b in zip(start, stop, strict=True))
-            if not data_of:
+                    begin.append(start + (size + low))
+                flat.append(data)
+                size += len(data)
+            if not key or not sum(map(len, key)):
                 continue
-            key, doc, content, small = (np.concatenate(x) for x in (key, doc, content, small))
+            key, doc, content, small, begin = (np.concatenate(x) for x in (key, doc, content, small, begin))
+            flat = np.concatenate(flat)
             order = np.lexsort((doc, content, key))
-            key, doc, content, small = key[order], doc[order], content[order], small[order]
+            key, doc, content, small, begin = key[order], doc[order], content[order], small[order], begin[order]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
             lead = np.flatnonzero(new)
@@ -342,7 +378,7 @@ def _contents(frequent: np.ndarray, window: int, buckets: int):
             packed = []
             for b in full:
                 at = lead[cut[b] : cut[b + 1]]
-                packed.append(Packed.of(key[at], doc[at], small[at], b"".join([data_of[i] for i in order[at]])))
+                packed.append(Packed.of(key[at], doc[at], small[at], _stretches(flat, begin[at], small[at, 1])))
             yield from _two_kinds(
                 full, packed, _lists_by_doc(doc[later], content[later].view(np.int64)), ["full"], pa.int64(), buckets
             )
@@ -407,29 +443,27 @@ def _answers(window: int):
     """(doc_id, content, bits): the content hash of each document's runs of which windows are repeated; bits are null if
     all are."""
 
+    def ready(done: pa.RecordBatch) -> pa.RecordBatch:
+        doc, values = _spelled_out(done, "full")
+        none = pa.nulls(len(doc), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(values), none], ["doc_id", "content", "bits"])
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = []
-        for batch in batches:
-            ready = batch.filter(pc.is_null(batch.column("packed")))
-            if ready.num_rows:
-                doc, values = _spelled_out(ready, "full")
-                none = pa.nulls(len(doc), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(values), none], ["doc_id", "content", "bits"])
-            found.extend(Packed.read(value.as_py()) for value in batch.column("packed").drop_null())
-        if not found:
-            return
-        key, doc, small, flat = (np.concatenate([f[i] for f in found]) for i in range(4))
-        del found
-        before, lengths = small[:, 0].astype(np.int64), small[:, 1].astype(np.int64)
-        begins = np.cumsum(lengths) - lengths
-        order = np.argsort(key, kind="stable")
-        in_order, at = key[order], 0
-        while at < len(order):
-            # Whole groups of a key, about RUNS_AT_ONCE runs.
-            stop = min(len(order), at + RUNS_AT_ONCE)
-            stop = int(np.searchsorted(in_order, in_order[stop - 1], "right"))
-            yield _answered(*(x[order[at:stop]] for x in (key, doc, before, begins, lengths)), flat, window)
-            at = stop
+        for found in _by_bucket(batches, ready):
+            if isinstance(found, pa.RecordBatch):
+                yield found
+                continue
+            key, doc, small, flat = _unpacked(found)
+            before, lengths = small[:, 0].astype(np.int64), small[:, 1].astype(np.int64)
+            begins = np.cumsum(lengths) - lengths
+            order = np.argsort(key, kind="stable")
+            in_order, at = key[order], 0
+            while at < len(order):
+                # Whole groups of a key, about RUNS_AT_ONCE runs.
+                stop = min(len(order), at + RUNS_AT_ONCE)
+                stop = int(np.searchsorted(in_order, in_order[stop - 1], "right"))
+                yield _answered(*(x[order[at:stop]] for x in (key, doc, before, begins, lengths)), flat, window)
+                at = stop
 
     return find
 
@@ -535,7 +569,7 @@ def frequent_grams(docs: DataFrame, window: int) -> np.ndarray:
     return table
 
 
-def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def with_spans(docs: DataFrame, window: int = WINDOW, bucket_bytes: int | None = None) -> DataFrame:
     """doc_id, n_bytes, spans and kept of every row: the stretches, as start, end, start, end, that smaller documents
     have too, and the bytes without them."""
     if not GRAM < window <= GRAM + 48:
@@ -543,14 +577,16 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = texts.where("doc_id is not null")
     frequent = frequent_grams(named, window)
-    # More buckets than partitions, so that partitions get about as many each. Their number is stated: partitions put
-    # together by their compressed size would be large in memory.
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 4 * partitions
+    # As many buckets as the bytes of the table ask for, since a task holds one at a time; and more than partitions, so
+    # that these get about as many each. Their number is stated: adaptive execution would merge partitions by their
+    # packed size.
+    size = named.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+    buckets = max(4 * partitions, -(-size // (bucket_bytes or BUCKET_BYTES)))
     found = named.mapInArrow(
         _anchors(frequent, window, buckets), "bucket int, packed binary, doc_id bigint, keys array<int>"
     )
-    shared = found.repartition(partitions, "bucket").mapInArrow(_shared, "doc_id bigint, key int")
+    shared = found.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "doc_id bigint, key int")
     lists = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     # Both joins below read these rows in the same form, so that texts are shuffled once.
     packed = named.mapInArrow(_pack, "doc_id bigint, packed binary").where("doc_id is not null")
@@ -559,6 +595,7 @@ def with_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     answers = (
         runs.repartition(partitions, "bucket")
+        .sortWithinPartitions("bucket")
         .mapInArrow(_answers(window), "doc_id bigint, content bigint, bits bigint")
         .groupBy("doc_id")
         .agg(
