@@ -15,7 +15,8 @@ Queries are taken in blocks of QUERY_BLOCK, each sent to all tasks: a block is a
 queries are more passes.
 
 A vector that very many rows share would fill every result's ties: of equal vectors only the k + 1 smallest ids can be
-in a result (one of them may be the query's own), so the others leave first, salted so that a hot vector is spread.
+in a result (one of them may be the query's own), each with k rows at most, so the others leave first, salted so that a
+hot vector is spread.
 
 Sums that could leave 64 bits are formed in integers of any size. They are compared cut to 64 bits, which keeps their
 order as far as it matters: a result whose score does not fit is an error, as it is in SQL.
@@ -58,12 +59,19 @@ def whole_vectors(table: DataFrame, id_column: str = "vec_id", vector: str = "em
 
 
 def _few_of_equals(vectors: DataFrame, k: int) -> DataFrame:
-    """The k + 1 smallest ids of each vector; first within a salt, so that a vector that many rows share is spread."""
-    kept = vectors.withColumn("_salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
+    """Of each vector the k + 1 smallest ids, and of each of these at most k rows.
+
+    A query's own rows are no candidates, whatever their number; k other ids are left beside its own. Rows are counted
+    before anything else, so rows that share vector and id are one; a salt spreads a vector that many ids share.
+    """
+    kept = vectors.groupBy("v", "vec_id").agg(F.count(F.lit(1)).alias("_rows")).withColumn(
+        "_salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS))
+    )
     for by in (["v", "_salt"], ["v"]):
         place = F.row_number().over(Window.partitionBy(*by).orderBy("vec_id"))
         kept = kept.withColumn("_n", place).where(F.col("_n") <= k + 1).drop("_n")
-    return kept.drop("_salt")
+    rows = F.sequence(F.lit(1).cast("bigint"), F.least(F.col("_rows"), F.lit(k)))
+    return kept.withColumn("_row", F.explode(rows)).select("vec_id", "v")
 
 
 def approximation_file(vectors: DataFrame, cell: int = CELL) -> DataFrame:
