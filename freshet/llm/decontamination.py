@@ -13,9 +13,12 @@ Texts and items are compared in lower case and with runs of white space as one b
 The items are sent to the tasks in blocks of about BLOCK_CHARS characters, so no task holds more than a block however
 many items there are; the texts are mapped and never shuffled.
 
-Defined results: a null or empty text has no leaks. Null items and items of fewer than MIN_CHARS characters after
-normalization are not sought: too short to be told from chance. Repeated items are found each under its id; rows are
-judged one by one, whatever their ids. Columns of the input are kept; `leaks` replaces a column of that name. An empty
+Short items, of fewer than MIN_CHARS characters, are too short for edits to be told from chance. They are sought by the
+same pass as one piece without an edit, and count where they stand as whole words.
+
+Defined results: a null or empty text has no leaks. Null items and items that are empty after normalization are not
+sought. Very long texts are searched whole. Repeated items are found each under its id; rows are judged one by one,
+whatever their ids. Columns of the input are kept; `leaks` replaces a column of that name. An empty
 table of texts gives an empty table; without items nothing is leaked.
 """
 
@@ -91,12 +94,21 @@ def cut(text: str, pieces: int) -> list[str]:
     return [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
+def _whole_words(text: str, start: int, end: int) -> bool:
+    """Whether no word goes on across the ends of a stretch."""
+    return not (
+        start and text[start - 1].isalnum() and text[start].isalnum()
+        or end < len(text) and text[end - 1].isalnum() and text[end].isalnum()
+    )
+
+
 class Finder:
     """Finds the items of one block in texts."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = ERROR_RATE, min_chars: int = MIN_CHARS):
-        self.items = [(i, t) for i, t in ((i, normalized(t)) for i, t in items) if len(t) >= min_chars]
-        self.budgets = [math.floor(rate * len(t)) for _, t in self.items]
+        self.items = [(i, t) for i, t in ((i, normalized(t)) for i, t in items) if t]
+        self.short = [len(t) < min_chars for _, t in self.items]
+        self.budgets = [0 if short else math.floor(rate * len(t)) for (_, t), short in zip(self.items, self.short, strict=True)]
         self.automaton = None
         self.halves = [cut(t, 2 * (k + 1)) for (_, t), k in zip(self.items, self.budgets, strict=True)]
 
@@ -132,6 +144,8 @@ class Finder:
         for last, uses in self.automaton.iter(plain):
             for n, piece_end in uses:
                 begin = last + 1 - piece_end
+                if self.short[n] and not _whole_words(plain, begin, last + 1):
+                    continue
                 low, high = begin - self.budgets[n], begin + len(self.items[n][1]) + self.budgets[n]
                 if high - low < 0 or high < self.budgets[n] or low > len(plain) - len(self.items[n][1]) + 2 * self.budgets[n]:
                     continue

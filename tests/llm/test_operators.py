@@ -196,6 +196,21 @@ def test_topk_leaves_odd_vectors_out(spark):
     assert exact_topk.top_k(none, none).count() == 0
 
 
+def test_topk_with_repeated_ids(spark):
+    """Many rows under one id, the query's own among them, push no other id out; each row is a result of its own."""
+    rows_ = [(100, [3, 4])] * 12 + [(205, [3, 4])] * 3 + [(206, [3, 4]), (300, [3, 4])] + [(7, [1, 1])] * 2 + [(100, [1, 1])] * 9
+    rows_ += [(i, [3, 3]) for i in range(400, 420)] + [(500, [2, 2])] * 30
+    frame = spark.createDataFrame(rows_, "vec_id bigint, v array<bigint>").repartition(4)
+    for k in (1, 3, 6):
+        queries = frame.where("vec_id in (205, 300) or (vec_id = 100 and v[0] = 3)")
+        found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in exact_topk.top_k(frame, queries, k).collect()}
+        want = {}
+        for q, v in ((100, [3, 4]), (205, [3, 4]), (300, [3, 4])):
+            best = sorted((-(v[0] * w[0] + v[1] * w[1]), i) for i, w in rows_ if i != q)[:k]
+            want |= {(q, n): (i, -s) for n, (s, i) in enumerate(best, 1)}
+        assert found == want
+
+
 def test_topk_keeps_large_components(spark):
     rng = np.random.default_rng(11)
     vectors = {i: [float(x) for x in rng.integers(-900, 900, 3)] for i in range(60)}
@@ -544,6 +559,9 @@ def edit_search(pattern: str, text: str) -> int:
 
 
 def test_leaks_against_the_whole_table():
+    def budget(chars: int) -> int:
+        return chars // 10 if chars >= decontamination.MIN_CHARS else 0
+
     rng = random.Random(11)
     items = [(n, prose(rng.randrange(4, 14), 100 + n)) for n in range(25)]
     finder = decontamination.Finder(items)
@@ -557,8 +575,7 @@ def test_leaks_against_the_whole_table():
         plain = decontamination.normalized(text)
         expected = {
             (n, d) for n, p in items
-            if len(decontamination.normalized(p)) >= decontamination.MIN_CHARS
-            and (d := edit_search(decontamination.normalized(p), plain)) <= len(decontamination.normalized(p)) // 10
+            if (d := edit_search(decontamination.normalized(p), plain)) <= budget(len(decontamination.normalized(p)))
         }
         found = finder.leaks(text)
         assert {(n, d) for n, d, _, _ in found} == expected
@@ -570,12 +587,23 @@ def test_leaks_of_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "one"), (None, prose(20, 3)), (4, prose(60, 3)), (5, prose(60, 3))], "item_id bigint, text string")
     out = rows(decontamination.with_leaks(odd.withColumn("leaks", F.lit(1)), items))
     assert len(out) == len(odd_rows())
+    # A short item is found where it stands as a whole word.
     for r in out:
-        assert [x["item_id"] for x in r["leaks"]] == ([4, 5] if r["doc_id"] in (6, 7) else [])
+        assert [x["item_id"] for x in r["leaks"]] == ([4, 5] if r["doc_id"] in (6, 7) else [3] if r["doc_id"] == 4 else [])
     assert decontamination.with_leaks(empty, items).count() == 0
     assert all(r["leaks"] == [] for r in rows(decontamination.with_leaks(odd, items.where("false"))))
 
 
+def test_short_items_are_whole_words_without_an_edit():
+    finder = decontamination.Finder([(1, "One two."), (2, "42"), (3, "c++"), (4, " \n"), (5, "x" * 31)])
+    sought = {
+        "say ONE\n two. now": [1], "one two": [], "alone two.": [], "one two.five": [1], "42": [2], "142 421 4 2": [],
+        "a=42;": [2], "(C++)": [3], "c+++": [3], "abc++": [], "x" * 32: [], "-" + "x" * 31: [5], "": [],
+    }
+    assert {t: [n for n, *_ in finder.leaks(t)] for t in sought} == sought
+    assert [x[1:] for x in finder.leaks("it is 42, and 42")] == [(0, 6, 8)]
+
+
 # ---- repeated passages -----------------------------------------------------------------------------------------------
 
 
@@ -598,8 +626,8 @@ def brute_repeats(docs: list[tuple], window: int) -> dict[int, list[tuple[int, b
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("window", [50, 20])
-def test_repeats_against_all_windows(spark, window):
+@pytest.mark.parametrize("window, bucket_bytes", [(50, None), (20, None), (50, 64)])
+def test_repeats_against_all_windows(spark, window, bucket_bytes):
     rng = random.Random(12)
     line = "All rights reserved by the owners of this page, whoever they are and wherever. "
     docs = list(odd_rows())
@@ -611,7 +639,7 @@ def test_repeats_against_all_windows(spark, window):
     docs.append((90, "z" * 300, "en", "a", 1))
     docs.append((95, "z" * 180 + "y", "en", "a", 1))
     frame = spark.createDataFrame(docs, DOCS).withColumn("spans", F.lit("clash")).repartition(5)
-    out = repeats.digests(repeats.with_spans(frame, window))
+    out = repeats.digests(repeats.with_spans(frame, window, bucket_bytes))
     assert sorted((tuple(r) for r in out.collect()), key=str) == brute_repeats(docs, window)
 
 
