@@ -68,7 +68,7 @@ def query_times(spark, wanted: list[str]) -> dict[str, float]:
 
 def ingest_times(spark) -> dict[str, float]:
     """The ratio that matters: an ingest of nothing new against the first load."""
-    store = TableStore(spark, shared_dir(spark, "bench"), buckets=64)
+    store = TableStore(spark, shared_dir(spark, "bench"))
     ingest = Ingest(store, HashedBagOfWords(CONFIG.model, CONFIG.dim), plain_chunkers())
     objects = DOCS.spark(spark, SF_DIR).select("n", "bucket", "key", "content_type", "body")
     one_percent = objects.selectExpr(

@@ -107,7 +107,7 @@ def _store(spark: SparkSession, name: str):
     from freshet.sources.shared import shared_dir
     from freshet.sources.tables import TableStore
 
-    return TableStore(spark, shared_dir(spark, name), buckets=8)
+    return TableStore(spark, shared_dir(spark, name))
 
 
 def _folder(spark: SparkSession, name: str) -> str:

@@ -37,7 +37,7 @@ def retrieve(corpus: DataFrame, questions: DataFrame, embedder: Embedder, k: int
 def index_folder(store: TableStore, name: str) -> str:
     """Where the inverted file of the table's present version is kept. A later version has another folder, so an index
     is never searched for a table that it does not describe."""
-    return f"{store.root}/_cells/{name}-v{store.manifest(name).version}"
+    return f"{store.root}/_cells/{name}-v{store.state(name).batch}"
 
 
 def build_index(store: TableStore, name: str, dim: int, **how) -> str:
@@ -81,6 +81,7 @@ class Asking:
         try:
             self.store.ensure(MEMORY, schemas.AGENT_MEMORY)
             self.store.append(MEMORY, an.memory_rows(answers, self.config.answer_model))
+            self.store.maintain(MEMORY)
             return True
         except Exception as problem:  # an answer is worth more than its log
             print(f"memory not written: {problem}")

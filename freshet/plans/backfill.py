@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.config import BLUE, GREEN, JobConfig
+from freshet.functions.sizes import Kept, small_side
 from freshet.operators import sync
 from freshet.operators.embedding import Embedder
 from freshet.plans.ingest import ensure_tables, ensure_target
@@ -30,39 +31,37 @@ def reembedded(source: DataFrame, embedder: Embedder) -> DataFrame:
 
 
 def backfill(
-    store: TableStore, embedder: Embedder, source: str | None = None, target: str | None = None, commits: int = 1
+    store: TableStore, embedder: Embedder, source: str | None = None, target: str | None = None, commits: int = 16
 ) -> dict:
     """Re-embed every chunk of `source` (the active table) into `target` (the other one of the pair).
 
-    Rows of the target that the source lacks stay. Both tables are bucketed by document, so the work goes bucket range
-    by bucket range, `commits` of them, and a restarted backfill skips chunks that already carry the new model.
+    Rows of the target that the source lacks stay. What is left to do is decided on ids and hashes: chunks that do not
+    carry the new model yet. The documents are done in `commits` parts by a hash of their id, each committed on its own,
+    so a backfill that died goes on with the parts it did not reach. `processed` is the number of chunks embedded here.
     """
     ensure_tables(store)
     source = source or pointer.get_active(store)["active_collection"]
     target = target or (GREEN if source == BLUE else BLUE)
     ensure_target(store, target)
-    new_target = not store.manifest(target).parts
-    rows = store.read(source)
-    done = store.read(target).where(F.col("model") == embedder.model).select("chunk_id", "content_hash")
-
-    def without_done(part: DataFrame, done: DataFrame) -> DataFrame:
-        return part if new_target else part.join(done, ["chunk_id", "content_hash"], "left_anti").select(*rows.columns)
-
-    # Which buckets have work is decided on ids and hashes alone.
-    waiting = store.touched(target, without_done(rows, done))
-    same_buckets = store.manifest(source).buckets == store.manifest(target).buckets
-    bucket = store.bucket_expression(target)
-    size = max(1, -(-len(waiting) // commits))
-    for start in range(0, len(waiting), size):
-        numbers = waiting[start : start + size]
-        part = store.read(source, buckets=numbers) if same_buckets else rows.where(bucket.isin(numbers))
-
-        def merge(old: DataFrame, part=part) -> DataFrame:
-            todo = without_done(part, old.where(F.col("model") == embedder.model).select("chunk_id", "content_hash"))
-            return old.join(todo.select("chunk_id"), "chunk_id", "left_anti").unionByName(reembedded(todo, embedder))
-
-        store.rewrite(target, numbers, merge)
-    return {"status": "complete", "processed": rows.count(), "model": embedder.model, "target": target}
+    rows, processed = store.read(source), 0
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(commits))
+    for number in range(commits):
+        with Kept() as keep:
+            old = store.read(target).where(part == number)
+            done = old.where(F.col("model") == embedder.model).select("chunk_id", "content_hash")
+            here = rows.where(part == number)
+            todo = keep(here.select("doc_id", "chunk_id", "content_hash").join(done, ["chunk_id", "content_hash"], "left_anti"))
+            count = todo.count()
+            if not count:
+                continue
+            docs = small_side(keep(todo.select("doc_id").distinct()))
+            fresh = reembedded(here.join(small_side(todo.select("chunk_id")), "chunk_id", "left_semi"), embedder)
+            stays = old.join(docs, "doc_id", "left_semi").join(small_side(todo.select("chunk_id")), "chunk_id", "left_anti")
+            wrong = F.size("embedding") != embedder.dim
+            store.replace(target, docs, stays.unionByName(fresh), {f"vectors not of size {embedder.dim}": wrong})
+            processed += count
+    store.maintain(target)
+    return {"status": "complete", "processed": processed, "model": embedder.model, "target": target}
 
 
 def cutover(

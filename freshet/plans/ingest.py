@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from freshet import schemas
 from freshet.config import BLUE, GREEN, REPORT, STAGING
 from freshet.functions.sizes import Kept, at_most, small_side
-from freshet.operators import sync
+from freshet.operators import checks, sync
 from freshet.operators.chunking import Chunkers, chunk_documents
 from freshet.operators.embedding import Embedder, HashedBagOfWords, embed_chunks
 from freshet.operators.routing import identify
@@ -36,7 +36,8 @@ def ensure_target(store: TableStore, name: str) -> bool:
 @dataclass
 class Ingest:
     """`prune_empty` also removes the chunks of a document whose new version is empty; by default they stay. `commits`
-    is the number of parts in which embeddings are committed."""
+    is the number of parts in which embeddings are committed. Vectors of another size than the embedder's and repeated
+    chunk ids stop an ingest before its rows are seen by anyone."""
 
     store: TableStore
     embedder: Embedder = field(default_factory=HashedBagOfWords)
@@ -83,24 +84,23 @@ class Ingest:
         staged = self.store.read(STAGING).select("doc_id", "doc_content_hash").distinct()
         with Kept() as keep:
             fresh = small_side(keep(changed.join(staged, ["doc_id", "doc_content_hash"], "left_anti")))
-            new_rows = chunk_documents(sync.changed_documents(docs, fresh), self.chunkers)
-            self.store.rewrite(
-                STAGING, self.store.touched(STAGING, fresh), lambda old: sync.replace_staging(old, fresh, new_rows)
-            )
+            if not at_most(fresh, 0):
+                self.store.replace(STAGING, fresh, chunk_documents(sync.changed_documents(docs, fresh), self.chunkers))
 
     def embed(self) -> None:
-        """Embed what is staged and not embedded with this model, committing every few buckets."""
+        """Embed what is staged and not embedded with this model, committed in parts by document."""
         model = self.embedder.model
-        waiting = self.store.touched(STAGING, sync.needs_embedding(self.store.read(STAGING), model))
-
-        def fill(rows: DataFrame) -> DataFrame:
-            todo = sync.needs_embedding(rows, model)
-            done = rows.where((F.col("status") == "embedded") & (F.col("model") == model))
-            return done.unionByName(embed_chunks(todo, self.embedder))
-
-        size = max(1, -(-len(waiting) // self.commits))
-        for start in range(0, len(waiting), size):
-            self.store.rewrite(STAGING, waiting[start : start + size], fill, clustered=True)
+        for part in range(self.commits):
+            staged = self.store.read(STAGING).where(F.pmod(F.xxhash64("doc_id"), F.lit(self.commits)) == part)
+            todo = sync.needs_embedding(staged, model)
+            with Kept() as keep:
+                waiting = small_side(keep(todo.select("doc_id").distinct()))
+                if at_most(waiting, 0):
+                    continue
+                done = staged.join(waiting, "doc_id", "left_semi").where(
+                    (F.col("status") == "embedded") & F.col("model").eqNullSafe(F.lit(model))
+                )
+                self.store.replace(STAGING, waiting, embed_chunks(todo, self.embedder).unionByName(done))
 
     def complete(self, changed: DataFrame) -> DataFrame:
         """The changed documents whose chunks are all embedded: (doc_id, n, dim)."""
@@ -111,18 +111,23 @@ class Ingest:
 
     def apply(self, changed: DataFrame, applied: DataFrame, target: str) -> None:
         """Index the complete documents into the target and clear their staging."""
-        rows = self._staged(changed).join(applied.select("doc_id"), "doc_id", "left_semi")
-        rows = sync.knowledge_rows(rows)
+        store = self.store
+        rows = sync.knowledge_rows(self._staged(changed).join(applied.select("doc_id"), "doc_id", "left_semi"))
+        repeated = checks.duplicate_chunk_ids(rows)
+        if not at_most(repeated, 0):
+            raise ValueError(f"table {target}: repeated chunk ids, as {repeated.first()}")
         replaced = applied.select("doc_id")
+        staged = store.read(STAGING).select("doc_id").distinct()
         if self.prune_empty:
-            staged = self.store.read(STAGING).select("doc_id").distinct()
             replaced = replaced.unionByName(changed.select("doc_id").join(staged, "doc_id", "left_anti"))
-        self.store.rewrite(
-            target, self.store.touched(target, replaced), lambda old: sync.apply_documents(old, replaced, rows)
-        )
-        self.store.rewrite(
-            STAGING, self.store.touched(STAGING, applied), lambda old: sync.clear_staging(old, applied)
-        )
+        wrong = ~F.col("dim").eqNullSafe(F.lit(self.embedder.dim)) | (F.size("embedding") != self.embedder.dim)
+        if not at_most(replaced, 0):
+            store.replace(target, replaced, rows, {f"vectors not of size {self.embedder.dim}": wrong})
+            if at_most(staged.join(applied.select("doc_id"), "doc_id", "left_anti"), 0):
+                store.overwrite(STAGING, store.read(STAGING).where("false"))
+            else:
+                store.replace(STAGING, applied.select("doc_id"), None)
+            store.maintain(target)
 
     def report(self, versions: DataFrame, changed: DataFrame, applied: DataFrame, target: str) -> DataFrame:
         is_changed = changed.select("doc_id", F.lit(True).alias("_changed"))

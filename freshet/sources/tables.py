@@ -1,197 +1,196 @@
-"""Snapshot tables: parquet files cut into hash buckets, with one small manifest per version.
+"""Tables of documents' rows that follow their documents: plain Parquet by batch.
 
-A new version writes only the buckets it changes and names the files of the others in place, so its cost follows the
-change and not the table. Readers see a version only once its manifest exists, and manifests are never overwritten: two
-writers of the same version cannot both succeed, and a failed write leaves nothing visible.
+A table is three folders. `rows/batch=N` holds what batch N added, `void/batch=N` the documents whose earlier rows it
+replaced, and `commits/batch=N` one row, written last: a batch without it is not there. A change writes the rows of the
+documents that changed and nothing else; nothing is rewritten and no text or vector is shuffled. Reading leaves out the
+void rows by a semi join on ids, broadcast as long as they are few, which `maintain` sees to: it copies what is left into
+one new batch when many rows are void or batches have become many.
+
+One job at a time writes a table. A batch that was not committed is overwritten by the next attempt.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET = "bucket_no"
+from freshet.functions.sizes import SLIM_ROWS
+
+BATCH = "batch"
+COMMIT = (
+    "batch BIGINT, base BIGINT, n_rows BIGINT, voided BIGINT, since_base BIGINT, rows_since_base BIGINT, key STRING, "
+    "sorted_by ARRAY<STRING>, schema STRING"
+)
+# Batches, and the share of replaced documents among the rows, at which a table is copied into one batch.
+MOST_BATCHES, MOST_VOID = 64, 0.25
 
 
 @dataclass(frozen=True)
-class Manifest:
-    version: int
-    schema: T.StructType
+class Commit:
+    """The state of a table after a batch: rows of the batches from `base` on count, but for void ones."""
+
+    batch: int
+    base: int
+    n_rows: int
+    voided: int
+    since_base: int  # documents voided since the base
+    rows_since_base: int
     key: str
-    buckets: int
-    sorted_by: tuple[str, ...]
-    parts: dict[int, list[str]]  # bucket -> folders below the table, oldest first
-
-    def to_json(self) -> str:
-        return json.dumps(
-            {
-                "version": self.version, "schema": self.schema.jsonValue(), "key": self.key, "buckets": self.buckets,
-                "sorted_by": self.sorted_by, "parts": self.parts,
-            }
-        )
+    sorted_by: list[str]
+    schema: str
 
-    @staticmethod
-    def from_json(text: str) -> Manifest:
-        d = json.loads(text)
-        return Manifest(
-            d["version"], T.StructType.fromJson(d["schema"]), d["key"], d["buckets"], tuple(d["sorted_by"]),
-            {int(b): v for b, v in d["parts"].items()},
-        )
+    @property
+    def fields(self) -> T.StructType:
+        return T.StructType.fromDDL(self.schema)
 
 
 class TableStore:
     """Named tables below one folder."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-
-    # -- manifests ------------------------------------------------------------------------------------------------
-
-    def _path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
-
-    def _fs(self, path):
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def versions(self, name: str) -> list[int]:
-        folder = self._path(name, "_manifests")
-        fs = self._fs(folder)
-        if not fs.exists(folder):
-            return []
-        return sorted(int(s.getPath().getName().split(".")[0]) for s in fs.listStatus(folder))
-
-    def manifest(self, name: str, version: int | None = None) -> Manifest | None:
-        if version is None:
-            known = self.versions(name)
-            if not known:
-                return None
-            version = known[-1]
-        path = self._path(name, "_manifests", f"{version:010d}.json")
-        stream = self._fs(path).open(path)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return Manifest.from_json(text)
-
-    def _publish(self, name: str, manifest: Manifest) -> None:
-        path = self._path(name, "_manifests", f"{manifest.version:010d}.json")
-        stream = self._fs(path).create(path, False)  # fails when another writer was first
-        try:
-            stream.write(bytearray(manifest.to_json().encode("utf-8")))
-        finally:
-            stream.close()
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
 
-    # -- reading --------------------------------------------------------------------------------------------------
+    def _exists(self, path: str) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
 
-    def exists(self, name: str) -> bool:
-        return bool(self.versions(name))
+    # -- state ----------------------------------------------------------------------------------------------------
 
-    def read(self, name: str, version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
-        m = self.manifest(name, version)
-        if m is None:
-            raise ValueError(f"no table {name}; create it with ensure()")
-        chosen = m.parts.values() if buckets is None else [m.parts[b] for b in buckets if b in m.parts]
-        folders = [f"{self.root}/{name}/{p}" for parts in chosen for p in parts]
-        if not folders:
-            return self.spark.createDataFrame([], m.schema)
-        return self.spark.read.schema(m.schema).parquet(*folders)
+    def commits(self, name: str) -> DataFrame:
+        """One row per batch."""
+        return self.spark.read.schema(COMMIT).parquet(f"{self.root}/{name}/commits")
 
-    def bucket_expression(self, name: str) -> Column:
-        """The bucket number of a row, over the table's key column."""
-        m = self.manifest(name)
-        return self._bucket(m.key, m.buckets)
-
-    @staticmethod
-    def _bucket(key: str, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int") if key else F.lit(0)
+    def state(self, name: str, version: int | None = None) -> Commit:
+        """The table after its last batch, or after batch `version`."""
+        if not self.exists(name):
+            raise ValueError(f"no table {name}; create it with ensure()")
+        known = self.commits(name)
+        row = (known if version is None else known.where(F.col(BATCH) == version)).orderBy(F.desc(BATCH)).first()
+        if row is None:
+            raise ValueError(f"table {name} has no version {version}")
+        return Commit(**row.asDict())
 
-    # -- writing --------------------------------------------------------------------------------------------------
+    def exists(self, name: str) -> bool:
+        return self._exists(f"{self.root}/{name}/commits")
 
     def ensure(self, name: str, schema: str, key: str = "", sorted_by: tuple[str, ...] = ()) -> bool:
         """Create an empty table unless there is one. True when it was created."""
         if self.exists(name):
             return False
-        buckets = self.buckets if key else 1
-        self._publish(name, Manifest(1, T.StructType.fromDDL(schema), key, buckets, tuple(sorted_by), {}))
+        self._commit(name, Commit(0, 0, 0, 0, 0, 0, key, list(sorted_by), schema))
         return True
 
-    def _write(self, name: str, m: Manifest, df: DataFrame, clustered: bool = False) -> dict[int, list[str]]:
-        """Write rows into a folder of their own; returns the folders by bucket."""
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in m.schema.fields]
-        rows = df.select(*columns, self._bucket(m.key, m.buckets).alias(BUCKET))
-        # Rebalancing puts a bucket's rows together; adaptive execution splits the files of a hot bucket and merges
-        # small ones.
-        if m.key and not clustered:
-            rows = rows.hint("rebalance", BUCKET)
-        if m.key:
-            rows = rows.sortWithinPartitions(BUCKET, *m.sorted_by)
-        folder = f"v{m.version + 1}-{uuid.uuid4().hex[:8]}"
-        rows.write.partitionBy(BUCKET).parquet(f"{self.root}/{name}/{folder}")
-        path = self._path(name, folder)
-        parts: dict[int, list[str]] = {}
-        for status in self._fs(path).listStatus(path):
-            part = status.getPath().getName()
-            if part.startswith(f"{BUCKET}="):
-                parts[int(part.split("=")[1])] = [f"{folder}/{part}"]
-        return parts
-
-    def _next(self, name: str, m: Manifest, parts: dict[int, list[str]]) -> int:
-        self._publish(name, replace(m, version=m.version + 1, parts=parts))
-        return m.version + 1
-
-    def overwrite(self, name: str, df: DataFrame) -> int:
+    # -- reading --------------------------------------------------------------------------------------------------
+
+    def read(self, name: str, version: int | None = None) -> DataFrame:
+        state = self.state(name, version)
+        rows = self._part(name, "rows", state, state.schema)
+        if rows is None:
+            return self.spark.createDataFrame([], state.fields)
+        if state.since_base:
+            voids = self._part(name, "void", state, f"{state.key} STRING")
+            last = voids.groupBy(F.col(state.key).alias("_key")).agg(F.max(BATCH).alias("_before"))
+            # How many there are at most is known from the commits.
+            last = F.broadcast(last) if state.since_base <= SLIM_ROWS else last
+            gone = (F.col(state.key) == F.col("_key")) & (F.col(BATCH) < F.col("_before"))
+            rows = rows.join(last, gone, "left_anti")
+        return rows.drop(BATCH)
+
+    def _part(self, name: str, kind: str, state: Commit, schema: str) -> DataFrame | None:
+        path = f"{self.root}/{name}/{kind}"
+        if not self._exists(path):
+            return None
+        rows = self.spark.read.schema(f"{schema}, {BATCH} BIGINT").parquet(path)
+        return rows.where(F.col(BATCH).between(state.base, state.batch))
+
+    # -- writing --------------------------------------------------------------------------------------------------
+
+    def _commit(self, name: str, commit: Commit) -> int:
+        row = self.spark.createDataFrame([tuple(vars(commit).values())], COMMIT).drop(BATCH)
+        # Fails when another job was first.
+        row.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/{name}/commits/{BATCH}={commit.batch}")
+        return commit.batch
+
+    def _write(self, name: str, state: Commit, rows: DataFrame, checks: dict[str, Column]) -> int:
+        """Write the rows of the next batch; refused, and never committed, if a check counts any. Returns their number."""
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in state.fields]
+        counted = Observation()
+        bad = [F.count(F.when(check, 1)).alias(f"bad{i}") for i, check in enumerate(checks.values())]
+        rows = rows.select(*columns).observe(counted, F.count(F.lit(1)).alias("n"), *bad)
+        if state.sorted_by:
+            rows = rows.sortWithinPartitions(*state.sorted_by)
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/rows/{BATCH}={state.batch + 1}")
+        found = counted.get
+        broken = {check: found[f"bad{i}"] for i, check in enumerate(checks) if found[f"bad{i}"]}
+        if broken:
+            raise ValueError(f"table {name}: rows refused: {broken}")
+        return found["n"]
+
+    def overwrite(self, name: str, rows: DataFrame, checks: dict[str, Column] | None = None) -> int:
         """Replace the whole table."""
-        m = self.manifest(name)
-        return self._next(name, m, self._write(name, m, df))
-
-    def append(self, name: str, df: DataFrame) -> int:
-        """Add rows; existing files stay as they are."""
-        m = self.manifest(name)
-        parts = {b: list(p) for b, p in m.parts.items()}
-        for bucket, new in self._write(name, m, df).items():
-            parts.setdefault(bucket, []).extend(new)
-        return self._next(name, m, parts)
-
-    def touched(self, name: str, keys: DataFrame) -> list[int]:
-        """Numbers of the buckets that hold the keys; what is collected is at most one number per bucket."""
-        m = self.manifest(name)
-        return sorted(r[0] for r in keys.select(self._bucket(m.key, m.buckets).alias("b")).distinct().collect())
-
-    def rewrite(
-        self, name: str, numbers: list[int], change: Callable[[DataFrame], DataFrame], clustered: bool = False
+        state = self.state(name)
+        n = self._write(name, state, rows, checks or {})
+        batch = state.batch + 1
+        return self._commit(name, Commit(batch, batch, n, 0, 0, n, state.key, state.sorted_by, state.schema))
+
+    def append(self, name: str, rows: DataFrame) -> int:
+        """Add rows; nothing that is there changes."""
+        return self.replace(name, None, rows)
+
+    def replace(
+        self, name: str, keys: DataFrame | None, rows: DataFrame | None, checks: dict[str, Column] | None = None
     ) -> int:
-        """Replace the given buckets by `change(their rows)`; all others stay in place.
+        """Put `rows` in the place of all rows of `keys`, a slim table of key values; without rows they only go.
 
-        The change must not give rows of other buckets. `clustered` says that it works row by row, so that rows come
-        out as they lie in the bucket files and need no shuffle before they are written.
+        Of the keys, those that the table has are noted as void. `rows` may be read from this very table.
         """
-        m = self.manifest(name)
-        if not numbers:
-            return m.version
-        written = self._write(name, m, change(self.read(name, m.version, numbers)), clustered)
-        outside = set(written) - set(numbers)
-        if outside:
-            raise ValueError(f"the change wrote rows of buckets it did not touch: {sorted(outside)}")
-        parts = {b: p for b, p in m.parts.items() if b not in set(numbers)}
-        return self._next(name, m, {**parts, **written})
-
-    def drop_before(self, name: str, version: int) -> int:
-        """Delete versions older than `version` and the files only they used; returns the number of folders removed."""
-        used = {p for v in self.versions(name) if v >= version for parts in self.manifest(name, v).parts.values() for p in parts}
-        removed = 0
-        for old in [v for v in self.versions(name) if v < version]:
-            for parts in self.manifest(name, old).parts.values():
-                for part in parts:
-                    path = self._path(name, part)
-                    if part not in used and self._fs(path).exists(path):
-                        removed += self._fs(path).delete(path, True)
-            path = self._path(name, "_manifests", f"{old:010d}.json")
-            self._fs(path).delete(path, False)
+        state = self.state(name)
+        batch, path = state.batch + 1, f"{self.root}/{name}"
+        n = self._write(name, state, rows, checks or {}) if rows is not None else 0
+        voided = 0
+        there = self._part(name, "rows", state, f"{state.key} STRING") if keys is not None else None
+        if there is not None:
+            counted = Observation()
+            known = there.select(state.key).distinct().join(keys.select(state.key).distinct(), state.key, "left_semi")
+            known.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/void/{BATCH}={batch}")
+            voided = counted.get["n"]
+        if not n and not voided:
+            return state.batch
+        if rows is None:
+            # What an attempt that was not committed may have left.
+            self.spark.createDataFrame([], state.fields).write.mode("overwrite").parquet(f"{path}/rows/{BATCH}={batch}")
+        return self._commit(
+            name,
+            Commit(batch, state.base, n, voided, state.since_base + voided, state.rows_since_base + n, state.key, state.sorted_by, state.schema),
+        )
+
+    def maintain(self, name: str, batches: int = MOST_BATCHES, void: float = MOST_VOID) -> bool:
+        """Copy what counts into one batch if batches, or replaced documents, have become many. True when it did.
+
+        Readers of earlier versions go on; `clean` removes what no present reader needs.
+        """
+        state = self.state(name)
+        many = state.batch - state.base >= batches
+        if not many and state.since_base <= max(void * state.rows_since_base, 0):
+            return False
+        if not state.since_base and state.batch == state.base:
+            return False
+        # A shuffle by key here, and only here, puts rows of a document together and evens out files.
+        rows = self.read(name)
+        self.overwrite(name, rows.hint("rebalance", state.key) if state.key else rows.hint("rebalance"))
+        return True
+
+    def clean(self, name: str) -> int:
+        """Remove the batches before the base of the present version; returns how many folders went."""
+        state, removed = self.state(name), 0
+        for kind in ("rows", "void"):
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/{kind}")
+            fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for found in fs.listStatus(folder) if fs.exists(folder) else []:
+                path = found.getPath()
+                if path.getName().startswith(f"{BATCH}=") and int(path.getName().split("=")[1]) < state.base:
+                    removed += fs.delete(path, True)
         return removed

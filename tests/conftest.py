@@ -12,4 +12,4 @@ def spark():
 def store(spark, tmp_path):
     from freshet.sources.tables import TableStore
 
-    return TableStore(spark, str(tmp_path / "tables"), buckets=4)
+    return TableStore(spark, str(tmp_path / "tables"))

@@ -41,26 +41,91 @@ def content(store, name=BLUE):
 
 # ---- tables ---------------------------------------------------------------------------------------------------------
 
-def test_store_versions(spark, store):
+def test_tables_by_batch(spark, store):
     assert store.ensure("t", "k STRING, v INT", "k", ("k",)) and not store.ensure("t", "k STRING, v INT", "k")
     assert store.read("t").count() == 0
     rows = spark.range(40).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").cast("int").alias("v"))
-    store.overwrite("t", rows)
-    before = store.manifest("t")
-    one = rows.where("k = 'k7'")
-    store.rewrite("t", store.touched("t", one), lambda old: old.withColumn("v", F.when(F.col("k") == "k7", -1).otherwise(F.col("v"))))
-    after = store.manifest("t")
-    assert sum(after.parts[b] != before.parts[b] for b in before.parts) == 1  # the other buckets stay in place
-    assert store.read("t").where("v = -1").count() == 1 and store.read("t", before.version).where("v = -1").count() == 0
-    store.append("t", spark.createDataFrame([("new", 99)], "k STRING, v INT"))
-    assert store.read("t").count() == 41
+    assert store.replace("t", rows, rows) == 1 and store.state("t").voided == 0  # nothing was there before
+    one = rows.where("k in ('k7', 'k8')").withColumn("v", F.lit(-1))
+    assert store.replace("t", one, one) == 2 and store.state("t").voided == 2
+    assert store.read("t").where("v = -1").count() == 2 and store.read("t").count() == 40
+    assert store.read("t", 1).where("v = -1").count() == 0
+    # The rows of a change may come from the table itself; keys without rows go; unknown ones change nothing.
+    store.replace("t", one, store.read("t").where("k in ('k7', 'k8')").withColumn("v", F.lit(-2)))
+    assert store.replace("t", rows.where("k = 'k9'"), None) == 4 == store.replace("t", rows.limit(0), None)
+    assert sorted(r["v"] for r in store.read("t").where("v < 0").collect()) == [-2, -2] and store.read("t").count() == 39
+    store.append("t", spark.createDataFrame([("new", 99), ("k1", 100)], "k STRING, v INT"))
+    assert store.read("t").where("k = 'k1'").count() == 2 and store.read("t").count() == 41
     with pytest.raises(Exception):
-        store._publish("t", after)  # somebody else wrote this version first
-    with pytest.raises(ValueError):
-        store.rewrite("t", [0], lambda old: rows)
-    kept = store.versions("t")[-1]
-    assert store.drop_before("t", kept) > 0
-    assert store.versions("t") == [kept] and store.read("t").count() == 41
+        store._commit("t", store.state("t"))  # somebody else wrote this batch first
+
+
+def test_batches_without_a_commit_are_not_there(spark, store):
+    store.ensure("t", "k STRING, v INT", "k")
+    frame = lambda *rows: spark.createDataFrame(rows, "k STRING, v INT")
+    store.replace("t", frame(("a", 1)), frame(("a", 1), ("b", 1)))
+    real, store._commit = store._commit, lambda *_: (_ for _ in ()).throw(RuntimeError("lost driver"))
+    with pytest.raises(RuntimeError):
+        store.replace("t", frame(("a", 2)), frame(("a", 2), ("c", 2)))
+    store._commit = real
+    assert sorted(map(tuple, store.read("t").collect())) == [("a", 1), ("b", 1)]
+    store.replace("t", frame(("b", 0)), None)  # takes the same number and leaves nothing of the attempt
+    assert sorted(map(tuple, store.read("t").collect())) == [("a", 1)]
+    with pytest.raises(ValueError, match="negative"):
+        store.replace("t", frame(("a", 0)), frame(("a", -5)), {"negative": F.col("v") < 0})
+    assert sorted(map(tuple, store.read("t").collect())) == [("a", 1)]
+
+
+def test_tables_are_copied_when_much_is_void(spark, store):
+    store.ensure("t", "k STRING, v INT", "k", ("k",))
+    rows = spark.range(20).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").cast("int").alias("v"))
+    store.replace("t", rows, rows)
+    assert not store.maintain("t")
+    store.replace("t", rows.limit(9), rows.limit(9))
+    before = sorted(map(tuple, store.read("t").collect()))
+    assert store.maintain("t") and store.state("t").since_base == 0 and not store.maintain("t")
+    assert sorted(map(tuple, store.read("t").collect())) == before == sorted(map(tuple, store.read("t", 2).collect()))
+    assert store.clean("t") == 4 and sorted(map(tuple, store.read("t").collect())) == before
+    for n in range(3):
+        store.append("t", rows.limit(1))
+    assert not store.maintain("t", batches=4) and store.maintain("t", batches=3) and store.read("t").count() == 23
+
+
+def test_a_small_change_shuffles_no_text_and_no_vector(spark, store):
+    """Every plan of an ingest that changes one document of many, as Spark ran it."""
+    texts = {f"d{i}_txt": f"document number {i} has words" for i in range(40)}
+    ingest = ingest_of(store)
+    ingest.run(objects(spark, **texts))
+    seen = []
+    listener = spark._jsparkSession.listenerManager()
+    real = store._write
+
+    def watched(name, state, rows, checks):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        seen.append((name, plan))
+        return real(name, state, rows, checks)
+
+    store._write = watched
+    assert listener is not None and outcome(ingest.run(objects(spark, **{**texts, "d3_txt": "other words here"}))) == {"indexed": (1, 2), "unchanged": (39, 0)}
+    wide = [(n, p) for n, p in seen if n in (STAGING, BLUE)]
+    assert len(wide) >= 3
+    for name, plan in wide:
+        for line in plan.splitlines():
+            assert not ("Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line) or "doc_id" in line, (name, line)
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan, (name, plan)
+    assert store.state(BLUE).voided == 1 and store.state(BLUE).n_rows == 2
+
+
+def test_a_wrong_dimension_stops_an_ingest(spark, store):
+    class Wrong(HashedBagOfWords):
+        def embed(self, text, kind="document"):
+            return F.slice(super().embed(text, kind), 1, 7)
+
+    ingest_of(store).run(objects(spark, a_txt="good words"))
+    before = content(store)
+    with pytest.raises(ValueError, match="not of size 16"):
+        Ingest(store, Wrong("m1", 16), Chunkers(SMALL)).run(objects(spark, a_txt="bad words", b_txt="more"))
+    assert content(store) == before
 
 
 def test_shared_folder_is_the_named_one():
@@ -130,16 +195,16 @@ def test_resume_does_not_embed_twice(spark, store):
     died = ingest_of(store, commits=3)
     calls = []
 
-    def fail_on_second(name, numbers, change, real=store.rewrite, **how):
-        calls.append(numbers)
+    def fail_on_second(name, keys, rows, checks=None, real=store.replace):
+        calls.append(name)
         if len(calls) == 3:  # staging, first part of the embeddings, second part
             raise RuntimeError("lost driver")
-        return real(name, numbers, change, **how)
+        return real(name, keys, rows, checks)
 
-    store.rewrite = fail_on_second
+    store.replace = fail_on_second
     with pytest.raises(RuntimeError):
         died.run(objects(spark, **texts))
-    del store.rewrite
+    del store.replace
     left = sync.needs_embedding(store.read(STAGING), "m1").count()
     assert 0 < left < store.read(STAGING).count() and store.read(BLUE).count() == 0
 
@@ -194,9 +259,8 @@ def test_backfill_cutover_rollback_and_questions(spark, store):
     done = backfill(store, new, commits=2)
     assert done == {"status": "complete", "processed": store.read(BLUE).count(), "model": "m2", "target": GREEN}
     assert {(r["model"], r["dim"]) for r in store.read(GREEN).collect()} == {("m2", 8)}
-    versions = store.versions(GREEN)
-    backfill(store, new)
-    assert store.versions(GREEN) == versions  # nothing left to embed
+    version = store.state(GREEN).batch
+    assert backfill(store, new)["processed"] == 0 and store.state(GREEN).batch == version  # nothing left to embed
 
     assert get_active(store)["active_collection"] == BLUE
     assert cutover(store) == {"active_collection": GREEN, "active_index": "chunk_vectors", "model": "m2", "dim": 8}
@@ -215,6 +279,31 @@ def test_backfill_cutover_rollback_and_questions(spark, store):
     assert cutover(store, "empty_table") == {"active_collection": "empty_table", "active_index": "chunk_vectors", "model": "hashed-bow-1", "dim": 1024}
 
 
+def test_backfill_goes_on_where_it_stopped(spark, store):
+    ingest_of(store).run(objects(spark, **{f"d{i}_txt": f"document number {i} has words" for i in range(12)}))
+    total = store.read(BLUE).count()
+    new, calls = HashedBagOfWords("m2", 8), []
+
+    def fail_later(name, keys, rows, checks=None, real=store.replace):
+        calls.append(name)
+        if len(calls) == 3:
+            raise RuntimeError("lost driver")
+        return real(name, keys, rows, checks)
+
+    store.replace = fail_later
+    with pytest.raises(RuntimeError):
+        backfill(store, new, commits=4)
+    del store.replace
+    left = total - store.read(GREEN).count()
+    assert 0 < left < total
+    assert backfill(store, new, commits=4)["processed"] == left
+    key = lambda r: (r["chunk_id"], r["text"], r["ordinal"], r["content_hash"])
+    assert sorted(map(key, store.read(GREEN).collect())) == sorted(map(key, store.read(BLUE).collect()))
+    # One document changes: only its chunks are embedded again.
+    ingest_of(store).run(objects(spark, d3_txt="other words"))
+    assert backfill(store, new, commits=4)["processed"] == store.read(BLUE).where("source_uri = 's3://b/d3.txt'").count()
+
+
 def test_questions_through_an_inverted_file(spark, store):
     """The index of the present version is searched; an ingest makes it stale, and searches are exact again."""
     ingest = ingest_of(store)
@@ -337,7 +426,7 @@ def test_ingest_stream_resumes(spark, store, tmp_path):
     run()  # nothing new: no batch at all
     assert reports == [{"indexed": (2, 3), "missing": (1, 0)}, {"indexed": (1, 1), "unchanged": (1, 0)}]
     assert [k for k, *_ in content(store)] == ["a.txt", "a.txt", "b.txt", "c.txt"]
-    other = ingest_of(type(store)(spark, str(tmp_path / "batch"), buckets=4))
+    other = ingest_of(type(store)(spark, str(tmp_path / "batch")))
     other.run(bodies)
     assert content(other.store) == content(store)
 
