@@ -72,10 +72,13 @@ class Ingest:
                 docs = sync.one_row_each(docs, repeated)
             known = versions.where("doc_content_hash is not null")
             changed = small_side(keep(sync.changed_versions(known, store.read(target))))
-            self.stage(docs, changed)
-            self.embed()
-            applied = small_side(keep(self.complete(changed)))
-            self.apply(changed, applied, target)
+            if at_most(changed, 0):
+                applied = changed.select("doc_id", F.lit(0).alias("n"), F.lit(0).alias("dim"))
+            else:
+                self.stage(docs, changed)
+                self.embed()
+                applied = small_side(keep(self.complete(changed)))
+                self.apply(changed, applied, target)
             store.overwrite(REPORT, self.report(versions, changed, applied, target))
         return store.read(REPORT)
 

@@ -101,7 +101,7 @@ class TableStore:
 
     def _part(self, name: str, kind: str, state: Commit, schema: str) -> DataFrame | None:
         path = f"{self.root}/{name}/{kind}"
-        if not self._exists(path):
+        if not state.rows_since_base or not self._exists(path):
             return None
         rows = self.spark.read.schema(f"{schema}, {BATCH} BIGINT").parquet(path)
         return rows.where(F.col(BATCH).between(state.base, state.batch))
