@@ -6,7 +6,8 @@ child's weight is the sum of the weights of its shards. So a child is chosen in
 weight of one child changes, keys move between it and its siblings only: subtrees whose weights stay as they are hand
 nothing to each other.
 
-Only DataFrame functions are used. A draw is an expression over one row; nothing is shuffled to place a document.
+Only DataFrame functions are used. A draw is an expression over one row; nothing is shuffled to place a document. Very long
+texts are read once, for their sizes and checksums.
 
 Defined results: a null key is drawn like the key "" and a null text has no bytes. Repeated keys go to the same shard.
 Columns of the input are kept under their names; the columns added replace columns of the same names. An empty table
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import hex_bits, read, shuffled_offsets
+from freshet.llm.common import hex_bits, read, shuffled_offsets, written
 
 SHARDS_PER_RACK, RACKS_PER_REGION, BASE_SHARDS = 2, 2, 8
 
@@ -63,9 +64,9 @@ def _winner(key: Column, children: list[tuple[str, float, Column]]) -> Column:
     draws = [F.struct(_draw(key, name, weight).alias("d"), F.lit(i).alias("i")) for i, (name, weight, _) in enumerate(children)]
     first = F.least(*draws)["i"]
     value = F.when(first == 0, children[0][2])
-    for i, (_, _, column) in enumerate(children[1:], 1):
+    for i, (_, _, column) in enumerate(children[1:-1], 1):
         value = value.when(first == i, column)
-    return value
+    return value.otherwise(children[-1][2])
 
 
 def shard_of(key: Column, tree: list[Shard]) -> Column:
@@ -103,7 +104,10 @@ def with_slots(docs: DataFrame, key: str, ties: list[str], shard: str = "shard",
 
 
 def placed(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot and grown_shard of every row of `docs`."""
+    """doc_id, size, text_crc32, law, shard, slot and grown_shard of every row of `docs`.
+
+    Texts are read and keys are drawn once; the slots are found on what that wrote.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     slim = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -111,7 +115,7 @@ def placed(docs: DataFrame, shards: int = 8) -> DataFrame:
         F.crc32(text).alias("text_crc32"),
     )
     slim = assign(slim, uniform_tree(shards))
-    slim = assign(slim, uniform_tree(shards + 1), name="grown_shard")
+    slim = written(assign(slim, uniform_tree(shards + 1), name="grown_shard"), "shards")
     return with_slots(slim, "doc_id", ["doc_id", "size", "text_crc32"]).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )
