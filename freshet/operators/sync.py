@@ -44,10 +44,10 @@ def changed_documents(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def one_row_each(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """`docs` with one row for each document of `repeated` (doc_id, doc_content_hash), one of that version. Only rows
-    of repeated documents are shuffled."""
+    """`docs` with one row for each document of `repeated` (doc_id and the columns of its version), one of that version.
+    Only rows of repeated documents are shuffled."""
     single = docs.join(repeated.select("doc_id"), "doc_id", "left_anti")
-    chosen = docs.join(repeated, ["doc_id", "doc_content_hash"], "left_semi").dropDuplicates(["doc_id"])
+    chosen = docs.join(repeated, repeated.columns, "left_semi").dropDuplicates(["doc_id"])
     return single.unionByName(chosen)
 
 

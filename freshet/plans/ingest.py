@@ -6,6 +6,7 @@ not chunked twice, embedded chunks are not embedded twice, and applied documents
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from freshet import schemas
 from freshet.config import BLUE, GREEN, REPORT, STAGING
 from freshet.functions.sizes import Kept, at_most, small_side
-from freshet.operators import checks, sync
+from freshet.operators import checks, extras, sync
 from freshet.operators.chunking import Chunkers, chunk_documents
 from freshet.operators.embedding import Embedder, HashedBagOfWords, embed_chunks
 from freshet.operators.routing import identify
@@ -53,6 +54,22 @@ class Ingest:
         version counts as known if that table holds it. Of several rows for one object the one with the largest
         version hash is taken. Objects without a body are missing: nothing of theirs changes.
         """
+        return self.run_documents(self.chunkers.route(identify(objects)), target)
+
+    def run_records(self, raw: DataFrame, fetch: Callable[[DataFrame], DataFrame], target: str | None = None) -> DataFrame:
+        """Ingest raw records of any source: the payload of those that bring one, the objects that the others refer to.
+
+        `fetch` gives the objects of references (bucket, key, s3_uri, etag), as `fetch_objects` does. A record with
+        neither payload nor reference is missing. Payloads are chunked as plain or JSON texts.
+        """
+        refs = raw.where("payload is null and ref.bucket is not null").select("ref.bucket", "ref.key", "ref.s3_uri", "ref.etag")
+        columns = ["doc_id", "source_uri", "doc_content_hash", "extractor", F.col("body").cast("binary").alias("body")]
+        fetched = self.chunkers.route(identify(fetch(refs))).select(*columns)
+        inline = extras.inline_documents(raw.where("payload is not null or ref.bucket is null")).select(*columns)
+        return self.run_documents(fetched.unionByName(inline), target)
+
+    def run_documents(self, docs: DataFrame, target: str | None = None) -> DataFrame:
+        """Ingest documents (doc_id, source_uri, doc_content_hash, extractor, body), whatever they come from; see `run`."""
         store = self.store
         ensure_tables(store)
         if target == "active":
@@ -60,14 +77,13 @@ class Ingest:
         target = target or BLUE
         ensure_target(store, target)
 
-        docs = self.chunkers.route(identify(objects))
         with Kept() as keep:
             found = docs.groupBy("doc_id").agg(
                 F.max(F.struct("doc_content_hash", "extractor")).alias("_v"), F.count(F.lit(1)).alias("_rows")
             )
             found = keep(found.select("doc_id", "_v.*", "_rows"))
             versions = found.select("doc_id", "doc_content_hash", "extractor")
-            repeated = keep(found.where("_rows > 1").select("doc_id", "doc_content_hash"))
+            repeated = keep(found.where("_rows > 1").select("doc_id", "doc_content_hash", "extractor"))
             if not at_most(repeated, 0):
                 docs = sync.one_row_each(docs, repeated)
             known = versions.where("doc_content_hash is not null")

@@ -11,7 +11,7 @@ One job at a time writes a table. A batch that was not committed is overwritten
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from freshet.functions.sizes import SLIM_ROWS
 BATCH = "batch"
 COMMIT = (
     "batch BIGINT, base BIGINT, n_rows BIGINT, voided BIGINT, since_base BIGINT, rows_since_base BIGINT, key STRING, "
-    "sorted_by ARRAY<STRING>, schema STRING"
+    "sorted_by ARRAY<STRING>, schema STRING, parts ARRAY<STRING>"
 )
 # Batches, and the share of replaced documents among the rows, at which a table is copied into one batch.
 MOST_BATCHES, MOST_VOID = 64, 0.25
@@ -41,12 +41,21 @@ class Commit:
     key: str
     sorted_by: list[str]
     schema: str
+    parts: list[str] | None = field(default_factory=list)  # partition columns of the rows
+
+    @property
+    def keys(self) -> list[str]:
+        return self.key.split(",") if self.key else []
 
     @property
     def fields(self) -> T.StructType:
         return T.StructType.fromDDL(self.schema)
 
 
+def _key_schema(state: Commit) -> str:
+    return ", ".join(f"{k} STRING" for k in state.keys)
+
+
 class TableStore:
     """Named tables below one folder."""
 
@@ -76,11 +85,14 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return self._exists(f"{self.root}/{name}/commits")
 
-    def ensure(self, name: str, schema: str, key: str = "", sorted_by: tuple[str, ...] = ()) -> bool:
-        """Create an empty table unless there is one. True when it was created."""
+    def ensure(
+        self, name: str, schema: str, key: str = "", sorted_by: tuple[str, ...] = (), parts: tuple[str, ...] = ()
+    ) -> bool:
+        """Create an empty table unless there is one. True when it was created. `key` may be several columns, with commas;
+        rows lie in a folder for each value of `parts`."""
         if self.exists(name):
             return False
-        self._commit(name, Commit(0, 0, 0, 0, 0, 0, key, list(sorted_by), schema))
+        self._commit(name, Commit(0, 0, 0, 0, 0, 0, key, list(sorted_by), schema, list(parts)))
         return True
 
     # -- reading --------------------------------------------------------------------------------------------------
@@ -91,11 +103,13 @@ class TableStore:
         if rows is None:
             return self.spark.createDataFrame([], state.fields)
         if state.since_base:
-            voids = self._part(name, "void", state, f"{state.key} STRING")
-            last = voids.groupBy(F.col(state.key).alias("_key")).agg(F.max(BATCH).alias("_before"))
+            voids = self._part(name, "void", state, _key_schema(state))
+            last = voids.groupBy(*[F.col(k).alias(f"_{k}") for k in state.keys]).agg(F.max(BATCH).alias("_before"))
             # How many there are at most is known from the commits.
             last = F.broadcast(last) if state.since_base <= SLIM_ROWS else last
-            gone = (F.col(state.key) == F.col("_key")) & (F.col(BATCH) < F.col("_before"))
+            gone = F.col(BATCH) < F.col("_before")
+            for k in state.keys:
+                gone = (F.col(k) == F.col(f"_{k}")) & gone
             rows = rows.join(last, gone, "left_anti")
         return rows.drop(BATCH)
 
@@ -122,19 +136,23 @@ class TableStore:
         rows = rows.select(*columns).observe(counted, F.count(F.lit(1)).alias("n"), *bad)
         if state.sorted_by:
             rows = rows.sortWithinPartitions(*state.sorted_by)
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/rows/{BATCH}={state.batch + 1}")
+        self._write_rows(name, state, rows)
         found = counted.get
         broken = {check: found[f"bad{i}"] for i, check in enumerate(checks) if found[f"bad{i}"]}
         if broken:
             raise ValueError(f"table {name}: rows refused: {broken}")
         return found["n"]
 
+    def _write_rows(self, name: str, state: Commit, rows: DataFrame) -> None:
+        path = f"{self.root}/{name}/rows/{BATCH}={state.batch + 1}"
+        rows.write.mode("overwrite").partitionBy(*(state.parts or [])).parquet(path)
+
     def overwrite(self, name: str, rows: DataFrame, checks: dict[str, Column] | None = None) -> int:
         """Replace the whole table."""
         state = self.state(name)
         n = self._write(name, state, rows, checks or {})
         batch = state.batch + 1
-        return self._commit(name, Commit(batch, batch, n, 0, 0, n, state.key, state.sorted_by, state.schema))
+        return self._commit(name, replace(state, batch=batch, base=batch, n_rows=n, voided=0, since_base=0, rows_since_base=n))
 
     def append(self, name: str, rows: DataFrame) -> int:
         """Add rows; nothing that is there changes."""
@@ -151,21 +169,21 @@ class TableStore:
         batch, path = state.batch + 1, f"{self.root}/{name}"
         n = self._write(name, state, rows, checks or {}) if rows is not None else 0
         voided = 0
-        there = self._part(name, "rows", state, f"{state.key} STRING") if keys is not None else None
+        there = self._part(name, "rows", state, _key_schema(state)) if keys is not None else None
         if there is not None:
             counted = Observation()
-            known = there.select(state.key).distinct().join(keys.select(state.key).distinct(), state.key, "left_semi")
+            known = there.select(*state.keys).distinct().join(keys.select(*state.keys).distinct(), state.keys, "left_semi")
             known.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/void/{BATCH}={batch}")
             voided = counted.get["n"]
         if not n and not voided:
             return state.batch
         if rows is None:
             # What an attempt that was not committed may have left.
-            self.spark.createDataFrame([], state.fields).write.mode("overwrite").parquet(f"{path}/rows/{BATCH}={batch}")
-        return self._commit(
-            name,
-            Commit(batch, state.base, n, voided, state.since_base + voided, state.rows_since_base + n, state.key, state.sorted_by, state.schema),
+            self._write_rows(name, state, self.spark.createDataFrame([], state.fields))
+        after = replace(
+            state, batch=batch, n_rows=n, voided=voided, since_base=state.since_base + voided, rows_since_base=state.rows_since_base + n
         )
+        return self._commit(name, after)
 
     def maintain(self, name: str, batches: int = MOST_BATCHES, void: float = MOST_VOID) -> bool:
         """Copy what counts into one batch if batches, or replaced documents, have become many. True when it did.
@@ -180,7 +198,7 @@ class TableStore:
             return False
         # A shuffle by key here, and only here, puts rows of a document together and evens out files.
         rows = self.read(name)
-        self.overwrite(name, rows.hint("rebalance", state.key) if state.key else rows.hint("rebalance"))
+        self.overwrite(name, rows.hint("rebalance", *(state.parts or state.keys)))
         return True
 
     def clean(self, name: str) -> int:
