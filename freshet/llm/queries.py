@@ -17,7 +17,7 @@ QUERIES = {
     "op4_candidate_boosting": Query(pii.op4_candidate_boosting),
     "op5_not_modified_revisits": Query(revisits.op5_not_modified_revisits, revisits.SQL),
     "op6_delta_rollups": Query(token_rollups.op6_delta_rollups, token_rollups.SQL),
-    "op7_hash_tree_shards": Query(sharding.op7_hash_tree_shards),
+    "op7_hash_tree_shards": Query(sharding.op7_hash_tree_shards, sharding.SQL),
     "op9_pigeonhole_edit_matching": Query(decontamination.op9_pigeonhole_edit_matching),
     "op10_depth_limited_radix_sort": Query(repeats.op10_depth_limited_radix_sort),
     "op11_auction_repair": Query(repair.op11_auction_repair),

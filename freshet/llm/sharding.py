@@ -123,3 +123,73 @@ def placed(docs: DataFrame, shards: int = 8) -> DataFrame:
 
 def op7_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed(read(spark, sf_dir, "documents"))
+
+
+# ---- the same in SQL -------------------------------------------------------------------------------------------------
+
+
+def _draw_sql(child: str, weight: float) -> str:
+    u = f"(cast('0x'||substr(md5('{child}/'||k), 1, 13) as bigint) + 0.5::double) / {float(1 << 52)}::double"
+    return f"-ln({u}) / {float(weight)}::double"
+
+
+def shard_sql(tree: list[Shard]) -> str:
+    """The shard number of the key `k`, a string."""
+
+    def level(members: list[Shard], path: tuple[str, ...]) -> str:
+        if len(path) == 3:
+            return str(members[0].number)
+        names: dict[str, list[Shard]] = {}
+        for s in members:
+            names.setdefault((s.region, s.rack, f"s{s.number}")[len(path)], []).append(s)
+        if len(names) == 1:
+            return level(members, (*path, next(iter(names))))
+        draws = ", ".join(_draw_sql("/".join((*path, n)), sum(s.weight for s in of)) for n, of in names.items())
+        whens = " ".join(f"when {i} then {level(of, (*path, n))}" for i, (n, of) in enumerate(names.items(), 1))
+        return f"case list_position([{draws}], list_min([{draws}])) {whens} end"
+
+    return level([s for s in tree if s.weight > 0], ())
+
+
+# CRC-32 has no function there. It is linear: the state after a block is the state before it, moved past the block's
+# bytes, with what each byte becomes after those that follow it. 3988292384 is the polynomial, 4294967295 are 32 ones.
+SQL = f"""
+with recursive bits(step, b, v) as (
+ select 0, i, i from range(256) t(i)
+ union all select step + 1, b, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where step < 8),
+one as materialized (select b, v from bits where step = 8),
+-- The state after the byte b and d bytes of zero.
+moved(d, b, v) as (
+ select 0, b, v from one
+ union all select d + 1, m.b, xor(m.v >> 8, one.v) from moved m join one on one.b = m.v & 255 where d < 255),
+far as materialized (select cast(d as bigint) as d, b, v from moved),
+-- What byte p of a state becomes after a whole block.
+past as materialized (select 255 - d as p, b, v from far where d > 251),
+docs as materialized (
+ select row_number() over () as r, cast(doc_id as bigint) as doc_id, coalesce(cast(doc_id as varchar), '') as k,
+  strlen(coalesce(text, '')) as bytes, hex(encode(coalesce(text, ''))) as x from documents),
+-- Blocks of 256 bytes after a first one that takes what is left over.
+blocks as materialized (
+ select r, n, case when n = 0 then substr(x, 1, 2 * (bytes % 256)) else substr(x, 2 * (bytes % 256) + 512 * n - 511, 512) end as x
+ from (select r, x, bytes, unnest(range(bytes // 256 + 1)) as n from docs)),
+single as (
+ select r, n, len(x) // 2 - 1 - i as d, cast('0x'||substr(x, 2 * i + 1, 2) as bigint) as b
+ from (select r, n, x, unnest(range(len(x) // 2)) as i from blocks)),
+sums as (select r, n, bit_xor(far.v) as v from single join far using (d, b) group by r, n),
+own as materialized (select r, n, coalesce(v, 0) as v from blocks left join sums using (r, n)),
+start as (
+ select m, xor(coalesce(bit_xor(far.v), 0), case when m < 4 then 4294967295 >> (8 * m) else 0 end) as v
+ from range(256) t(m) left join far on far.b = 255 and far.d between m - 4 and m - 1 group by m),
+state(r, n, v) as (
+ select own.r, own.n, xor(own.v, start.v) from own join docs using (r) join start on m = bytes % 256 where own.n = 0
+ union all
+ select own.r, own.n, xor(own.v, xor(xor(a.v, b.v), xor(c.v, d.v))) from state s join own on own.r = s.r and own.n = s.n + 1
+  join past a on a.p = 0 and a.b = s.v & 255 join past b on b.p = 1 and b.b = s.v >> 8 & 255
+  join past c on c.p = 2 and c.b = s.v >> 16 & 255 join past d on d.p = 3 and d.b = s.v >> 24),
+placed as (
+ select doc_id, k, bytes + 1 as size, xor(v, 4294967295) as text_crc32, {shard_sql(uniform_tree(8))} as shard,
+  {shard_sql(uniform_tree(9))} as grown_shard
+ from docs join state using (r) where n = bytes // 256)
+select doc_id, size, text_crc32, 'key' as law, shard,
+ row_number() over (partition by shard order by md5(k), doc_id nulls first, size, text_crc32) - 1 as slot, grown_shard from placed
+"""
