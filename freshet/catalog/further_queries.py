@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.catalog.event_queries import _store, plain_chunkers, versions_sql
-from freshet.catalog.inputs import CONFIG, DIM, DOCS, object_uri_sql, table
+from freshet.catalog.event_queries import APPLIED_CTE, _store, plain_chunkers, versions_sql
+from freshet.catalog.inputs import CONFIG, DIM, DOCS, DOCS_LATER, object_uri_sql, table
 from freshet.catalog.registry import Query
 from freshet.catalog.sync_queries import chunks, documents
 from freshet.config import BLUE
@@ -15,6 +15,7 @@ from freshet.operators.chunking import Chunkers, chunk_documents, text_pieces
 from freshet.operators.embedding import HashedBagOfWords
 from freshet.plans.ingest import Ingest
 from freshet.plans.rows import sync_rows
+from freshet.plans.tenants import TENANT_REPORT, TENANTS, TenantIngest
 from freshet.sources.snapshots import Snapshots
 
 
@@ -142,6 +143,53 @@ def tenant_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _tenants(spark: SparkSession, sf_dir: str):
+    """East gets all documents, west the Spanish ones as well; then east gets the later upload, and at last the Spanish
+    ones as they were at first."""
+    ingest = TenantIngest(_store(spark, "tenants"), HashedBagOfWords(CONFIG.model, DIM), plain_chunkers())
+    first, later = DOCS.spark(spark, sf_dir), DOCS_LATER.spark(spark, sf_dir)
+    spanish = first.where("lang = 'es'")
+    east, west = (F.lit(n).alias("target") for n in ("east", "west"))
+    for objects in (first.select("*", east).unionByName(spanish.select("*", west)), later.select("*", east), spanish.select("*", east)):
+        ingest.run(objects)
+    return ingest.store
+
+
+def tenant_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tenants in one table after three ingests: documents that both hold, and versions that came back."""
+    return _tenants(spark, sf_dir).read(TENANTS).select(
+        "target", "doc_id", "chunk_id", "ordinal", "content_hash", "doc_content_hash", "source_uri", "model", "dim"
+    )
+
+
+def tenant_ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ingest of the versions that came back did."""
+    return _tenants(spark, sf_dir).read(TENANT_REPORT)
+
+
+_SPANISH = "source_uri like 's3://%/es/%'"
+_TENANT_SQL = f"""
+with {APPLIED_CTE}, held as (
+ select 'east' as target, * from applied where not {_SPANISH} union all by name
+ select 'east' as target, * from old where {_SPANISH} union all by name
+ select 'west' as target, * from old where {_SPANISH})
+select target, doc_id, chunk_id, ordinal, content_hash, doc_content_hash, source_uri, '{CONFIG.model}' as model, {DIM} as dim from held
+"""
+
+_TENANT_REPORT_SQL = f"""
+with {APPLIED_CTE},
+docs as (select substr(sha1(source_uri),1,16) as doc_id, sha256(body) as h, lower(regexp_extract(key, '[.]([A-Za-z]+)$', 1)) as ext,
+ content_type from {object_uri_sql(DOCS.sql)} where lang = 'es'),
+size as (select doc_id, cast(count(*) as int) as n from old group by 1),
+held as (select distinct doc_id, doc_content_hash as h from applied),
+told as (select doc_id, case when (doc_id, h) in (select (doc_id, h) from held) then 'unchanged' when n is null then 'empty'
+ else 'indexed' end as status, n, case when ext = 'md' or content_type like 'text/markdown%' then 'markdown'
+ when content_type = 'application/pdf' then 'pdf' else 'text' end as kind from docs left join size using (doc_id))
+select 'east' as target, doc_id, status, case when status = 'indexed' then n else 0 end as indexed,
+ case when status = 'indexed' then 'east' end as collection, case when status = 'indexed' then kind end as extractor from told
+"""
+
+
 def readings_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = extras.count_readings(table(spark, sf_dir, "events"), "1 hour", ["event_type"])
     return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
@@ -170,6 +218,8 @@ QUERIES = {
         f"select regexp_extract(source_uri, '^s3://([^/]+)/', 1)||'_knowledge' as target, "
         f"count(distinct doc_id) as documents, count(*) as chunks from ({versions_sql(DOCS.sql)}) group by 1",
     ),
+    "tenant_ingest": Query(tenant_ingest, _TENANT_SQL),
+    "tenant_ingest_report": Query(tenant_ingest_report, _TENANT_REPORT_SQL),
     "readings_tumbling": Query(
         readings_tumbling,
         "select event_type, time_bucket(interval 1 hour, ts) as window_start, count(*) as readings from events group by all",
