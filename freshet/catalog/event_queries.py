@@ -92,9 +92,14 @@ ROUTE_SQL = """case when lower(regexp_extract(key, '\\.([^.]*)$', 1)) in ('md','
 # ---- streams --------------------------------------------------------------------------------------------------------
 
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents table itself, read as a stream."""
-    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    """The documents table itself, read as a stream, whether it is one file or a folder of them."""
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile():
+        # A stream reads folders only.
+        return stream.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    return stream.parquet(path)
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -381,6 +381,22 @@ def test_ingest_follows_what_landed(spark, store, tmp_path):
     assert reports == [{"indexed": (1, 2)}, {"indexed": (1, 1)}]  # the late event of a.txt starts nothing
 
 
+def test_documents_stream_from_a_file_and_from_a_folder(spark, tmp_path):
+    """A table stored as a folder of files is streamed like one that is a single file."""
+    from freshet.catalog import all_queries
+    from freshet.catalog.inputs import table
+
+    whole = "/root/testdata/sf0.001"
+    some = table(spark, whole, "documents").where("doc_id < 40")
+    some.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    some.coalesce(1).write.parquet(str(tmp_path / "out"))
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "out").glob("part-*.parquet")).rename(tmp_path / "one" / "documents.parquet")
+    query = all_queries()["stream_ingest"]
+    found = [sorted(query.run(spark, str(tmp_path / d)).select("chunk_id", "content_hash").collect()) for d in ("one", "many")]
+    assert found[0] and found[0] == found[1]
+
+
 def test_a_stream_that_goes_on(spark, tmp_path):
     """With an interval as trigger the stream stays up and takes what comes later."""
     folder, root = tmp_path / "in", str(tmp_path / "landing")
