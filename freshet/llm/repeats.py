@@ -41,10 +41,12 @@ from freshet.llm.textbytes import mixed_bits, slices, span_hashes
 WINDOW = 50
 GRAM = 16
 # Bytes of a text that are looked at together; a longer text is taken in overlapping parts.
-PART = 1 << 20
+PART = 1 << 18
 SAMPLE_DOCS = 2048
 # Text per bucket and per partition. Records of a bucket unpacked are a few times its text at most.
 BUCKET_BYTES, PARTITION_BYTES = 1 << 22, 1 << 26
+# Packed records that a task holds before they leave it.
+PACKED_BYTES = 1 << 20
 FREQUENT = 8
 FREQUENT_BITS = 22
 
@@ -223,23 +225,29 @@ def _anchors(frequent: np.ndarray, window: int, buckets: int):
             cut = _buckets(lead_key, buckets)
             full = np.flatnonzero(cut[1:] > cut[:-1])
             none = np.zeros((len(lead_key), 0), np.uint8)
-            packed = [
+            packed = (
                 Packed.of(lead_key[cut[b] : cut[b + 1]], lead_doc[cut[b] : cut[b + 1]], none[cut[b] : cut[b + 1]], b"") for b in full
-            ]
+            )
             yield from _two_kinds(full, packed, _lists_by_doc(doc[many], _filter_key(key[many])), ["keys"], pa.int32(), buckets)
 
     return find
 
 
 def _two_kinds(
-    full: np.ndarray, packed: list[bytes], lists: list[pa.Array], names: list[str], kind: pa.DataType, buckets: int
+    full: np.ndarray, packed: Iterator[bytes], lists: list[pa.Array], names: list[str], kind: pa.DataType, buckets: int
 ) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, packed, doc_id, lists): packed records for their buckets, and lists of documents, spread evenly."""
+    """Rows (bucket, packed, doc_id, lists): packed records for their buckets, about PACKED_BYTES of them at a time, and
+    lists of documents, spread evenly."""
     columns = ["bucket", "packed", "doc_id", *names]
-    nothing = [pa.nulls(len(full), pa.list_(kind)) for _ in names]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(full.astype(np.int32)), pa.array(packed, pa.binary()), pa.nulls(len(full), pa.int64()), *nothing], columns
-    )
+    held, size, at = [], 0, 0
+    for n, value in enumerate(packed, 1):
+        held.append(value)
+        size += len(value)
+        if size >= PACKED_BYTES or n == len(full):
+            nothing = [pa.nulls(n - at, pa.list_(kind)) for _ in names]
+            some = [pa.array(full[at:n].astype(np.int32)), pa.array(held, pa.binary()), pa.nulls(n - at, pa.int64())]
+            held, size, at = [], 0, n
+            yield pa.RecordBatch.from_arrays([*some, *nothing], columns)
     n = len(lists[0])
     spread = (mixed_bits(lists[0].to_numpy().astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
     yield pa.RecordBatch.from_arrays([pa.array(spread), pa.nulls(n, pa.binary()), *lists], columns)
@@ -349,7 +357,7 @@ def _contents(frequent: np.ndarray, window: int, buckets: int):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             lists, values = _list_rows(batch.column("keys"))
             values, _ = _sorted_lists(lists, values)
-            key, doc, content, small, begin, flat, size = [], [], [], [], [], [], 0
+            key, doc, content, small, begin, flat = [], [], [], [], [], bytearray()
             for first, data, offsets in _bytes_of(batch):
                 for piece, cuts, row, low in parts(data, offsets, window):
                     runs = Runs(piece, cuts, frequent, window)
@@ -360,13 +368,12 @@ def _contents(frequent: np.ndarray, window: int, buckets: int):
                     doc.append(ids[rows[take]].astype(np.int64))
                     content.append(span_hashes(piece, start, stop, longest=2 * window))
                     small.append(np.column_stack([runs.anchor[take] - start, stop - start]).astype(np.uint8))
-                    begin.append(start + (size + low))
-                flat.append(data)
-                size += len(data)
+                    begin.append(start + (len(flat) + low))
+                flat.extend(memoryview(data))
             if not key or not sum(map(len, key)):
                 continue
             key, doc, content, small, begin = (np.concatenate(x) for x in (key, doc, content, small, begin))
-            flat = np.concatenate(flat)
+            flat = np.frombuffer(flat, np.uint8)
             order = np.lexsort((doc, content, key))
             key, doc, content, small, begin = key[order], doc[order], content[order], small[order], begin[order]
             new = np.ones(len(key), bool)
@@ -375,10 +382,8 @@ def _contents(frequent: np.ndarray, window: int, buckets: int):
             later = doc != np.repeat(doc[lead], np.diff(np.append(lead, len(key))))
             cut = _buckets(key[lead], buckets)
             full = np.flatnonzero(cut[1:] > cut[:-1])
-            packed = []
-            for b in full:
-                at = lead[cut[b] : cut[b + 1]]
-                packed.append(Packed.of(key[at], doc[at], small[at], _stretches(flat, begin[at], small[at, 1])))
+            of = (lead[cut[b] : cut[b + 1]] for b in full)
+            packed = (Packed.of(key[at], doc[at], small[at], _stretches(flat, begin[at], small[at, 1])) for at in of)
             yield from _two_kinds(
                 full, packed, _lists_by_doc(doc[later], content[later].view(np.int64)), ["full"], pa.int64(), buckets
             )

@@ -719,3 +719,26 @@ def test_slices_keep_nulls_and_order():
 
     found = [data.tobytes() for _, _, data, _ in slices(pa.array(["a", None, "b" * 5]))]
     assert found == [b"abbbbb"]
+
+
+def test_packed_records_leave_a_few_at_a_time(monkeypatch):
+    """A task of op10 does not hold the packed records of all buckets of a batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    from freshet.llm import repeats
+
+    monkeypatch.setattr(repeats, "PACKED_BYTES", 100)
+    made = []
+
+    def values():
+        for n in range(20):
+            made.append(n)
+            yield bytes([n]) * 60
+
+    lists = [pa.array([5], pa.int64()), pa.array([[1, 2]], pa.list_(pa.int32()))]
+    found = repeats._two_kinds(np.arange(20), values(), lists, ["keys"], pa.int32(), 4)
+    assert next(found).num_rows == 2 and len(made) == 2
+    rest = list(found)
+    assert [b.num_rows for b in rest] == [2] * 9 + [1]
+    assert [v for b in rest[:-1] for v in b.column("bucket").to_pylist()] == list(range(2, 20))

@@ -392,8 +392,8 @@ def test_documents_stream_from_a_file_and_from_a_folder(spark, tmp_path):
     some.coalesce(1).write.parquet(str(tmp_path / "out"))
     (tmp_path / "one").mkdir()
     next((tmp_path / "out").glob("part-*.parquet")).rename(tmp_path / "one" / "documents.parquet")
-    query = all_queries()["stream_ingest"]
-    found = [sorted(query.run(spark, str(tmp_path / d)).select("chunk_id", "content_hash").collect()) for d in ("one", "many")]
+    query = all_queries()["stream_latest_per_key"]
+    found = [sorted(query.run(spark, str(tmp_path / d)).select("landing_key", "offset").collect()) for d in ("one", "many")]
     assert found[0] and found[0] == found[1]
 
 
