@@ -55,13 +55,13 @@ def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knn_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same search the way it runs for question tables that are too large to broadcast: block by block."""
+    """The same search the way it runs for question tables that are too large to broadcast: on a grid."""
     vectors = table(spark, sf_dir, "embeddings")
     return _rounded(knn_exact(vectors, _questions(vectors), 5, dim=64, id_column="vec_id", block=4))
 
 
 def knn_many_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All vectors as questions, in several blocks."""
+    """All vectors as questions, more than one block holds."""
     vectors = table(spark, sf_dir, "embeddings")
     asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
     return _rounded(knn_exact(vectors, asked, 5, dim=64, id_column="vec_id", block=200))

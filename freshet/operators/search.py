@@ -4,6 +4,9 @@ Pairs of question and chunk are never rows. A task scores its chunks against all
 passes on only its best k per question. There are a few such tasks per core, however many splits the table has, each
 merging the best of its splits before anything is shuffled; those short rows are thinned out in parts before the last
 window sees them.
+
+Questions that fill more than one block never pass the driver: questions and chunks are dealt out over the cells of a
+grid, and a task holds the questions of one cell while the cell's chunks stream by.
 """
 
 from __future__ import annotations
@@ -132,7 +135,22 @@ def _best_k(corpus: DataFrame, questions: DataFrame, k: int, kind: str, width: i
     """Best k (query_id, id, score) over all of (id, v) for every row of (query_id, v)."""
     score, prepare = _KINDS[kind]
     rows = corpus.select("id", "v")
-    return best_k(questions, k, corpus.schema["id"], width, block, lambda _: (rows, partial(_whole, score=score)), prepare)
+    count = questions.count()
+    if count <= (block or block_of(width)):
+        return best_k(questions, k, corpus.schema["id"], width, block, lambda _: (rows, partial(_whole, score=score)), prepare)
+    return _best_of(_on_grid(rows, questions.select("query_id", "v"), count, k, kind, width), k, count)
+
+
+def block_of(width: int) -> int:
+    """Questions of `width` values that may be held at once."""
+    return max(1, min(BROADCAST_QUESTIONS, BROADCAST_VALUES // max(1, width)))
+
+
+def _best_of(hits: DataFrame, k: int, count: int) -> DataFrame:
+    """The best k of each of `count` questions."""
+    best = ranked(_thinned(hits, k), k)
+    # At most k hits per question: the bound is known without running the search.
+    return F.broadcast(best) if count * k <= SLIM_ROWS else best
 
 
 def best_k(
@@ -147,7 +165,7 @@ def best_k(
     schema = T.StructType(
         [questions.schema["query_id"], T.StructField("id", id_field.dataType), T.StructField("score", T.DoubleType())]
     )
-    block = block or max(1, min(BROADCAST_QUESTIONS, BROADCAST_VALUES // max(1, width)))
+    block = block or block_of(width)
     count = questions.count()
     blocks = max(1, math.ceil(count / block))
     number = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
@@ -158,9 +176,71 @@ def best_k(
         rows, scan = scan_for(asked)
         found = _scanned(rows, asked, k, schema, scan, prepare or _KINDS["cosine"][1])
         hits = found if hits is None else hits.unionByName(found)
-    best = ranked(_thinned(hits, k), k)
-    # At most k hits per question: the bound is known without running the search.
-    return F.broadcast(best) if count * k <= SLIM_ROWS else best
+    return _best_of(hits, k, count)
+
+
+# Cells of a grid per scan task, so that the tasks end up with about equal shares.
+CELLS_PER_TASK = 4
+
+
+def _on_grid(corpus: DataFrame, questions: DataFrame, count: int, k: int, kind: str, width: int) -> DataFrame:
+    """(query_id, id, score): of each question the best k of each stripe of the corpus.
+
+    A cell is a part of the questions, as many as a task may hold, and a stripe of the corpus. Rows are copied to the
+    cells that they belong to: a chunk once for each part of the questions, a question once for each stripe.
+    """
+    score, prepare = _KINDS[kind]
+    spark = corpus.sparkSession
+    across = math.ceil(count / block_of(width))
+    down = max(1, math.ceil(CELLS_PER_TASK * scan_tasks(spark) / across))
+    id_type, query_type = corpus.schema["id"].dataType, questions.schema["query_id"].dataType
+
+    def everywhere(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    asked = questions.select(
+        F.pmod(F.xxhash64("query_id", "v"), F.lit(across)).cast("int").alias("_part"), everywhere(down).alias("_stripe"),
+        F.lit(False).alias("_chunk"), "query_id", F.lit(None).cast(id_type).alias("id"), "v",
+    )
+    chunks = corpus.select(
+        everywhere(across).alias("_part"), F.pmod(F.xxhash64("id", "v"), F.lit(down)).cast("int").alias("_stripe"),
+        F.lit(True).alias("_chunk"), F.lit(None).cast(query_type).alias("query_id"), "id", "v",
+    )
+    dealt = asked.unionByName(chunks).select((F.col("_part") * down + F.col("_stripe")).alias("cell"), "_chunk", "query_id", "id", "v")
+    schema = T.StructType(
+        [questions.schema["query_id"], T.StructField("id", id_type), T.StructField("score", T.DoubleType())]
+    )
+    arrow = to_arrow_schema(schema)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, ids, vectors, best, matrix = None, [], [], None, None
+        for number, is_chunk, rows in _stretches(batches):
+            if number != cell:
+                if best:
+                    yield from best.table(ids, arrow).to_batches()
+                cell, ids, vectors, best = number, [], [], None
+            if not is_chunk:
+                ids += rows.column("query_id").to_pylist()
+                vectors.append(prepare(rows.column("v")))
+            elif ids:
+                if not best:
+                    best, matrix = _Best(len(ids), k), np.concatenate(vectors)
+                best.search(score, rows.column("id"), rows.column("v"), matrix)
+        if best:
+            yield from best.table(ids, arrow).to_batches()
+
+    return dealt.repartition(across * down, "cell").sortWithinPartitions("cell", "_chunk").mapInArrow(search, schema)
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
+    """(cell, whether they are chunks, rows) of consecutive rows of one cell and kind."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        kind = 2 * batch.column("cell").to_numpy().astype(np.int64) + batch.column("_chunk").to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(kind[1:] != kind[:-1]) + 1).tolist(), len(kind)]
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            yield int(kind[low]) // 2, bool(kind[low] % 2), batch.slice(low, high - low)
 
 
 def scan_tasks(spark: SparkSession) -> int:
@@ -212,8 +292,9 @@ def knn_exact(
 ) -> DataFrame:
     """Exact cosine top-k: (query_id, <id_column>, score, rank).
 
-    `questions` is (query_id, embedding). The corpus is scanned in place, unshuffled, once per `block` of questions (by
-    default BROADCAST_QUESTIONS or as many as fit BROADCAST_VALUES). `where` filters the corpus before the search. Rows whose vector has another dimension are not searched.
+    `questions` is (query_id, embedding). The corpus is scanned in place, unshuffled, for up to `block` questions (by
+    default BROADCAST_QUESTIONS or as many as fit BROADCAST_VALUES). More questions than that are not sent to the driver
+    but meet the corpus in a grid, whose shuffle holds the corpus once for each default block. `where` filters the corpus before the search. Rows whose vector has another dimension are not searched.
     """
     if where is not None:
         corpus = corpus.where(where)

@@ -182,3 +182,17 @@ def test_answers_and_references(spark):
     assert links == {"q": (2, "c1", None), "p": (1, "c9", None)}
     unknown = answers.withColumn("answer", F.lit("see [7]"))
     assert {r["n"] for r in an.primary_reference(unknown, ["query_id"]).collect()} == {1}
+
+
+def test_many_questions_do_not_pass_the_driver(spark, vectors, monkeypatch):
+    """More questions than one block are searched on a grid of several parts and stripes."""
+    from pyspark.sql import DataFrame
+
+    from freshet.operators import search
+
+    asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    wanted = brute_force(vectors.collect(), asked.collect(), 5)
+    monkeypatch.setattr(search, "BROADCAST_QUESTIONS", 60)
+    monkeypatch.setattr(DataFrame, "toArrow", lambda _: pytest.fail("questions came to the driver"))
+    hits = knn_exact(vectors, asked, 5, dim=64, id_column="vec_id")
+    assert grouped(hits) == wanted
