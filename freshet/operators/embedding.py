@@ -22,8 +22,8 @@ class Embedder(Protocol):
     def embed(self, text: Column, kind: str = "document") -> Column: ...
 
 
-# Words whose place is remembered per Python worker, and values handled at a time.
-CACHED_WORDS, VALUES_AT_ONCE = 500_000, 4_000_000
+# Words whose place is remembered per Python worker, and texts and values handled at a time.
+CACHED_WORDS, TEXTS_AT_ONCE, VALUES_AT_ONCE = 100_000, 512, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,7 @@ class HashedBagOfWords:
 
         @F.arrow_udf("array<float>")
         def embed(texts: pa.Array) -> pa.Array:
-            rows = max(1, VALUES_AT_ONCE // dim)
+            rows = max(1, min(TEXTS_AT_ONCE, VALUES_AT_ONCE // dim))
             parts = [vectors(texts.slice(i, rows)).reshape(-1) for i in range(0, len(texts), rows)]
             flat = np.concatenate(parts) if parts else np.zeros(0, np.float32)
             offsets = np.arange(len(texts) + 1, dtype=np.int32) * dim

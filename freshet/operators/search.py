@@ -29,8 +29,8 @@ from freshet.functions.vectors import similarity
 
 # Questions, and question values (questions x dimensions), that may be broadcast: at most 64 MB as doubles.
 BROADCAST_QUESTIONS, BROADCAST_VALUES = 16_384, 8_000_000
-# Scores (chunks x questions) computed at a time: 32 MB.
-SCORES_AT_ONCE = 4_000_000
+# Scores (chunks x questions) computed at a time: 4 MB.
+SCORES_AT_ONCE = 500_000
 # Parts in which the hits of a question are thinned out first.
 PARTS = 32
 # Scores equal to this many places are ties, decided by id: results do not depend on the summation order.

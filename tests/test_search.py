@@ -196,3 +196,22 @@ def test_many_questions_do_not_pass_the_driver(spark, vectors, monkeypatch):
     monkeypatch.setattr(DataFrame, "toArrow", lambda _: pytest.fail("questions came to the driver"))
     hits = knn_exact(vectors, asked, 5, dim=64, id_column="vec_id")
     assert grouped(hits) == wanted
+
+
+def test_memory_of_a_search_task_is_bounded():
+    """Few chunks' scores, and few texts' words, are held at a time, however large a batch is."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from freshet.operators import search
+
+    rng = np.random.default_rng(0)
+    asked = search.unit_rows(rng.normal(size=(1000, 8)))
+    chunks = pa.ListArray.from_arrays(pa.array(np.arange(10_001, dtype=np.int32) * 8), pa.array(rng.normal(size=80_000)))
+    best = search._Best(1000, 3)
+    tracemalloc.start()
+    best.search(search._cosine_scores, pa.array(range(10_000)), chunks, asked)
+    assert tracemalloc.get_traced_memory()[1] < 40_000_000
+    tracemalloc.stop()
+    assert {len(kept) for kept in best.kept} == {3}
