@@ -91,20 +91,24 @@ class Ingest:
             if at_most(changed, 0):
                 applied = changed.select("doc_id", F.lit(0).alias("n"), F.lit(0).alias("dim"))
             else:
-                self.stage(docs, changed)
+                self.stage(docs, changed, known.count())
                 self.embed()
                 applied = small_side(keep(self.complete(changed)))
                 self.apply(changed, applied, target)
             store.overwrite(REPORT, self.report(versions, changed, applied, target))
         return store.read(REPORT)
 
-    def stage(self, docs: DataFrame, changed: DataFrame) -> None:
-        """Chunk the changed documents that are not staged in this version already."""
+    def stage(self, docs: DataFrame, changed: DataFrame, versions: int) -> None:
+        """Chunk the changed documents that are not staged in this version already; `versions` is the number of documents
+        with a version."""
         staged = self.store.read(STAGING).select("doc_id", "doc_content_hash").distinct()
         with Kept() as keep:
             fresh = small_side(keep(changed.join(staged, ["doc_id", "doc_content_hash"], "left_anti")))
             if not at_most(fresh, 0):
-                self.store.replace(STAGING, fresh, chunk_documents(sync.changed_documents(docs, fresh), self.chunkers))
+                # Bodies are not shuffled to pick all of them.
+                every = fresh.count() == versions
+                some = docs.where("doc_id is not null and doc_content_hash is not null") if every else sync.changed_documents(docs, fresh)
+                self.store.replace(STAGING, fresh, chunk_documents(some, self.chunkers))
 
     def embed(self) -> None:
         """Embed what is staged and not embedded with this model, committed in parts by document."""
@@ -112,13 +116,17 @@ class Ingest:
         for part in range(self.commits):
             staged = self.store.read(STAGING).where(F.pmod(F.xxhash64("doc_id"), F.lit(self.commits)) == part)
             todo = sync.needs_embedding(staged, model)
+            embedded = (F.col("status") == "embedded") & F.col("model").eqNullSafe(F.lit(model))
+            if self.commits == 1 and at_most(staged.where(embedded), 0):
+                # Nothing is embedded yet: all rows are written anew, and none has to be left out by later readers.
+                if not at_most(todo, 0):
+                    self.store.overwrite(STAGING, embed_chunks(todo, self.embedder))
+                continue
             with Kept() as keep:
                 waiting = small_side(keep(todo.select("doc_id").distinct()))
                 if at_most(waiting, 0):
                     continue
-                done = staged.join(waiting, "doc_id", "left_semi").where(
-                    (F.col("status") == "embedded") & F.col("model").eqNullSafe(F.lit(model))
-                )
+                done = staged.join(waiting, "doc_id", "left_semi").where(embedded)
                 self.store.replace(STAGING, waiting, embed_chunks(todo, self.embedder).unionByName(done))
 
     def complete(self, changed: DataFrame) -> DataFrame:
@@ -131,7 +139,12 @@ class Ingest:
     def apply(self, changed: DataFrame, applied: DataFrame, target: str) -> None:
         """Index the complete documents into the target and clear their staging."""
         store = self.store
-        rows = sync.knowledge_rows(self._staged(changed).join(applied.select("doc_id"), "doc_id", "left_semi"))
+        # Chunks are not shuffled to pick all of them.
+        version = ["doc_id", "doc_content_hash"]
+        wanted = changed.select(*version).join(applied.select("doc_id"), "doc_id", "left_semi")
+        every = at_most(store.read(STAGING).select(*version).distinct().join(wanted, version, "left_anti"), 0)
+        chosen = store.read(STAGING) if every else self._staged(changed).join(applied.select("doc_id"), "doc_id", "left_semi")
+        rows = sync.knowledge_rows(chosen)
         repeated = checks.duplicate_chunk_ids(rows)
         if not at_most(repeated, 0):
             raise ValueError(f"table {target}: repeated chunk ids, as {repeated.first()}")
@@ -142,7 +155,7 @@ class Ingest:
         wrong = ~F.col("dim").eqNullSafe(F.lit(self.embedder.dim)) | (F.size("embedding") != self.embedder.dim)
         if not at_most(replaced, 0):
             store.replace(target, replaced, rows, {f"vectors not of size {self.embedder.dim}": wrong})
-            if at_most(staged.join(applied.select("doc_id"), "doc_id", "left_anti"), 0):
+            if every or at_most(staged.join(applied.select("doc_id"), "doc_id", "left_anti"), 0):
                 store.overwrite(STAGING, store.read(STAGING).where("false"))
             else:
                 store.replace(STAGING, applied.select("doc_id"), None)

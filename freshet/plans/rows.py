@@ -32,11 +32,13 @@ def sync_rows(
     ensure_target(store, target)
     docs = extras.row_documents(rows.where(F.col(key).isNotNull()), table, key, columns)
     new = snapshots.write(docs.groupBy("doc_id").agg(F.max("doc_content_hash").alias("row_hash")))
+    last = snapshots.last()
     with Kept() as keep:
-        changes = small_side(keep(snapshots.changes(snapshots.last(), new)))
+        changes = small_side(keep(snapshots.changes(last, new)))
         wanted = changes.where("change <> 'delete'").select("doc_id", F.col("row_hash").alias("doc_content_hash"))
         if not at_most(wanted, 0):
-            ingest.run_documents(docs.join(wanted, ["doc_id", "doc_content_hash"], "left_semi"), target)
+            # Without an earlier snapshot every row is wanted; an ingest takes the one with the largest hash itself.
+            ingest.run_documents(docs.join(wanted, ["doc_id", "doc_content_hash"], "left_semi") if last else docs, target)
         gone = changes.where("change = 'delete'").select("doc_id")
         if not at_most(gone, 0):
             store.replace(target, gone, None)

@@ -504,6 +504,16 @@ def test_versions_are_looked_up_where_they_are_written(spark, store):
     assert status("knowledge", row("one")) == ["unchanged"]
 
 
+def test_a_first_load_leaves_no_staged_row_void(spark, store):
+    """What is embedded takes the place of all that was staged, so later steps leave out no rows by a join."""
+    from freshet.config import BLUE, STAGING
+
+    objects = spark.createDataFrame([("b", f"{n}.txt", "", f"text {n}") for n in range(5)], "bucket STRING, key STRING, content_type STRING, body STRING")
+    Ingest(store, HashedBagOfWords("m", 8)).run(objects)
+    assert store.read(BLUE).count() == 5 and store.read(STAGING).count() == 0
+    assert store.commits(STAGING).agg(F.sum("voided")).first()[0] == 0
+
+
 def test_repeated_and_missing_objects(spark, store):
     ingest = Ingest(store, HashedBagOfWords(dim=16))
     rows = [("b", "k", "", "one"), ("b", "k", "", "one"), ("b", "m", "", None)]
