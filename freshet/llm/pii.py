@@ -12,12 +12,15 @@ the trees must learn from what remains; other candidates, and those that hold on
 Every fourth document is kept out of training; on it, scores are turned into probabilities and each kind gets the
 smallest threshold whose decisions there are right in PRECISION of the cases.
 
-At most MAX_TRAIN examples are kept, an equal share of them for each kind, label and side of the division: those with
-the smallest hashes. So a rare kind is drawn from all its documents, however many others there are. A document stands
-for at most PER_DOC examples of a kind and label, again those with the smallest hashes, so that a long table of numbers
-in one document counts no more than a few other documents. A share that is full
-stands for all examples of its sort: the weights for that, estimated from the largest kept hash, shift each kind's scores
-and count in calibration and thresholds.
+All examples count. Equal ones of all documents are added up, so that what is kept are the different rows of features
+and how often they occur. A document stands for at most PER_DOC examples of a kind and label, each of a larger number
+weighing less, so that a long table of numbers in one document counts no more than a few other documents. For the
+trees, the weights of a kind and label are scaled down to at most an equal share of MAX_TRAIN, so that a rare kind is not
+lost among others; shifts of each kind's scores make up for that. The cuts of the features are exact weighted
+quantiles, and the trees grow by sums of gradients over all rows, which Spark adds up level by level; up to DRIVER_ROWS
+different rows are added up by the same function on the driver. The sums are whole numbers of fine units, so their order
+does not matter. Scores are rounded to GRID, so that calibration and thresholds, from all kept-out examples, need one
+count for each score.
 
 That share is the kind's own, shrunk towards the share of all kinds together by the weight of LEAST decisions, so that a
 kind with few examples leans on the others; where no kept-out example is personal data, a calibrated probability of
@@ -33,6 +36,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
@@ -44,7 +48,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from freshet.llm.common import read
+from freshet.functions.sizes import at_most
+from freshet.llm.common import read, written
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TRAIN = 40_000
@@ -54,6 +59,11 @@ LEAST = 20
 PRECISION = 0.98
 TREES, DEPTH, BINS, RATE, LEAF = 60, 3, 32, 0.2, 5.0
 CONTEXT = 40
+# Different rows of features that the driver may add up itself: 12 MB.
+DRIVER_ROWS = 50_000
+# Units of weights and of gradients, and steps of a score.
+WEIGHT, FINE, GRID = 1 << 10, float(1 << 30), 256
+QUANTILES = [i / BINS for i in range(1, BINS)]
 
 _LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -249,46 +259,101 @@ class Trees:
         return out
 
 
-def boosted(x: np.ndarray, y: np.ndarray) -> Trees:
+def binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    return np.column_stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts)])
+
+
+def level_sums(
+    trees: Trees, feature: np.ndarray, cut: np.ndarray, level: int, x: np.ndarray, bins: np.ndarray, y: np.ndarray, w: np.ndarray
+) -> np.ndarray:
+    """First and second derivatives of the logistic loss, in units of 1 / FINE, by node of a level, feature and bin."""
+    p = 1 / (1 + np.exp(-trees.raw(x)))
+    g, h = np.rint(FINE * w * (p - y)), np.rint(FINE * w * p * (1 - p))
+    node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+    for _ in range(level):
+        node = 2 * node + 1 + (x[rows, feature[node]] > cut[node])
+    node -= (1 << level) - 1
+    out = np.zeros((1 << level, x.shape[1], BINS, 2))
+    for f in range(x.shape[1]):
+        for i, of in enumerate((g, h)):
+            out[:, f, :, i] = np.bincount(node * BINS + bins[:, f], of, minlength=BINS << level).reshape(-1, BINS)
+    return out
+
+
+Sums = Callable[[Trees, np.ndarray, np.ndarray, int], np.ndarray]
+
+
+def local_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, cuts: list[np.ndarray]) -> Sums:
+    bins = binned(x, cuts)
+    return lambda trees, feature, cut, level: level_sums(trees, feature, cut, level, x, bins, y, w)
+
+
+def spark_sums(rows: DataFrame, cuts: list[np.ndarray]) -> Sums:
+    """The sums over rows (x, label, w) of any number; a task passes on its sums alone."""
+
+    def sums(trees: Trees, feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                if batch.num_rows:
+                    x = matrix(batch.column("x"))
+                    y, w = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("label", "w"))
+                    part = level_sums(trees, feature, cut, level, x, binned(x, cuts), y, w)
+                    total = part if total is None else total + part
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
+
+        parts = (np.frombuffer(r.s) for r in rows.mapInArrow(add, "s binary").collect())
+        return sum(parts).reshape(1 << level, -1, BINS, 2)
+
+    return sums
+
+
+def grown(start: float, cuts: list[np.ndarray], sums: Sums) -> Trees:
     """Trees for the logistic loss, each split the best of all features' histogram cuts by the gain of second order."""
-    share = np.clip(y.mean(), 0.001, 0.999)
-    trees = Trees(start=float(np.log(share / (1 - share))))
-    cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
-    binned = np.column_stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts)])
-    raw = np.full(len(y), trees.start)
+    trees = Trees(start=start)
     inner = (1 << DEPTH) - 1
     for _ in range(TREES):
-        p = 1 / (1 + np.exp(-raw))
-        g, h = p - y, p * (1 - p)
-        node = np.zeros(len(y), np.int64)
-        feature, cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
-        for n in range(inner):
-            here = np.flatnonzero(node == n)
-            best = 1e-6
-            if len(here):
-                total_g, total_h = g[here].sum(), h[here].sum()
-                whole = total_g**2 / (total_h + LEAF)
-                for f, c in enumerate(cuts):
-                    if not len(c):
-                        continue
-                    bins = binned[here, f]
-                    left_g = np.cumsum(np.bincount(bins, g[here], minlength=len(c) + 1))[:-1]
-                    left_h = np.cumsum(np.bincount(bins, h[here], minlength=len(c) + 1))[:-1]
-                    gain = left_g**2 / (left_h + LEAF) + (total_g - left_g) ** 2 / (total_h - left_h + LEAF) - whole
-                    at = int(gain.argmax())
-                    if gain[at] > best:
-                        best, feature[n], cut[n] = gain[at], f, c[at]
-            node[here] = 2 * n + 1 + (x[here, feature[n]] > cut[n])
-        at = node - inner
-        size = 1 << DEPTH
-        leaf = -RATE * np.bincount(at, g, minlength=size) / (np.bincount(at, h, minlength=size) + LEAF)
-        raw += leaf[at]
+        feature, cut, leaf = np.zeros(inner, np.int64), np.full(inner, np.inf), np.zeros(1 << DEPTH)
+        for level in range(DEPTH):
+            by_bin = sums(trees, feature, cut, level) / FINE
+            left = np.cumsum(by_bin, axis=2)
+            whole = left[:, :, -1:]
+            left = left[:, :, :-1]
+            gain = sum(
+                sign * part[..., 0] ** 2 / (part[..., 1] + LEAF) for sign, part in ((1, left), (1, whole - left), (-1, whole))
+            )
+            for n in range(1 << level):
+                f, b = divmod(int(gain[n].argmax()), BINS - 1)
+                split = b < len(cuts[f]) and gain[n, f, b] > 1e-6
+                if split:
+                    feature[(1 << level) - 1 + n], cut[(1 << level) - 1 + n] = f, cuts[f][b]
+                if level == DEPTH - 1:
+                    sides = (left[n, f, b], whole[n, f, 0] - left[n, f, b]) if split else (whole[n, f, 0], np.zeros(2))
+                    leaf[2 * n : 2 * n + 2] = [-RATE * g / (h + LEAF) for g, h in sides]
         trees.feature, trees.cut, trees.leaf = (
             np.vstack([trees.feature, feature]), np.vstack([trees.cut, cut]), np.vstack([trees.leaf, leaf])
         )
     return trees
 
 
+def log_odds(right: float, of: float) -> float:
+    share = min(max(right / of, 0.001), 0.999)
+    return float(np.log(share / (1 - share)))
+
+
+def boosted(x: np.ndarray, y: np.ndarray) -> Trees:
+    """The trees of a few rows."""
+    cuts = [np.unique(np.quantile(x[:, f], QUANTILES)) for f in range(x.shape[1])]
+    return grown(log_odds(y.sum(), len(y)), cuts, local_sums(x, y, np.ones(len(y)), cuts))
+
+
+def matrix(x: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Lists of equal length as rows."""
+    flat = x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
+    return flat.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(x), -1)
+
+
 @dataclass
 class Judge:
     """Trees, for each kind a shift and the probability from which a candidate is taken, and the scores' calibration."""
@@ -300,10 +365,14 @@ class Judge:
     thresholds: tuple[float, ...] = (2.0,) * len(KINDS)
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return self.trees.raw(x) + x[:, : len(KINDS)] @ np.array(self.shifts)
+        raw = self.trees.raw(x) + x[:, : len(KINDS)] @ np.array(self.shifts)
+        return np.rint(GRID * np.clip(raw, -30, 30)) / GRID
+
+    def calibrated(self, raw: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * raw + self.shift, -30, 30)))
 
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.raw(x) + self.shift, -30, 30)))
+        return self.calibrated(self.raw(x))
 
     def spans(self, texts: list[str]) -> list[tuple[list, list]]:
         """For each text its base spans and the added ones, as (start, kind, end, probability)."""
@@ -349,33 +418,22 @@ def lowest_cut(p: np.ndarray, label: np.ndarray, weight: np.ndarray, own: np.nda
     return float(p[good[-1]]) if len(good) else float(np.nextafter(p.max(initial=0.0), 2.0))
 
 
-def fit(kind: np.ndarray, label: np.ndarray, held: np.ndarray, x: np.ndarray, weight: np.ndarray) -> Judge:
-    """Trees from the examples that are not held, calibration and thresholds from those that are."""
-    if len(set(label)) < 2:
-        return Judge(Trees())
-    if len(set(label[~held])) < 2:
-        held = np.zeros(len(held), bool)
-    shifts = []
-    for n in range(len(KINDS)):
-        right, wrong = (weight[~held & (kind == n) & (label == y)] for y in (1, 0))
-        # What the shares of the two labels hide of how frequent they are.
-        shifts.append(float(np.log(right.mean() / wrong.mean())) if len(right) and len(wrong) else 0.0)
-    judge = Judge(boosted(x[~held], label[~held].astype(float)), tuple(shifts))
-    y, k, weight = label[held].astype(float), kind[held], weight[held]
-    raw, share = judge.raw(x[held]), weight / (weight.mean() if len(weight) else 1.0)
+def fit(judge: Judge, kind: np.ndarray, label: np.ndarray, raw: np.ndarray, weight: np.ndarray) -> Judge:
+    """Calibration and thresholds of a judge from the scores of all kept-out examples, each with its weight."""
+    y = label.astype(float)
     # The logistic curve through the held-out scores, by Newton steps with a little shrinkage.
     slope, shift = 1.0, 0.0
     for _ in range(20):
         p = 1 / (1 + np.exp(-np.clip(slope * raw + shift, -30, 30)))
-        w = share * (p * (1 - p) + 1e-4)
-        gradient = np.array([(share * (p - y) * raw).sum() + (slope - 1), (share * (p - y)).sum() + shift])
+        w = weight * (p * (1 - p) + 1e-4)
+        gradient = np.array([(weight * (p - y) * raw).sum() + (slope - 1), (weight * (p - y)).sum() + shift])
         hessian = np.array([[(w * raw * raw).sum() + 1, (w * raw).sum()], [(w * raw).sum(), w.sum() + 1]])
         slope, shift = np.array([slope, shift]) - np.linalg.solve(hessian, gradient)
     judge.slope, judge.shift = float(slope), float(shift)
-    p = judge.probability(x[held])
+    p = judge.calibrated(raw)
     # Without a kept-out example that is personal data nothing is known of the cut but the calibration.
     least = 0.5 if y.any() else PRECISION
-    judge.thresholds = tuple(max(lowest_cut(p, y, weight, k == n), least) for n in range(len(KINDS)))
+    judge.thresholds = tuple(max(lowest_cut(p, y, weight, kind == n), least) for n in range(len(KINDS)))
     return judge
 
 
@@ -395,7 +453,7 @@ class Least:
 def drawn(docs: DataFrame, share: int) -> DataFrame:
     """kind, label, held, n, place, x: of each kind, label and side the `share` examples of the smallest places.
 
-    A document gives PER_DOC of a kind and label at most. A task passes on a share at most, and the salt keeps the shares of many tasks from meeting in one.
+    A look at the examples; no judge is fitted on it. A document gives PER_DOC of a kind and label at most. A task passes on a share at most, and the salt keeps the shares of many tasks from meeting in one.
     """
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,21 +495,83 @@ def drawn(docs: DataFrame, share: int) -> DataFrame:
     return rows.select(*of, "n", "place", "x")
 
 
-def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Judge:
-    """A judge fitted on at most `max_train` examples of the whole table."""
-    share = max(2, max_train // (4 * len(KINDS)))
-    table = drawn(docs, share).toArrow()
-    if not table.num_rows:
+def counted(docs: DataFrame) -> DataFrame:
+    """kind, label, held, x, weight: the different rows of features of all examples.
+
+    `weight` is the number of examples in units of 1 / WEIGHT; those of a document, kind and label weigh PER_DOC at most.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def rows() -> pa.RecordBatch:
+            kind, label, held, x = zip(*seen, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(kind, pa.int32()), pa.array(label, pa.int32()), pa.array(held, pa.bool_()),
+                    pa.array(x, pa.list_(pa.float64())), pa.array(list(seen.values()), pa.int64()),
+                ],
+                ["kind", "label", "held", "x", "weight"],
+            )
+
+        for batch in batches:
+            for h, text in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                held = int(h[-1], 16) % 4 == 0
+                found = list(examples(text or ""))
+                numbers = Counter(e[:2] for e in found)
+                for kind, label, around, start, end in found:
+                    weight = max(1, WEIGHT * PER_DOC // max(PER_DOC, numbers[kind, label]))
+                    seen[kind, label, held, tuple(features(around, kind, start, end))] += weight
+                    if len(seen) >= 10_000:
+                        yield rows()
+                        seen.clear()
+        if seen:
+            yield rows()
+
+    h = F.md5(F.col("doc_id").cast("string"))
+    named = docs.where("doc_id is not null").select(h.alias("h"), F.col("text").cast("string").alias("text"))
+    rows = named.mapInArrow(count, "kind int, label int, held boolean, x array<double>, weight bigint")
+    return rows.groupBy("kind", "label", "held", "x").agg(F.sum("weight").alias("weight"))
+
+
+def train(docs: DataFrame, max_train: int = MAX_TRAIN, driver_rows: int = DRIVER_ROWS) -> Judge:
+    """A judge fitted on all examples of the table; those of all kinds and labels weigh `max_train` in the trees at most."""
+    rows = written(counted(docs), "op4-examples")
+    found = rows.groupBy("kind", "label", "held").agg(F.sum("weight").alias("weight")).orderBy("kind", "label", "held").collect()
+    sums = {(r.kind, r.label, r.held): r.weight for r in found}
+    if len({label for _, label, _ in sums}) < 2:
         return Judge(Trees())
-    kind, label, held, n, place = (table[c].to_numpy() for c in ("kind", "label", "held", "n", "place"))
-    order = np.lexsort((n, kind, label, held))
-    weight = np.ones(len(n))
-    # Places are spread evenly below 2**63, so the last one of a full share tells how many examples there were.
-    for full in np.flatnonzero(n == share):
-        same = (kind == kind[full]) & (label == label[full]) & (held == held[full])
-        weight[same] = max(1.0, (share - 1) / share * 2.0**63 / max(1, place[full]))
-    x = np.array(table["x"].to_pylist())
-    return fit(*(a[order] for a in (kind, label, held, x, weight)))
+    if len({label for _, label, held in sums if not held}) < 2:
+        rows = rows.withColumn("held", F.lit(False))
+        sums = {(k, y, False): sum(sums.get((k, y, side), 0) for side in (True, False)) for k, y, _ in sums}
+    share = WEIGHT * max(2, max_train // (4 * len(KINDS)))
+    scales = {(k, y): min(1.0, share / n) for (k, y, held), n in sums.items() if not held}
+    # What the scales hide of how frequent the two labels are.
+    shifts = [float(np.log(scales[n, 0] / scales[n, 1])) if (n, 0) in scales and (n, 1) in scales else 0.0 for n in range(len(KINDS))]
+
+    scale = F.create_map(*[F.lit(v) for (k, y), f in scales.items() for v in (2 * k + y, f)])
+    w = F.col("weight") * F.element_at(scale, 2 * F.col("kind") + F.col("label"))
+    taught = rows.where("not held").select("x", "label", (w / WEIGHT).alias("w"), F.ceil(w).alias("_n"))
+    at, size = F.array(*map(F.lit, QUANTILES)), len(features("", 0, 0, 0))
+    cuts = [np.unique(q) for q in taught.agg(*[F.percentile(F.col("x")[f], at, F.col("_n")).alias(f"f{f}") for f in range(size)]).first()]
+    scaled = {(k, y): sums[k, y, False] * f for (k, y), f in scales.items()}
+    start = log_odds(sum(n for (_, y), n in scaled.items() if y), sum(scaled.values()))
+    if at_most(taught, driver_rows):
+        table = taught.select("x", "label", "w").toArrow()
+        of = local_sums(matrix(table["x"]), table["label"].to_numpy().astype(float), table["w"].to_numpy(), cuts)
+    else:
+        of = spark_sums(taught.select("x", "label", "w"), cuts)
+    judge = Judge(grown(start, cuts, of), tuple(shifts))
+
+    @F.arrow_udf("double")
+    def raw(x: pa.Array) -> pa.Array:
+        return pa.array(judge.raw(matrix(x)) if len(x) else [], pa.float64())
+
+    # There are as many scores as steps of the grid at most.
+    scores = rows.where("held").groupBy("kind", "label", raw("x").alias("raw")).agg(F.sum("weight").alias("weight"))
+    table = scores.orderBy("kind", "label", "raw").toArrow()
+    kind, label, score, weight = (table[c].to_numpy() for c in ("kind", "label", "raw", "weight"))
+    return fit(judge, kind, label, score, weight / WEIGHT)
 
 
 _SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"

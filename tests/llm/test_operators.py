@@ -373,6 +373,28 @@ def test_spans_that_no_rule_finds(spark, sf):
     assert len(covered) > 50 and np.mean(covered) >= 0.9 and np.mean(right) >= 0.9
 
 
+def test_the_judge_is_fitted_on_all_examples(spark):
+    docs = private_docs(spark).select("doc_id", "text")
+    numbers = spark.createDataFrame([(1000, " ".join(str(100 + 7 * i % 900) for i in range(2000)))], "doc_id bigint, text string")
+    found = Counter((k, y) for r in docs.collect() for k, y, *_ in pii.examples(r.text))
+    weights = {(r.kind, r.label): r.n for r in pii.counted(docs).groupBy("kind", "label").agg(F.sum("weight").alias("n")).collect()}
+    assert weights == {k: n * pii.WEIGHT for k, n in found.items()}
+    # A document of very many examples weighs as much as PER_DOC, but all of its different ones are there.
+    table = pii.counted(numbers).toPandas()
+    assert len(table) > 2 * pii.PER_DOC and table.groupby(["kind", "label"]).weight.sum().max() <= pii.PER_DOC * pii.WEIGHT
+    # So small a weight of the kinds would be an example or two of each, were they drawn.
+    judge = pii.train(docs, max_train=16)
+    added = judge.spans(["call 1 (231) 555-9182 now", "mail joe.12 at mail3.example.com now", "order 12345678901 x"])
+    assert [[(s, k) for s, k, *_ in a] for _, a in added] == [[(5, 3)], [(5, 0)], []]
+
+
+def test_sums_by_spark_are_those_of_the_driver(spark):
+    docs = private_docs(spark, 60).repartition(3)
+    here, there = pii.train(docs), pii.train(docs, driver_rows=0)
+    assert here.thresholds == there.thresholds and (here.slope, here.shift) == (there.slope, there.shift)
+    assert all(np.array_equal(getattr(here.trees, n), getattr(there.trees, n)) for n in ("feature", "cut", "leaf"))
+
+
 def test_many_addresses_in_one_text_take_linear_time(spark):
     judge = pii.train(private_docs(spark))
     text = "".join(f"mail joe.{i} at mail{i % 9}.example.com or a{i}@b.co now " for i in range(20_000))
