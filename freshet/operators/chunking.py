@@ -9,7 +9,7 @@ from __future__ import annotations
 import csv
 import io
 import sys
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
 import pandas as pd
@@ -196,15 +196,17 @@ class Chunkers:
         return chosen
 
 
-def finish(docs: DataFrame, pieces: str = "pieces", extractor: Column | None = None) -> DataFrame:
+def finish(
+    docs: DataFrame, pieces: str = "pieces", extractor: Column | None = None, carried: Sequence[str] = ()
+) -> DataFrame:
     """Pieces to staged chunk rows: drop blank pieces, number the rest, add ids and hashes.
 
     Needs doc_id, source_uri, doc_content_hash and the piece array. `n_chunks` comes from the array size, so counting
-    chunks per document takes no aggregation later on.
+    chunks per document takes no aggregation later on. Columns `carried` along come last.
     """
     extractor = F.col("extractor") if extractor is None else extractor
     kept = F.filter(F.col(pieces), lambda p: p["text"].isNotNull() & ~tx.is_blank(p["text"]))
-    of_document = ["doc_id", "source_uri", "doc_content_hash", "extractor"]
+    of_document = ["doc_id", "source_uri", "doc_content_hash", "extractor", *carried]
     # The size becomes a column before the explode; computed after it, the whole array would travel with every piece.
     exploded = (
         docs.withColumn("extractor", extractor)
@@ -231,15 +233,16 @@ def finish(docs: DataFrame, pieces: str = "pieces", extractor: Column | None = N
         F.lit(None).cast("array<float>").alias("embedding"),
         F.lit(None).cast("string").alias("model"),
         F.lit(None).cast("int").alias("dim"),
+        *carried,
     )
 
 
-def chunk_documents(docs: DataFrame, chunkers: Chunkers = Chunkers()) -> DataFrame:
-    """Chunks of documents of any type. Needs doc_id, source_uri, doc_content_hash, extractor and body (text or
-    bytes); paged documents carry their extracted pages in `pages ARRAY<STRING>`."""
+def chunk_documents(docs: DataFrame, chunkers: Chunkers = Chunkers(), carried: Sequence[str] = ()) -> DataFrame:
+    """Chunks of documents of any type, with the columns `carried` along. Needs doc_id, source_uri, doc_content_hash,
+    extractor and body (text or bytes); paged documents carry their extracted pages in `pages ARRAY<STRING>`."""
     text = F.col("body") if dict(docs.dtypes)["body"] == "string" else tx.decode_utf8(F.col("body"))
     pages = F.col("pages") if "pages" in docs.columns else F.lit(None).cast("array<string>")
-    return finish(docs.withColumn("pieces", chunkers.pieces(text, pages, F.col("extractor"))))
+    return finish(docs.withColumn("pieces", chunkers.pieces(text, pages, F.col("extractor"))), carried=carried)
 
 
 def chunk_pages(pages: DataFrame, config: JobConfig = JobConfig()) -> DataFrame:

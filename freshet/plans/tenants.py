@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from freshet import schemas
 from freshet.config import BLUE
-from freshet.functions.sizes import Kept, at_most, small_side
+from freshet.functions.sizes import SLIM_ROWS, Kept, at_most, small_side
 from freshet.operators import sync
 from freshet.operators.chunking import Chunkers, chunk_documents
 from freshet.operators.embedding import Embedder, HashedBagOfWords, embed_chunks
@@ -23,6 +23,9 @@ from freshet.sources.tables import TableStore
 TENANTS, TENANT_STAGING, TENANT_REPORT = "tenant_chunks", "tenant_staging", "tenant_report"
 
 _VERSION = ["doc_id", "doc_content_hash"]
+_KEYS = ["target", "doc_id"]
+# Rows of names alone (about 80 bytes each) that may be broadcast: as many bytes as of other slim tables.
+NAME_ROWS = 500_000
 
 
 @dataclass
@@ -37,7 +40,8 @@ class TenantIngest:
     def ensure(self) -> None:
         order = ("target", "doc_id", "ordinal")
         self.store.ensure(TENANTS, f"target STRING, {schemas.KNOWLEDGE}", "target,doc_id", order, ("target",))
-        self.store.ensure(TENANT_STAGING, schemas.STAGING, ",".join(_VERSION), ("doc_id", "ordinal"))
+        # Staged rows are read as a whole, so they are not sorted. Their target is the one whose copy was chunked.
+        self.store.ensure(TENANT_STAGING, f"{schemas.STAGING}, target STRING", ",".join(_VERSION))
         self.store.ensure(TENANT_REPORT, f"target STRING, {schemas.INGEST_REPORT}")
 
     def chunks(self, target: str) -> DataFrame:
@@ -60,8 +64,8 @@ class TenantIngest:
         with Kept() as keep:
             versions = keep(
                 docs.groupBy("target", "doc_id")
-                .agg(F.max(F.struct("doc_content_hash", "extractor")).alias("_v"))
-                .select("target", "doc_id", "_v.*")
+                .agg(F.max(F.struct("doc_content_hash", "extractor")).alias("_v"), F.count(F.lit(1)).alias("_rows"))
+                .select("target", "doc_id", "_v.*", "_rows")
             )
             held = self.store.read(TENANTS).select("target", *_VERSION).distinct()
             known = versions.where("doc_content_hash is not null")
@@ -69,48 +73,79 @@ class TenantIngest:
             if at_most(changed, 0):
                 counts = changed.select("target", "doc_id", F.lit(0).alias("n"))
             else:
-                self.stage(docs, changed)
+                self.stage(docs, versions, changed)
                 counts = keep(self.apply(changed))
             self.store.overwrite(TENANT_REPORT, self.report(versions, changed, counts))
         return self.store.read(TENANT_REPORT)
 
-    def stage(self, docs: DataFrame, changed: DataFrame) -> None:
+    def stage(self, docs: DataFrame, versions: DataFrame, changed: DataFrame) -> None:
         """Chunk and embed each changed version that is not staged yet, once for all targets."""
         staged = self.store.read(TENANT_STAGING).where(F.col("model") == self.embedder.model).select(*_VERSION).distinct()
         with Kept() as keep:
             # One target's copy of a version stands for all: bodies are chosen by their slim columns, not shuffled.
-            one = changed.groupBy(*_VERSION).agg(F.min(F.struct("extractor", "target")).alias("_one"))
-            fresh = small_side(keep(one.join(staged, _VERSION, "left_anti").select(*_VERSION, "_one.*")))
+            one = changed.groupBy(*_VERSION).agg(F.min(F.struct("extractor", "target", "_rows")).alias("_one"))
+            fresh = keep(one.join(staged, _VERSION, "left_anti").select(*_VERSION, "_one.*"))
             if at_most(fresh, 0):
                 return
-            chosen = docs.join(fresh, fresh.columns, "left_semi")
-            repeated = docs.groupBy(*fresh.columns).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").drop("_rows")
-            repeated = small_side(keep(repeated.join(fresh, fresh.columns, "left_semi")))
+            chosen = self.only_rows(docs, versions, keep(fresh.where("_rows = 1").select(*_KEYS)))
+            repeated = small_side(fresh.where("_rows > 1").drop("_rows"))
             if not at_most(repeated, 0):
-                again = chosen.join(repeated, fresh.columns, "left_semi").dropDuplicates(fresh.columns)
-                chosen = chosen.join(repeated, fresh.columns, "left_anti").unionByName(again)
-            rows = embed_chunks(chunk_documents(chosen, self.chunkers), self.embedder)
-            self.store.replace(TENANT_STAGING, fresh.select(*_VERSION), rows)
+                again = docs.join(repeated, repeated.columns, "left_semi").dropDuplicates(repeated.columns)
+                chosen = chosen.unionByName(again)
+            rows = embed_chunks(chunk_documents(chosen, self.chunkers, ["target"]), self.embedder)
+            self.store.replace(TENANT_STAGING, small_side(fresh.select(*_VERSION)), rows)
+
+    def only_rows(self, docs: DataFrame, versions: DataFrame, wanted: DataFrame) -> DataFrame:
+        """The rows of the `wanted` names, which have one row each: found by name, so that no other body is hashed.
+
+        Bodies are not shuffled as long as the names that are wanted, or those that are not, are few.
+        """
+        if at_most(wanted, NAME_ROWS):
+            return docs.join(F.broadcast(wanted), _KEYS, "left_semi")
+        with Kept() as keep:
+            others = keep(versions.select(*_KEYS).where("doc_id is not null").join(wanted, _KEYS, "left_anti"))
+            few, none = at_most(others, NAME_ROWS), at_most(others, 0)
+        if not few:
+            return docs.join(wanted, _KEYS, "left_semi")
+        named = docs.where("doc_id is not null")
+        return named if none else named.join(F.broadcast(others), _KEYS, "left_anti")
 
     def apply(self, changed: DataFrame) -> DataFrame:
         """Write the staged chunks of all targets at once; returns how many each (target, doc_id) got."""
         store = self.store
         staged = store.read(TENANT_STAGING)
-        sizes = staged.groupBy(*_VERSION).agg(F.count(F.lit(1)).cast("int").alias("n"))
-        counts = changed.join(sizes, _VERSION).select("target", "doc_id", "n")
-        wide = staged.withColumnRenamed("extractor", "_extractor").join(changed, _VERSION)
-        rows = wide.select("target", *sync.KNOWLEDGE_COLUMNS)
         wrong = ~F.col("dim").eqNullSafe(F.lit(self.embedder.dim)) | (F.size("embedding") != self.embedder.dim)
         with Kept() as keep:
-            counts = keep(counts)
+            sizes = staged.groupBy(*_VERSION).agg(F.count(F.lit(1)).cast("int").alias("n"))
+            counts = keep(changed.join(sizes, _VERSION).select("target", "doc_id", "n"))
             total = counts.count()
             if total:
+                rows = self.dealt(staged, changed, keep).select("target", *sync.KNOWLEDGE_COLUMNS)
                 store.replace(TENANTS, small_side(counts), rows, {f"vectors not of size {self.embedder.dim}": wrong})
         # The counts of the report are those of what the targets hold now.
-        after = store.read(TENANTS).select("target", *_VERSION).join(changed, ["target", *_VERSION], "left_semi")
+        after = store.read(TENANTS).groupBy("target", *_VERSION).agg(F.count(F.lit(1)).cast("int").alias("n"))
         store.overwrite(TENANT_STAGING, staged.where("false"))
         store.maintain(TENANTS)
-        return after.groupBy("target", "doc_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+        return after.join(changed, ["target", *_VERSION], "left_semi").select(*_KEYS, "n")
+
+    def dealt(self, staged: DataFrame, changed: DataFrame, keep: Kept) -> DataFrame:
+        """Staged rows once for each target that changed to their version.
+
+        Of very many versions only those that further targets hold are looked up; the others' rows name their target.
+        """
+        plain = staged.drop("target", "extractor").join(changed, _VERSION)
+        # A table of an earlier make has no targets.
+        if "target" not in staged.columns or at_most(changed, SLIM_ROWS):
+            return plain
+        homes = keep(staged.select(*_VERSION, "target").distinct())
+        own = ["target", *_VERSION]
+        more = keep(changed.join(homes.select(*_VERSION), _VERSION, "left_semi").join(homes, own, "left_anti").select(*own))
+        # What a run that died had staged may be for a target that holds it by now.
+        if not at_most(homes.join(changed, own, "left_anti"), 0) or not at_most(more, SLIM_ROWS):
+            return plain
+        also = more.groupBy(*_VERSION).agg(F.collect_list("target").alias("_also"))
+        targets = F.concat(F.array("target"), F.coalesce("_also", F.array().cast("array<string>")))
+        return staged.join(F.broadcast(also), _VERSION, "left").withColumn("target", F.explode(targets))
 
     def report(self, versions: DataFrame, changed: DataFrame, counts: DataFrame) -> DataFrame:
         keys = ["target", "doc_id"]

@@ -1,6 +1,8 @@
+import re
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,7 +10,7 @@ from pyspark.sql import types as T
 from freshet.catalog.inputs import table
 from freshet.operators import answers as an
 from freshet.operators.cells import build, fit, is_built, knn_cells, load
-from freshet.operators.embedding import HashedBagOfWords
+from freshet.operators.embedding import HashedBagOfWords, words_of
 from freshet.operators.rerank import attach_results, rerank, word_overlap
 from freshet.operators.search import knn_approximate, knn_exact
 
@@ -40,6 +42,16 @@ def vectors(spark):
     return table(spark, SF, "embeddings").persist()
 
 
+def test_words_are_runs_of_ascii_letters(spark):
+    texts = ["Ab-c", None, "", "\u00e9x\u6c49Yz", "1 2", "zz"] * 3 + ["tail"]
+    array = pa.array(["skipped", *texts]).slice(1)
+    row, words = words_of(array)
+    plain = [(i, w) for i, t in enumerate(texts) for w in re.findall("[a-z]+", (t or "").lower())]
+    assert list(zip(row.tolist(), words.to_pylist(), strict=True)) == plain
+    blank = spark.createDataFrame([("1 2",), (None,), ("",)], "t string").select(HashedBagOfWords(dim=4).embed(F.col("t")).alias("v"))
+    assert [list(r.v) for r in blank.collect()] == [[0.0] * 4] * 3
+
+
 @pytest.mark.parametrize("block", [None, 60])
 def test_exact_search_of_a_table_with_itself(spark, vectors, block):
     asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from freshet.config import JobConfig
 from freshet.operators.chunking import Chunkers, plain_pieces
 from freshet.operators.embedding import HashedBagOfWords
+from freshet.plans import tenants as plan
 from freshet.plans.tenants import TENANT_STAGING, TENANTS, TenantIngest
 
 SMALL = JobConfig(chunk_size=10, chunk_overlap=0, dim=16)
@@ -77,3 +78,19 @@ def test_a_run_that_died_goes_on(spark, store):
     assert told(ingest.run(docs)) == {("a", "indexed"): (1, 1), ("b", "indexed"): (2, 2)}
     # The second run wrote no staged rows of its own; it only cleared them.
     assert store.read(TENANT_STAGING).count() == 0 and store.state(TENANT_STAGING).batch == batch + 1
+
+
+@pytest.mark.parametrize("limit", [0, 1])
+def test_bodies_and_vectors_of_a_large_load_are_not_shuffled(spark, store, monkeypatch, limit):
+    # With a limit of one name, four are many and the one that is left out is few; with none, everything is many.
+    monkeypatch.setattr(plan, "NAME_ROWS", limit)
+    monkeypatch.setattr(plan, "SLIM_ROWS", limit)
+    ingest, seen = tenants(store), []
+    only, dealt = ingest.only_rows, ingest.dealt
+    ingest.only_rows = lambda *a: seen.append(only(*a)) or seen[-1]
+    ingest.dealt = lambda *a: seen.append(dealt(*a)) or seen[-1]
+    rows = [("a", "x", "alpha betagamma"), ("a", "y", "one"), ("a", "z", "two"), ("b", "x", "alpha betagamma")]
+    assert told(ingest.run(objects(spark, *rows))) == {("a", "indexed"): (3, 4), ("b", "indexed"): (1, 2)}
+    assert held(store, "a") == [("x", "alpha beta"), ("x", "gamma"), ("y", "one"), ("z", "two")] and held(store, "b") == held(store, "a")[:2]
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in seen]
+    assert len(plans) == 2 and (not limit or all("strategy=broadcast" in p for p in plans))
