@@ -20,6 +20,7 @@ from freshet.operators.chunking import Chunkers, chunk_documents
 from freshet.operators.embedding import Embedder, HashedBagOfWords, embed_chunks
 from freshet.operators.routing import identify
 from freshet.sources.pointer import get_active
+from freshet.sources.shared import free_shuffles
 from freshet.sources.tables import TableStore
 
 
@@ -87,15 +88,23 @@ class Ingest:
             if not at_most(repeated, 0):
                 docs = sync.one_row_each(docs, repeated)
             known = versions.where("doc_content_hash is not null")
-            changed = small_side(keep(sync.changed_versions(known, store.read(target))))
+            # Nothing is indexed in an empty table; what is found is not kept a second time.
+            nothing = store.is_empty(target)
+            changed = known.select("doc_id", "doc_content_hash") if nothing else keep(sync.changed_versions(known, store.read(target)))
+            changed = small_side(changed)
             if at_most(changed, 0):
                 applied = changed.select("doc_id", F.lit(0).alias("n"), F.lit(0).alias("dim"))
             else:
+                # With nothing left in staging by a run that died, all that is staged is of the changed versions.
+                alone = store.is_empty(STAGING)
                 self.stage(docs, changed, known.count())
+                free_shuffles(store.spark)
                 self.embed()
-                applied = small_side(keep(self.complete(changed)))
-                self.apply(changed, applied, target)
+                applied = small_side(keep(self.complete(changed, alone)))
+                self.apply(changed, applied, target, alone)
+                free_shuffles(store.spark)
             store.overwrite(REPORT, self.report(versions, changed, applied, target))
+        store.clean(STAGING)
         return store.read(REPORT)
 
     def stage(self, docs: DataFrame, changed: DataFrame, versions: int) -> None:
@@ -103,7 +112,8 @@ class Ingest:
         with a version."""
         staged = self.store.read(STAGING).select("doc_id", "doc_content_hash").distinct()
         with Kept() as keep:
-            fresh = small_side(keep(changed.join(staged, ["doc_id", "doc_content_hash"], "left_anti")))
+            fresh = changed.join(staged, ["doc_id", "doc_content_hash"], "left_anti")
+            fresh = changed if self.store.is_empty(STAGING) else small_side(keep(fresh))
             if not at_most(fresh, 0):
                 # Bodies are not shuffled to pick all of them.
                 every = fresh.count() == versions
@@ -121,6 +131,8 @@ class Ingest:
                 # Nothing is embedded yet: all rows are written anew, and none has to be left out by later readers.
                 if not at_most(todo, 0):
                     self.store.overwrite(STAGING, embed_chunks(todo, self.embedder))
+                    # Staging has no readers but this job: the rows without vectors do not stay on the disk.
+                    self.store.clean(STAGING)
                 continue
             with Kept() as keep:
                 waiting = small_side(keep(todo.select("doc_id").distinct()))
@@ -129,20 +141,23 @@ class Ingest:
                 done = staged.join(waiting, "doc_id", "left_semi").where(embedded)
                 self.store.replace(STAGING, waiting, embed_chunks(todo, self.embedder).unionByName(done))
 
-    def complete(self, changed: DataFrame) -> DataFrame:
-        """The changed documents whose chunks are all embedded: (doc_id, n, dim)."""
-        return sync.fully_embedded(self._staged(changed), self.embedder.model)
+    def complete(self, changed: DataFrame, alone: bool = False) -> DataFrame:
+        """The changed documents whose chunks are all embedded: (doc_id, n, dim). `alone`: nothing else is staged."""
+        return sync.fully_embedded(self.store.read(STAGING) if alone else self._staged(changed), self.embedder.model)
 
     def _staged(self, changed: DataFrame) -> DataFrame:
         return self.store.read(STAGING).join(changed, ["doc_id", "doc_content_hash"], "left_semi")
 
-    def apply(self, changed: DataFrame, applied: DataFrame, target: str) -> None:
-        """Index the complete documents into the target and clear their staging."""
+    def apply(self, changed: DataFrame, applied: DataFrame, target: str, alone: bool = False) -> None:
+        """Index the complete documents into the target and clear their staging. `alone`: only `changed` is staged."""
         store = self.store
         # Chunks are not shuffled to pick all of them.
-        version = ["doc_id", "doc_content_hash"]
-        wanted = changed.select(*version).join(applied.select("doc_id"), "doc_id", "left_semi")
-        every = at_most(store.read(STAGING).select(*version).distinct().join(wanted, version, "left_anti"), 0)
+        if alone:
+            every = at_most(sync.needs_embedding(store.read(STAGING), self.embedder.model), 0)
+        else:
+            version = ["doc_id", "doc_content_hash"]
+            wanted = changed.select(*version).join(applied.select("doc_id"), "doc_id", "left_semi")
+            every = at_most(store.read(STAGING).select(*version).distinct().join(wanted, version, "left_anti"), 0)
         chosen = store.read(STAGING) if every else self._staged(changed).join(applied.select("doc_id"), "doc_id", "left_semi")
         rows = sync.knowledge_rows(chosen)
         repeated = checks.duplicate_chunk_ids(rows)

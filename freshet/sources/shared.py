@@ -8,6 +8,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the files of shuffles that are no longer used removed.
+
+    Spark removes them once the driver's garbage collector has come across them, which a large heap puts off for long;
+    the steps of a long job would pile up theirs on the executors' disks.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for this run below the folder named by spark.checkpoint.dir.
 

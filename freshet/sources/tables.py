@@ -101,7 +101,8 @@ class TableStore:
         state = self.state(name, version)
         rows = self._part(name, "rows", state, state.schema)
         if rows is None:
-            return self.spark.createDataFrame([], state.fields)
+            # Known to be empty by the planner, so that nothing is shuffled to be compared with it.
+            return self.spark.createDataFrame([], state.fields).where("false")
         if state.since_base:
             voids = self._part(name, "void", state, _key_schema(state))
             last = voids.groupBy(*[F.col(k).alias(f"_{k}") for k in state.keys]).agg(F.max(BATCH).alias("_before"))
@@ -113,6 +114,10 @@ class TableStore:
             rows = rows.join(last, gone, "left_anti")
         return rows.drop(BATCH)
 
+    def is_empty(self, name: str) -> bool:
+        """Whether no batch that counts has rows; a table all of whose rows are void may count as not empty."""
+        return not self.state(name).rows_since_base
+
     def _part(self, name: str, kind: str, state: Commit, schema: str) -> DataFrame | None:
         path = f"{self.root}/{name}/{kind}"
         if not state.rows_since_base or not self._exists(path):
@@ -145,7 +150,8 @@ class TableStore:
 
     def _write_rows(self, name: str, state: Commit, rows: DataFrame) -> None:
         path = f"{self.root}/{name}/rows/{BATCH}={state.batch + 1}"
-        rows.write.mode("overwrite").partitionBy(*(state.parts or [])).parquet(path)
+        # Half of a row are hashes in hexadecimal, which codecs without an entropy stage leave as they are.
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*(state.parts or [])).parquet(path)
 
     def overwrite(self, name: str, rows: DataFrame, checks: dict[str, Column] | None = None) -> int:
         """Replace the whole table."""

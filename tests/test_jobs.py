@@ -514,6 +514,36 @@ def test_a_first_load_leaves_no_staged_row_void(spark, store):
     assert store.commits(STAGING).agg(F.sum("voided")).first()[0] == 0
 
 
+def test_staged_rows_do_not_stay_on_the_disk(spark, store):
+    """What is embedded takes the place of the rows without vectors, and what is indexed leaves staging, files included."""
+    from pathlib import Path
+
+    from freshet.config import BLUE, STAGING
+
+    folders, seen = lambda: sorted(p.name for p in Path(store.root, STAGING, "rows").glob("batch=*")), []
+
+    class Watched(Ingest):
+        def apply(self, *args):
+            seen.append(folders())
+            super().apply(*args)
+
+    objects = [("b", f"{n}.txt", "", f"text {n}") for n in range(5)]
+    ddl = "bucket STRING, key STRING, content_type STRING, body STRING"
+    for rows in (objects, [*objects[:3], ("b", "3.txt", "", "other")]):
+        Watched(store, HashedBagOfWords("m", 8)).run(spark.createDataFrame(rows, ddl))
+    assert seen == [["batch=2"], ["batch=5"]] and folders() == ["batch=6"]
+    assert sorted(r["text"] for r in store.read(BLUE).collect()) == ["other", "text 0", "text 1", "text 2", "text 4"]
+
+
+def test_nothing_is_shuffled_to_be_compared_with_an_empty_table(spark, store):
+    store.ensure("t", "doc_id STRING, doc_content_hash STRING", "doc_id")
+    versions = spark.createDataFrame([("a", "1"), ("b", "2")], "doc_id STRING, doc_content_hash STRING")
+    changed = sync.changed_versions(versions, store.read("t"))
+    assert store.is_empty("t") and changed.count() == 2 and "Exchange" not in plan_of(changed) and "Join" not in plan_of(changed)
+    store.append("t", versions.limit(1))
+    assert not store.is_empty("t") and sync.changed_versions(versions, store.read("t")).count() == 1
+
+
 def test_repeated_and_missing_objects(spark, store):
     ingest = Ingest(store, HashedBagOfWords(dim=16))
     rows = [("b", "k", "", "one"), ("b", "k", "", "one"), ("b", "m", "", None)]
