@@ -31,10 +31,12 @@ def sync_rows(
     target = target or BLUE
     ensure_target(store, target)
     docs = extras.row_documents(rows.where(F.col(key).isNotNull()), table, key, columns)
-    new = snapshots.write(docs.groupBy("doc_id").agg(F.max("doc_content_hash").alias("row_hash")))
+    new = snapshots.write(docs.select("doc_id", F.col("doc_content_hash").alias("row_hash")))
     last = snapshots.last()
     with Kept() as keep:
-        changes = small_side(keep(snapshots.changes(last, new)))
+        changes = snapshots.changes(last, new)
+        # Without an earlier snapshot the changes are the new one as it lies there.
+        changes = small_side(keep(changes) if last else changes)
         wanted = changes.where("change <> 'delete'").select("doc_id", F.col("row_hash").alias("doc_content_hash"))
         if not at_most(wanted, 0):
             # Without an earlier snapshot every row is wanted; an ingest takes the one with the largest hash itself.

@@ -37,12 +37,14 @@ class Snapshots:
         return max((int(f.getPath().getName()) for f in fs.listStatus(folder)), default=0)
 
     def write(self, versions: DataFrame) -> int:
-        """Write the next snapshot from (doc_id, row_hash), one row per document; returns its number."""
+        """Write the next snapshot from (doc_id, row_hash); of several rows of one document the one with the largest hash
+        counts. Returns its number."""
         no = self.last() + 1
         name = f"snapshot_{uuid.uuid4().hex}"
-        # Rows are dealt out as the buckets are, so a bucket is one file.
+        # Rows are dealt out as the buckets are, so a bucket is one file and its rows are not shuffled again to be grouped.
         dealt = versions.select("doc_id", "row_hash").repartition(self.buckets, "doc_id")
-        writer = dealt.write.mode("overwrite").option("path", self._path(no)).bucketBy(self.buckets, "doc_id")
+        latest = dealt.groupBy("doc_id").agg(F.max("row_hash").alias("row_hash"))
+        writer = latest.write.mode("overwrite").option("path", self._path(no)).option("compression", "zstd").bucketBy(self.buckets, "doc_id")
         writer.sortBy("doc_id").saveAsTable(name)
         self.spark.sql(f"drop table {name}")  # an external table: its files stay
         return no
@@ -54,7 +56,7 @@ class Snapshots:
     def read(self, no: int) -> DataFrame:
         """A snapshot with its buckets known to the planner; number 0 is empty."""
         if no == 0:
-            return self.spark.createDataFrame([], VERSIONS)
+            return self.spark.createDataFrame([], VERSIONS).where("false")
         name = f"snapshot_{uuid.uuid5(uuid.NAMESPACE_URL, self._path(no)).hex}"
         self.spark.sql(
             f"create table if not exists {name} ({VERSIONS}) using parquet clustered by (doc_id) sorted by (doc_id) "

@@ -45,6 +45,16 @@ def test_snapshot_changes_equal_brute_force(spark, tmp_path):
         snapshots.commit(first)  # somebody else was first
 
 
+def test_snapshot_of_rows_that_repeat(spark, tmp_path):
+    """Rows are grouped where they lie in their buckets, by one shuffle for both."""
+    snapshots = Snapshots(spark, str(tmp_path / "s"), 4)
+    rows = [("a", "h1"), ("a", "h3"), ("a", "h2"), ("b", "h1"), ("b", "h1"), ("c", None)]
+    no = snapshots.write(spark.createDataFrame(rows, "doc_id STRING, row_hash STRING").repartition(3))
+    assert sorted(map(tuple, snapshots.read(no).collect()), key=str) == [("a", "h3"), ("b", "h1"), ("c", None)]
+    plan = snapshots.changes(0, no)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_sync_of_rows(spark, store):
     ingest, snapshots = ingest_of(store), Snapshots(spark, f"{store.root}/snapshots", 2)
 
