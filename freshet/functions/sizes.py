@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Rows of a slim table (ids, hashes, counters; at most about 200 bytes each) that may be broadcast: about 40 MB.
 SLIM_ROWS = 200_000
+# Hashes of keys, 8 bytes each, that may be broadcast: about 60 MB as a hash table.
+KEY_ROWS = 1_000_000
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
@@ -23,6 +25,16 @@ def small_side(df: DataFrame, rows: int = SLIM_ROWS) -> DataFrame:
     return F.broadcast(df) if at_most(df, rows) else df
 
 
+def likely(df: DataFrame, some: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of `df` whose `keys` are those of a row of `some`, and perhaps, by equal hashes, very few others.
+
+    To be used before a shuffled join, so that wide rows that cannot match are not shuffled. `some` has KEY_ROWS rows at
+    most; its keys are broadcast as one hash each.
+    """
+    hashes = some.select(F.xxhash64(*keys).alias("_hash"))
+    return df.join(F.broadcast(hashes), F.xxhash64(*[df[k] for k in keys]) == F.col("_hash"), "left_semi")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A table scan in at least as many partitions as there are cores.
 

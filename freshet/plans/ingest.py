@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from freshet import schemas
 from freshet.config import BLUE, GREEN, REPORT, STAGING
-from freshet.functions.sizes import Kept, at_most, small_side
+from freshet.functions.sizes import KEY_ROWS, SLIM_ROWS, Kept, at_most, likely, small_side
 from freshet.operators import checks, extras, sync
 from freshet.operators.chunking import Chunkers, chunk_documents
 from freshet.operators.embedding import Embedder, HashedBagOfWords, embed_chunks
@@ -115,9 +115,13 @@ class Ingest:
             fresh = changed.join(staged, ["doc_id", "doc_content_hash"], "left_anti")
             fresh = changed if self.store.is_empty(STAGING) else small_side(keep(fresh))
             if not at_most(fresh, 0):
-                # Bodies are not shuffled to pick all of them.
-                every = fresh.count() == versions
-                some = docs.where("doc_id is not null and doc_content_hash is not null") if every else sync.changed_documents(docs, fresh)
+                # Bodies are not shuffled to pick all of them, and of many documents not those of others.
+                n = fresh.count()
+                if n == versions:
+                    some = docs.where("doc_id is not null and doc_content_hash is not null")
+                else:
+                    many = SLIM_ROWS < n <= KEY_ROWS
+                    some = sync.changed_documents(likely(docs, fresh, ["doc_id", "doc_content_hash"]) if many else docs, fresh)
                 self.store.replace(STAGING, fresh, chunk_documents(some, self.chunkers))
 
     def embed(self) -> None:

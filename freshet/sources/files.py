@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.functions import text as tx
-from freshet.functions.sizes import small_side
+from freshet.functions.sizes import SLIM_ROWS, Kept, at_most, small_side
 from freshet.operators.routing import select_markdown_files
 
 
@@ -62,6 +62,24 @@ def fetch_bodies(refs: DataFrame, objects: DataFrame) -> DataFrame:
     return objects.drop("etag", "s3_uri").join(small_side(wanted), ["bucket", "key"])
 
 
+def named_objects(refs: DataFrame, objects: DataFrame) -> DataFrame:
+    """The rows of a table of objects that references name, as they are. Objects that are gone give no row.
+
+    Bodies are not shuffled as long as the names that are wanted, or those that are not, are few.
+    """
+    names = ["bucket", "key"]
+    wanted = refs.select(*names)
+    if at_most(wanted, SLIM_ROWS):
+        return objects.join(F.broadcast(wanted), names, "left_semi")
+    named = objects.where("bucket is not null and key is not null")
+    with Kept() as keep:
+        others = keep(named.select(*names).distinct().join(wanted, names, "left_anti"))
+        few, none = at_most(others, SLIM_ROWS), at_most(others, 0)
+    if not few:
+        return objects.join(wanted, names, "left_semi")
+    return named if none else named.join(F.broadcast(others), names, "left_anti")
+
+
 # Bytes of bodies that a task holds before it passes them on.
 FETCH_BYTES = 64 << 20
 

@@ -13,7 +13,7 @@ from freshet.functions.sizes import Kept
 from freshet.operators import events as ev
 from freshet.operators.sync import latest_per_document
 from freshet.plans.ingest import Ingest
-from freshet.sources.files import fetch_bodies
+from freshet.sources.files import named_objects
 from freshet.streaming.landing import follow, for_each_batch
 
 # A table of objects with their bodies, or a function that fetches the bodies of references.
@@ -34,7 +34,7 @@ def ingest_batch(
     """Ingest the documents that a batch of the feed names. `feed` has offset and value, perhaps op."""
     with Kept() as keep:
         refs = keep(triggered_refs(feed))
-        docs = objects(refs) if callable(objects) else fetch_bodies(refs, objects)
+        docs = objects(refs) if callable(objects) else named_objects(refs, objects)
         report = ingest.run(docs, target)
         if on_report:
             on_report(report)

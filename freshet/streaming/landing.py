@@ -9,13 +9,11 @@ tells an insert from a replacement and drops what came too late. Texts are fetch
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from freshet.functions.sizes import Kept, small_side
 from freshet.operators import events as ev
@@ -23,7 +21,6 @@ from freshet.operators import events as ev
 EVENTS = "landing_key STRING, reason STRING, at BIGINT, partition INT, offset BIGINT, value STRING, outcome STRING, batch BIGINT"
 HEADS = "landing_key STRING, at BIGINT, partition INT, offset BIGINT, events BIGINT, batch BIGINT"
 ACCOUNT = "batch BIGINT, input BIGINT, landed BIGINT, superseded BIGINT, rejected BIGINT, reasons MAP<STRING,BIGINT>"
-CHANGES = "landing_key STRING, at BIGINT, partition INT, offset BIGINT, batch BIGINT, op STRING"
 LANDABLE, REJECTED = "landable", "rejected"
 
 
@@ -43,12 +40,14 @@ def file_events(
 
 
 def for_each_batch(
-    stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None
+    stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Run `work` batch by batch; a restart goes on from the checkpoint. `trigger` is that of a stream writer, by
     default all that is available and then an end; {"processingTime": "10 seconds"} goes on until it is stopped."""
     return (
         stream.writeStream.foreachBatch(work)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -139,27 +138,23 @@ def with_values(spark: SparkSession, root: str, some: DataFrame) -> DataFrame:
 
 # ---- the feed of changes --------------------------------------------------------------------------------------------
 
-def _later(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The last of a key's new events, if it is later than the last one seen."""
-    new = pd.concat(list(frames))
-    at, partition, offset, batch = max(zip(new["at"], new["partition"], new["offset"], new["batch"]))
-    if state.exists and (at, partition, offset) <= tuple(state.get):
-        return
-    op = "replace" if state.exists else "insert"
-    state.update((int(at), int(partition), int(offset)))
-    yield pd.DataFrame(
-        {"landing_key": [key[0]], "at": [at], "partition": [partition], "offset": [offset], "batch": [batch], "op": [op]}
-    )
-
-
 def changes(landed: DataFrame) -> DataFrame:
     """The feed of a stream over the slim table: one row per key that got a later event, `insert` or `replace`.
 
-    State is three numbers per key. A key has one row per landed batch, however many events it had there.
+    State is a few numbers per key, kept and compared by Spark itself. A key has one row per landed batch, however many
+    events it had there. Batches of the feed are told apart by the time that Spark notes for each, which a batch that is
+    repeated has again. Of events in one place the one seen first counts. The stream is one of updates.
     """
-    return landed.groupBy("landing_key").applyInPandasWithState(
-        _later, CHANGES, "at BIGINT, partition INT, offset BIGINT", "append", GroupStateTimeout.NoTimeout
+    now = F.unix_micros(F.current_timestamp())
+    last = F.max(F.struct(*ev.ORDER, (-F.col("_seen")).alias("_seen"), "batch"))
+    known = landed.withColumn("_seen", now).groupBy("landing_key").agg(
+        F.min("_seen").alias("_first"), F.max("_seen").alias("_latest"), last.alias("_last")
     )
+    # Should the clock have been put back, a key seen before is still no new one.
+    op = F.when((F.col("_first") == now) & (F.col("_latest") == now), "insert").otherwise("replace")
+    # A column of its own: a batch that is known to be sorted by the key of the state cannot be persisted (Spark 4.1).
+    key = F.concat("landing_key", F.lit("")).alias("landing_key")
+    return known.where(F.col("_last._seen") == -now).select(key, *[f"_last.{c}" for c in (*ev.ORDER, "batch")], op.alias("op"))
 
 
 def landed_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
@@ -176,4 +171,4 @@ def follow(
         with Kept() as keep:
             work(with_values(spark, root, small_side(keep(feed))))
 
-    return for_each_batch(changes(landed_stream(spark, root)), batch, checkpoint, trigger)
+    return for_each_batch(changes(landed_stream(spark, root)), batch, checkpoint, trigger, "update")

@@ -1,4 +1,5 @@
 import json
+import sys
 from types import SimpleNamespace
 
 import pytest
@@ -368,6 +369,55 @@ def test_change_feed_tells_inserts_from_replacements(spark, tmp_path):
     ]
 
 
+def test_change_feed_is_kept_by_spark_itself(spark, tmp_path):
+    """No Python function is called per key, and equal places are no change, whichever batch lands them again."""
+    from freshet.streaming.landing import changes, landed_stream
+
+    root, seen = str(tmp_path / "landing"), []
+    batch = lambda *keys: spark.createDataFrame([(o, notification(k, o)["value"]) for k, o in keys], "offset BIGINT, value STRING")
+    land(batch(*[(f"k{i}", i) for i in range(200)]), root, 0)
+    plan = changes(landed_stream(spark, root))._jdf.queryExecution().logical().toString()
+    assert "Aggregate" in plan and "Pandas" not in plan
+    run = lambda: follow(spark, root, lambda feed: seen.append(sorted((r["op"], r["batch"], r["offset"]) for r in feed.collect())), str(tmp_path / "ck")).awaitTermination()
+    run()
+    land(batch(("k7", 7), ("k8", 300), ("k9", 2), ("new", 1)), root, 1)
+    run()
+    assert [s for s in seen if s] == [[("insert", 0, i) for i in range(200)], [("insert", 1, 1), ("replace", 1, 300)]]
+
+
+def test_named_objects_by_every_way(spark, monkeypatch):
+    """Few names, few others, no others, many of both: the same rows, the first three ways without a shuffle of bodies."""
+    from freshet.sources import files
+
+    rows = [("b", f"{i}", f"text {i}") for i in range(12)] + [("b", "3", "text 3"), (None, "1", "x"), ("b", None, "y")]
+    table = spark.createDataFrame(rows, "bucket STRING, key STRING, body STRING").coalesce(2)
+    marked = []
+    for limit, names in ((5, [1, 3, 99]), (5, range(2, 12)), (5, range(12)), (2, range(6))):
+        monkeypatch.setattr(files, "SLIM_ROWS", limit)
+        found = files.named_objects(spark.createDataFrame([("b", str(n)) for n in names], "bucket STRING, key STRING"), table)
+        assert sorted(r["body"] for r in found.collect()) == sorted(t for b, k, t in rows if b and k and int(k) in names)
+        plan = str(found._jdf.queryExecution().analyzed())
+        marked.append("broadcast" if "ResolvedHint (strategy=broadcast)" in plan else "shuffled" if "Join" in plan else "none")
+    assert marked == ["broadcast", "broadcast", "none", "shuffled"]
+
+
+def test_many_changed_versions_are_looked_for_by_hash_first(spark, store, monkeypatch):
+    """Beyond what is broadcast whole, hashes of versions leave out the other bodies before the shuffle."""
+    from freshet.plans import ingest as plan
+
+    used, real = [], plan.likely
+    monkeypatch.setattr(plan, "likely", lambda *args: used.append(1) or real(*args))
+    for module in (plan, sys.modules["freshet.functions.sizes"]):
+        monkeypatch.setattr(module, "SLIM_ROWS", 2)
+    texts = {f"d{i}_txt": f"words {i}" for i in range(9)}
+    ingest = ingest_of(store)
+    ingest.run(objects(spark, **texts))
+    assert not used
+    later = {**texts, **{f"d{i}_txt": f"other {i}" for i in range(4)}}
+    assert outcome(ingest.run(objects(spark, **later))) == {"indexed": (4, 4), "unchanged": (5, 0)}
+    assert used and sorted(t for _, _, t, _ in content(store)) == sorted(later.values())
+
+
 def test_ingest_follows_what_landed(spark, store, tmp_path):
     root, reports = str(tmp_path / "landing"), []
     bodies = objects(spark, a_txt="first words", b_txt="second")
