@@ -22,6 +22,8 @@ from freshet.operators.search import Scan, TIE_PLACES, best_k, matrix_of, unit_r
 # Vectors that centroids are fitted on, and of these, questions that the number of cells is measured with.
 SAMPLE, SAMPLE_QUESTIONS = 65_536, 512
 MOST_CELLS = 4_096
+# Questions whose cells are chosen at a time.
+QUESTIONS_AT_ONCE = 1_024
 ROUNDS = 2
 # Centroids are kept to so many places, so that their values do not depend on the order of a sum.
 CENTROID_PLACES = 6
@@ -31,6 +33,8 @@ _STORED = "centroids array<array<double>>, probes int"
 
 def _nearest(scores: np.ndarray, n: int) -> np.ndarray:
     """The n best columns of each row; equal ones in the order of columns."""
+    if n == 1:
+        return np.nan_to_num(np.round(scores, TIE_PLACES), nan=-np.inf).argmax(axis=1)[:, None]
     return np.argsort(-np.round(scores, TIE_PLACES), axis=1, kind="stable")[:, :n]
 
 
@@ -63,6 +67,21 @@ class Cells:
         """The cells each question (a unit row) looks at, nearest first."""
         return _nearest(questions @ self.centroids.T, probes or self.probes)
 
+    def looked_at(self, questions: np.ndarray, probes: int | None = None) -> np.ndarray:
+        """The same as a table: a row per cell, a column per question, true where the question looks at the cell."""
+        n = min(probes or self.probes, len(self.centroids))
+        found = np.ones((len(self.centroids), len(questions)), bool)
+        if n == len(self.centroids):
+            return found
+        for start in range(0, len(questions), QUESTIONS_AT_ONCE):
+            some = slice(start, start + QUESTIONS_AT_ONCE)
+            far = -np.round(questions[some] @ self.centroids.T, TIE_PLACES)
+            last = np.partition(far, n - 1, axis=1)[:, n - 1 :][:, :1]
+            nearer, tied = far < last, far == last
+            left = n - nearer.sum(axis=1, keepdims=True)
+            found[:, some] = (nearer | (tied & (tied.cumsum(axis=1) <= left))).T
+        return found
+
 
 def fit(
     vectors: DataFrame, dim: int, *, id_column: str = "chunk_id", cells: int | None = None, probes: int | None = None,
@@ -147,18 +166,19 @@ def knn_cells(
 
     def scan(block_of: pa.Table) -> tuple[DataFrame, Scan]:
         units = unit_rows(matrix_of(block_of["v"], np.float64)) if block_of.num_rows else np.zeros((0, cells.dim))
-        looked = cells.probed(units, probes)
-        wanted = np.unique(looked).tolist()
-        asking = {c: np.flatnonzero((looked == c).any(axis=1)) for c in wanted}
+        wanted = np.flatnonzero(cells.looked_at(units, probes).any(axis=1)).tolist()
 
         def search(best, batches: Iterator[pa.RecordBatch], matrix: np.ndarray) -> None:
+            # Which question looks where is found again by the task: as a list it would be sent many times over.
+            asking, coarse = cells.looked_at(matrix, probes), matrix.astype(np.float32)
             for batch in batches:
                 homes = batch.column(CELL).to_numpy(zero_copy_only=False)
                 for c in np.unique(homes):
                     rows = pa.array(np.flatnonzero(homes == c))
-                    best.search_some(batch.column("id").take(rows), batch.column("v").take(rows), matrix, asking[int(c)])
+                    best.search_some(batch.column("id").take(rows), batch.column("v").take(rows), matrix, np.flatnonzero(asking[c]), coarse)
 
         return index.where(F.col(CELL).isin(wanted)), search
 
-    width = max(cells.dim, probes or cells.probes)
+    # A question is its vector and a byte per cell.
+    width = max(cells.dim, len(cells.centroids) // 8)
     return best_k(asked, k, index.schema["id"], width, block, scan).withColumnRenamed("id", id_column)

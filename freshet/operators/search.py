@@ -73,27 +73,52 @@ class _Best:
             some = slice(start, start + rows)
             self.add(score(vectors[some], questions), ids[some].to_pylist())
 
-    def search_some(self, ids: pa.Array, vectors: pa.Array, questions: np.ndarray, which: np.ndarray) -> None:
-        """The same by cosine for the questions numbered `which` only."""
-        rows = max(1, SCORES_AT_ONCE // max(1, len(which)))
-        for start in range(0, len(ids), rows):
-            some = slice(start, start + rows)
-            self.add(_cosine_scores(vectors[some], questions[which]), ids[some].to_pylist(), which)
-
-    def add(self, scores: np.ndarray, ids: list, which: np.ndarray | None = None) -> None:
-        """`scores` has one row per id and one column per question, or per question numbered in `which`."""
+    def search_some(
+        self, ids: pa.Array, vectors: pa.Array, questions: np.ndarray, which: np.ndarray, coarse: np.ndarray
+    ) -> None:
+        """The same by cosine for the questions numbered `which` only. `coarse` are the questions in single precision: by
+        it pairs are left out that cannot be among the best, and the others are scored exactly."""
+        if not len(ids):
+            return
+        units, names = unit_rows(matrix_of(vectors, np.float64)), ids.to_pylist()
+        rough, dim = units.astype(np.float32), units.shape[1]
+        # Twice what two products of unit vectors may be off by in single precision; ties are far within.
+        margin = (dim + 16) * float(np.finfo(np.float32).eps)
+        at_once = max(1, SCORES_AT_ONCE // len(names))
+        for start in range(0, len(which), at_once):
+            some = which[start : start + at_once]
+            products = coarse[some] @ rough.T
+            least = 2 * self.floor[some] - 1
+            new = np.flatnonzero(np.isneginf(least))
+            if len(new) and len(names) > self.k:
+                least[new] = -np.partition(-products[new], self.k - 1, axis=1)[:, self.k - 1]
+            asked, row = np.nonzero(products >= (least - margin).astype(np.float32)[:, None])
+            scores = (np.einsum("ij,ij->i", units[row], questions[some[asked]]) + 1) / 2
+            tied = np.round(scores, TIE_PLACES)
+            good = np.flatnonzero(tied >= self.floor[some[asked]])
+            if not len(good):
+                continue
+            asked, row, scores, tied = asked[good], row[good], scores[good], tied[good]
+            cuts = [0, *(np.flatnonzero(asked[1:] != asked[:-1]) + 1).tolist(), len(asked)]
+            rows, exact, ties = row.tolist(), scores.tolist(), tied.tolist()
+            for q, low, high in zip(some[asked[cuts[:-1]]].tolist(), cuts[:-1], cuts[1:]):
+                self._keep(q, [(-ties[i], names[rows[i]], exact[i]) for i in range(low, high)])
+
+    def _keep(self, q: int, found: list[tuple]) -> None:
+        self.kept[q] = heapq.nsmallest(self.k, self.kept[q] + found)
+        if len(self.kept[q]) == self.k:
+            self.floor[q] = -self.kept[q][-1][0]
+
+    def add(self, scores: np.ndarray, ids: list) -> None:
+        """`scores` has one row per id and one column per question."""
         tied = np.round(scores, TIE_PLACES)
-        floor = self.floor if which is None else self.floor[which]
+        floor = self.floor
         if len(ids) > self.k:
             kth = -np.partition(-tied, self.k - 1, axis=0)[self.k - 1]
             floor = np.maximum(floor, kth)
         for column in np.flatnonzero((tied >= floor).any(axis=0)):
             rows = np.flatnonzero(tied[:, column] >= floor[column])
-            found = [(-tied[r, column], ids[r], scores[r, column]) for r in rows]
-            q = column if which is None else which[column]
-            self.kept[q] = heapq.nsmallest(self.k, self.kept[q] + found)
-            if len(self.kept[q]) == self.k:
-                self.floor[q] = -self.kept[q][-1][0]
+            self._keep(column, [(-tied[r, column], ids[r], scores[r, column]) for r in rows])
 
     def table(self, question_ids: list, schema: pa.Schema) -> pa.Table:
         rows = [(q, i, s) for q, kept in zip(question_ids, self.kept) for _, i, s in kept]
@@ -174,7 +199,7 @@ def best_k(
         # One block of questions at a time comes to the driver.
         asked = questions.where(number == n).select("query_id", "v").toArrow()
         rows, scan = scan_for(asked)
-        found = _scanned(rows, asked, k, schema, scan, prepare or _KINDS["cosine"][1])
+        found = _scanned(rows, asked, k, schema, scan, prepare or _KINDS["cosine"][1], blocks)
         hits = found if hits is None else hits.unionByName(found)
     return _best_of(hits, k, count)
 
@@ -249,10 +274,12 @@ def scan_tasks(spark: SparkSession) -> int:
 
 
 def _scanned(
-    rows: DataFrame, asked: pa.Table, k: int, schema: T.StructType, scan: Scan, prepare: Callable[[pa.Array], np.ndarray]
+    rows: DataFrame, asked: pa.Table, k: int, schema: T.StructType, scan: Scan, prepare: Callable[[pa.Array], np.ndarray],
+    blocks: int = 1,
 ) -> DataFrame:
     """Each task's best k for every question of one block. A task takes several splits one after the other and passes on
-    one best k for all of them, so that what is shuffled grows with the cores and not with the splits."""
+    one best k for all of them, so that what is shuffled grows with the cores and not with the splits. The scans of
+    several `blocks` run side by side and share the tasks."""
     arrow = to_arrow_schema(schema)
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast((asked["query_id"].to_pylist(), prepare(asked["v"]) if asked.num_rows else None))
@@ -264,7 +291,7 @@ def _scanned(
             scan(best, batches, matrix)
         yield from best.table(question_ids, arrow).to_batches()
 
-    return rows.coalesce(scan_tasks(spark)).mapInArrow(search, schema)
+    return rows.coalesce(math.ceil(scan_tasks(spark) / blocks)).mapInArrow(search, schema)
 
 
 def _thinned(hits: DataFrame, k: int) -> DataFrame:

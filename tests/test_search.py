@@ -126,6 +126,43 @@ def test_cells_of_grouped_vectors_are_few_and_pruned(spark, tmp_path):
     assert spark.read.parquet(f"{path}/vectors").count() == 1200
 
 
+def test_cells_looked_at_and_searched_equal_brute_force():
+    """On few different values, so that many scores are ties."""
+    from freshet.operators import cells, search
+
+    rng = np.random.default_rng(5)
+    draw = lambda n: search.unit_rows(rng.integers(-2, 3, (n, 5)).astype(float))
+    fitted, asked = cells.Cells(draw(30), 11), draw(2100)
+    looked = fitted.looked_at(asked)
+    assert [np.flatnonzero(c).tolist() for c in looked.T] == np.sort(fitted.probed(asked), axis=1).tolist()
+    vectors, ids = draw(900).astype(np.float32), rng.permutation(900)
+    best, which = search._Best(2100, 4), np.arange(1, 2100, 7)
+    for low, high in ((0, 3), (3, 500), (500, 900)):
+        column = pa.array(vectors[low:high].tolist(), pa.list_(pa.float32()))
+        best.search_some(pa.array(ids[low:high]), column, asked, which, asked.astype(np.float32))
+    scores = np.round((search.unit_rows(vectors.astype(float)) @ asked.T + 1) / 2, 9)
+    for q in range(2100):
+        want = sorted(zip(-scores[:, q], ids.tolist()))[:4] if q in which else []
+        assert [i for _, i, _ in best.kept[q]] == [i for _, i in want]
+        assert np.allclose([s for *_, s in best.kept[q]], [-t for t, _ in want], atol=1e-9)
+
+
+def test_scans_of_several_blocks_share_the_tasks(spark, vectors):
+    """What is shuffled grows with the questions and the cores, not with the blocks of questions as well."""
+    from freshet.operators import search
+
+    rows = vectors.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")).repartition(64)
+    asked = rows.select(F.col("id").alias("query_id"), "v")
+    scan = partial(search._whole, score=search._cosine_scores)
+    found, real = [], search._scanned
+    search._scanned = lambda *args: found.append(real(*args)) or found[-1]
+    try:
+        search.best_k(asked, 3, rows.schema["id"], 64, 100, lambda _: (rows, scan))
+    finally:
+        search._scanned = real
+    assert len(found) > 4 and sum(f.rdd.getNumPartitions() for f in found) < search.scan_tasks(spark) + len(found)
+
+
 def test_cells_of_nothing(spark, tmp_path):
     none = spark.createDataFrame([], "chunk_id STRING, embedding ARRAY<FLOAT>")
     build(none, fit(none, 4), str(tmp_path / "c"))
